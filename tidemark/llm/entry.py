@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .dedup_exact import exact_dedup
 from .language import identify_language, train_language_model
+from .near_dedup import near_duplicates
 from .packing import pack
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +62,8 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), tokenizer_file()).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+@query
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir))
