@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .dedup_exact import exact_dedup
 from .language import identify_language, train_language_model
+from .mixing import mixing_plan
 from .near_dedup import near_duplicates
 from .packing import pack
 
@@ -67,3 +68,28 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
+
+
+@query
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mixing_plan(documents(spark, sf_dir).select("doc_id", "source", "text"))
+    return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+SQL["op6_mix_sources"] = """
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY 1),
+w AS (SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM s),
+r AS (SELECT *, row_number() OVER (ORDER BY source_size * 3 / weight, source NULLS LAST) AS place FROM w),
+l AS (
+  SELECT *, (sum(source_size) OVER () - 3 * coalesce(sum(source_size) OVER (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
+    / (sum(weight) OVER (ORDER BY place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level FROM r),
+f AS (SELECT level FROM l WHERE level * weight <= 3 * source_size ORDER BY place LIMIT 1),
+t AS (SELECT source, source_size, least((SELECT level FROM f) * weight, (3 * source_size)::DOUBLE) AS target FROM w),
+c AS (
+  SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
+    ('0x' || substr(md5('mix|' || coalesce(doc_id::VARCHAR, 'none:' || coalesce(d.source || ':', '') || size)), 1, 8))::BIGINT / 4294967296.0 AS draw
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target, size * (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END)::BIGINT AS taken FROM c
+"""

@@ -194,3 +194,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     out = full.select("doc_id", "n", "set_key").join(found, "set_key", "left").select("doc_id", "n", "component_id")
     alone = sketches.filter("NOT (n > 0 AND doc_id IS NOT NULL)").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return out.unionByName(alone).select(F.col("doc_id").alias(key), F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """docs with one document of each group of near duplicates, its own columns unchanged."""
+    dropped = durable(near_duplicates(docs, text, key).filter("NOT kept").select(F.col(key).alias("_dropped")), "dropped")
+    return docs.join(small(dropped, dropped.count()), F.col(key) == F.col("_dropped"), "left_anti")
