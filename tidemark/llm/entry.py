@@ -12,6 +12,7 @@ from .language import identify_language, train_language_model
 from .mixing import mixing_plan
 from .near_dedup import near_duplicates
 from .packing import pack
+from .pii import KINDS, detect_pii, joined
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -93,3 +94,11 @@ c AS (
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target, size * (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END)::BIGINT AS taken FROM c
 """
+
+
+@query
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = detect_pii(documents(spark, sf_dir).select("doc_id", "text")).withColumn("base", F.filter("pii", lambda s: ~s["disguised"]))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("pii")).alias("spans"))
