@@ -13,6 +13,8 @@ from .mixing import mixing_plan
 from .near_dedup import near_duplicates
 from .packing import pack
 from .pii import KINDS, detect_pii, joined
+from .quality_rules import quality_rules
+from .sharding import shard_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -102,3 +104,15 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = F.transform("base", lambda s: s["kind"])
     counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in KINDS]
     return found.select("doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("pii")).alias("spans"))
+
+
+@query
+def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed, _ = shard_documents(documents(spark, sf_dir))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules(documents(spark, sf_dir).select("doc_id", "source", "text"), clean=False)
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words")
