@@ -13,6 +13,7 @@ from .mixing import mixing_plan
 from .near_dedup import near_duplicates
 from .packing import pack
 from .pii import KINDS, detect_pii, joined
+from .quality_model import grade_quality, toxicity_aware_grade, train_quality_model
 from .quality_rules import quality_rules
 from .sharding import shard_documents
 
@@ -116,3 +117,12 @@ def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules(documents(spark, sf_dir).select("doc_id", "source", "text"), clean=False)
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words")
+
+
+@query
+def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", toxicity_aware_grade().alias("grade"))
+    rated = docs.filter(~held_out()).join(labels.filter(~held_out()), "doc_id")
+    model = train_quality_model(rated, levels=3)
+    return grade_quality(docs, model).select("doc_id", held_out().alias("held_out"), "expected_grade", "tail_probability", "kept")
