@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import durable, small
 from .tokens import _LOWER, blocks
 
 DIMENSIONS = 4096
@@ -155,10 +156,10 @@ def _featurise(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def bounded_sample(rows: DataFrame, label: str, key: str, per_label: int) -> DataFrame:
     """About per_label rows of each label, chosen by a hash of the key; no sort, no shuffle of texts."""
-    counts = rows.groupBy(F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_n"))
+    counts = durable(rows.groupBy(F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_n")), "label-counts")
     share = F.least(F.lit(1.0), F.lit(float(per_label)) / F.col("_n"))
     draw = F.pmod(F.xxhash64(F.col(key), F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
-    return rows.join(counts, F.col(label) == F.col("_label")).filter(draw < share).drop("_label", "_n")
+    return rows.join(small(counts, counts.count()), F.col(label) == F.col("_label")).filter(draw < share).drop("_label", "_n")
 
 
 def train_language_model(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang", key: str = "doc_id", per_language: int = SAMPLE_PER_LANGUAGE) -> LanguageModel:
