@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .dedup_exact import exact_dedup
 from .language import identify_language, train_language_model
+from .line_dedup import line_dedup
 from .mixing import mixing_plan
 from .near_dedup import near_duplicates
 from .packing import pack
@@ -126,3 +127,31 @@ def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     rated = docs.filter(~held_out()).join(labels.filter(~held_out()), "doc_id")
     model = train_quality_model(rated, levels=3)
     return grade_quality(docs, model).select("doc_id", held_out().alias("held_out"), "expected_grade", "tail_probability", "kept")
+
+
+@query
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup(documents(spark, sf_dir).select("doc_id", "text"), clean=False)
+    return found.select("doc_id", "n_lines", F.size("dropped_lines").cast("long").alias("n_dropped"), F.array_join(F.col("dropped_lines").cast("array<string>"), ",").alias("dropped"))
+
+
+SQL["op3_line_dedup"] = """
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS number FROM d),
+u AS (SELECT line, length(line) AS n, min(struct_pack(d := doc_id, k := number)) AS place FROM l WHERE length(line) >= 24 GROUP BY 1, 2),
+p AS (
+  SELECT a.line FROM u a JOIN u b ON b.n BETWEEN a.n - 1 AND a.n + 1 AND b.place < a.place
+    AND (left(a.line, (least(a.n, b.n) // 2)::BIGINT) = left(b.line, (least(a.n, b.n) // 2)::BIGINT)
+      OR right(a.line, (least(a.n, b.n) // 2)::BIGINT) = right(b.line, (least(a.n, b.n) // 2)::BIGINT))
+  WHERE CASE WHEN a.n = b.n
+    THEN len(list_filter(list_zip(string_split(a.line, ''), string_split(b.line, '')), lambda x: x[1] <> x[2])) = 1
+    ELSE len(list_filter(range(0, greatest(a.n, b.n)), lambda i:
+      CASE WHEN a.n > b.n THEN left(a.line, i) || substr(a.line, i + 2) = b.line ELSE left(b.line, i) || substr(b.line, i + 2) = a.line END)) > 0 END
+),
+x AS (
+  SELECT doc_id, number FROM l JOIN u USING (line)
+  WHERE struct_pack(d := doc_id, k := number) <> place OR line IN (SELECT line FROM p)),
+g AS (SELECT doc_id, count(*) AS n_dropped, string_agg(number::VARCHAR, ',' ORDER BY number) AS dropped FROM x GROUP BY 1)
+SELECT doc_id, len(ls)::BIGINT AS n_lines, coalesce(n_dropped, 0)::BIGINT AS n_dropped, coalesce(dropped, '') AS dropped
+FROM d LEFT JOIN g USING (doc_id)
+"""
