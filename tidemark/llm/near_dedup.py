@@ -174,9 +174,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     classes = durable(
         full.groupBy("set_key").agg(F.min("doc_id").alias("first_id"), F.min("row").alias("node"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes"
     )
-    members = classes.select("node", "n", F.explode("bands").alias("bucket"))
+    members = classes.select("node", "n", F.posexplode("bands").alias("band", "bucket"))
     hubs = members.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("hub"), F.count(F.lit(1)).alias("size")).filter("size > 1").drop("size")
-    crowded = durable(members.join(hubs, "bucket").select("bucket", "node", "n", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n")), "buckets")
+    crowded = durable(members.join(hubs, "bucket").select("bucket", "band", "node", "n", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n")), "buckets")
     edges = durable(
         crowded.filter(F.col("node") != F.col("hub")).filter(_close_enough("n", "hub_n")).select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "stars"
     )
@@ -190,14 +190,17 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     links = durable(confirm(edges, sets), "links")
     roots = components(links)
     asked = edges
+    runs = classes.select("node", F.transform("bands", lambda x: x.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")).alias("runs"))
     while True:
-        placed = crowded.select("bucket", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        placed = crowded.select("bucket", "band", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         parts = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("size"))
         split = parts.groupBy("bucket").agg(F.max(F.struct("size", "root")).alias("most"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-        open_ = durable(placed.join(split.select("bucket", F.col("most.root").alias("major")), "bucket").join(sets.select("node", "odd"), "node"), "open-buckets")
-        hubs = open_.filter("root <> major").select("bucket", F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("root").alias("hub_root"), F.col("odd").alias("hub_odd"))
-        apart = F.col("o.root") != F.col("h.hub_root")
-        more = open_.alias("o").join(hubs.alias("h"), (F.col("o.bucket") == F.col("h.bucket")) & apart & may_link("n", "hub_n", "odd", "hub_odd"))
+        open_ = durable(placed.join(split.select("bucket", F.col("most.root").alias("major")), "bucket").join(sets.select("node", "odd"), "node").join(runs, "node"), "open-buckets")
+        hubs = open_.filter("root <> major").select("bucket", F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("root").alias("hub_root"), F.col("odd").alias("hub_odd"), F.col("runs").alias("hub_runs"))
+        # A pair comes up once: in the first bucket that it shares, and there from its smaller node if both are hubs.
+        once = ((F.col("root") == F.col("major")) | (F.col("node") < F.col("hub"))) & ~F.exists(F.slice(F.arrays_zip("runs", "hub_runs"), F.lit(1), F.col("band")), lambda x: x["runs"] == x["hub_runs"])
+        apart = (F.col("o.bucket") == F.col("h.bucket")) & (F.col("root") != F.col("hub_root"))
+        more = open_.alias("o").join(hubs.alias("h"), apart & may_link("n", "hub_n", "odd", "hub_odd") & once)
         more = durable(more.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct().join(asked, ["a", "b"], "left_anti"), "more-stars")
         if more.isEmpty():
             break
