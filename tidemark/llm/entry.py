@@ -123,9 +123,8 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", toxicity_aware_grade().alias("grade"))
-    rated = docs.filter(~held_out()).join(labels.filter(~held_out()), "doc_id")
-    model = train_quality_model(rated, levels=3)
+    ratings = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(~held_out()).select("doc_id", toxicity_aware_grade().alias("grade"))
+    model = train_quality_model(docs, ratings, levels=3)
     return grade_quality(docs, model).select("doc_id", held_out().alias("held_out"), "expected_grade", "tail_probability", "kept")
 
 
