@@ -82,7 +82,7 @@ def open_family(spark: SparkSession, root: str, entry: dict) -> DataFrame:
     from pyspark.sql.types import StructType
 
     schema = StructType.fromJson(entry["schema"])
-    return spark.read.schema(schema).parquet(f"{root}/family={entry['family']}")
+    return spark.read.schema(schema).parquet(f"{root}/family={entry['family']}").select(*schema.names)
 
 
 def verify(spark: SparkSession, root: str) -> list[str]:
