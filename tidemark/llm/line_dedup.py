@@ -98,7 +98,8 @@ def repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     pairs = durable(_close_pairs(alike), "close-pairs")
     left, right = alike.select("id", F.col("line").alias("a")), alike.select(F.col("id").alias("earlier"), F.col("line").alias("b"))
     close = pairs.join(left, "id").join(right, "earlier").filter(F.levenshtein("a", "b", 1) >= 0).select("id").distinct()
-    decided = distinct.select("id", "place").join(close.withColumn("close", F.lit(True)), "id", "left")
+    # Written, so that both sides of the last join come straight from a shuffle and a line of very many documents can be split.
+    decided = durable(distinct.select("id", "place").join(close.withColumn("close", F.lit(True)), "id", "left"), "decided-lines")
     drop = F.col("close").isNotNull() | (F.struct("doc", "number") != F.col("place"))
     dropped = lines.select("id", "doc", "text_hash", "number").join(decided, "id").filter(drop)
     return dropped.groupBy("doc", "text_hash").agg(F.array_sort(F.collect_set("number")).alias("numbers"))
