@@ -609,3 +609,192 @@ def q50_stream_tumbling(spark, sf_dir):
     from tidemark.streaming.events import tumbling
 
     return tumbling(spark, sf_dir, "5 minutes").select(F.col("bucket_start").cast("timestamp_ntz").alias("bucket_start"), "n", F.round("total", 4).alias("total"))
+
+
+@query("""
+WITH h AS (SELECT unnest(generate_series(TIMESTAMP '1996-01-01', TIMESTAMP '1996-01-02 23:00:00', INTERVAL 1 HOUR)) AS hour),
+s AS (SELECT *, lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS till FROM orders)
+SELECT hour, count(o_orderkey) AS pending FROM h LEFT JOIN s ON o_orderstatus = 'O' AND o_orderdate < hour + INTERVAL 1 HOUR AND (till IS NULL OR till >= hour + INTERVAL 1 HOUR) GROUP BY 1
+""")
+def q51_pending_by_hour(spark, sf_dir):
+    from tidemark.plans.report import pending_by_hour
+
+    o = Tables(spark, sf_dir).orders.select("o_custkey", "o_orderdate", "o_orderstatus", F.col("o_orderkey").alias("id"))
+    spine = spark.sql("SELECT explode(sequence(timestamp_ntz'1996-01-01 00:00:00', timestamp_ntz'1996-01-02 23:00:00', INTERVAL 1 HOUR)) AS hour")
+    return pending_by_hour(o, spine, "o_custkey", "o_orderdate", "o_orderstatus", "O")
+
+
+@query("""
+SELECT event_id, minute, k::INT AS turn FROM (
+  SELECT event_id, date_trunc('day', ts) AS minute, row_number() OVER (PARTITION BY date_trunc('day', ts) ORDER BY ts, event_id, user_id) AS k FROM events WHERE event_type = 'purchase') WHERE k <= 5
+""")
+def q52_bounded_wakeups(spark, sf_dir):
+    e = Tables(spark, sf_dir).events.filter("event_type = 'purchase'").withColumn("minute", F.date_trunc("day", "ts").cast("timestamp_ntz"))
+    turn = F.row_number().over(Window.partitionBy("minute").orderBy("ts", "event_id", "user_id"))
+    return e.select("event_id", "minute", turn.alias("turn")).filter("turn <= 5")
+
+
+@query("""
+WITH d AS (SELECT l_suppkey, date_trunc('month', l_shipdate) AS m, count(*) AS n, sum(l_quantity) AS q FROM lineitem GROUP BY 1, 2),
+c AS (SELECT l_suppkey, m, sum(n) OVER w AS rows, sum(q) OVER w AS size FROM d WINDOW w AS (PARTITION BY l_suppkey ORDER BY m ROWS UNBOUNDED PRECEDING)),
+l AS (SELECT *, rows - lag(rows) OVER w AS more, size - lag(size) OVER w AS bytes, (epoch_us(m) - epoch_us(lag(m) OVER w)) / 60000000.0 AS minutes FROM c WINDOW w AS (PARTITION BY l_suppkey ORDER BY m))
+SELECT l_suppkey, m, round(more / minutes, 9) AS rows_per_minute, round(CASE WHEN more > 0 THEN bytes / more END, 6) AS bytes_per_row FROM l
+""")
+def q53_storage_deltas(spark, sf_dir):
+    from tidemark.plans.report import storage_deltas
+
+    d = Tables(spark, sf_dir).lineitem.groupBy("l_suppkey", F.date_trunc("month", "l_shipdate").cast("timestamp_ntz").alias("m")).agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("q"))
+    w = Window.partitionBy("l_suppkey").orderBy("m").rowsBetween(Window.unboundedPreceding, 0)
+    c = d.select("l_suppkey", "m", F.sum("n").over(w).alias("rows"), F.sum("q").over(w).alias("size"))
+    return storage_deltas(c, "l_suppkey", "m", "rows", "size").select("l_suppkey", "m", F.round("rows_per_minute", 9).alias("rows_per_minute"), F.round("bytes_per_row", 6).alias("bytes_per_row"))
+
+
+@query("""
+WITH x AS (SELECT *, CASE WHEN event_type <> 'error' THEN value END AS n FROM events)
+SELECT event_id, round(n - last_value(n IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 6) AS growth FROM x
+""")
+def q54_growth_since_last_known(spark, sf_dir):
+    x = Tables(spark, sf_dir).events.withColumn("n", F.when(F.col("event_type") != "error", F.col("value")))
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, -1)
+    return x.select("event_id", F.round(F.col("n") - F.last("n", ignorenulls=True).over(w), 6).alias("growth"))
+
+
+@query("""
+WITH head AS (SELECT n_regionkey AS chain FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey WHERE o_orderstatus = 'O' ORDER BY o_orderpriority, o_orderdate, o_orderkey LIMIT 1)
+SELECT o_orderkey, o_orderpriority FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey JOIN head ON chain = n_regionkey
+WHERE o_orderstatus = 'O' ORDER BY o_orderpriority, o_orderdate, o_orderkey LIMIT 30
+""")
+def q55_priority_claim(spark, sf_dir):
+    """The due work of one chain only: that of the head of the queue; at most 30 in order."""
+    t = Tables(spark, sf_dir)
+    due = t.orders.filter("o_orderstatus = 'O'").join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    order = ["o_orderpriority", "o_orderdate", "o_orderkey"]
+    head = due.orderBy(*order).limit(1).select("n_regionkey")
+    return due.join(F.broadcast(head), "n_regionkey", "left_semi").orderBy(*order).limit(30).select("o_orderkey", "o_orderpriority")
+
+
+@query("""
+WITH l AS (SELECT c_custkey, max(o_orderdate) AS last_scan FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1)
+SELECT c_custkey, last_scan FROM l ORDER BY last_scan ASC NULLS FIRST, c_custkey LIMIT 25
+""")
+def q56_control_rotation(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    scanned = t.orders.groupBy("o_custkey").agg(F.max("o_orderdate").alias("last_scan"))
+    return t.customer.join(scanned, F.col("c_custkey") == F.col("o_custkey"), "left").select("c_custkey", "last_scan").orderBy(F.col("last_scan").asc_nulls_first(), "c_custkey").limit(25)
+
+
+@query("""
+WITH s AS (SELECT o_custkey, min(o_orderdate) AS a, max(o_orderdate) AS b FROM orders WHERE o_orderdate >= TIMESTAMP '2001-06-01' GROUP BY 1)
+SELECT o_custkey, unnest(generate_series(date_trunc('day', a), date_trunc('day', b), INTERVAL 1 DAY)) AS day FROM s
+""")
+def q57_daily_slices(spark, sf_dir):
+    s = Tables(spark, sf_dir).orders.filter("o_orderdate >= timestamp_ntz'2001-06-01 00:00:00'").groupBy("o_custkey").agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b"))
+    midnight = lambda c: F.date_trunc("day", c).cast("timestamp_ntz")
+    return s.select("o_custkey", F.explode(F.sequence(midnight("a"), midnight("b"), F.expr("INTERVAL 1 DAY"))).alias("day"))
+
+
+@query("""
+WITH n AS (SELECT l_partkey, l_suppkey, count(*) AS n FROM lineitem GROUP BY 1, 2)
+SELECT l_partkey, round(100.0 * max(n) / sum(n), 6) AS common_funder_share FROM n GROUP BY 1
+""")
+def q58_common_funder(spark, sf_dir):
+    from tidemark.plans.security import common_funder_share
+
+    f = Tables(spark, sf_dir).lineitem.select("l_partkey", F.col("l_suppkey").alias("source_wallet"))
+    return common_funder_share(f, ["l_partkey"]).select("l_partkey", F.round("common_funder_share", 6).alias("common_funder_share"))
+
+
+@query("""
+WITH x AS (SELECT event_id, user_id, ts, value, lag(value) OVER w AS previous, first_value(ts) OVER w AS first_at FROM events WHERE event_type = 'click' WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+p AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase')
+SELECT p.event_id, x.value AS latest, x.previous, ((epoch_us(p.ts) - epoch_us(x.first_at)) / 1000000.0)::DOUBLE AS since_first FROM p ASOF LEFT JOIN x ON x.user_id = p.user_id AND x.ts <= p.ts
+""")
+def q59_latest_previous_first(spark, sf_dir):
+    e = Tables(spark, sf_dir).events
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    clicks = e.filter("event_type = 'click'").withColumns({"previous": F.lag("value").over(w), "first_at": F.min("ts").over(w)})
+    found = asof.asof_join(e.filter("event_type = 'purchase'").select("event_id", "user_id", "ts"), clicks, ["user_id"], "ts", "ts", ["value", "previous", "first_at"], tie="event_id", prefix="c_")
+    return found.select("event_id", F.col("c_value").alias("latest"), F.col("c_previous").alias("previous"), seconds_between("c_first_at", "ts").alias("since_first"))
+
+
+@query("""
+SELECT a.s_suppkey AS wanted, b.c_custkey AS found, CASE WHEN b.c_custkey = a.s_suppkey THEN 'base' ELSE 'quote' END AS side
+FROM supplier a JOIN customer b ON b.c_custkey = a.s_suppkey OR b.c_nationkey = a.s_suppkey
+""")
+def q60_either_side_match(spark, sf_dir):
+    """A disjunction of equalities as two equality joins; what both sides match comes once."""
+    t = Tables(spark, sf_dir)
+    a, b = t.supplier.select(F.col("s_suppkey").alias("wanted")), t.customer.select("c_custkey", "c_nationkey")
+    base = a.join(b, F.col("wanted") == F.col("c_custkey")).withColumn("side", F.lit("base"))
+    quote = a.join(b, F.col("wanted") == F.col("c_nationkey")).filter("c_custkey <> wanted").withColumn("side", F.lit("quote"))
+    return base.unionByName(quote).select("wanted", F.col("c_custkey").alias("found"), "side")
+
+
+@query("""
+WITH a AS (SELECT user_id, min(ts) AS t FROM events GROUP BY 1)
+SELECT user_id, o AS offset_seconds, t + to_seconds(o) AS due_at FROM a, (SELECT unnest([0, 3600, 86400, 604800]) AS o)
+""")
+def q61_revisit_plan(spark, sf_dir):
+    a = Tables(spark, sf_dir).events.groupBy("user_id").agg(F.min("ts").alias("t"))
+    each = a.select("user_id", "t", F.explode(F.array(*[F.lit(o) for o in (0, 3600, 86400, 604800)])).alias("offset_seconds"))
+    return each.select("user_id", "offset_seconds", (F.col("t") + F.make_dt_interval(secs=F.col("offset_seconds").cast("decimal(18,6)"))).alias("due_at"))
+
+
+@query("""
+WITH w AS (SELECT l_suppkey AS t, o_custkey AS w, CASE WHEN l_returnflag = 'R' THEN 'SELL' ELSE 'BUY' END AS side, l_extendedprice AS v FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
+a AS (SELECT t, count(*) AS total_trades, count(*) FILTER (WHERE side = 'BUY') AS buy_trades, count(DISTINCT CASE WHEN side = 'BUY' THEN w END) AS unique_buyers, count(DISTINCT w) AS unique_traders,
+  round(median(v), 4) AS median_trade_usd FROM w GROUP BY 1),
+p AS (SELECT t, w, count(*) AS n, sum(v) AS v, bool_or(side = 'BUY') AS b, bool_or(side = 'SELL') AS s FROM w GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY v DESC, w) AS k FROM p),
+z AS (SELECT t, round(100 * sum(v) FILTER (WHERE k <= 10) / sum(v), 6) AS top_10_trader_volume_share, round(coalesce(sum(n) FILTER (WHERE n > 1), 0) / sum(n), 6) AS repeat_trader_ratio,
+  round(count(*) FILTER (WHERE b AND s) / count(*), 6) AS buy_sell_wallet_overlap FROM r GROUP BY 1)
+SELECT t AS token_id, total_trades, buy_trades, unique_buyers, unique_traders, median_trade_usd, top_10_trader_volume_share, repeat_trader_ratio, buy_sell_wallet_overlap FROM a JOIN z USING (t)
+""")
+def q62_trader_distribution(spark, sf_dir):
+    from tidemark.plans.security import trader_metrics
+
+    t = Tables(spark, sf_dir)
+    trades = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("l_suppkey").alias("token_id"), F.col("o_custkey").alias("wallet"), F.when(F.col("l_returnflag") == "R", "SELL").otherwise("BUY").alias("side"), F.col("l_extendedprice").alias("notional_usd")
+    )
+    rounded = {c: F.round(c, d) for c, d in (("median_trade_usd", 4), ("top_10_trader_volume_share", 6), ("repeat_trader_ratio", 6), ("buy_sell_wallet_overlap", 6))}
+    return trader_metrics(trades).withColumns(rounded).select("token_id", "total_trades", "buy_trades", "unique_buyers", "unique_traders", *rounded)
+
+
+@query("""
+WITH h AS (SELECT l_partkey AS p, l_suppkey AS o, sum(l_quantity) AS q, sum(CASE WHEN l_returnflag <> 'A' THEN l_quantity END) AS out, sum(CASE WHEN l_linestatus = 'F' THEN l_quantity END) AS c FROM lineitem GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY p ORDER BY q DESC, 'w' || o) AS k FROM h), s AS (SELECT p_partkey AS p, p_size * 100 AS supply FROM part)
+SELECT s.p AS token_id, round(100 * coalesce(sum(q) FILTER (WHERE k <= 1), 0) / supply, 6) AS top_1_pct, round(100 * coalesce(sum(q) FILTER (WHERE k <= 10), 0) / supply, 6) AS top_10_pct,
+  round(100 * coalesce(max(out), 0) / supply, 6) AS largest_non_pool_holder_pct, round(CASE WHEN sum(c) > 0 THEN 100 * sum(c) / supply END, 6) AS creator_holder_pct,
+  round(100 * coalesce(sum(q), 0) / supply, 6) AS covered_supply_pct, round(CASE WHEN s.p % 2 = 0 THEN coalesce(sum(q * q), 0) / supply / supply END, 12) AS hhi
+FROM s LEFT JOIN r ON r.p = s.p GROUP BY s.p, supply
+""")
+def q63_holder_metrics(spark, sf_dir):
+    from tidemark.plans.security import holder_metrics
+
+    t = Tables(spark, sf_dir)
+    accounts = t.lineitem.select(
+        F.col("l_partkey").alias("token_id"), F.concat(F.lit("w"), F.col("l_suppkey")).alias("owner_wallet"), F.lit("x").alias("token_account"), F.col("l_quantity").alias("raw_balance"),
+        (F.col("l_returnflag") == "A").alias("is_known_pool"), (F.col("l_linestatus") == "F").alias("is_creator"),
+    )
+    supplies = t.part.select(F.col("p_partkey").alias("token_id"), (F.col("p_size") * 100).alias("supply"), (F.col("p_partkey") % 2 == 0).alias("complete"))
+    m = holder_metrics(accounts, supplies)
+    return m.select("token_id", *[F.round(c, 6).alias(c) for c in ("top_1_pct", "top_10_pct", "largest_non_pool_holder_pct", "creator_holder_pct", "covered_supply_pct")], F.round("hhi", 12).alias("hhi"))
+
+
+@query("""
+WITH x AS (SELECT *, CASE WHEN l_discount > 0 THEN l_extendedprice END AS liq FROM lineitem),
+g AS (SELECT l_orderkey, count(DISTINCT l_linenumber) AS pairs, count(*) FILTER (WHERE liq IS NULL) AS unknown, arg_max(l_linenumber, {'l': liq, 'c': -l_linenumber}) FILTER (WHERE liq IS NOT NULL) AS best, any_value(l_linenumber) AS only_one FROM x GROUP BY 1)
+SELECT l_orderkey, CASE WHEN pairs = 1 THEN only_one WHEN unknown > 0 THEN NULL ELSE best END AS selected, CASE WHEN pairs = 1 THEN 'ONLY_PAIR' WHEN unknown > 0 THEN 'UNKNOWN_LIQUIDITY' ELSE 'HIGHEST_LIQUIDITY' END AS reason FROM g
+""")
+def q64_evidence_pair(spark, sf_dir):
+    """The pair with most liquidity; with several pairs one unknown liquidity makes the choice unknown; ties go to the smaller id."""
+    x = Tables(spark, sf_dir).lineitem.withColumn("liq", F.when(F.col("l_discount") > 0, F.col("l_extendedprice")))
+    g = x.groupBy("l_orderkey").agg(
+        F.count_distinct("l_linenumber").alias("pairs"), F.count_if(F.col("liq").isNull()).alias("unknown"), F.max_by("l_linenumber", F.when(F.col("liq").isNotNull(), F.struct(F.col("liq"), -F.col("l_linenumber")))).alias("best"), F.first("l_linenumber").alias("only_one")
+    )
+    one = F.col("pairs") == 1
+    return g.select(
+        "l_orderkey", F.when(one, F.col("only_one")).when(F.col("unknown") == 0, F.col("best")).alias("selected"),
+        F.when(one, "ONLY_PAIR").when(F.col("unknown") > 0, "UNKNOWN_LIQUIDITY").otherwise("HIGHEST_LIQUIDITY").alias("reason"),
+    )
