@@ -61,6 +61,12 @@ def test_exact_dedup_against_a_given_history(spark):
     assert got == {5: (5, 2, True), 6: (9, 2, False), 7: (8, 2, False), 8: (8, 2, True)}
 
 
+def test_dropping_repeats(docs):
+    kept = dedup_exact.exact_dedup(docs.drop("kept", "digest", "keep_id")).filter("kept").select("doc_id", "text", "source")
+    got = dedup_exact.drop_repeats(docs)
+    assert got.columns == docs.columns and sorted(map(str, got.select("doc_id", "text", "source").collect())) == sorted(map(str, kept.collect()))
+
+
 def test_minimal_perfect_hash():
     digests = np.frombuffer(b"".join(hashlib.sha256(str(i).encode()).digest() for i in range(3000)), dtype="<u8").reshape(-1, 4)
     sizes, bits = dedup_exact.build_function(digests[:2000])

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, text_or_empty
+from .common import durable, small, text_or_empty
 
 #: Digests a shard holds on average; a task builds one shard at a time.
 SHARD_KEYS = 40_000
@@ -162,3 +162,15 @@ def exact_dedup(docs: DataFrame, history: DataFrame | None = None, text: str = "
     return rows.join(classes, "digest", "left").select(
         *[F.col(f"`{c}`") for c in docs.columns], "digest", "keep_id", "group_size", F.coalesce(F.col(locator) == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept")
     )
+
+
+def drop_repeats(docs: DataFrame, history: DataFrame | None = None, text: str = "text", locator: str = "doc_id") -> DataFrame:
+    """docs without the rows that exact_dedup does not keep, its own columns unchanged.
+
+    The decisions are made on locators and digests; texts are only shuffled where the dropped rows are too many to broadcast."""
+    narrow = docs.select(F.col(locator).alias("doc_id"), F.col(text).alias("text"))
+    old = None if history is None else history.select(F.col(locator).alias("doc_id"), F.col(text).alias("text"))
+    judged = exact_dedup(narrow, old).select("doc_id", "digest", "kept")
+    dropped = durable(judged.filter("NOT kept").select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("_doc"), F.col("digest").alias("_digest")).distinct(), "dropped-repeats")
+    same = (F.coalesce(F.col(locator).cast("long"), F.lit(-(1 << 63))) == F.col("_doc")) & (F.unhex(F.sha2(text_or_empty(text), 256)) == F.col("_digest"))
+    return docs.join(small(dropped, dropped.count()), same, "left_anti")
