@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import durable
-from tidemark.llm.dedup_exact import exact_dedup
+from tidemark.llm.dedup_exact import drop_repeats
 from tidemark.llm.entry import held_out, tokenizer_file
 from tidemark.llm.language import UNDETERMINED, identify_language, train_language_model
 from tidemark.llm.mixing import mix_sources
@@ -31,7 +31,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps of equal texts the one with the largest doc_id."""
-    return exact_dedup(docs).filter("kept").select(*docs.columns)
+    return drop_repeats(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
