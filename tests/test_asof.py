@@ -22,12 +22,12 @@ FACT = st.tuples(st.sampled_from("abc"), st.integers(0, 20), st.integers(0, 10_0
 PROBE = st.tuples(st.sampled_from("abd"), st.integers(0, 25))
 
 
-@given(st.lists(FACT, max_size=15, unique_by=lambda f: f[2]), st.lists(PROBE, min_size=1, max_size=8), st.booleans(), st.booleans(), st.none() | st.integers(0, 6), st.integers(0, 5))
-@settings(max_examples=15, deadline=None)
-def test_asof_join_equals_a_search(spark, facts, probes, forward, strict, tolerance, shift):
+@given(st.lists(FACT, max_size=15, unique_by=lambda f: f[2]), st.lists(PROBE, min_size=1, max_size=8), st.booleans(), st.booleans(), st.none() | st.integers(0, 6), st.integers(0, 5), st.none() | st.integers(1, 9))
+@settings(max_examples=25, deadline=None)
+def test_asof_join_equals_a_search(spark, facts, probes, forward, strict, tolerance, shift, split):
     f = spark.createDataFrame([(k, at(t), i, v) for k, t, i, v in facts], "k string, ft timestamp_ntz, id long, v int")
     p = spark.createDataFrame([(n, k, at(t)) for n, (k, t) in enumerate(probes)], "n int, k string, pt timestamp_ntz")
-    got = {r.n: (r.asof_id, r.asof_v) for r in asof.asof_join(p, f, ["k"], "pt", "ft", ["id", "v"], tie="id", lookback=shift, tolerance=tolerance, forward=forward, strict=strict).collect()}
+    got = {r.n: (r.asof_id, r.asof_v) for r in asof.asof_join(p, f, ["k"], "pt", "ft", ["id", "v"], tie="id", lookback=shift, tolerance=tolerance, forward=forward, strict=strict, split_seconds=split).collect()}
     for n, (k, t) in enumerate(probes):
         edge = t + shift if forward else t - shift
         seen = [x for x in facts if x[0] == k and (x[1] >= edge if forward else x[1] <= edge) and not (strict and x[1] == edge)]

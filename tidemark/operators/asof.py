@@ -23,6 +23,20 @@ def _timeline(probes: DataFrame, facts: DataFrame, by: Sequence[str], probe_at:
     return left.unionByName(right, allowMissingColumns=True)
 
 
+def _carried(line: DataFrame, by: Sequence[str], order: Sequence[Column], forward: bool, split_seconds: int) -> DataFrame:
+    """Probes with the last fact, by chunks of time: one fact is kept of each chunk, what it hands on is found
+    among those few, and rows are only sorted within their chunk."""
+    line = line.withColumn("_chunk", F.floor(F.col("_t") / (split_seconds * MICROS)))
+    pick = F.min_by if forward else F.max_by
+    left = line.filter(F.col("_side") == _FACT).groupBy(*by, "_chunk").agg(pick("_fact", F.struct("_t", "_rank")).alias("_own"))
+    chunks = line.select(*by, "_chunk").distinct().join(left, [*by, "_chunk"], "left")
+    along = Window.partitionBy(*by).orderBy(F.col("_chunk").desc() if forward else F.col("_chunk")).rowsBetween(Window.unboundedPreceding, -1)
+    handed = chunks.select(*by, "_chunk", F.last("_own", ignorenulls=True).over(along).alias("_handed"))
+    w = Window.partitionBy(*by, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    own = line.withColumn("_last", F.last("_fact", ignorenulls=True).over(w)).filter(F.col("_side") == _PROBE)
+    return own.join(handed, [*by, "_chunk"], "left").withColumn("_last", F.coalesce("_last", "_handed")).drop("_handed", "_chunk")
+
+
 def _out(line: DataFrame, probes: DataFrame, prefix: str, found: Column, payload: Sequence[str], keep: Column) -> DataFrame:
     line = line.withColumn("_found", F.when(keep, found))
     return line.select(*[F.col(f"_probe.{c}").alias(c) for c in probes.columns], *[F.col(f"_found.{c}").alias(prefix + c) for c in payload])
@@ -30,7 +44,7 @@ def _out(line: DataFrame, probes: DataFrame, prefix: str, found: Column, payload
 
 def asof_join(
     probes: DataFrame, facts: DataFrame, by: Sequence[str], probe_time: str, fact_time: str, payload: Sequence[str], tie: str | None = None,
-    lookback: int = 0, tolerance: int | None = None, forward: bool = False, strict: bool = False, prefix: str = "asof_",
+    lookback: int = 0, tolerance: int | None = None, forward: bool = False, strict: bool = False, prefix: str = "asof_", split_seconds: int | None = None,
 ) -> DataFrame:
     """Each probe with the payload of one fact of its key, or nulls.
 
@@ -39,14 +53,21 @@ def asof_join(
     time. A fact further off than tolerance seconds gives nulls. Facts of one time are ordered
     by `tie`; backward takes the largest, forward the smallest. Empty keys and
     probes without facts keep their row.
+
+    split_seconds is for keys that hold a large part of all rows: the time line of a key is
+    cut into chunks of that length, which are sorted apart, and each chunk starts with what the
+    chunks before it left. The result is the same.
     """
     shift = F.lit(lookback * MICROS)
     probe_at, fact_at = micros(probe_time) + (shift if forward else -shift), micros(fact_time)
     line = _timeline(probes, facts.filter(F.col(fact_time).isNotNull()), by, probe_at, fact_at, F.col(tie) if tie else F.lit(0), [*payload, fact_time] if fact_time not in payload else list(payload))
     first_side = F.col("_side") if not strict else -F.col("_side")
     order = [F.col("_t"), first_side, F.col("_rank")] if not forward else [F.col("_t").desc(), first_side, F.col("_rank").desc()]
-    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    line = line.withColumn("_last", F.last("_fact", ignorenulls=True).over(w)).filter(F.col("_side") == _PROBE)
+    if split_seconds is None:
+        w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        line = line.withColumn("_last", F.last("_fact", ignorenulls=True).over(w)).filter(F.col("_side") == _PROBE)
+    else:
+        line = _carried(line, by, order, forward, split_seconds)
     apart = F.abs(F.col("_t") - micros(F.col(f"_last.{fact_time}")))
     return _out(line, probes, prefix, F.col("_last"), payload, apart <= tolerance * MICROS if tolerance is not None else F.lit(True))
 

@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -45,20 +43,33 @@ def next_state(state: Column, measures: dict[str, Column], rules: tuple[Lifecycl
     return out.otherwise(state)
 
 
-def replay_lifecycle(observations: DataFrame, by: list[str], order: list[str], measures: dict[str, str], start: str = "NEW") -> DataFrame:
+def replay_lifecycle(observations: DataFrame, by: list[str], order: list[str], measures: dict[str, str], start: str = "NEW", chunk: Column | None = None) -> DataFrame:
     """State of each key after its whole history, and how often it changed.
 
-    The fold runs inside Spark over the sorted history of one key; a key's history
-    must fit in a row, as in a per-key scheduler. Rows of the result: one for each key."""
+    Observations of a key are folded by chunks (of time, so that chunks follow each other; by
+    default one for each day of the first order column). A chunk doesn't know the state it starts in, so it tells, for every
+    state, where that leads and by how many changes; a key's chunks are then chained. No row
+    ever holds more than a chunk's observations or a key's chunks."""
     names = list(measures)
-    packed = observations.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(*order, *[F.col(c).cast("double").alias(n) for n, c in measures.items()]))).alias("_h"))
-    zero = F.struct(F.lit(start).alias("state"), F.lit(0).cast("long").alias("changes"))
+    states = sorted({start, *(r.source for r in LIFECYCLE), *(r.target for r in LIFECYCLE)})
+    cut = chunk if chunk is not None else F.date_trunc("day", order[0])
+    packed = observations.groupBy(*by, cut.alias("_chunk")).agg(F.array_sort(F.collect_list(F.struct(*order, *[F.col(c).cast("double").alias(n) for n, c in measures.items()]))).alias("_h"))
 
-    def step(acc: Column, x: Column) -> Column:
-        new = next_state(acc["state"], {n: x[n] for n in names})
-        return F.struct(new.alias("state"), (acc["changes"] + (new != acc["state"]).cast("long")).alias("changes"))
+    def fold(first: str) -> Column:
+        def step(acc: Column, x: Column) -> Column:
+            new = next_state(acc["state"], {n: x[n] for n in names})
+            return F.struct(new.alias("state"), (acc["changes"] + (new != acc["state"]).cast("long")).alias("changes"))
 
-    return packed.select(*by, F.aggregate("_h", zero, step).alias("_s")).select(*by, "_s.*")
+        return F.aggregate("_h", F.struct(F.lit(first).alias("state"), F.lit(0).cast("long").alias("changes")), step)
+
+    led = packed.select(*by, "_chunk", F.create_map(*[c for s in states for c in (F.lit(s), fold(s))]).alias("_to"))
+    chained = led.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("_chunk", F.map_entries("_to").alias("_to")))).alias("_c"))
+
+    def chain(acc: Column, x: Column) -> Column:
+        to = F.map_from_entries(x["_to"])[acc["state"]]
+        return F.struct(to["state"].alias("state"), (acc["changes"] + to["changes"]).alias("changes"))
+
+    return chained.select(*by, F.aggregate("_c", F.struct(F.lit(start).alias("state"), F.lit(0).cast("long").alias("changes")), chain).alias("_s")).select(*by, "_s.*")
 
 
 # Coverage classes by age in seconds since admission (class, from age on, interval in seconds).
@@ -87,38 +98,16 @@ class TierPolicy:
     ttl: int
 
 
-def tier_fold(policy: TierPolicy) -> Callable[[tuple, pd.DataFrame], pd.DataFrame]:
-    """The state machine over one key's rows (key, t in seconds, id, value): spans with start, end and renewals."""
-
-    def spans(times: list[float], values: list[float]) -> Iterator[tuple[float, float, int]]:
-        start = expires = None
-        renewals = 0
-        for t, v in zip(times, values, strict=True):
-            if start is not None and t >= expires:
-                yield start, expires, renewals
-                start = None
-            if v is not None and v == v and v >= policy.least_value:
-                if start is None:
-                    start, renewals = t, 0
-                else:
-                    renewals += 1
-                expires = t + policy.ttl
-        if start is not None:
-            yield start, expires, renewals
-
-    def fold(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["t", "id"])
-        out = list(spans(rows["t"].tolist(), rows["value"].tolist()))
-        return pd.DataFrame({"key": [key[0]] * len(out), "started": [s for s, _, _ in out], "ended": [e for _, e, _ in out], "renewals": [n for _, _, n in out]})
-
-    return fold
-
-
-def simulate_tiers(observations: DataFrame, key: str, t: Column, identity: str, value: str, policy: TierPolicy) -> DataFrame:
-    """Spans of every key under the policy; the state is carried within a key, keys are spread over the cluster."""
-    rows = observations.select(F.col(key).alias("key"), t.cast("double").alias("t"), F.col(identity).alias("id"), F.col(value).cast("double").alias("value"))
-    kind = rows.schema["key"].dataType.simpleString()
-    return rows.groupBy("key").applyInPandas(tier_fold(policy), f"key {kind}, started double, ended double, renewals long")
+def simulate_tiers(observations: DataFrame, key: str, t: Column, value: str, policy: TierPolicy) -> DataFrame:
+    """Spans of every key under the policy: key, started, ended and renewals.
+
+    Only eligible observations move the state: one within `ttl` of the last renews the span, a later one begins
+    a new one. So the machine is a matter of gaps between eligible observations."""
+    seen = observations.select(F.col(key).alias("key"), t.cast("double").alias("t"), F.col(value).cast("double").alias("value")).filter(F.col("value") >= policy.least_value)
+    along = Window.partitionBy("key").orderBy("t")
+    new = F.coalesce((F.col("t") >= F.lag("t").over(along) + policy.ttl).cast("int"), F.lit(1))
+    spans = seen.withColumn("_new", new).withColumn("_span", F.sum("_new").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    return spans.groupBy("key", "_span").agg(F.min("t").alias("started"), (F.max("t") + policy.ttl).alias("ended"), (F.count(F.lit(1)) - 1).alias("renewals")).drop("_span")
 
 
 def plan_capacity(counts: dict[str, int], intervals: dict[str, int], weights: dict[str, float], per_minute: float, floor_share: float = 0.05) -> dict:

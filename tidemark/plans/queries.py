@@ -526,7 +526,7 @@ i AS (SELECT *, sum(n) OVER (PARTITION BY user_id ORDER BY t ROWS UNBOUNDED PREC
 SELECT user_id AS key, min(t)::DOUBLE AS started, (max(t) + 86400)::DOUBLE AS ended, count(*) - 1 AS renewals FROM i GROUP BY user_id, k
 """)
 def q41_tier_simulation(spark, sf_dir):
-    return policies.simulate_tiers(Tables(spark, sf_dir).events, "user_id", micros("ts") / MICROS, "event_id", "value", policies.TierPolicy(100, 86400))
+    return policies.simulate_tiers(Tables(spark, sf_dir).events, "user_id", micros("ts") / MICROS, "value", policies.TierPolicy(100, 86400))
 
 
 @query("""
