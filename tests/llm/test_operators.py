@@ -196,6 +196,7 @@ def test_plain_spans(text):
         ("card four one one one one one one one one one one one one one one one end", "card", "four one one one one one one one one one one one one one one one"),
         ("ip one nine two dot one six eight dot one dot one ok", "ip", "one nine two dot one six eight dot one dot one"),
         ("call plus four nine one seven six one two three four five six eight now", "phone", "plus four nine one seven six one two three four five six eight"), ("nr ٤١١١ 1111 1111 1111", "card", "٤١١١ 1111 1111 1111"),
+        ("pay 4lll-1111-1111-1111 now", "card", "4lll-1111-1111-1111"), ("at l92.168.1O.21 there", "ip", "l92.168.1O.21"),
     ],
 )
 def test_disguises(text, kind, found):

@@ -75,6 +75,22 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
 
+SQL["op5_minhash"] = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM d),
+c AS (SELECT s, min(doc_id) AS rep, len(s) AS n FROM s WHERE len(s) > 0 GROUP BY s),
+i AS (SELECT rep, n, unnest(s) AS x FROM c),
+p AS (SELECT a.rep AS a, b.rep AS b FROM i a JOIN i b ON a.x = b.x AND a.rep < b.rep AND 100 * least(a.n, b.n) >= 75 * greatest(a.n, b.n) GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+e AS (SELECT a, b FROM p UNION SELECT b, a FROM p),
+r AS (SELECT rep AS node, rep AS label FROM c UNION SELECT e.b, r.label FROM r JOIN e ON e.a = r.node WHERE r.label < e.b),
+k AS (SELECT node, min(label) AS label FROM r GROUP BY 1)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(k.label, s.doc_id) AS component_id, coalesce(k.label, s.doc_id) = s.doc_id AS kept
+FROM s LEFT JOIN c ON c.s = s.s LEFT JOIN k ON k.node = c.rep
+"""
+
+
 @query
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing_plan(documents(spark, sf_dir).select("doc_id", "source", "text"))
@@ -154,3 +170,26 @@ g AS (SELECT doc_id, count(*) AS n_dropped, string_agg(number::VARCHAR, ',' ORDE
 SELECT doc_id, len(ls)::BIGINT AS n_lines, coalesce(n_dropped, 0)::BIGINT AS n_dropped, coalesce(dropped, '') AS dropped
 FROM d LEFT JOIN g USING (doc_id)
 """
+
+
+SQL["op8_quality_rules"] = """
+WITH d AS (
+  SELECT doc_id, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+g AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, w FROM d WHERE len(w) >= 3),
+h AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS c FROM g),
+m AS (SELECT doc_id, count(DISTINCT k) AS n_repeat_words FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS k FROM h WHERE c > 1) GROUP BY 1),
+l AS (
+  SELECT doc_id, source, raw, array_to_string(regexp_extract_all(translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+'), ' ') AS line,
+    len(regexp_extract_all(raw, '[^\\x20\\x09-\\x0D]+')) AS n FROM (SELECT doc_id, source, unnest(ls) AS raw FROM d)),
+u AS (SELECT doc_id, count(*) - count(DISTINCT raw) AS n_dup_lines FROM l WHERE n > 0 GROUP BY 1),
+f AS (
+  SELECT coalesce('=' || source, '') AS host, line FROM l JOIN (SELECT coalesce('=' || source, '') AS k, count(*) AS docs FROM d GROUP BY 1) ON k = coalesce('=' || source, '') WHERE n > 0
+  GROUP BY 1, 2, docs HAVING count(DISTINCT doc_id) >= 20 AND count(DISTINCT doc_id) > 0.02 * docs),
+x AS (SELECT doc_id, sum(n) AS removed FROM l JOIN f ON f.host = coalesce('=' || source, '') AND f.line = l.line WHERE n > 0 GROUP BY 1),
+a AS (
+  SELECT d.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
+    coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, coalesce(removed, 0)::BIGINT AS removed_words
+  FROM d LEFT JOIN m USING (doc_id) LEFT JOIN u USING (doc_id) LEFT JOIN x USING (doc_id))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_words - removed_words >= 0.4 * n_words AS kept FROM a
+"""

@@ -1,8 +1,8 @@
 """Personal data in whole texts, disguised or not, with offsets into the source.
 
 The plain patterns run on the text as it is. Then two transducers rewrite it:
-look-alike characters become the ASCII ones they imitate, one for one; and
-at/dot disguises, spelled digits, "plus" and invisible characters become the
+look-alike characters become the ASCII ones they imitate, and letters that stand for digits
+within a run of digits become these, one for one; and at/dot disguises, spelled digits, "plus" and invisible characters become the
 character they stand for, with a list of where each rewritten piece came from.
 The same patterns run on the result, and what they find is mapped back to the
 characters of the source that it was made of.
@@ -102,6 +102,16 @@ def plain_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+_MIXED = re.compile(r"(?<![A-Za-z0-9])[0-9OolI](?:[ .-]?[0-9OolI])+(?![A-Za-z0-9])")
+_AS_DIGITS = str.maketrans("OolI", "0011")
+
+
+def _letters_as_digits(m: re.Match[str]) -> str:
+    """A run of digits in which O or l stand for some of them; runs of few digits are words."""
+    run = m.group()
+    return run.translate(_AS_DIGITS) if len(_digits(run)) >= 6 else run
+
+
 def _may_be_disguised(text: str) -> bool:
     """Whether any token may be in the text; cheap tests for its letters come before patterns."""
     low = text.lower()
@@ -119,6 +129,8 @@ def rewrite(text: str) -> tuple[str, list[int], list[tuple[int, int]]] | None:
     piece's start in the source with 1 if it was copied (so that offsets run along), or
     0 if it stands for a whole token; None if nothing was undone."""
     plain = text.translate(_FORMS) if not text.isascii() and _FOREIGN.search(text) else text
+    if _DIGIT.search(plain):
+        plain = _MIXED.sub(_letters_as_digits, plain)
     if plain == text and not _may_be_disguised(text):
         return None
     parts, begins, sources, at, size = [], [], [], 0, 0
