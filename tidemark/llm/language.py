@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import durable, small
-from .tokens import _LOWER, blocks
+from .tokens import blocks, _LOWER, portions
 
 DIMENSIONS = 4096
 #: Labelled rows of a language that a fit takes, as an expected number.
@@ -149,7 +149,7 @@ def fit_language_model(x: np.ndarray, languages: list[str]) -> LanguageModel:
 
 
 def _featurise(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in portions(batches):
         rows = [x.astype("<f2").tobytes() for x in features(batch.column("text"))]
         yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(rows, pa.binary())], ["lang", "x"])
 
@@ -185,7 +185,7 @@ def identify_language(docs: DataFrame, model: LanguageModel, text: str = "text")
     where = docs.columns.index(text)
 
     def predict(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             vectors, names, scores = features(batch.column(where)), [], [np.zeros(0)]
             while part := list(islice(vectors, 256)):
                 found, sure = model.predict(np.stack(part))

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import durable, small
-from .tokens import few_words, blocks, mix, span_hashes, windows, word_bounds
+from .tokens import blocks, few_words, mix, portions, span_hashes, windows, word_bounds
 
 SHINGLE = 5
 #: Links need 100 * intersection >= PERCENT * union.
@@ -110,7 +110,7 @@ def _key(shingles: np.ndarray) -> bytes:
 
 def _sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     row = TaskContext.get().partitionId() << 33
-    for batch in batches:
+    for batch in portions(batches):
         sizes, keys, bands = [], [], []
         for s in shingle_sets(batch.column("text")):
             sizes.append(len(s))
@@ -122,7 +122,7 @@ def _sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in portions(batches):
         sets = list(shingle_sets(batch.column("text")))
         keys, odd = pa.array([_key(s) for s in sets], pa.binary()), pa.array([odd_sketch(s) for s in sets], pa.list_(pa.int64()))
         yield pa.RecordBatch.from_arrays([keys, pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())), odd], ["set_key", "shingles", "odd"])

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import durable, running_start, small
 from .tokenize import Encoder
+from .tokens import portions
 
 SEQUENCE = 1024
 #: Id that ends a document.
@@ -89,7 +90,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, text: str = "text", key: str =
             rows.clear()
             return out
 
-        for batch in batches:
+        for batch in portions(batches):
             keys, texts, at = batch.column(0).to_pylist(), batch.column(1), 0
             sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
             while at < len(keys):

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .tokens import portions
+
 KINDS = ("email", "ip", "card", "phone")
 SPANS = "array<struct<kind: string, start: long, end: long, disguised: boolean>>"
 
@@ -192,7 +194,7 @@ def detect_pii(docs: DataFrame, text: str = "text") -> DataFrame:
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("disguised", pa.bool_())]))
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             found = [[dict(zip(("kind", "start", "end", "disguised"), s, strict=True)) for s in find_spans(t.as_py() or "")] for t in batch.column(where)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], [*batch.schema.names, "pii"])
 

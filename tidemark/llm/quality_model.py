@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .language import bounded_sample
-from .tokens import blocks, mix, span_hashes, word_bounds
+from .tokens import blocks, mix, portions, span_hashes, word_bounds
 
 DIMENSIONS = 1 << 18
 #: A feature gets a weight only if its chi-square against the grades is at least this; with
@@ -125,7 +125,7 @@ def fit_ordinal(rows: list[tuple[np.ndarray, np.ndarray]], grades: list[int], le
 
 
 def _featurise(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in portions(batches):
         found = list(text_features(batch.column("text")))
         yield pa.RecordBatch.from_arrays(
             [batch.column("grade"), pa.array([p.tobytes() for p, _ in found], pa.binary()), pa.array([v.astype("<f4").tobytes() for _, v in found], pa.binary())], ["grade", "places", "values"]
@@ -156,7 +156,7 @@ def grade_quality(docs: DataFrame, model: OrdinalModel, text: str = "text", sele
     where = docs.columns.index(text)
 
     def predict(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             chances = np.array([model.at_least(p, v) for p, v in text_features(batch.column(where))]).reshape(batch.num_rows, len(model.cuts))
             tail = chances[:, select - 1]
             yield pa.RecordBatch.from_arrays(

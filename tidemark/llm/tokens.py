@@ -6,7 +6,9 @@ inside a multi-byte character, so bytes and code points give the same words.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +42,23 @@ def _power(kind: str, n: int) -> np.ndarray:
     return _powers[kind][:n]
 
 
+def portions(batches: Iterable[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in portions of so many rows, so that what is made of them stays small.
+
+    When the task ends, freed memory goes back to the system: the Python process stays for other
+    tasks, and its executor's memory is shared."""
+    try:
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                yield batch.slice(at, rows)
+    finally:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+
 def blocks(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets) of runs of rows of about BLOCK bytes; a null is empty."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
