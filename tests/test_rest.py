@@ -132,3 +132,33 @@ def test_stream_state_equals_batch_replay(spark, tmp_path):
 
     events.keyed_state(stream, "k", "at", "id", "v", step, "NEW").writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start().awaitTermination()
     assert got == {r.k: (r.state, r.changes) for r in batch.collect()}
+
+
+def test_tier_transitions(spark):
+    rows = [
+        ("a", 1, 0, 0, "TIER_1", True, 100), ("a", 2, 10, 10, "TIER_2", True, 100), ("a", 3, 20, 5, "TIER_0", False, 0), ("a", 4, 30, 10, "TIER_1", True, 100), ("a", 5, 50, 50, "TIER_0", False, 0),
+        ("a", 6, 200, 200, "TIER_0", False, 0), ("b", 7, 5, 5, "TIER_0", False, 0), ("c", 8, 0, 0, "TIER_1", True, 10), ("c", 9, 20, 20, "TIER_1", True, 10),
+    ]
+    got = policies.tier_transitions(spark.createDataFrame(rows, "token_id string, id long, t long, watermark long, tier string, eligible boolean, ttl long")).orderBy("id").collect()
+    assert [(r.id, r.previous, r.tier, r.covered_until) for r in got] == [(1, "TIER_0", "TIER_1", 100.0), (2, "TIER_1", "TIER_2", 110.0), (6, "TIER_2", "TIER_0", None), (8, "TIER_0", "TIER_1", 10.0), (9, "TIER_1", "TIER_1", 30.0)]
+
+
+def test_copies_and_retention(spark, tmp_path):
+    root, other = f"file://{tmp_path}/a", f"file://{tmp_path}/b"
+    archive.publish(spark, root, [archive.export_family(facts(spark), root, "observations", "at", ["id"], 4), archive.export_family(facts(spark).limit(0), root, "boosts", "at", ["id"])])
+    assert archive.copy_archive(spark, root, other) == [] and archive.read_manifest(spark, root) == archive.read_manifest(spark, other)
+    size = archive.stored_bytes(spark.read.parquet(f"{other}/family=observations")).first()
+    assert size.files >= 3 and size.bytes > 0
+    states = spark.createDataFrame([("x", True, True), ("y", True, None)], "archive string, verified boolean, copied boolean")
+    assert [(r.archive, r.eligible, r.failed) for r in archive.may_be_deleted(states, ["verified", "copied"]).collect()] == [("x", True, []), ("y", False, ["copied"])]
+
+
+def test_verified_append_and_policies(spark):
+    stored = spark.createDataFrame([(1, "a"), (2, None)], "id long, v string")
+    batch = lambda *rows: tables.verified_append(stored, spark.createDataFrame(list(rows), "id long, v string"), ["id"])
+    assert sorted(batch((1, "a"), (2, None), (3, "c"), (3, "c")).collect()) == [(3, "c")]
+    for bad in ((1, "b"), (2, "x")):
+        with pytest.raises(Exception, match="other content"):
+            batch(bad).collect()
+    held = tables.policy_dimension(spark.createDataFrame([], "policy_sha256 string, body string"), spark.createDataFrame([("p",), ("p",), ("q",)], "body string"))
+    assert held.count() == 2 and tables.policy_dimension(held, spark.createDataFrame([("q",), ("r",)], "body string")).count() == 3

@@ -110,6 +110,36 @@ def simulate_tiers(observations: DataFrame, key: str, t: Column, value: str, pol
     return spans.groupBy("key", "_span").agg(F.min("t").alias("started"), (F.max("t") + policy.ttl).alias("ended"), (F.count(F.lit(1)) - 1).alias("renewals")).drop("_span")
 
 
+_RANK = {"TIER_0": 0, "TIER_1": 1, "TIER_2": 2, "TIER_3": 3}
+
+
+def tier_transitions(decisions: DataFrame) -> DataFrame:
+    """The changes that a stream of decisions makes to each token's tier.
+
+    decisions: token_id, id, t (seconds of the evaluation), watermark, tier, eligible, ttl. Rules: evidence older than
+    what was used already is ignored; evidence of the same time never demotes; a token that is not eligible
+    any more keeps its tier until its coverage ends. A change sets the coverage to t + ttl, or to nothing in
+    tier 0. Keys are spread over the cluster; the state is carried within one."""
+    import pandas as pd
+
+    def fold(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        tier, seen, until, out = "TIER_0", None, None, []
+        for r in rows.sort_values(["t", "id"]).itertuples():
+            if seen is not None and (r.watermark < seen or (r.watermark == seen and _RANK[r.tier] < _RANK[tier])):
+                continue
+            target = tier if not r.eligible and until is not None and r.t < until else r.tier
+            renewed = target == tier and tier != "TIER_0" and r.eligible and until is not None and until <= r.t
+            if target != tier or renewed:
+                until = None if target == "TIER_0" else r.t + r.ttl
+                out.append((key[0], r.id, tier, target, r.t, until))
+                tier, seen = target, r.watermark
+        return pd.DataFrame(out, columns=["token_id", "id", "previous", "tier", "t", "covered_until"]).astype({"t": "float64", "covered_until": "float64"})
+
+    rows = decisions.select("token_id", "id", F.col("t").cast("double").alias("t"), F.col("watermark").cast("double").alias("watermark"), "tier", "eligible", F.col("ttl").cast("double").alias("ttl"))
+    kinds = dict(rows.dtypes)
+    return rows.groupBy("token_id").applyInPandas(fold, f"token_id {kinds['token_id']}, id {kinds['id']}, previous string, tier string, t double, covered_until double")
+
+
 def plan_capacity(counts: dict[str, int], intervals: dict[str, int], weights: dict[str, float], per_minute: float, floor_share: float = 0.05) -> dict:
     """How often each class can be polled within a budget of observations a minute.
 

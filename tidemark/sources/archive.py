@@ -102,3 +102,30 @@ def verify(spark: SparkSession, root: str) -> list[str]:
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
     return child.filter(F.col(child_key).isNotNull()).join(parent.select(F.col(parent_key).alias(child_key)), child_key, "left_anti")
+
+
+def copy_archive(spark: SparkSession, source: str, target: str) -> list[str]:
+    """Copy an archive to another store that Spark reaches, then compare it there; the manifest comes last, so a
+    reader never finds half an archive. Families already copied are left as they are. Returns the faults, none if sound."""
+    manifest = read_manifest(spark, source)
+    for e in manifest["entries"]:
+        copied, fs = _file(spark, f"{target}/family={e['family']}/_SUCCESS")
+        if fs.exists(copied):
+            continue
+        df = spark.read.parquet(f"{source}/family={e['family']}")
+        writer = df.write.mode("overwrite").option("compression", "zstd")
+        (writer.partitionBy("day") if "day" in df.columns and "day" not in [f["name"] for f in e["schema"]["fields"]] else writer).parquet(f"{target}/family={e['family']}")
+    publish(spark, target, manifest["entries"])
+    return verify(spark, target)
+
+
+def stored_bytes(df: DataFrame) -> DataFrame:
+    """Files and bytes behind a table read from files."""
+    files = df.select("_metadata.file_path", "_metadata.file_size").groupBy("file_path").agg(F.max("file_size").alias("size"))
+    return files.agg(F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes"))
+
+
+def may_be_deleted(states: DataFrame, checks: Sequence[str]) -> DataFrame:
+    """Archives with eligible (all checks hold; an unknown one does not) and the names of the checks that do not."""
+    failed = F.filter(F.array(*[F.when(~F.coalesce(F.col(c), F.lit(False)), F.lit(c)) for c in checks]), lambda x: x.isNotNull())
+    return states.withColumn("failed", failed).withColumn("eligible", F.size("failed") == 0)

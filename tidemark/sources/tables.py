@@ -52,3 +52,20 @@ def get_or_create(stored: DataFrame, seen: DataFrame, key: Sequence[str], at: st
     """A dimension with a row for each key: the stored one, else the payload seen first."""
     first = seen.groupBy(*key).agg(F.min_by(F.struct(*payload), F.struct(at, *payload)).alias("_p")).select(*key, "_p.*")
     return stored.select(*key, *payload).unionByName(first.join(stored.select(*key), list(key), "left_anti"))
+
+
+def verified_append(stored: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Rows of a batch whose key is new. Evaluating it raises if a key comes with content other than what is
+    stored or what another row of the batch holds."""
+    rest = [c for c in stored.columns if c not in key]
+    digest = lambda df: df.select(*key, *rest, F.sha2(F.to_json(F.struct(*rest), {"ignoreNullFields": "false"}), 256).alias("_content"))
+    both = digest(stored).withColumn("_held", F.lit(1)).unionByName(digest(batch).withColumn("_held", F.lit(0)))
+    keyed = both.groupBy(*key).agg(F.max("_held").alias("_held"), F.min("_content").alias("_low"), F.max("_content").alias("_high"), F.first(F.struct(*rest)).alias("_row"))
+    same = F.when(F.col("_low") == F.col("_high"), F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("other content under a known key: "), F.to_json(F.struct(*key)))).cast("boolean"))
+    return keyed.filter(same).filter("_held = 0").select(*key, "_row.*")
+
+
+def policy_dimension(stored: DataFrame, documents: DataFrame, body: str = "body") -> DataFrame:
+    """Policies addressed by the SHA-256 of their text: stored ones and those that are new, each once."""
+    new = documents.select(F.sha2(F.col(body).cast("binary"), 256).alias("policy_sha256"), F.col(body).alias("body")).dropDuplicates(["policy_sha256"])
+    return stored.select("policy_sha256", "body").unionByName(new.join(stored.select("policy_sha256"), "policy_sha256", "left_anti"))
