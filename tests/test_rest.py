@@ -162,3 +162,17 @@ def test_verified_append_and_policies(spark):
             batch(bad).collect()
     held = tables.policy_dimension(spark.createDataFrame([], "policy_sha256 string, body string"), spark.createDataFrame([("p",), ("p",), ("q",)], "body string"))
     assert held.count() == 2 and tables.policy_dimension(held, spark.createDataFrame([("q",), ("r",)], "body string")).count() == 3
+
+
+def test_spans_expire_as_in_the_batch(spark, tmp_path):
+    rows = [("a", 0, 5.0), ("a", 50, 5.0), ("a", 400, 5.0), ("b", 10, 1.0), ("b", 20, 9.0), ("z", 2000, 0.0), ("a", 2100, 5.0)]
+    df = spark.createDataFrame([(k, T0 + timedelta(seconds=t), v) for k, t, v in rows], "k string, at timestamp_ntz, v double")
+    for low, high in ((0, 100), (100, 1000), (1000, 2050), (2050, 9999)):
+        part = df.filter((F.col("at") >= F.lit(T0 + timedelta(seconds=low))) & (F.col("at") < F.lit(T0 + timedelta(seconds=high))))
+        part.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    got = []
+    events.expiring_spans(stream, "k", "at", "v", 2.0, 100).writeStream.outputMode("append").foreachBatch(lambda b, n: got.extend(b.collect())).option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start().awaitTermination()
+    batch = policies.simulate_tiers(df, "k", scalar.micros("at") / scalar.MICROS, "v", policies.TierPolicy(2.0, 100))
+    closed = batch.filter(F.col("ended") <= scalar.micros(F.lit(T0 + timedelta(seconds=2100))) / scalar.MICROS)
+    assert sorted((r.key, r.started, r.ended, r.renewals) for r in got) == sorted((r.key, r.started, r.ended, r.renewals) for r in closed.collect()) and len(got) == 3
