@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import durable
+from tidemark.llm.common import durable, scratch
 from tidemark.llm.dedup_exact import drop_repeats
 from tidemark.llm.entry import held_out, tokenizer_file
 from tidemark.llm.language import UNDETERMINED, identify_language, train_language_model
@@ -56,5 +56,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = durable(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with scratch(spark) as kept:
+            docs = durable(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+            kept.append(docs)
     return docs
