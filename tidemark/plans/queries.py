@@ -530,13 +530,16 @@ def q41_tier_simulation(spark, sf_dir):
 
 
 @query("""
-WITH RECURSIVE e AS (SELECT DISTINCT l_orderkey AS o, l_suppkey AS s FROM lineitem WHERE l_quantity >= 50 AND l_discount >= 0.09 AND l_returnflag = 'R'),
-b AS (SELECT 'o' || o AS x, 's' || s AS y FROM e UNION SELECT 's' || s, 'o' || o FROM e),
-r AS (SELECT x AS node, x AS label FROM b UNION SELECT b.y, r.label FROM r JOIN b ON b.x = r.node)
-SELECT node, min(label) AS component FROM r GROUP BY 1
+WITH RECURSIVE e AS (SELECT DISTINCT 'o' || l_orderkey AS o, 's' || l_suppkey AS s FROM lineitem),
+b AS (SELECT o AS x, s AS y FROM e UNION ALL SELECT s, o FROM e),
+r(node, component) USING KEY (node) AS (
+  SELECT DISTINCT x, x FROM b
+  UNION (SELECT u.node, min(v.component) FROM recurring.r AS u JOIN b ON b.x = u.node JOIN r AS v ON v.node = b.y WHERE v.component < u.component GROUP BY u.node))
+SELECT node, component FROM r
 """)
 def q42_wallet_clusters(spark, sf_dir):
-    e = Tables(spark, sf_dir).lineitem.filter("l_quantity >= 50 AND l_discount >= 0.09 AND l_returnflag = 'R'")
+    """Clusters of orders and suppliers that deliveries link."""
+    e = Tables(spark, sf_dir).lineitem
     edges = e.select(F.concat(F.lit("o"), F.col("l_orderkey")).alias("a"), F.concat(F.lit("s"), F.col("l_suppkey")).alias("b"))
     return graph.connected_components(edges, "a", "b")
 
@@ -684,13 +687,15 @@ def q56_control_rotation(spark, sf_dir):
 
 
 @query("""
-WITH s AS (SELECT o_custkey, min(o_orderdate) AS a, max(o_orderdate) AS b FROM orders WHERE o_orderdate >= TIMESTAMP '2001-06-01' GROUP BY 1)
-SELECT o_custkey, unnest(generate_series(date_trunc('day', a), date_trunc('day', b), INTERVAL 1 DAY)) AS day FROM s
+WITH s AS (SELECT user_id, min(ts) AS a, max(ts) AS b FROM events GROUP BY 1), d AS (SELECT *, unnest(generate_series(date_trunc('day', a), date_trunc('day', b), INTERVAL 1 DAY)) AS day FROM s)
+SELECT user_id, greatest(day, a) AS slice_start, least(day + INTERVAL 1 DAY, b) AS slice_end FROM d WHERE greatest(day, a) < least(day + INTERVAL 1 DAY, b)
 """)
 def q57_daily_slices(spark, sf_dir):
-    s = Tables(spark, sf_dir).orders.filter("o_orderdate >= timestamp_ntz'2001-06-01 00:00:00'").groupBy("o_custkey").agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b"))
+    """Each key's range, cut at midnights."""
+    s = Tables(spark, sf_dir).events.groupBy("user_id").agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
     midnight = lambda c: F.date_trunc("day", c).cast("timestamp_ntz")
-    return s.select("o_custkey", F.explode(F.sequence(midnight("a"), midnight("b"), F.expr("INTERVAL 1 DAY"))).alias("day"))
+    d = s.withColumn("day", F.explode(F.sequence(midnight("a"), midnight("b"), F.expr("INTERVAL 1 DAY"))))
+    return d.select("user_id", F.greatest("day", "a").alias("slice_start"), F.least(F.col("day") + F.expr("INTERVAL 1 DAY"), "b").alias("slice_end")).filter("slice_start < slice_end")
 
 
 @query("""
