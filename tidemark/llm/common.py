@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Rows of a small side up to which a broadcast is asked for; beyond it the join is shuffled.
 BROADCAST_ROWS = 500_000
+#: Rows of whole texts that go to Python at once; their bytes, not their number, fill memory.
+TEXT_ROWS = 500
 
 
 def work_folder(spark: SparkSession) -> str:
@@ -23,6 +25,15 @@ def work_folder(spark: SparkSession) -> str:
     return root
 
 
+def text_batches(df: DataFrame) -> DataFrame:
+    """df, in a session that hands Python at most TEXT_ROWS rows at once. The setting is the session's, as
+    plans are run later; a smaller one is left as it is."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= TEXT_ROWS:
+        conf.set(name, str(TEXT_ROWS))
+    return df
+
+
 #: Folders that durable() has written in this process.
 _written: list[str] = []
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, small
+from .common import durable, small, text_batches
 from .tokens import blocks, _LOWER, portions
 
 DIMENSIONS = 4096
@@ -166,7 +166,7 @@ def train_language_model(docs: DataFrame, learn: Column, text: str = "text", lan
     """Fit on about per_language rows of each language among those that `learn` admits.
     Rows without text, letters or language are not learned from."""
     rows = docs.filter(learn).select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(key).alias("key")).filter("lang is not null and text is not null")
-    got = bounded_sample(rows, "lang", "key", per_language).select("lang", "text").mapInArrow(_featurise, "lang string, x binary").collect()
+    got = bounded_sample(text_batches(rows), "lang", "key", per_language).select("lang", "text").mapInArrow(_featurise, "lang string, x binary").collect()
     got = sorted((r["lang"], bytes(r["x"])) for r in got)
     x = np.stack([np.frombuffer(b, dtype="<f2").astype(np.float32) for _, b in got]) if got else np.zeros((0, DIMENSIONS), dtype=np.float32)
     used = x.any(axis=1) if len(x) else np.zeros(0, dtype=bool)
@@ -196,4 +196,4 @@ def identify_language(docs: DataFrame, model: LanguageModel, text: str = "text")
             names = [k if ok else UNDETERMINED for k, ok in zip(names, known, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(np.where(known, score, 0.0), pa.float64())], [*batch.schema.names, "lang_pred", "score"])
 
-    return docs.mapInArrow(predict, docs.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0)}).schema)
+    return text_batches(docs).mapInArrow(predict, docs.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0)}).schema)

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, small
+from .common import durable, small, text_batches
 from .tokens import blocks, few_words, mix, portions, span_hashes, windows, word_bounds
 
 SHINGLE = 5
@@ -169,7 +169,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     empty result.
     """
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sketches = durable(rows.mapInArrow(_sketch, "doc_id long, row long, n long, set_key binary, bands array<long>"), "sketches")
+    sketches = durable(text_batches(rows).mapInArrow(_sketch, "doc_id long, row long, n long, set_key binary, bands array<long>"), "sketches")
     full = sketches.filter("n > 0 AND doc_id IS NOT NULL")
     classes = durable(
         full.groupBy("set_key").agg(F.min("doc_id").alias("first_id"), F.min("row").alias("node"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes"

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, running_start, small
+from .common import durable, running_start, small, text_batches
 from .tokenize import Encoder
 from .tokens import portions
 
@@ -109,7 +109,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, text: str = "text", key: str =
             yield emit()
 
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    return durable(rows.mapInArrow(cut, "key long, start long, length long, ids binary, doc_tokens long, part long, rank long"), "pieces")
+    return durable(text_batches(rows).mapInArrow(cut, "key long, start long, length long, ids binary, doc_tokens long, part long, rank long"), "pieces")
 
 
 def pack(docs: DataFrame, tokenizer: str, text: str = "text", key: str = "doc_id", capacity: int = SEQUENCE, end: int = END) -> DataFrame:

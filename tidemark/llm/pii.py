@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import text_batches
 from .tokens import portions
 
 KINDS = ("email", "ip", "card", "phone")
@@ -198,7 +199,7 @@ def detect_pii(docs: DataFrame, text: str = "text") -> DataFrame:
             found = [[dict(zip(("kind", "start", "end", "disguised"), s, strict=True)) for s in find_spans(t.as_py() or "")] for t in batch.column(where)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], [*batch.schema.names, "pii"])
 
-    return docs.mapInArrow(scan, docs.withColumn("pii", F.lit(None).cast(SPANS)).schema)
+    return text_batches(docs).mapInArrow(scan, docs.withColumn("pii", F.lit(None).cast(SPANS)).schema)
 
 
 def joined(spans: Column) -> Column:

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import text_batches
 from .language import bounded_sample
 from .tokens import blocks, mix, portions, span_hashes, word_bounds
 
@@ -163,7 +164,7 @@ def grade_quality(docs: DataFrame, model: OrdinalModel, text: str = "text", sele
                 [*batch.columns, pa.array(chances.sum(axis=1)), pa.array(tail), pa.array(tail >= least)], [*batch.schema.names, "expected_grade", "tail_probability", "kept"]
             )
 
-    return docs.mapInArrow(predict, docs.withColumns({"expected_grade": F.lit(0.0), "tail_probability": F.lit(0.0), "kept": F.lit(True)}).schema)
+    return text_batches(docs).mapInArrow(predict, docs.withColumns({"expected_grade": F.lit(0.0), "tail_probability": F.lit(0.0), "kept": F.lit(True)}).schema)
 
 
 def toxicity_aware_grade(quality: str = "quality", toxic: str = "toxic") -> Column:
