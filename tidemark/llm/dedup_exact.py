@@ -171,6 +171,6 @@ def drop_repeats(docs: DataFrame, history: DataFrame | None = None, text: str =
     narrow = docs.select(F.col(locator).alias("doc_id"), F.col(text).alias("text"))
     old = None if history is None else history.select(F.col(locator).alias("doc_id"), F.col(text).alias("text"))
     judged = exact_dedup(narrow, old).select("doc_id", "digest", "kept")
-    dropped = durable(judged.filter("NOT kept").select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("_doc"), F.col("digest").alias("_digest")).distinct(), "dropped-repeats")
+    dropped = durable(judged.filter("NOT kept").select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("_doc"), F.col("digest").alias("_digest")), "dropped-repeats")
     same = (F.coalesce(F.col(locator).cast("long"), F.lit(-(1 << 63))) == F.col("_doc")) & (F.unhex(F.sha2(text_or_empty(text), 256)) == F.col("_digest"))
     return docs.join(small(dropped, dropped.count()), same, "left_anti")
