@@ -50,6 +50,29 @@ def test_state_as_of(spark, families):
     assert late.boost_amount == 10 and late.context_sol_usd_price == 150 and late.admission_at == T0
 
 
+def test_all_families_of_the_state(spark, families):
+    context = families["context"].withColumns({"sol_return_5m": F.lit(0.5), "aggregate_buys_m5": F.lit(30), "aggregate_sells_m5": F.lit(10), "mature_cohort_active_fraction": F.lit(0.25)})
+    deep = families["selective_security"].unionByName(
+        spark.createDataFrame([(f"e{t}", "token-1", "liquidity_event_evidence", at(t), "historically_available", {}) for t in (30, 90, 500)], families["selective_security"].schema)
+    )
+    more = families | {
+        "context": context, "selective_security": deep, "tokens": spark.createDataFrame([("token-1", "mint", "e1", 3, True)], "token_id string, token_address string, epoch_id string, epoch_number long, epoch_data_valid boolean"),
+        "discoveries": spark.createDataFrame([("d", "token-1", at(-5))], "id string, token_id string, received_at timestamp_ntz"),
+        "pair_facts": spark.createDataFrame([("p", "token-1", "pair-1", at(130), at(-60)), ("q", "token-1", "pair-2", at(0), None)], "id string, token_id string, pair_id string, received_at timestamp_ntz, pair_created_at timestamp_ntz"),
+        "candidates": spark.createDataFrame([("k", "token-1", at(200), at(190))], "id string, token_id string, candidate_at timestamp_ntz, input_watermark timestamp_ntz"),
+    }
+    before, early, late = dataset.state_as_of(candidates(spark, -10, 120, 310), more).orderBy("decision_at").collect()
+    assert not before.identity_known and before.availability_watermark is None and before.liquidity_event_evidence_count == 0 and before.token_address == "mint"
+    assert (early.identity_known, early.pair_created_at, early.candidate_id, early.liquidity_event_evidence_count, early.availability_watermark) == (True, None, None, 2, at(120))
+    assert (late.pair_created_at, late.candidate_id, late.liquidity_event_evidence_id, late.wallet_relationship_edges_count, late.availability_watermark) == (at(-60), "k", "e90", 0, at(301))
+    r = dataset.market_features(candidates(spark, 310), more).first()
+    assert (r.sol_return_5m, r.aggregate_tracked_buy_ratio_m5, r.recent_active_conversion_fraction, r.aggregate_tracked_volume_m5_usd, r.pair_created_at_known, r.epoch_number) == (0.5, 0.75, 0.25, None, True, 3)
+    assert sorted(e.id for e in dataset.security_events(candidates(spark, 120), more, "liquidity_event_evidence").collect()) == ["e30", "e90"]
+    dataset.check_epochs(candidates(spark, 120), more)
+    with pytest.raises(ValueError, match="epoch"):
+        dataset.check_epochs(candidates(spark, 120), more | {"tokens": more["tokens"].withColumn("epoch_data_valid", F.lit(False))})
+
+
 def test_features(spark, families):
     r = dataset.market_features(candidates(spark, 120), families).first()
     assert r.return_1m == pytest.approx(1.16 / 1.08 - 1) and r.buy_ratio_m5 > 0.8 and r.realized_volatility_5m < 0.02 and r.path_smoothness_5m is not None

@@ -33,6 +33,17 @@ def test_coverage(spark, age, name, interval):
     assert (r.c, r.i) == (name, interval)
 
 
+@pytest.mark.parametrize(
+    ("state", "age", "state_age", "name", "interval", "left"),
+    [("NEW", 119.0, 119.0, "INITIAL", 15, 1), ("NEW", 604800.0, 0.0, "RETIRED_CONTROL", None, None), ("ACTIVE", 9e6, 0.0, "PROTECTED_ACTIVE", 5, None), ("RESURRECTED", 9e6, 0.0, "PROTECTED_RESURRECTED", 5, None),
+     ("WATCH", 50.0, 50.0, "PROTECTED_WATCH", 15, None), ("FADING", 9e6, 1799.0, "FADING_TAIL", 120, 1), ("FADING", 9e6, 1800.0, "FADING_COOL", 1800, 19800), ("FADING", 9e6, 21600.0, "RETIRED_CONTROL", None, None),
+     ("DORMANT", 9.0, 9.0, "RETIRED_CONTROL", None, None), ("FADING", 9.0, -1.0, None, None, None), ("NEW", -1.0, 0.0, None, None, None), ("FADING", 9.0, None, None, None, None)],
+)
+def test_coverage_by_state(spark, state, age, state_age, name, interval, left):
+    r = spark.createDataFrame([(state, age, state_age)], "s string, a double, b double").withColumn("c", policies.coverage_for(F.col("s"), F.col("a"), F.col("b")))
+    assert tuple(r.select("c", policies.interval_for(F.col("c")), policies.seconds_to_transition(F.col("c"), F.col("a"), F.col("b"))).first()) == (name, interval, left)
+
+
 def test_capacity():
     intervals, weights = {"a": 15, "b": 300}, {"a": 4.0, "b": 1.0}
     assert policies.plan_capacity({"a": 10, "b": 100}, intervals, weights, 100)["mode"] == "NORMAL"

@@ -45,6 +45,25 @@ def test_clusters(spark):
     assert got == back and [(r.cluster, r["size"], r.explanation) for r in got] == [("a", 3, ["COMMON_FUNDER", "DIRECT_TRANSFER"]), ("x", 2, ["LP_LINK"])]
 
 
+def test_security_features(spark):
+    at = "2026-08-16 12:00:00"
+    accounts = spark.createDataFrame(ACCOUNTS, ACCOUNT)
+    holders = security.holder_metrics(accounts, spark.createDataFrame([("t", "1000", True)], "token_id string, supply string, complete boolean"))
+    rows = [("t", f"w{i % 4}", "BUY" if i % 2 else "SELL", 10.0) for i in range(20)]
+    trades = spark.createDataFrame(rows, "token_id string, wallet string, side string, notional_usd double")
+    members = spark.createDataFrame([("t", "w0", "c1"), ("t", "w1", "c1"), ("t", "w2", "c2")], "token_id string, wallet string, cluster string")
+    shares = security.largest_cluster_share(trades, members)
+    one, two = (
+        security.security_features(spark.createDataFrame([("t", at, ids), ("u", at, [])], "token_id string, generated_at string, input_fact_ids array<string>"), holders, security.trader_metrics(trades), [shares]).orderBy("token_id").collect()
+        for ids in (["a", "b"], ["b", "a"])
+    )
+    t, u = one
+    assert one == two and (t.unique_trader_count, t.trades_per_unique_trader, t.wallet_cluster_count, t.largest_cluster_trade_share) == (4, 5, 2, 50)
+    assert t.holder_top10_pct == pytest.approx(85) and t.holder_hhi == pytest.approx(0.3225) and t.common_funder_share is None and t.feature_set == security.FEATURE_SET
+    assert all(v is None for k, v in u.asDict().items() if k not in ("token_id", "feature_set", "feature_version", "generated_at", "input_sha256"))
+    assert len(one[0]) == 21
+
+
 POLICY = {
     "liquidity": 1000, "transactions": 10, "turnover": 0.05, "second_liquidity": 50000, "second_transactions": 50, "second_turnover": 0.1, "security_freshness": 3600, "deep_holder_top10": 60, "deep_trades": 100,
     "deep_traders": 20, "deep_common_funder": 50, "deep_liquidity_removal": 20,

@@ -31,6 +31,12 @@ NOTIONALS = (100, 1000, 5000)
 MARKET = ("price_usd", "price_native", "liquidity_usd", "market_cap_usd", "fully_diluted_valuation_usd", "volume_m5_usd", "volume_h1_usd", "volume_h6_usd", "volume_h24_usd")
 FLOWS = ("m5", "h1", "h6", "h24")
 COUNTS = tuple(f"{side}_{s}" for s in FLOWS for side in ("buys", "sells"))
+# Families of deep security facts. Of snapshots the latest one matters, events are counted too.
+SNAPSHOTS = ("holder_snapshots", "trader_distribution_snapshots", "creator_history_snapshots", "security_feature_snapshots")
+EVENTS = ("liquidity_event_evidence", "wallet_relationship_edges", "wallet_cluster_snapshots", "funding_relationship_evidence")
+# What is known of a market as a whole, and what identifies a token.
+CONTEXT = {"sol_usd_price": "double", "sol_return_5m": "double", "sol_realized_volatility_1h": "double", "admitted_tokens": "long", "mature_cohort_active_fraction": "double", "aggregate_volume_m5_usd": "double", "aggregate_buys_m5": "long", "aggregate_sells_m5": "long"}
+IDENTITY = {"token_address": "string", "epoch_id": "string", "epoch_number": "long"}
 
 
 def doubles(observations: DataFrame) -> DataFrame:
@@ -49,6 +55,25 @@ def selected_pairs(candidates: DataFrame, observations: DataFrame) -> DataFrame:
     return candidates.join(best, KEY, "left")
 
 
+def with_columns(df: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
+    """df with the named columns cast to their kinds; nulls for those that it lacks."""
+    have = set(df.columns)
+    return df.withColumns({c: (F.col(c) if c in have else F.lit(None)).cast(k) for c, k in kinds.items()})
+
+
+def security_events(candidates: DataFrame, families: Mapping[str, DataFrame], family: str) -> DataFrame:
+    """A row for each candidate and each deep security fact of a family that was known at its decision."""
+    facts = families["selective_security"].filter((F.col("acquisition_mode") == "historically_available") & (F.col("family") == family))
+    return candidates.select(*KEY).distinct().join(facts, "token_id").filter(F.col("received_at") <= F.col("decision_at"))
+
+
+def check_epochs(candidates: DataFrame, families: Mapping[str, DataFrame]) -> None:
+    """Raises if a candidate's token is of an epoch whose data are not valid (tokens.epoch_data_valid)."""
+    if "tokens" in families and "epoch_data_valid" in families["tokens"].columns:
+        if not candidates.join(families["tokens"].filter("NOT epoch_data_valid"), "token_id", "left_semi").isEmpty():
+            raise ValueError("a token of an invalid epoch is excluded from datasets")
+
+
 def check_facts(families: Mapping[str, DataFrame]) -> None:
     """Raises if a derived fact looked ahead of its own decision, or context came before its bucket closed."""
     rules = {
@@ -67,7 +92,7 @@ def state_as_of(candidates: DataFrame, families: Mapping[str, DataFrame]) -> Dat
     obs = doubles(families["observations"])
     out = selected_pairs(candidates.select(*KEY).distinct(), obs)
     current = asof_join(out, obs.withColumnRenamed("pair_id", "selected_pair_id"), ["token_id", "selected_pair_id"], "decision_at", "received_at", ["id", "received_at", *MARKET, *COUNTS], tie="id", prefix="obs_")
-    out = current
+    out, at = current, dict(candidates.dtypes)["decision_at"]
 
     def latest(name: str, at: str, payload: Sequence[str], prefix: str, keep: Column | None = None) -> None:
         nonlocal out
@@ -78,6 +103,20 @@ def state_as_of(candidates: DataFrame, families: Mapping[str, DataFrame]) -> Dat
         found = asof_join(candidates.select(*KEY).distinct(), facts, ["token_id"], "decision_at", at, payload, tie="id", prefix=prefix)
         out = out.join(found, KEY)
 
+    if "tokens" in families:
+        out = out.join(with_columns(families["tokens"], IDENTITY).select("token_id", *IDENTITY), "token_id", "left")
+    else:
+        out = out.withColumns({c: F.lit(None).cast(k) for c, k in IDENTITY.items()})
+    if "pair_facts" in families:
+        found = asof_join(
+            current.select(*KEY, "selected_pair_id").filter("selected_pair_id IS NOT NULL"), families["pair_facts"].withColumnRenamed("pair_id", "selected_pair_id"),
+            ["token_id", "selected_pair_id"], "decision_at", "received_at", ["received_at", "pair_created_at"], tie="id", prefix="pair_",
+        )
+        out = out.join(found.drop("selected_pair_id").withColumnRenamed("pair_pair_created_at", "pair_created_at"), KEY, "left")
+    else:
+        out = out.withColumns({c: F.lit(None).cast(at) for c in ("pair_received_at", "pair_created_at")})
+    latest("discoveries", "received_at", ["received_at"], "discovery_")
+    latest("candidates", "candidate_at", ["id", "candidate_at"], "candidate_", F.col("input_watermark") <= F.col("candidate_at"))
     latest("lifecycle", "decided_at", ["new_state", "decided_at"], "lifecycle_", F.col("input_watermark") <= F.col("decided_at"))
     latest("metadata", "received_at", ["received_at", "name"], "metadata_")
     latest("security", "received_at", ["received_at", "status", "token_program", "mint_authority", "freeze_authority"], "security_")
@@ -100,21 +139,31 @@ def state_as_of(candidates: DataFrame, families: Mapping[str, DataFrame]) -> Dat
         out = out.join(found, KEY)
     else:
         out = out.withColumn("coverage_class", F.lit(None).cast("string"))
-    payload = ["received_at", "bucket_start", "bucket_end", "sol_usd_price", "admitted_tokens"]
+    payload = ["received_at", "bucket_start", "bucket_end", *CONTEXT]
     if "context" in families:  # one line for all tokens, of few rows a day: keyed by a constant only if epochs are not told apart
-        key = "epoch_id" if "epoch_id" in families["context"].columns and "epoch_id" in candidates.columns else None
-        probes = candidates.select(*KEY, *([key] if key else [])).distinct().withColumn("_all", F.lit(0))
-        facts = families["context"].withColumn("_all", F.lit(0))
+        source = candidates if "epoch_id" in candidates.columns else out
+        key = "epoch_id" if "epoch_id" in families["context"].columns and ("epoch_id" in candidates.columns or "tokens" in families) else None
+        probes = source.select(*KEY, *([key] if key else [])).distinct().withColumn("_all", F.lit(0))
+        facts = with_columns(families["context"], CONTEXT).withColumn("_all", F.lit(0))
         found = asof_largest(probes, facts, [key or "_all"], "decision_at", ["received_at", "bucket_end"], ["received_at", "bucket_end", "id"], payload, prefix="context_")
         out = out.join(found.drop("_all", "epoch_id"), KEY)
     else:
         out = out.withColumns({f"context_{c}": F.lit(None) for c in payload})
     if "selective_security" in families:
         deep = families["selective_security"].filter("acquisition_mode = 'historically_available'")
-        for kind in ("holder_snapshots", "trader_distribution_snapshots", "creator_history_snapshots", "security_feature_snapshots"):
-            found = asof_join(candidates.select(*KEY).distinct(), deep.filter(F.col("family") == kind), ["token_id"], "decision_at", "received_at", ["id", "values"], tie="id", prefix=f"{kind}_")
-            out = out.join(found, KEY)
-    return out
+        along = Window.partitionBy("token_id", "family").orderBy("received_at", "id")
+        deep = deep.withColumn("count", F.row_number().over(along).cast("long"))
+        asked = candidates.select(*KEY).distinct().withColumn("family", F.explode(F.array(*[F.lit(k) for k in (*SNAPSHOTS, *EVENTS)])))
+        found = asof_join(asked, deep, ["token_id", "family"], "decision_at", "received_at", ["id", "values", "count", "received_at"], tie="id", prefix="d_")
+        of = lambda k, c: F.first(F.when(F.col("family") == k, F.col(f"d_{c}")), ignorenulls=True)
+        wide = [of(k, c).alias(f"{k}_{c}") for k in SNAPSHOTS for c in ("id", "values")]
+        wide += [F.coalesce(of(k, "count"), F.lit(0)).alias(f"{k}_count") for k in EVENTS] + [of(k, "id").alias(f"{k}_id") for k in EVENTS]
+        out = out.join(found.groupBy(*KEY).agg(*wide, F.max("d_received_at").alias("deep_received_at")), KEY)
+    else:
+        out = out.withColumn("deep_received_at", F.lit(None).cast(at))
+    known = ["discovery_received_at", "obs_received_at", "lifecycle_decided_at", "candidate_candidate_at", "tier_decided_at"]
+    seen = F.greatest(*[F.col(c).cast(at) for c in (*known, "pair_received_at", "boost_received_at", "metadata_received_at", "security_received_at", "context_received_at", "deep_received_at")])
+    return out.withColumns({"identity_known": F.coalesce(*[F.col(c).cast(at) for c in known]).isNotNull(), "availability_watermark": seen})
 
 
 def _elapsed(start: Column, end: Column) -> Column:
@@ -151,6 +200,7 @@ def market_features(candidates: DataFrame, families: Mapping[str, DataFrame]) ->
     velocity = F.when(age > 0, change("obs_price_usd", "price_usd_1m") / age)
     prior_velocity = F.when(prior_age > 0, change("price_usd_1m", "price_usd_prior") / prior_age)
     out: dict[str, Column] = {
+        **{c: F.col(c) for c in IDENTITY}, "identity_known": F.col("identity_known"), "availability_watermark": F.col("availability_watermark"),
         "admission_at": F.col("admission_at"), "token_age_seconds": _elapsed(F.col("admission_at"), F.col("decision_at")), "lifecycle_state": F.col("lifecycle_new_state"), "coverage_class": F.col("coverage_class"),
         "selected_pair_id": F.col("selected_pair_id"), "observation_received_at": F.col("obs_received_at"), "observation_age_seconds": _elapsed(F.col("obs_received_at"), F.col("decision_at")),
         "fdv_usd": F.col("obs_fully_diluted_valuation_usd"), **{c: F.col(f"obs_{c}") for c in MARKET if c != "fully_diluted_valuation_usd"},
@@ -183,6 +233,8 @@ def market_features(candidates: DataFrame, families: Mapping[str, DataFrame]) ->
         "token_program": F.when(known("security_received_at"), F.col("security_token_program")).otherwise("unknown"), "mint_authority_state": authority("security_mint_authority"), "freeze_authority_state": authority("security_freeze_authority"),
         "context_known": known("context_received_at"), "context_freshness_seconds": _elapsed(F.col("context_received_at"), F.col("decision_at")), "sol_usd_price": F.col("context_sol_usd_price").cast("double"),
         "tracked_admission_rate_per_minute": F.col("context_admitted_tokens") / F.greatest(_elapsed(F.col("context_bucket_start"), F.col("context_bucket_end")), F.lit(1.0)) * 60, "metadata_known": known("metadata_received_at"),
+        "sol_return_5m": F.col("context_sol_return_5m"), "sol_realized_volatility_1h": F.col("context_sol_realized_volatility_1h"), "recent_active_conversion_fraction": F.col("context_mature_cohort_active_fraction"),
+        "aggregate_tracked_volume_m5_usd": F.col("context_aggregate_volume_m5_usd"), "aggregate_tracked_buy_ratio_m5": buy_ratio("context_aggregate_buys_m5", "context_aggregate_sells_m5"), "pair_created_at_known": known("pair_created_at"),
     }
     return s.select(*KEY, *[c.alias(name) for name, c in out.items()])
 
@@ -255,9 +307,12 @@ def outcome_labels(candidates: DataFrame, families: Mapping[str, DataFrame], hor
     )
 
 
-def build(candidates: DataFrame, families: Mapping[str, DataFrame], split: Column | None = None) -> DataFrame:
-    """Features, labels and split of each candidate. Fails on facts that break their time contract; candidates outside all splits are dropped."""
+def build(candidates: DataFrame, families: Mapping[str, DataFrame], split: Column | None = None, allow_invalid_epoch: bool = False) -> DataFrame:
+    """Features, labels and split of each candidate. Fails on facts that break their time contract and, unless allowed, on
+    tokens of invalid epochs; candidates outside all splits are dropped."""
     check_facts(families)
+    if not allow_invalid_epoch:
+        check_epochs(candidates, families)
     rows = market_features(candidates, families).join(outcome_labels(candidates, families), KEY)
     return rows if split is None else rows.withColumn("split", split).filter("split IS NOT NULL")
 

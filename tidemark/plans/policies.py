@@ -90,6 +90,40 @@ def coverage_interval(age_seconds: Column) -> Column:
     return out
 
 
+# Classes of the states that do not depend on age, the boundaries of the fading tail in seconds, and the intervals of all these.
+BY_STATE = {"ACTIVE": "PROTECTED_ACTIVE", "RESURRECTED": "PROTECTED_RESURRECTED", "WATCH": "PROTECTED_WATCH", "DORMANT": "RETIRED_CONTROL"}
+FADING = (("FADING_TAIL", 1800), ("FADING_COOL", 21600))
+STATE_INTERVALS = {"PROTECTED_ACTIVE": 5, "PROTECTED_RESURRECTED": 5, "PROTECTED_WATCH": 15, "FADING_TAIL": 120, "FADING_COOL": 1800}
+
+
+def coverage_for(state: Column, age_seconds: Column, state_age_seconds: Column) -> Column:
+    """Coverage of a key in a lifecycle state: by the state where that protects or retires it, by the time since it began
+    to fade, else by the age since admission. A time before the admission or the fading gives null."""
+    fading = F.when(state_age_seconds < 0, F.lit(None).cast("string"))
+    for name, end in FADING:
+        fading = fading.when(state_age_seconds < end, name)
+    young = F.when(coverage_class(age_seconds) == COVERAGE[-1][0], "RETIRED_CONTROL").otherwise(coverage_class(age_seconds))
+    out = F.when(age_seconds.isNull() | (age_seconds < 0), F.lit(None).cast("string")).when(state == "FADING", F.when(state_age_seconds.isNotNull(), fading.otherwise("RETIRED_CONTROL")))
+    for name, coverage in BY_STATE.items():
+        out = out.when(state == name, coverage)
+    return out.otherwise(young)
+
+
+def interval_for(coverage: Column) -> Column:
+    """Seconds between observations of a class; null for one that is retired."""
+    every = STATE_INTERVALS | {name: interval for name, _, interval in COVERAGE if interval}
+    return F.create_map(*[F.lit(x) for pair in every.items() for x in pair])[coverage]
+
+
+def seconds_to_transition(coverage: Column, age_seconds: Column, state_age_seconds: Column) -> Column:
+    """How long until the class changes by itself; null for classes that only a new state ends."""
+    ends = {name: COVERAGE[i + 1][1] for i, (name, _, _) in enumerate(COVERAGE[:-1])}
+    out = None
+    for name, end in FADING:
+        out = (F.when if out is None else out.when)(coverage == name, end - state_age_seconds)
+    return out.otherwise(F.create_map(*[F.lit(x) for pair in ends.items() for x in pair])[coverage] - age_seconds)
+
+
 @dataclass(frozen=True)
 class TierPolicy:
     """A key is promoted by an eligible observation, held while observations renew it, and demoted once `ttl` seconds passed without one."""

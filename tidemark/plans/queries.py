@@ -803,3 +803,30 @@ def q64_evidence_pair(spark, sf_dir):
         "l_orderkey", F.when(one, F.col("only_one")).when(F.col("unknown") == 0, F.col("best")).alias("selected"),
         F.when(one, "ONLY_PAIR").when(F.col("unknown") > 0, "UNKNOWN_LIQUIDITY").otherwise("HIGHEST_LIQUIDITY").alias("reason"),
     )
+
+
+@query("""
+WITH a AS (
+  SELECT event_id, CASE event_type WHEN 'purchase' THEN 'ACTIVE' WHEN 'click' THEN 'FADING' WHEN 'signup' THEN 'WATCH' WHEN 'error' THEN 'DORMANT' ELSE 'NEW' END AS state,
+    (epoch_us(ts) - epoch_us(min(ts) OVER (PARTITION BY user_id))) / 1000000.0 AS age, (epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id))) / 1000000.0 AS in_state FROM events),
+c AS (
+  SELECT *, CASE state WHEN 'ACTIVE' THEN 'PROTECTED_ACTIVE' WHEN 'WATCH' THEN 'PROTECTED_WATCH' WHEN 'DORMANT' THEN 'RETIRED_CONTROL'
+    WHEN 'FADING' THEN CASE WHEN in_state IS NULL THEN NULL WHEN in_state < 1800 THEN 'FADING_TAIL' WHEN in_state < 21600 THEN 'FADING_COOL' ELSE 'RETIRED_CONTROL' END
+    ELSE CASE WHEN age >= 604800 THEN 'RETIRED_CONTROL' WHEN age >= 86400 THEN 'LONG_TAIL_WEEK' WHEN age >= 21600 THEN 'LONG_TAIL_DAY' WHEN age >= 3600 THEN 'COOLED' WHEN age >= 600 THEN 'MATURE'
+      WHEN age >= 120 THEN 'EARLY' ELSE 'INITIAL' END END AS coverage FROM a)
+SELECT event_id, coverage, CASE coverage WHEN 'PROTECTED_ACTIVE' THEN 5 WHEN 'PROTECTED_WATCH' THEN 15 WHEN 'FADING_TAIL' THEN 120 WHEN 'FADING_COOL' THEN 1800 WHEN 'INITIAL' THEN 15 WHEN 'EARLY' THEN 30
+    WHEN 'MATURE' THEN 300 WHEN 'COOLED' THEN 1800 WHEN 'LONG_TAIL_DAY' THEN 7200 WHEN 'LONG_TAIL_WEEK' THEN 43200 END AS interval_seconds,
+  (CASE coverage WHEN 'FADING_TAIL' THEN 1800 - in_state WHEN 'FADING_COOL' THEN 21600 - in_state WHEN 'INITIAL' THEN 120 - age WHEN 'EARLY' THEN 600 - age WHEN 'MATURE' THEN 3600 - age
+    WHEN 'COOLED' THEN 21600 - age WHEN 'LONG_TAIL_DAY' THEN 86400 - age WHEN 'LONG_TAIL_WEEK' THEN 604800 - age END)::DOUBLE AS seconds_left FROM c
+""")
+def q65_coverage_by_state(spark, sf_dir):
+    """Class, interval and time left of each observation, from the state it brings about and the time in it."""
+    e = Tables(spark, sf_dir).events
+    state = F.create_map(*[F.lit(x) for x in ("purchase", "ACTIVE", "click", "FADING", "signup", "WATCH", "error", "DORMANT")])[F.col("event_type")]
+    user = Window.partitionBy("user_id")
+    aged = e.select(
+        "event_id", F.coalesce(state, F.lit("NEW")).alias("state"), seconds_between(F.min("ts").over(user), "ts").alias("age"), seconds_between(F.lag("ts").over(user.orderBy("ts", "event_id")), "ts").alias("in_state")
+    )
+    classed = aged.withColumn("coverage", policies.coverage_for(F.col("state"), F.col("age"), F.col("in_state")))
+    left = policies.seconds_to_transition(F.col("coverage"), F.col("age"), F.col("in_state"))
+    return classed.select("event_id", "coverage", policies.interval_for(F.col("coverage")).alias("interval_seconds"), left.alias("seconds_left"))

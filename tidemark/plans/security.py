@@ -102,6 +102,41 @@ def recent(facts: DataFrame, probes: DataFrame, by: Sequence[str], at: str, rece
     return probes.join(found.groupBy(*by, at).agg(value.alias(name)), [*by, at], "left")
 
 
+# Name and version of the security feature set, and features that are taken as they come.
+FEATURE_SET, FEATURE_VERSION = "security_features", "v1"
+GIVEN = {
+    "creator_hold_pct": "double", "creator_prior_collapse_rate": "double", "wallet_cluster_count": "long", "largest_cluster_trade_share": "double", "common_funder_share": "double", "synchronized_trade_score": "double",
+    "liquidity_removal_recent_pct": "double", "liquidity_change_velocity": "double", "creator_transfer_activity": "long", "security_snapshot_age_seconds": "double",
+}
+
+
+def security_features(probes: DataFrame, holders: DataFrame, traders: DataFrame, given: Sequence[DataFrame] = (), by: Sequence[str] = ("token_id",), at: str = "generated_at") -> DataFrame:
+    """The security feature row of each probe (by, at, and input_fact_ids, an array of the facts used).
+
+    holders and traders are what holder_metrics and trader_metrics return, given are tables of by and
+    any of GIVEN; a key or a feature without facts is null. The digest of the inputs is the same for any order of their ids."""
+    out = probes.join(holders.select(*by, "top_10_pct", "hhi"), list(by), "left")
+    out = out.join(traders.select(*by, "unique_traders", "total_trades", "top_10_trader_volume_share", "repeat_trader_ratio"), list(by), "left")
+    for table in given:
+        out = out.join(table.select(*by, *[c for c in GIVEN if c in table.columns]), list(by), "left")
+    have = set(out.columns)
+    return out.select(
+        *by, F.lit(FEATURE_SET).alias("feature_set"), F.lit(FEATURE_VERSION).alias("feature_version"), at, F.col("top_10_pct").alias("holder_top10_pct"), F.col("hhi").alias("holder_hhi"),
+        F.col("unique_traders").alias("unique_trader_count"), ratio("total_trades", "unique_traders").alias("trades_per_unique_trader"), F.col("top_10_trader_volume_share").alias("top10_trader_volume_share"),
+        F.col("repeat_trader_ratio").alias("repeat_trade_ratio"), *[(F.col(c) if c in have else F.lit(None)).cast(k).alias(c) for c, k in GIVEN.items()],
+        F.sha2(F.to_json(F.array_sort("input_fact_ids")), 256).alias("input_sha256"),
+    )
+
+
+def largest_cluster_share(trades: DataFrame, members: DataFrame, by: Sequence[str] = ("token_id",)) -> DataFrame:
+    """wallet_cluster_count and largest_cluster_trade_share of each token: clusters (by, wallet, cluster) with trades, and the percent
+    of the token's traded volume that the busiest of them moves; a wallet in no cluster counts in the volume only."""
+    moved = trades.groupBy(*by, "wallet").agg(F.sum(F.col("notional_usd").cast("double")).alias("v"))
+    parts = moved.join(members.select(*by, "wallet", "cluster"), [*by, "wallet"], "left").groupBy(*by, "cluster").agg(F.sum("v").alias("v"))
+    clustered = F.col("cluster").isNotNull()
+    return parts.groupBy(*by).agg(F.count_if(clustered).alias("wallet_cluster_count"), percent(F.max(F.when(clustered, F.col("v"))), F.sum("v")).alias("largest_cluster_trade_share"))
+
+
 def candidate_decision(current: Column, e: dict[str, Column], policy: dict[str, float]) -> Column:
     """Target tier and reason of a candidate from evidence that was there at its evaluation.
 
