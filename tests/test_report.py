@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.plans import report
+from tidemark.plans import report, validation
 
 END, HOUR = "2026-08-14 12:00:00", datetime(2026, 8, 14, 10)
 m = lambda minutes: HOUR + timedelta(minutes=minutes)
@@ -53,3 +53,22 @@ def test_status_and_growth(spark):
     got = {r.component: r.status for r in report.component_status(beats, str(m(10)), 120).collect()}
     assert got == {"a": "HEALTHY", "b": "STALE", "c": "FAILED"}
     assert report.growth(0, 2**30, 86400)["gib_30d"] == 30 and report.growth(0, 1, 0)["gib_1d"] is None
+
+
+def test_window_summary(spark):
+    frames = {
+        "batch_members": ([("t", m(0), "ACTIVE", 100.0, 5, 10), ("t", m(1), "ACTIVE", 300.0, 5, 5), ("t", m(-9999), "ACTIVE", 9e9, 5, 10)], "token_id string, claimed_at timestamp_ntz, lifecycle_state string, claim_lateness_ms double, target_interval_seconds int, effective_interval_seconds int"),
+        "schedules": ([("t",), ("u",), ("v",)], "token_id string"), "capacity_decisions": ([(m(0), "NORMAL", 10.0), (m(1), "NORMAL", 20.0)], "decided_at timestamp_ntz, capacity_mode string, degraded_schedule_pct double"),
+        "connectivity": ([("g", "disconnected", m(0)), ("g", "reconnected", m(2)), ("h", "disconnected", m(119)), ("i", "reconnected", m(5))], "gap_id string, event_type string, observed_at timestamp_ntz"),
+        "storage_samples": ([("a", m(0), 100), ("b", m(5), 50), ("c", m(9), 400)], "sample_id string, sampled_at timestamp_ntz, database_bytes long"),
+        "storage_relations": ([("a", "obs", 10), ("c", "obs", 90), ("b", "obs", 7), ("c", "new", 5)], "sample_id string, relation_family string, total_bytes long"),
+        "discoveries": ([("t", m(0)), ("t", m(1))], "token_id string, received_at timestamp_ntz"), "runs": ([("r", "e", m(0), None), ("s", "e", None, None), ("x", "f", m(-9999), m(-9998))], "run_id string, epoch_id string, collection_started_at timestamp_ntz, finished_at timestamp_ntz"),
+    }
+    families = {k: spark.createDataFrame(*v) for k, v in frames.items()}
+    got = {(r.section, r["name"], r.measure): r.value for r in validation.summary(families, END).collect()}
+    assert (got["claims", "ACTIVE", "claims"], got["claims", "ACTIVE", "p50_ms"], got["claims", "ACTIVE", "max_ms"], got["claims", "ACTIVE", "degraded_pct"]) == (2, 200, 300, 50)
+    assert got["schedules", "all", "without_claim"] == 2 and got["capacity", "NORMAL", "degraded_schedule_pct"] == 15 and got["connectivity", "all", "gap_seconds"] == 180
+    assert (got["storage", "all", "growth_bytes"], got["storage_growth", "obs", "growth_bytes"], got["storage_growth", "new", "growth_bytes"]) == (350, 80, 5)
+    assert got["discoveries", "all", "tokens"] == 1 and got["runs", "all", "starts"] == 1
+    mine = validation.of_epoch({"runs": families["runs"], "schedules": families["schedules"]}, families["runs"], "f")
+    assert mine["runs"].count() == 1 and mine["schedules"].count() == 3

@@ -830,3 +830,36 @@ def q65_coverage_by_state(spark, sf_dir):
     classed = aged.withColumn("coverage", policies.coverage_for(F.col("state"), F.col("age"), F.col("in_state")))
     left = policies.seconds_to_transition(F.col("coverage"), F.col("age"), F.col("in_state"))
     return classed.select("event_id", "coverage", policies.interval_for(F.col("coverage")).alias("interval_seconds"), left.alias("seconds_left"))
+
+
+@query("""
+WITH r AS (SELECT o_orderdate AS a, l_shipdate AS b, CASE WHEN l_linenumber < 4 THEN 200 WHEN l_linenumber = 4 THEN 429 WHEN l_linenumber = 5 THEN 404 ELSE 500 END AS status, l_returnflag AS outcome, l_linenumber AS attempts
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
+rs AS (SELECT count(*) AS total, count(*) FILTER (WHERE status = 200) AS http_200, count(*) FILTER (WHERE status = 429) AS http_429, count(*) FILTER (WHERE status BETWEEN 400 AND 499 AND status <> 429) AS http_other_4xx,
+  count(*) FILTER (WHERE status >= 500) AS http_5xx, sum(attempts - 1) AS retries, quantile_cont((epoch_us(b) - epoch_us(a)) / 1000.0, 0.5) AS p50_latency_ms, quantile_cont((epoch_us(b) - epoch_us(a)) / 1000.0, 0.95) AS p95_latency_ms,
+  quantile_cont((epoch_us(b) - epoch_us(a)) / 1000.0, 0.99) AS p99_latency_ms, (SELECT max(n) FROM (SELECT count(*) AS n FROM r GROUP BY date_trunc('minute', a))) AS peak_per_minute FROM r),
+l AS (SELECT o_custkey AS t, o_orderdate AS at, o_orderstatus AS s, lag(o_orderstatus) OVER w AS p, (epoch_us(lead(o_orderdate) OVER w) - epoch_us(o_orderdate)) / 1000000.0 AS stay FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)),
+k AS (SELECT user_id, count(*) AS n, count(DISTINCT event_type) AS pairs FROM events GROUP BY 1),
+ks AS (SELECT sum(n) AS rows, count(*) AS tokens, quantile_cont(n, 0.5) AS per_token_p50, quantile_cont(n, 0.95) AS per_token_p95, count(*) FILTER (WHERE pairs > 1) AS multi_pair_tokens FROM k)
+SELECT section, name, measure, round(value, 6) AS value FROM (
+  SELECT 'requests' AS section, 'all' AS name, measure, value FROM (UNPIVOT (SELECT COLUMNS(*)::DOUBLE FROM rs) ON COLUMNS(*) INTO NAME measure VALUE value)
+  UNION ALL SELECT 'request_outcomes', outcome, 'requests', count(*)::DOUBLE FROM r GROUP BY outcome
+  UNION ALL SELECT 'lifecycle_changes', coalesce(p, '') || '>' || s, 'changes', count(*)::DOUBLE FROM l GROUP BY 2
+  UNION ALL SELECT 'lifecycle_residence', s, 'median_seconds', quantile_cont(stay, 0.5)::DOUBLE FROM l WHERE stay IS NOT NULL GROUP BY 2
+  UNION ALL SELECT 'observations', 'all', measure, value FROM (UNPIVOT (SELECT COLUMNS(*)::DOUBLE FROM ks) ON COLUMNS(*) INTO NAME measure VALUE value))
+""")
+def q66_window_summary(spark, sf_dir):
+    """Figures of a window that covers all facts: requests, state changes and stays, observations."""
+    from tidemark.plans.validation import summary
+
+    t = Tables(spark, sf_dir)
+    n = F.col("l_linenumber")
+    along = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    families = {
+        "requests": t.lineitem.join(t.orders, F.col("o_orderkey") == F.col("l_orderkey")).select(
+            F.col("o_orderdate").alias("requested_at"), F.col("l_shipdate").alias("received_at"), F.when(n < 4, 200).when(n == 4, 429).when(n == 5, 404).otherwise(500).alias("status"), F.col("l_returnflag").alias("outcome"), n.alias("attempts")
+        ),
+        "lifecycle": t.orders.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("token_id"), F.col("o_orderdate").alias("decided_at"), F.lag("o_orderstatus").over(along).alias("previous_state"), F.col("o_orderstatus").alias("new_state")),
+        "observations": t.events.select(F.col("user_id").alias("token_id"), F.col("event_type").alias("pair_id"), F.col("ts").alias("received_at")),
+    }
+    return summary(families, "2030-01-01 00:00:00", 24 * 366 * 60).withColumn("value", F.round("value", 6))
