@@ -1,8 +1,8 @@
 """Near-duplicate lines across documents by a deletion-neighbourhood join, with built-in functions only.
 
-A line is dropped if an equal line, or one within an edit distance of one, stands
-earlier (by document key, then line number). Two lines are that close exactly if they
-agree after deleting at most one character from each. So each line emits a key
+A line is dropped if an equal line stands earlier (by document key, then line number),
+or, for lines of LEAST_CHARS characters or more, one within an edit distance of one. Two lines
+are that close exactly if they agree after deleting at most one character from each. So each line emits a key
 for every deletion, and equal keys join: (a) with the place of the deletion, lines that
 differ by a substitution there; (b) without it, a line against whole lines
 that are one character shorter. Either group is answered by its earliest member, so
@@ -20,10 +20,11 @@ from pyspark.sql import functions as F
 
 from .common import durable, small, text_or_empty
 
-#: Shorter lines are never dropped: an edit makes another line of them.
+#: Shorter lines are only dropped for equal ones: an edit makes another line of them.
 LEAST_CHARS = 24
 _MASK = (1 << 40) - 1
 _LAST = (1 << 63) - 1
+_WORD = r"[^\x20\x09-\x0D]"
 
 
 def _segment_keys(line: Column, n: Column, segments: int) -> Column:
@@ -50,7 +51,7 @@ def _sharing(lines: DataFrame, name: str) -> DataFrame:
 def _lines(docs: DataFrame, text: str, key: str) -> DataFrame:
     rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("doc"), text_or_empty(text).alias("_text")).withColumn("text_hash", F.xxhash64("_text"))
     each = rows.select("doc", "text_hash", F.posexplode(F.split("_text", "\n")).alias("number", "line")).withColumn("n", F.length("line"))
-    return each.filter(F.col("n") >= LEAST_CHARS).withColumn("id", F.unhex(F.md5(F.col("line").cast("binary"))))
+    return each.filter((F.col("n") >= LEAST_CHARS) | F.col("line").rlike(_WORD)).withColumn("id", F.unhex(F.md5(F.col("line").cast("binary"))))
 
 
 def _close_pairs(lines: DataFrame) -> DataFrame:
@@ -87,8 +88,9 @@ def repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     drop, for each document that has any."""
     lines = _lines(docs, text, key)
     place = F.struct("doc", "number")
+    keys = F.when(F.col("n") >= LEAST_CHARS, _segment_keys(F.col("line"), F.col("n"), 2))
     distinct = durable(
-        lines.withColumn("keys", _segment_keys(F.col("line"), F.col("n"), 2)).groupBy("id").agg(F.min(place).alias("place"), F.first("n").alias("n"), F.first("keys").alias("keys")), "lines"
+        lines.withColumn("keys", keys).groupBy("id").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("times"), F.first("n").alias("n"), F.first("keys").alias("keys")), "lines"
     )
     near = _sharing(distinct, "half-alike")
     texts = lines.join(small(near, near.count()), "id").groupBy("id").agg(F.first("line").alias("line"))
@@ -99,7 +101,8 @@ def repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     left, right = alike.select("id", F.col("line").alias("a")), alike.select(F.col("id").alias("earlier"), F.col("line").alias("b"))
     close = pairs.join(left, "id").join(right, "earlier").filter(F.levenshtein("a", "b", 1) >= 0).select("id").distinct()
     # Written, so that both sides of the last join come straight from a shuffle and a line of very many documents can be split.
-    decided = durable(distinct.select("id", "place").join(close.withColumn("close", F.lit(True)), "id", "left"), "decided-lines")
+    judged = distinct.select("id", "place", "times").join(close.withColumn("close", F.lit(True)), "id", "left")
+    decided = durable(judged.filter("close OR times > 1").drop("times"), "decided-lines")
     drop = F.col("close").isNotNull() | (F.struct("doc", "number") != F.col("place"))
     dropped = lines.select("id", "doc", "text_hash", "number").join(decided, "id").filter(drop)
     return dropped.groupBy("doc", "text_hash").agg(F.array_sort(F.collect_set("number")).alias("numbers"))
@@ -109,7 +112,8 @@ def line_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", clean:
     """docs with n_lines and dropped_lines (numbers from 0); with clean, also clean_text
     without those lines.
 
-    Lines are what newlines separate; those under LEAST_CHARS characters always stay. The
+    Lines are what newlines separate. Those under LEAST_CHARS characters are dropped for equal
+    ones alone, and stay if they have no word. The
     earlier line need not stay itself, so a chain of close lines shrinks to its first. A null text is
     one empty line. Rows without a key come last; rows that repeat a key stand in the
     same place and drop no line of each other. An empty table gives an empty result. Columns of docs by
