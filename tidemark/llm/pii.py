@@ -64,8 +64,9 @@ _TOKEN = re.compile(
     re.X | re.I,
 )
 _BRACKETED = re.compile(r"[\[({<] *(?:at|dot|@|\.) *[\])}>]")
-_BARE = re.compile(r"\b(?:dot|plus)\b")
-_PAIR = re.compile(rf"\b(?:{_WORDS})[ ,-]+(?:{_WORDS})\b")
+_BARE = re.compile(r"\bdot\b|\bplus")
+_BESIDE = re.compile(rf"\b(?:{_WORDS})[ ().,-]+(?:[0-9]|(?:{_WORDS})\b)|[0-9][ ().,-]+(?:{_WORDS})\b")  # what may stand between the digits of a span
+_CASES = str.maketrans("ſıİ", "sii")  # other than A-Z, what re.I takes for letters of the tokens
 _UNSEEN = re.compile(f"[{INVISIBLE}]")
 _TLD = re.compile(r"\.[A-Za-z]{2,}$")
 
@@ -116,13 +117,14 @@ def _letters_as_digits(m: re.Match[str]) -> str:
 
 
 def _may_be_disguised(text: str) -> bool:
-    """Whether any token may be in the text; cheap tests for its letters come before patterns."""
-    low = text.lower()
+    """Whether the text may have a token that shows a span; cheap tests for its letters come before patterns.
+    A spelled digit does so only beside a numeral or another spelled one."""
+    low = text.lower() if text.isascii() else text.translate(_CASES).lower()
     return bool(
         " @" in low or "@ " in low
         or (("dot" in low or "plus" in low) and _BARE.search(low))
         or (any(c in low for c in "[({<") and _BRACKETED.search(low))
-        or (sum(map(low.count, SPELLED)) > 1 and _PAIR.search(low))
+        or (any(w in low for w in SPELLED) and _BESIDE.search(low))
         or (not text.isascii() and _UNSEEN.search(text))
     )
 
@@ -149,7 +151,7 @@ def rewrite(text: str) -> tuple[str, list[int], list[tuple[int, int]]] | None:
     for m in _TOKEN.finditer(plain):
         add(plain[at : m.start()], at, 1)
         kind = m.lastgroup
-        stands = "" if kind == "none" else {"at": "@", "dot": ".", "plus": "+"}.get(kind) or SPELLED[re.match("[a-z]+", m.group(), re.I).group().lower()]
+        stands = "" if kind == "none" else {"at": "@", "dot": ".", "plus": "+"}.get(kind) or SPELLED[re.match("[a-z]+", m.group(), re.I).group().translate(_CASES).lower()]
         add(stands, m.start(), 0)
         at = m.end()
     add(plain[at:], at, 1)
