@@ -2,7 +2,8 @@
 
 The vocabulary is read from that file. Texts of plain characters, on whose
 classes all regular expression engines agree, are encoded by a faster engine
-with the same vocabulary; any other text goes to the library itself. Tests hold
+with the same vocabulary; any other text, and any that holds the string of an added
+token, goes to the library itself. Tests hold
 the two against each other.
 """
 
@@ -37,11 +38,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         byte, special = _printable_bytes(), {x["content"] for x in spec["added_tokens"]}
         ranks = {bytes(byte[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
+        self.slow = re.compile("|".join([_UNUSUAL.pattern, *map(re.escape, sorted(special))]))
         self.fast = tiktoken.Encoding("plain", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     @classmethod
@@ -53,7 +54,7 @@ class Encoder:
         return held["encoder", path]
 
     def encode_one(self, text: str) -> bytes:
-        if _UNUSUAL.search(text):
+        if self.slow.search(text):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
 
