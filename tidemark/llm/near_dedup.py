@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, small, text_batches
+from .common import durable, small, text_batches, text_or_empty
 from .tokens import blocks, few_words, mix, portions, span_hashes, windows, word_bounds
 
 SHINGLE = 5
@@ -118,7 +118,7 @@ def _sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bands.append(band_keys(signature(s)) if len(s) else None)
         rows = pa.array(range(row, row + len(sizes)), pa.int64())
         row += len(sizes)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), rows, pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "row", "n", "set_key", "bands"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), rows, pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "digest", "row", "n", "set_key", "bands"])
 
 
 def _sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,18 +158,10 @@ def _close_enough(n: str, m: str) -> Column:
     return 100 * F.least(n, m) >= PERCENT * F.greatest(n, m)
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """A row for each row of docs: the key column, n_shingles, component_id and kept.
-
-    Words are case-folded for A-Z only; a text of fewer than 5 words is one shingle, one
-    without words (or null) has none and is alone. component_id is the smallest
-    key that links lead to, its own included; kept tells the row with that key.
-    Rows without a key take no part: component_id is null and kept is true. Rows
-    that repeat a key are judged each by its own text. An empty table gives an
-    empty result.
-    """
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sketches = durable(text_batches(rows).mapInArrow(_sketch, "doc_id long, row long, n long, set_key binary, bands array<long>"), "sketches")
+def _judged(docs: DataFrame, text: str, key: str, digest: Column) -> DataFrame:
+    """doc_id, digest, n, component_id and kept for each row of docs, as near_duplicates says."""
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), digest.cast("binary").alias("digest"))
+    sketches = durable(text_batches(rows).mapInArrow(_sketch, "doc_id long, digest binary, row long, n long, set_key binary, bands array<long>"), "sketches")
     full = sketches.filter("n > 0 AND doc_id IS NOT NULL")
     classes = durable(
         full.groupBy("set_key").agg(F.min("doc_id").alias("first_id"), F.min("row").alias("node"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes"
@@ -212,12 +204,28 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     named_roots = classes.select("node", "set_key", "first_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = named_roots.groupBy("root").agg(F.min("first_id").alias("component_id"))
     found = named_roots.join(smallest, "root").select("set_key", "component_id")
-    out = full.select("doc_id", "n", "set_key").join(found, "set_key", "left").select("doc_id", "n", "component_id")
-    alone = sketches.filter("NOT (n > 0 AND doc_id IS NOT NULL)").select("doc_id", "n", F.col("doc_id").alias("component_id"))
-    return out.unionByName(alone).select(F.col("doc_id").alias(key), F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    out = full.select("doc_id", "digest", "n", "set_key").join(found, "set_key", "left").select("doc_id", "digest", "n", "component_id")
+    alone = sketches.filter("NOT (n > 0 AND doc_id IS NOT NULL)").select("doc_id", "digest", "n", F.col("doc_id").alias("component_id"))
+    return out.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """A row for each row of docs: the key column, n_shingles, component_id and kept.
+
+    Words are case-folded for A-Z only; a text of fewer than 5 words is one shingle, one
+    without words (or null) has none and is alone. component_id is the smallest
+    key that links lead to, its own included; kept tells the row with that key.
+    Rows without a key take no part: component_id is null and kept is true. Rows
+    that repeat a key are judged each by its own text. An empty table gives an
+    empty result.
+    """
+    return _judged(docs, text, key, F.lit(None)).select(F.col("doc_id").alias(key), F.col("n").alias("n_shingles"), "component_id", "kept")
 
 
 def drop_near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """docs with one document of each group of near duplicates, its own columns unchanged."""
-    dropped = durable(near_duplicates(docs, text, key).filter("NOT kept").select(F.col(key).alias("_dropped")), "dropped")
-    return docs.join(small(dropped, dropped.count()), F.col(key) == F.col("_dropped"), "left_anti")
+    """docs with one document of each group of near duplicates, its own columns unchanged.
+
+    Rows that repeat a key are dropped each by its own text."""
+    digest = F.unhex(F.sha2(text_or_empty(text), 256))
+    dropped = durable(_judged(docs, text, key, digest).filter("NOT kept").select(F.col("doc_id").alias("_dropped"), F.col("digest").alias("_digest")), "dropped")
+    return docs.join(small(dropped, dropped.count()), (F.col(key) == F.col("_dropped")) & (digest == F.col("_digest")), "left_anti")
