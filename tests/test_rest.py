@@ -59,6 +59,21 @@ def test_components_do_not_depend_on_order(spark):
     assert got == back and got["c"] == "a" and got["y"] == "x" and got["n40"] == "n00" and "p" not in got
 
 
+def test_components_of_chains_hubs_and_cycles(spark):
+    import random
+
+    rng, rows = random.Random(4), []
+    for base, n in ((0, 300), (1000, 1), (2000, 64)):
+        ids = list(range(base, base + n + 1))
+        rng.shuffle(ids)
+        rows += list(zip(ids, ids[1:], strict=False))
+    rows += [(5000, 5001 + i) for i in range(400)] + [(9000 + i, 9000 + (i + 1) % 7) for i in range(7)]
+    got = {r.node: r.component for r in connected_components(spark.createDataFrame(rows, "s long, t long"), "s", "t").collect()}
+    first = lambda i: next(b for b in (9000, 5000, 2000, 1000, 0) if i >= b)
+    assert len(got) == 301 + 2 + 65 + 401 + 7 and all(c == first(i) for i, c in got.items())
+    assert connected_components(spark.createDataFrame([], "s long, t long"), "s", "t").count() == 0
+
+
 def test_concentration(spark):
     rows = [("pool", 400), ("wallet-a", 300), ("wallet-a", 100), ("wallet-b", 50), ("rest", 150)]
     r = concentration(spark.createDataFrame([("t", *x) for x in rows], "t string, owner string, amount int"), ["t"], "owner", "amount", (1, 2)).first()

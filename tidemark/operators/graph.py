@@ -1,27 +1,61 @@
-"""Connected components of undirected edges, by smallest labels that spread and jump."""
+"""Connected components of undirected edges by contraction.
+
+In each round a node takes, of all nodes within two steps, the one that a hash of the round puts first,
+and the edges are laid between what their ends took. Hashes make hubs and long chains alike: the nodes left shrink by a
+constant factor, so rounds are logarithmic in the number of nodes, and all but the first few are small.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.work import durable
+
+
+def _contract(edges: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
+    """(node, taken) for every end of the edges (x, y), and the edges between what was taken."""
+
+    def ranked(c: str):
+        return F.struct(F.xxhash64(F.col(c), F.lit(seed)).alias("rank"), F.col(c).alias("node"))
+
+    both = edges.union(edges.select("y", "x"))
+    first = both.groupBy("x").agg(F.min(ranked("y")).alias("first")).select("x", F.least("first", ranked("x")).alias("first"))
+    beside = both.join(first.withColumnRenamed("x", "y"), "y").select("x", "first").union(first)
+    taken = durable(beside.groupBy(F.col("x").alias("node")).agg(F.min("first").alias("first")).select("node", F.col("first.node").alias("taken")), "taken")
+    moved = edges.join(taken.select(F.col("node").alias("x"), F.col("taken").alias("p")), "x").join(taken.select(F.col("node").alias("y"), F.col("taken").alias("q")), "y")
+    return taken, durable(moved.filter("p <> q").select(F.least("p", "q").alias("x"), F.greatest("p", "q").alias("y")).distinct(), "edges")
+
+
+def contract(edges: DataFrame) -> DataFrame:
+    """node and root, the same for all nodes of a component, for edges (x, y) of long nodes."""
+    edges = durable(edges.filter("x <> y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "edges")
+    steps: list[DataFrame] = []
+    while not edges.isEmpty():
+        taken, edges = _contract(edges, len(steps))
+        steps.append(taken)
+    if not steps:
+        return edges.select(F.col("x").alias("node"), F.col("y").alias("root"))
+    roots = steps.pop().withColumnRenamed("taken", "root")
+    while steps:
+        above = roots.select(F.col("node").alias("taken"), "root")
+        roots = steps.pop().join(above, "taken", "left").select("node", F.coalesce("root", "taken").alias("root"))
+    return roots
+
 
 def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
-    """node and component (its smallest node). Rounds are checkpointed to the shared
-    folder, so a lost executor costs no more than a round; the number of rounds is logarithmic in path lengths."""
-    spark = edges.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="tidemark-"))
-    pairs = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).filter("x <> y")
-    both = pairs.union(pairs.select("y", "x")).distinct().checkpoint()
-    labels = both.groupBy(F.col("x").alias("node")).agg(F.least(F.min("y"), F.first("x")).alias("component")).checkpoint()
+    """node and component (its smallest node), for nodes of any type that has an order.
+
+    Nodes are worked on as 64-bit hashes; should two share one, all are hashed anew."""
+    pairs = durable(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a <> b").distinct(), "pairs")
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
+    seed = 0
     while True:
-        near = both.join(labels.select(F.col("node").alias("y"), "component"), "y").groupBy(F.col("x").alias("node")).agg(F.min("component").alias("near"))
-        above = labels.select(F.col("node").alias("label"), F.col("component").alias("above"))
-        moved = labels.join(near, "node").select("node", F.col("component").alias("old"), F.least("component", "near").alias("label"))
-        moved = moved.join(above, "label", "left").select("node", "old", F.least("label", F.coalesce("above", "label")).alias("component")).checkpoint()
-        labels = moved.select("node", "component")
-        if moved.filter("old <> component").isEmpty():
-            return labels
+        id_of = lambda c, seed=seed: F.xxhash64(F.col(c), F.lit(seed))
+        named = durable(nodes.groupBy(id_of("node").alias("id")).agg(F.min("node").alias("node"), F.max("node").alias("other")), "nodes")
+        if named.filter("node <> other").isEmpty():
+            break
+        seed += 1
+    roots = durable(contract(pairs.select(id_of("a").alias("x"), id_of("b").alias("y"))).withColumnRenamed("node", "id").join(named.select("id", "node"), "id"), "roots")
+    least = roots.groupBy("root").agg(F.min("node").alias("component"))
+    return roots.join(least, "root").select("node", "component")
