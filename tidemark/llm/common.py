@@ -1,67 +1,28 @@
-"""Shared pieces: the durable work folder and dense numbering without a global sort."""
+"""Shared pieces: batches for Python, checked broadcasts and dense numbering without a global sort."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.work import durable, scratch, work_folder  # noqa: F401
+
 #: Rows of a small side up to which a broadcast is asked for; beyond it the join is shuffled.
 BROADCAST_ROWS = 500_000
 #: Rows of whole texts that go to Python at once; their bytes, not their number, fill memory.
 TEXT_ROWS = 500
-
-
-def work_folder(spark: SparkSession) -> str:
-    """The shared folder of the cluster (spark.checkpoint.dir); a new local one only where it is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def text_batches(df: DataFrame) -> DataFrame:
-    """df, in a session that hands Python at most TEXT_ROWS rows at once. The setting is the session's, as
-    plans are run later; a smaller one is left as it is."""
-    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(conf.get(name)) <= TEXT_ROWS:
-        conf.set(name, str(TEXT_ROWS))
+    """df, in a session that hands Python at most TEXT_ROWS rows at once. The setting is the session's and stays, as
+    the plan is run later, by the caller; a smaller one is left as it is."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(ARROW_ROWS)) <= TEXT_ROWS:
+        conf.set(ARROW_ROWS, str(TEXT_ROWS))
     return df
 
 
-#: Folders that durable() has written in this process.
-_written: list[str] = []
-
-
-@contextmanager
-def scratch(spark: SparkSession) -> Iterator[list[DataFrame]]:
-    """Deletes what durable() writes inside, but for the tables put into the list: for a caller who has
-    written the result and needs the steps to it no more."""
-    first, keep = len(_written), []
-    yield keep
-    kept = {f.rpartition("/")[0].removeprefix("file://").removeprefix("file:") for df in keep for f in df.inputFiles()}
-    for path in _written[first:]:
-        if path.removeprefix("file://").removeprefix("file:") not in kept:
-            p = spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
-    _written[first:] = [p for p in _written[first:] if p.removeprefix("file://").removeprefix("file:") in kept]
-
-
-def durable(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: the lineage ends there, and a
-    lost executor costs a re-read, not a recomputation."""
-    spark = df.sparkSession
-    path = f"{work_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    _written.append(path)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def small(df: DataFrame, rows: int, bound: int = BROADCAST_ROWS) -> DataFrame:
     """df, hinted for broadcast only if its counted rows are within the bound."""
     return F.broadcast(df) if rows <= bound else df
