@@ -25,6 +25,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.graph import contract
+
 from .common import durable, small, text_batches, text_or_empty
 from .tokens import blocks, few_words, mix, portions, span_hashes, windows, word_bounds
 
@@ -91,6 +93,10 @@ def odd_sketch(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def _differ(a: str, b: str) -> Column:
+    return sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
+
+
 def may_link(n: str, m: str, a: str, b: str) -> Column:
     """False only if the sizes or the sketches a and b of sets of n and m shingles rule a link out.
 
@@ -100,8 +106,7 @@ def may_link(n: str, m: str, a: str, b: str) -> Column:
     d = (F.col(n) + F.col(m)) * (100 - PERCENT) / float(100 + PERCENT)
     mean = bits / 2 * (1 - F.exp(-2 * d / bits))
     spread = F.sqrt(bits / 4 * (1 - F.exp(-4 * d / bits)) - d * F.exp(-4 * d / bits) + 0.1)
-    differ = sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
-    return _close_enough(n, m) & (differ <= mean + DEVIATIONS * spread + 2)
+    return _close_enough(n, m) & (_differ(a, b) <= mean + DEVIATIONS * spread + 2)
 
 
 def _key(shingles: np.ndarray) -> bytes:
@@ -131,27 +136,33 @@ def _sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def confirm(edges: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of the edges (a, b) whose full sets are similar enough."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
+    right = sets.select(F.col("node").alias("_b"), F.col("shingles").alias("sb"))
     shared = F.size(F.array_intersect("sa", "sb"))
-    return edges.join(left, "a").join(right, "b").filter(100 * shared >= PERCENT * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
+    similar = 100 * shared >= PERCENT * (F.size("sa") + F.size("sb") - shared)
+    return edges.join(left, "a").join(right, (F.col("b") == F.col("_b")) & similar).select("a", "b")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """node and root, the smallest node of its component, for every node of the edges (a, b).
+def _merge(pairs: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
+    """roots (node, root), after the links among the pairs (a, b, ra, rb, far) have joined components; ra and rb
+    are the different roots of a and b.
 
-    Each round takes the smallest root next to a node and then the root of that
-    root, so paths halve; every round is written, and it ends when none changed.
-    """
-    both = durable(edges.union(edges.select("b", "a")).distinct(), "edges")
-    roots = durable(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")), "roots")
-    while True:
-        near = both.join(roots.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
-        least = roots.join(near, "node").select("node", F.col("root").alias("old"), F.least("root", "near").alias("root"))
-        up = roots.select(F.col("node").alias("root"), F.col("root").alias("above"))
-        new = durable(least.join(up, "root", "left").select("node", "old", F.least("root", F.coalesce("above", "root")).alias("root")), "roots")
-        roots = new.select("node", "root")
-        if new.filter("old <> root").isEmpty():
-            return roots
+    Of the pairs between two components the least far one is confirmed first. The others
+    are looked at only where that has not joined the two."""
+
+    def over(rows: DataFrame) -> DataFrame:
+        links = confirm(rows.select("a", "b"), sets).join(rows, ["a", "b"])
+        return durable(contract(links.select(F.col("ra").alias("x"), F.col("rb").alias("y"))).select("node", F.col("root").alias("over")), "joined-roots")
+
+    def moved(rows: DataFrame, by: DataFrame, c: str) -> DataFrame:
+        return rows.join(by.withColumnRenamed("node", c), c, "left").withColumn(c, F.coalesce("over", c)).drop("over")
+
+    first = durable(pairs.groupBy("ra", "rb").agg(F.min(F.struct("far", "a", "b")).alias("x")).select("ra", "rb", "x.a", "x.b"), "first-pairs")
+    joined = over(first)
+    apart = first.select("ra", "rb", F.col("ra").alias("r"), F.col("rb").alias("s"))
+    apart = moved(moved(apart, joined, "r"), joined, "s").filter("r <> s").select("ra", "rb", F.col("r"), F.col("s"))
+    rest = pairs.join(apart, ["ra", "rb"]).join(first.select("a", "b"), ["a", "b"], "left_anti")
+    again = over(durable(rest.select("a", "b", F.col("r").alias("ra"), F.col("s").alias("rb")), "other-pairs"))
+    return durable(moved(moved(roots, joined, "root"), again, "root").select("node", "root"), "roots")
 
 
 def _close_enough(n: str, m: str) -> Column:
@@ -168,39 +179,47 @@ def _judged(docs: DataFrame, text: str, key: str, digest: Column) -> DataFrame:
     )
     members = classes.select("node", "n", F.posexplode("bands").alias("band", "bucket"))
     hubs = members.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("hub"), F.count(F.lit(1)).alias("size")).filter("size > 1").drop("size")
-    crowded = durable(members.join(hubs, "bucket").select("bucket", "band", "node", "n", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n")), "buckets")
-    edges = durable(
-        crowded.filter(F.col("node") != F.col("hub")).filter(_close_enough("n", "hub_n")).select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "stars"
-    )
-    nodes = crowded.select("node").distinct()
-    named = durable(classes.join(nodes, "node", "left_semi").select("node", "set_key", "first_id"), "candidates")
+    met = durable(members.join(hubs, "bucket").select("bucket", "band", "node", "n", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n")), "met")
+    # Buckets of the same members say the same: the one of the lowest band stands for all.
+    whose = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"who{i}") for i in range(2)]
+    alike = met.groupBy("bucket").agg(F.first("band").alias("band"), F.count(F.lit(1)).alias("size"), *whose).groupBy("size", "who0", "who1")
+    stand = alike.agg(F.min_by("bucket", "band").alias("bucket"), F.count(F.lit(1)).alias("times"))
+    crowded = durable(met.join(stand.select("bucket", "times"), "bucket"), "buckets")
+    named = durable(classes.join(crowded.select("node").distinct(), "node", "left_semi").select("node", "set_key", "first_id", "bands"), "candidates")
     ids = named.select(F.col("first_id").alias("doc_id")).distinct()
     texts = rows.join(small(ids, ids.count()), "doc_id", "left_semi").select("text")
-    sets = durable(
-        texts.mapInArrow(_sets, "set_key binary, shingles array<long>, odd array<long>").dropDuplicates(["set_key"]).join(named, "set_key").select("node", "shingles", "odd"), "sets"
-    )
-    links = durable(confirm(edges, sets), "links")
-    roots = components(links)
-    asked = edges
-    runs = classes.select("node", F.transform("bands", lambda x: x.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")).alias("runs"))
-    while True:
-        placed = crowded.select("bucket", "band", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        parts = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("size"))
-        split = parts.groupBy("bucket").agg(F.max(F.struct("size", "root")).alias("most"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-        open_ = durable(placed.join(split.select("bucket", F.col("most.root").alias("major")), "bucket").join(sets.select("node", "odd"), "node").join(runs, "node"), "open-buckets")
-        hubs = open_.filter("root <> major").select("bucket", F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("root").alias("hub_root"), F.col("odd").alias("hub_odd"), F.col("runs").alias("hub_runs"))
-        # A pair comes up once: in the first bucket that it shares, and there from its smaller node if both are hubs.
-        once = ((F.col("root") == F.col("major")) | (F.col("node") < F.col("hub"))) & ~F.exists(F.slice(F.arrays_zip("runs", "hub_runs"), F.lit(1), F.col("band")), lambda x: x["runs"] == x["hub_runs"])
-        apart = (F.col("o.bucket") == F.col("h.bucket")) & (F.col("root") != F.col("hub_root"))
-        more = open_.alias("o").join(hubs.alias("h"), apart & may_link("n", "hub_n", "odd", "hub_odd") & once)
-        more = durable(more.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct().join(asked, ["a", "b"], "left_anti"), "more-stars")
-        if more.isEmpty():
-            break
-        new = durable(confirm(more, sets), "links")
-        if new.isEmpty():
-            break
-        asked, links = asked.unionByName(more), links.unionByName(new)
-        roots = components(links)
+    sets = texts.mapInArrow(_sets, "set_key binary, shingles array<long>, odd array<long>").dropDuplicates(["set_key"]).join(named, "set_key")
+    runs = F.transform("bands", lambda x: x.bitwiseAND(F.lit((1 << 31) - 1)).cast("int"))
+    sets = durable(sets.select("node", "shingles", "odd", runs.alias("runs")), "sets")
+    roots = named.select("node", F.col("node").alias("root"))
+    # A member's edge to the hub that it meets most often comes first; the others matter only where that has not joined them.
+    stars = crowded.filter((F.col("node") != F.col("hub")) & _close_enough("n", "hub_n")).groupBy(F.col("hub").alias("a"), F.col("node").alias("b")).agg(F.sum("times").alias("times"))
+    stars = durable(stars, "stars")
+    most = durable(stars.groupBy("b").agg(F.max_by("a", F.struct("times", -F.col("a"))).alias("a")).select("a", "b"), "most-met")
+    roots = _merge(most.select("a", "b", F.col("a").alias("ra"), F.col("b").alias("rb"), F.lit(0).alias("far")), sets, roots)
+    rest, at = stars.join(most, ["a", "b"], "left_anti"), {c: roots.select(F.col("node").alias(c), F.col("root").alias(f"r{c}")) for c in "ab"}
+    rest = durable(rest.join(at["a"], "a").join(at["b"], "b").filter("ra <> rb").select("a", "b", "ra", "rb", (-F.col("times")).alias("far")), "other-stars")
+    roots = _merge(rest, sets, roots)
+    asked = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    # Where a bucket's members are still in several components, each outside of the largest meets all the others.
+    placed = durable(crowded.select("bucket", "band", "node", "n").join(roots, "node"), "placed")
+    parts = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("size"))
+    split = parts.groupBy("bucket").agg(F.max_by("root", F.struct("size", "root")).alias("major"), F.count(F.lit(1)).alias("parts")).filter("parts > 1").drop("parts")
+    minor = placed.join(split, "bucket").filter("root <> major")
+    sizes = minor.groupBy("bucket").agg(F.first("major").alias("major"), F.min("n").alias("least"), F.max("n").alias("greatest"))
+    fits = (100 * F.col("n") >= PERCENT * F.col("least")) & (100 * F.col("greatest") >= PERCENT * F.col("n"))
+    open_ = placed.join(sizes, "bucket").filter(fits).drop("least", "greatest")
+    open_ = durable(open_.join(sets.select("node", "odd", "runs"), "node"), "open-buckets")
+    hubs = open_.filter("root <> major").select("bucket", *[F.col(c).alias(f"hub_{c}") for c in ("node", "n", "root", "odd", "runs")])
+    # A pair comes up once: in the first bucket that it shares, and there from its smaller node if both are hubs.
+    before = F.slice(F.arrays_zip("runs", "hub_runs"), F.lit(1), F.col("band"))
+    once = ((F.col("root") == F.col("major")) | (F.col("node") < F.col("hub_node"))) & ~F.exists(before, lambda x: x["runs"] == x["hub_runs"])
+    apart = (F.col("o.bucket") == F.col("h.bucket")) & (F.col("root") != F.col("hub_root"))
+    more = open_.alias("o").join(hubs.alias("h"), apart & may_link("n", "hub_n", "odd", "hub_odd") & once)
+    swap = F.col("node") > F.col("hub_node")
+    ends = [F.when(swap, F.col(y)).otherwise(F.col(x)).alias(c) for x, y, c in (("node", "hub_node", "a"), ("hub_node", "node", "b"), ("root", "hub_root", "ra"), ("hub_root", "root", "rb"))]
+    more = more.select(*ends, _differ("odd", "hub_odd").alias("far")).dropDuplicates(["a", "b"])
+    roots = _merge(durable(more.join(asked, ["a", "b"], "left_anti"), "more"), sets, roots)
     named_roots = classes.select("node", "set_key", "first_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = named_roots.groupBy("root").agg(F.min("first_id").alias("component_id"))
     found = named_roots.join(smallest, "root").select("set_key", "component_id")
