@@ -1,7 +1,7 @@
 """Archives: Parquet by family and day with a manifest that a reader can verify.
 
-Rows are written and counted by Spark; only counts, times and names of parts
-reach the driver, one row for each day.
+Rows are written and counted by Spark; only counts, digests, times and names of parts
+reach the driver, one row for each day and one for each file.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ import hashlib
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -40,10 +40,30 @@ def read_text(spark: SparkSession, path: str) -> str:
     return "\n".join(r.value for r in spark.read.text(path, wholetext=True).collect())
 
 
+def _hash(columns: Sequence[str], kinds: dict[str, str], seed: int) -> Column:
+    # A map has no hash of its own; its text has.
+    return F.xxhash64(F.lit(seed), *[F.to_json(c) if "map<" in kinds[c] else F.col(f"`{c}`") for c in columns])
+
+
 def family_facts(df: DataFrame, at: str, key: Sequence[str]) -> DataFrame:
-    """Counts, key digest and time range of each day; the digest is a sum, so it doesn't depend on order."""
-    digest = F.sum(F.pmod(F.xxhash64(*key), F.lit(1 << 40)))
-    return df.groupBy(F.date_format(at, "yyyy-MM-dd").alias("day")).agg(F.count(F.lit(1)).alias("rows"), digest.alias("digest"), F.min(at).cast("string").alias("first"), F.max(at).cast("string").alias("last"))
+    """For each day: rows, digests of the key and of all columns, nulls of each column that has any, and bounds of key and time.
+
+    Digests are sums over rows of 32 bits of a hash, so they don't depend on order; that of all columns has two, of different hashes."""
+    kinds = dict(df.dtypes)
+    total = lambda columns, seed: F.sum(_hash(columns, kinds, seed).bitwiseAND(F.lit((1 << 32) - 1)))
+    nulls = [F.struct(F.lit(c).alias("column"), F.count_if(F.col(f"`{c}`").isNull()).alias("n")) for c in df.columns]
+    keys = F.struct(*key)
+    each = df.groupBy(F.date_format(at, "yyyy-MM-dd").alias("day")).agg(
+        F.count(F.lit(1)).alias("rows"), total(key, 0).alias("digest"), F.array(total(df.columns, 1), total(df.columns, 2)).alias("content"), F.array(*nulls).alias("nulls"),
+        F.to_json(F.min(keys)).alias("lowest"), F.to_json(F.max(keys)).alias("highest"), F.min(at).cast("string").alias("first"), F.max(at).cast("string").alias("last"),
+    )
+    return each.withColumn("nulls", F.map_from_entries(F.filter("nulls", lambda x: x["n"] > 0)))
+
+
+def part_files(spark: SparkSession, path: str) -> DataFrame:
+    """Name and bytes of each Parquet file below a path, as the store lists them; no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+    return files.select(F.regexp_extract("path", r"(?:day=[^/]*/)?[^/]*$", 0).alias("file"), F.col("length").alias("bytes"))
 
 
 def export_family(df: DataFrame, root: str, family: str, at: str, key: Sequence[str], max_rows: int = 1_000_000) -> dict:
@@ -59,7 +79,8 @@ def export_family(df: DataFrame, root: str, family: str, at: str, key: Sequence[
     else:
         ordered.write.mode("errorifexists").option("compression", "zstd").option("maxRecordsPerFile", max_rows).partitionBy("day").parquet(path)
     parts = [r.asDict() for r in family_facts(df, at, key).orderBy("day").collect()]
-    return {"family": family, "at": at, "key": list(key), "schema": json.loads(df.schema.json()), "days": parts}
+    files = {r["file"]: r["bytes"] for r in part_files(df.sparkSession, path).collect()}
+    return {"family": family, "at": at, "key": list(key), "schema": json.loads(df.schema.json()), "days": parts, "files": files}
 
 
 def publish(spark: SparkSession, root: str, entries: Sequence[dict]) -> str:
@@ -85,21 +106,35 @@ def open_family(spark: SparkSession, root: str, entry: dict) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{root}/family={entry['family']}").select(*schema.names)
 
 
-def verify(spark: SparkSession, root: str) -> list[str]:
-    """Faults of an archive: counts, digests or times of a day that differ, and repeated keys; none: sound."""
+def verify(spark: SparkSession, root: str, manifest: dict | None = None) -> list[str]:
+    """Faults of an archive, none if it is sound: files that are missing, new or of another size, days of
+    which counts, digests of keys or of whole rows, nulls or bounds differ, and repeated keys."""
     faults = []
-    for e in read_manifest(spark, root)["entries"]:
+    for e in (manifest or read_manifest(spark, root))["entries"]:
+        stored = {r["file"]: r["bytes"] for r in part_files(spark, f"{root}/family={e['family']}").collect()}
+        for name in sorted({*stored, *e["files"]}):
+            if stored.get(name) != e["files"].get(name):
+                faults.append(f"{e['family']} {name}: {stored.get(name)} bytes instead of {e['files'].get(name)}")
         df = open_family(spark, root, e)
         found = {r["day"]: r.asDict() for r in family_facts(df, e["at"], e["key"]).collect()}
-        for day in sorted({*found, *(d["day"] for d in e["days"])}):
-            said = next((d for d in e["days"] if d["day"] == day), None)
-            if found.get(day) != said:
-                faults.append(f"{e['family']} {day}: {found.get(day)} instead of {said}")
+        said = {d["day"]: d for d in e["days"]}
+        for day in sorted({*found, *said}):
+            if found.get(day) != said.get(day):
+                differ = [k for k in {**(found.get(day) or {}), **(said.get(day) or {})} if (found.get(day) or {}).get(k) != (said.get(day) or {}).get(k)]
+                faults.append(f"{e['family']} {day}: {', '.join(differ)} not as the manifest says")
         if not df.groupBy(*e["key"]).count().filter("count > 1").isEmpty():
             faults.append(f"{e['family']}: repeated keys")
     return faults
 
 
+def open_verified(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The families of an archive by name, only if the whole of it is sound."""
+    manifest = read_manifest(spark, root)
+    if faults := verify(spark, root, manifest):
+        raise ArchiveError("; ".join(faults))
+    return {e["family"]: open_family(spark, root, e) for e in manifest["entries"]}
+
+
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
     return child.filter(F.col(child_key).isNotNull()).join(parent.select(F.col(parent_key).alias(child_key)), child_key, "left_anti")
 
@@ -115,7 +150,9 @@ def copy_archive(spark: SparkSession, source: str, target: str) -> list[str]:
         df = spark.read.parquet(f"{source}/family={e['family']}")
         writer = df.write.mode("overwrite").option("compression", "zstd")
         (writer.partitionBy("day") if "day" in df.columns and "day" not in [f["name"] for f in e["schema"]["fields"]] else writer).parquet(f"{target}/family={e['family']}")
-    publish(spark, target, manifest["entries"])
+    # The copy's own files; days and digests must be those of the source.
+    entries = [e | {"files": {r["file"]: r["bytes"] for r in part_files(spark, f"{target}/family={e['family']}").collect()}} for e in manifest["entries"]]
+    publish(spark, target, entries)
     return verify(spark, target)
 
 

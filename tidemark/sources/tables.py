@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -29,17 +29,45 @@ def time_range(df: DataFrame, at: str, start: str | None = None, end: str | None
     return df.filter(F.col(at) < F.lit(end).cast(kind)) if end is not None else df
 
 
+def _content(columns: Sequence[str]) -> Column:
+    return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
+
+
 def conflicts(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Keys whose rows differ in content; equal repeats are none."""
     rest = [c for c in df.columns if c not in key]
-    return df.groupBy(*key).agg(F.countDistinct(F.sha2(F.to_json(F.struct(*rest), {"ignoreNullFields": "false"}), 256)).alias("versions")).filter("versions > 1")
+    return df.groupBy(*key).agg(F.countDistinct(_content(rest)).alias("versions")).filter("versions > 1")
+
+
+def unanimous(df: DataFrame, key: Sequence[str], said: Sequence[str], what: str) -> DataFrame:
+    """One row for each key: the key and the columns `said`. Evaluating it raises, naming `what`, if rows of a key say different things."""
+    each = df.groupBy(*key).agg(F.min(_content(said)).alias("_low"), F.max(_content(said)).alias("_high"), F.first(F.struct(*said)).alias("_said"))
+    wrong = F.raise_error(F.concat(F.lit(f"{what}: "), F.to_json(F.struct(*key)))).cast("boolean")
+    return each.filter(F.when(F.col("_low") == F.col("_high"), F.lit(True)).otherwise(wrong)).select(*key, "_said.*")
 
 
 def hot_cold(cold: DataFrame, hot: DataFrame, at: str, hot_from: str, key: str | None = None) -> DataFrame:
-    """Cold rows before the cutoff and hot rows from it on, with the side. With a key, rows that both
-    sides hold outside their part are not looked at, so each fact comes from one side only."""
-    both = time_range(cold, at, None, hot_from).withColumn("side", F.lit("cold")).unionByName(time_range(hot, at, hot_from).withColumn("side", F.lit("hot")), allowMissingColumns=True)
-    return both.dropDuplicates([key]) if key else both
+    """Cold rows before the cutoff and hot rows from it on, with the side.
+
+    With a key, each fact comes once, and evaluating the union raises if any two rows of a key, on whichever
+    side of the cutoff, have different content."""
+    if key is None:
+        return time_range(cold, at, None, hot_from).withColumn("side", F.lit("cold")).unionByName(time_range(hot, at, hot_from).withColumn("side", F.lit("hot")), allowMissingColumns=True)
+    kind = dict(cold.dtypes)[at]
+    early = F.col(at) < F.lit(hot_from).cast(kind)
+    both = cold.withColumn("_own", early).unionByName(hot.withColumn("_own", ~early), allowMissingColumns=True)
+    columns = [c for c in both.columns if c != "_own"]
+    rest = [c for c in columns if c != key]
+    owned = both.groupBy(key).agg(F.bool_or("_own").alias("_own")).filter("_own").select(key)
+    return unanimous(both, [key], rest, "hot and cold facts have conflicting content").join(owned, key, "left_semi").select(*columns, F.when(early, "cold").otherwise("hot").alias("side"))
+
+
+def epoch_validity(*parts: DataFrame) -> DataFrame:
+    """epoch_id and data_valid of every epoch; raises on evaluation if the parts disagree about one."""
+    both = parts[0].select("epoch_id", "data_valid")
+    for p in parts[1:]:
+        both = both.unionByName(p.select("epoch_id", "data_valid"))
+    return unanimous(both, ["epoch_id"], ["data_valid"], "histories disagree about the validity of an epoch")
 
 
 def append_new(stored: DataFrame, batch: DataFrame, key: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -48,17 +76,24 @@ def append_new(stored: DataFrame, batch: DataFrame, key: Sequence[str]) -> tuple
     return fresh, batch.join(stored.select(*key).distinct(), list(key), "left_semi")
 
 
-def get_or_create(stored: DataFrame, seen: DataFrame, key: Sequence[str], at: str, payload: Sequence[str]) -> DataFrame:
-    """A dimension with a row for each key: the stored one, else the payload seen first."""
+def get_or_create(stored: DataFrame, seen: DataFrame, key: Sequence[str], at: str, payload: Sequence[str], parent: Sequence[str] = ()) -> DataFrame:
+    """A dimension with a row for each key: the stored one, else the payload seen first.
+
+    parent: those columns of the payload that a key never changes; evaluating the result raises if what is seen differs in them
+    from what is stored or from what else is seen."""
     first = seen.groupBy(*key).agg(F.min_by(F.struct(*payload), F.struct(at, *payload)).alias("_p")).select(*key, "_p.*")
-    return stored.select(*key, *payload).unionByName(first.join(stored.select(*key), list(key), "left_anti"))
+    out = stored.select(*key, *payload).unionByName(first.join(stored.select(*key), list(key), "left_anti"))
+    if parent:
+        held = stored.select(*key, *parent).unionByName(seen.select(*key, *parent))
+        out = out.join(unanimous(held, key, parent, "a key has two parents").select(*key), list(key))
+    return out
 
 
 def verified_append(stored: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows of a batch whose key is new. Evaluating it raises if a key comes with content other than what is
     stored or what another row of the batch holds."""
     rest = [c for c in stored.columns if c not in key]
-    digest = lambda df: df.select(*key, *rest, F.sha2(F.to_json(F.struct(*rest), {"ignoreNullFields": "false"}), 256).alias("_content"))
+    digest = lambda df: df.select(*key, *rest, _content(rest).alias("_content"))
     both = digest(stored).withColumn("_held", F.lit(1)).unionByName(digest(batch).withColumn("_held", F.lit(0)))
     keyed = both.groupBy(*key).agg(F.max("_held").alias("_held"), F.min("_content").alias("_low"), F.max("_content").alias("_high"), F.first(F.struct(*rest)).alias("_row"))
     same = F.when(F.col("_low") == F.col("_high"), F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("other content under a known key: "), F.to_json(F.struct(*key)))).cast("boolean"))
