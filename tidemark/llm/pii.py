@@ -54,10 +54,11 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
 _WORDS = "|".join(SPELLED)
+_SPACES = r"(?:(?<![ ])[ ]*|)"  # a whole run of spaces or none, so that a long run is gone through once
 _TOKEN = re.compile(
-    rf"""(?P<at> [ ]* [\[({{<] [ ]* (?:at|@) [ ]* [\])}}>] [ ]* | (?<=[a-z0-9]) (?:[ ]+@[ ]*|[ ]*@[ ]+) (?=[a-z0-9])
+    rf"""(?P<at> {_SPACES} [\[({{<] [ ]* (?:at|@) [ ]* [\])}}>] [ ]* | (?<=[a-z0-9]) (?:[ ]+@[ ]*|[ ]*@[ ]+) (?=[a-z0-9])
             | (?<=[a-z0-9]) [ ]+ at [ ]+ (?= [a-z0-9-]+ (?: [ ]+dot[ ]+ | [ ]*[\[({{<][ ]*dot ) ) )
-      | (?P<dot> [ ]* [\[({{<] [ ]* (?:dot|\.) [ ]* [\])}}>] [ ]* | (?<=[a-z0-9]) [ ]+ dot [ ]+ (?=[a-z0-9]) )
+      | (?P<dot> {_SPACES} [\[({{<] [ ]* (?:dot|\.) [ ]* [\])}}>] [ ]* | (?<=[a-z0-9]) [ ]+ dot [ ]+ (?=[a-z0-9]) )
       | (?P<plus> \b plus [ -]* (?= [0-9] | (?:{_WORDS}) \b ) )
       | (?P<digit> \b (?:{_WORDS}) \b (?: [ ,-]+ (?= (?:{_WORDS}) \b ) )? )
       | (?P<none> [{INVISIBLE}]+ )""",
@@ -165,6 +166,8 @@ def find_spans(text: str) -> list[tuple[str, int, int, bool]]:
     if (undone := rewrite(text)) is not None:
         normal, begins, sources = undone
         ends = [*[s for s, _ in sources[1:]], len(text)]
+        plain = {kind: sorted((a, b) for k, a, b in base if k == kind) for kind in KINDS}
+        starts = {kind: [a for a, _ in spans] for kind, spans in plain.items()}
 
         def source(i: int, last: bool) -> int:
             piece = bisect_right(begins, i) - 1
@@ -179,7 +182,8 @@ def find_spans(text: str) -> list[tuple[str, int, int, bool]]:
             start, end = source(a, False), source(b - 1, True)
             if text[start:end] == normal[a:b] or (kind == "email" and not _TLD.search(normal[a:b])):
                 continue
-            if not any(k == kind and s <= start and end <= e for k, s, e in base):
+            at = bisect_right(starts[kind], start) - 1
+            if at < 0 or plain[kind][at][1] < end:
                 out.setdefault((kind, start, end), True)
     return [(*span, out[span]) for span in sorted(out, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))]
 
