@@ -6,9 +6,10 @@ are that close exactly if they agree after deleting at most one character from e
 for every deletion, and equal keys join: (a) with the place of the deletion, lines that
 differ by a substitution there; (b) without it, a line against whole lines
 that are one character shorter. Either group is answered by its earliest member, so
-keys are never paired with each other.
+keys are never paired with each other. Should unlike lines ever share a key, all earlier members
+of that group are looked at instead, so no link is lost.
 
-Keys are sums of hashes of (character, place): running sums give those of all
+Keys are pairs of sums of 32-bit hashes of (character, place): running sums give those of all
 deletions of a line in one pass, however long it is. Two exact filters come before: a
 close line must share all of a line but one of 2, and then of 16, segments.
 """
@@ -22,7 +23,9 @@ from .common import durable, small, text_or_empty
 
 #: Shorter lines are only dropped for equal ones: an edit makes another line of them.
 LEAST_CHARS = 24
-_MASK = (1 << 40) - 1
+#: Bits of each of the two hashes of a character that are summed up: no line is long enough for their sums to overflow.
+_MASK = (1 << 32) - 1
+_GROUP = ["size", "at", "key0", "key1"]
 _LAST = (1 << 63) - 1
 _WORD = r"[^\x20\x09-\x0D]"
 
@@ -54,33 +57,54 @@ def _lines(docs: DataFrame, text: str, key: str) -> DataFrame:
     return each.filter((F.col("n") >= LEAST_CHARS) | F.col("line").rlike(_WORD)).withColumn("id", F.unhex(F.md5(F.col("line").cast("binary"))))
 
 
-def _close_pairs(lines: DataFrame) -> DataFrame:
-    """(id, earlier): lines of distinct id, line, n and place of which the second comes first
-    and has an equal key. To be verified."""
+def _variants(lines: DataFrame) -> DataFrame:
+    """id, place, size, at, key0, key1 and whole: the keys of every deletion of each of the lines (id, line, n, place), with and without
+    its place, and of the whole line."""
     chars = lines.select("id", "n", "place", F.posexplode(F.regexp_extract_all("line", F.lit("(?s)."), F.lit(0))).alias("i", "c"))
-    at = lambda place: F.xxhash64("c", place).bitwiseAND(F.lit(_MASK))
     along = Window.partitionBy("id").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sums = chars.select("id", "n", "place", "i", at(F.col("i")).alias("here"), at(F.col("i") - 1).alias("moved"))
-    sums = sums.withColumns({"before": F.sum("here").over(along), "after": F.sum("moved").over(along)})
-    sums = sums.withColumn("all_moved", F.sum("moved").over(Window.partitionBy("id")))
-    without = F.col("before") - F.col("here") + F.col("all_moved") - F.col("after")
-    variant = F.explode(
-        F.filter(
-            F.array(
-                F.struct(F.col("n").alias("size"), F.col("i").alias("at"), without.alias("key"), F.lit(False).alias("whole")),
-                F.struct((F.col("n") - 1).alias("size"), F.lit(-1).alias("at"), without.alias("key"), F.lit(False).alias("whole")),
-                F.when(F.col("i") == F.col("n") - 1, F.struct(F.col("n").alias("size"), F.lit(-1).alias("at"), F.col("before").alias("key"), F.lit(True).alias("whole"))),
-            ),
-            lambda v: v.isNotNull(),
-        )
-    )
-    keyed = sums.select("id", "place", variant.alias("v")).select("id", "place", "v.*")
-    group = Window.partitionBy("size", "at", "key")
+    sums = chars.select("id", "n", "place", "i", F.xxhash64("c", "i").alias("here"), F.xxhash64("c", F.col("i") - 1).alias("moved"))
+    halves = {f"{c}{k}": F.shiftrightunsigned(c, 32 * k).bitwiseAND(F.lit(_MASK)) for c in ("here", "moved") for k in range(2)}
+    sums = sums.select("id", "n", "place", "i", *[c.alias(name) for name, c in halves.items()])
+    sums = sums.withColumns({f"{name}{k}": F.sum(f"{c}{k}").over(along) for name, c in (("before", "here"), ("after", "moved")) for k in range(2)})
+    sums = sums.withColumns({f"all{k}": F.sum(f"moved{k}").over(Window.partitionBy("id")) for k in range(2)})
+    without = [F.col(f"before{k}") - F.col(f"here{k}") + F.col(f"all{k}") - F.col(f"after{k}") for k in range(2)]
+
+    def key(size: Column, at: Column, keys: list[Column], whole: bool) -> Column:
+        return F.struct(size.alias("size"), at.alias("at"), keys[0].alias("key0"), keys[1].alias("key1"), F.lit(whole).alias("whole"))
+
+    n, i = F.col("n"), F.col("i")
+    each = F.array(key(n, i, without, False), key(n - 1, F.lit(-1), without, False), F.when(i == n - 1, key(n, F.lit(-1), [F.col("before0"), F.col("before1")], True)))
+    return sums.select("id", "place", F.explode(F.filter(each, lambda v: v.isNotNull())).alias("v")).select("id", "place", "v.*")
+
+
+def _close_pairs(lines: DataFrame) -> DataFrame:
+    """(id, earlier) and their key: lines of distinct id, line, n and place of which the second is the earliest
+    that has an equal key. To be verified."""
+    group = Window.partitionBy(*_GROUP)
     own = F.struct("place", "id")
-    keyed = keyed.withColumns({"first_whole": F.min(F.when(F.col("whole"), own)).over(group), "first_part": F.min(F.when(~F.col("whole"), own)).over(group)})
+    keyed = _variants(lines).withColumns({"first_whole": F.min(F.when(F.col("whole"), own)).over(group), "first_part": F.min(F.when(~F.col("whole"), own)).over(group)})
     first = F.when((F.col("at") >= 0) | F.col("whole"), F.col("first_part")).otherwise(F.col("first_whole"))
     found = keyed.withColumn("first", first).filter((F.col("first.id") != F.col("id")) & (F.col("first.place") < F.col("place")))
-    return found.select("id", F.col("first.id").alias("earlier")).distinct()
+    return found.select("id", F.col("first.id").alias("earlier"), *_GROUP)
+
+
+def _verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+    """The pairs, with close: whether they are within one edit."""
+    left, right = lines.select("id", F.col("line").alias("a")), lines.select(F.col("id").alias("earlier"), F.col("line").alias("b"))
+    return pairs.join(left, "id").join(right, "earlier").withColumn("close", F.levenshtein("a", "b", 1) >= 0).drop("a", "b")
+
+
+def _close_lines(lines: DataFrame) -> DataFrame:
+    """Ids of the lines (id, line, n, place) to which an earlier one is within one edit."""
+    judged = durable(_verified(_close_pairs(lines), lines), "close-pairs")
+    close = judged.filter("close").select("id").distinct()
+    mixed = judged.filter("NOT close").select(*_GROUP).distinct()
+    if mixed.isEmpty():
+        return close
+    members = durable(_variants(lines).join(mixed, _GROUP), "mixed-groups")
+    other = members.select(*_GROUP, F.col("id").alias("earlier"), F.col("place").alias("sooner"), F.col("whole").alias("also_whole"))
+    pairs = members.join(other, _GROUP).filter((F.col("sooner") < F.col("place")) & ((F.col("at") >= 0) | (F.col("whole") != F.col("also_whole"))))
+    return close.union(_verified(pairs.select("id", "earlier").distinct(), lines).filter("close").select("id")).distinct()
 
 
 def repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -97,9 +121,7 @@ def repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     texts = durable(texts.join(distinct.select("id", "n", "place"), "id"), "half-alike-lines")
     nearer = _sharing(texts.withColumn("keys", _segment_keys(F.col("line"), F.col("n"), 16)), "alike")
     alike = texts.join(small(nearer, nearer.count()), "id", "left_semi")
-    pairs = durable(_close_pairs(alike), "close-pairs")
-    left, right = alike.select("id", F.col("line").alias("a")), alike.select(F.col("id").alias("earlier"), F.col("line").alias("b"))
-    close = pairs.join(left, "id").join(right, "earlier").filter(F.levenshtein("a", "b", 1) >= 0).select("id").distinct()
+    close = _close_lines(alike)
     # Written, so that both sides of the last join come straight from a shuffle and a line of very many documents can be split.
     judged = distinct.select("id", "place", "times").join(close.withColumn("close", F.lit(True)), "id", "left")
     decided = durable(judged.filter("close OR times > 1").drop("times"), "decided-lines")
