@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import durable, scratch
+from tidemark.llm.common import ARROW_ROWS, durable, scratch
 from tidemark.llm.dedup_exact import drop_repeats
 from tidemark.llm.entry import held_out, tokenizer_file
 from tidemark.llm.language import UNDETERMINED, identify_language, train_language_model
@@ -25,8 +25,10 @@ LEAST_SCORE = 0.3
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a language: no letters, or no language that fits."""
     model = train_language_model(docs, F.col("doc_id").isNotNull() & ~held_out())
-    found = identify_language(docs, model)
-    return found.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    own = {c: f"_own_{c}" for c in ("lang_pred", "score") if c in docs.columns}
+    found = identify_language(docs.withColumnsRenamed(own), model)
+    kept = found.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
+    return kept.select(*[F.col(f"`{own.get(c, c)}`").alias(c) for c in docs.columns])
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,9 +56,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage. All stages are run and written here, so the session's size of Python's batches is set back at the end."""
+    batch = spark.conf.get(ARROW_ROWS)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        with scratch(spark) as kept:
-            docs = durable(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-            kept.append(docs)
+    try:
+        for name, stage in STAGES:
+            with scratch(spark) as kept:
+                docs = durable(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+                kept.append(docs)
+    finally:
+        spark.conf.set(ARROW_ROWS, batch)
     return docs

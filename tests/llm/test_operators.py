@@ -30,7 +30,7 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 @pytest.fixture(scope="module")
 def docs(spark):
     df = spark.createDataFrame(ROWS, SCHEMA)
-    clash = {c: F.lit("mine") for c in ("digest", "keep_id", "kept", "size", "target", "copies", "shard", "slot", "pii", "score", "n_words", "n_lines", "clean_text", "length", "start", "row", "key")}
+    clash = {c: F.lit("mine") for c in ("digest", "keep_id", "kept", "size", "target", "copies", "shard", "slot", "pii", "score", "n_words", "n_lines", "clean_text", "length", "start", "row", "key", "source_size", "lang_pred", "expected_grade", "tail_probability", "removed_words", "base_failed", "dropped_lines", "component_id", "n_shingles", "sequence_id", "offset", "doc_tokens", "text_crc32", "bucket", "node")}
     return df.withColumns(clash).repartition(3)
 
 
@@ -239,7 +239,11 @@ def test_near_duplicates(docs, empty, spark):
     got = near_dedup.near_duplicates(docs).collect()
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == near_by_pairs([r[:2] for r in ROWS])
     assert near_dedup.near_duplicates(empty).count() == 0
-    assert near_dedup.drop_near_duplicates(docs).columns == docs.columns
+    kept = near_dedup.drop_near_duplicates(docs)
+    first = {c: i for i, _, c in near_by_pairs([r[:2] for r in ROWS])}
+    own = [r for r in ROWS if r[0] is None or r[0] not in (2, 3, 8) and not (r[0] == 10 and r[1] == BODY)]
+    assert kept.columns == docs.columns and set(first)
+    assert sorted(((r.doc_id, r.text, r.source, r.kept, r["component_id"]) for r in kept.collect()), key=str) == sorted(((r[0], r[1], r[3], "mine", "mine") for r in own), key=str)
 
 
 def test_near_duplicates_in_chains(spark):
@@ -267,7 +271,10 @@ def test_mixing(docs, empty, spark):
         assert r.target <= 3 * sizes[r.source] + 1e-9
     targets = {r.source: r.target for r in got}
     assert abs(sum(targets.values()) - sum(sizes.values())) < 1e-6 or all(abs(t - 3 * sizes[s]) < 1e-9 for s, t in targets.items())
-    assert mixing.mix_sources(docs).columns == docs.columns
+    mixed = mixing.mix_sources(docs)
+    want = Counter({(r.doc_id, r.text, r.source): 0 for r in got}) + Counter(x for r in got for x in [(r.doc_id, r.text, r.source)] * r.copies)
+    assert mixed.columns == docs.columns and Counter((r.doc_id, r.text, r.source) for r in mixed.collect()) == want
+    assert {(r["size"], r.target, r.copies, r.source_size) for r in mixed.collect()} <= {("mine",) * 4}
     assert sorted(map(str, mixing.mixing_plan(docs).select("doc_id", "text", "copies").collect())) == sorted(map(str, mixing.mixing_plan(docs.repartition(5)).select("doc_id", "text", "copies").collect()))
     assert mixing.mixing_plan(empty).count() == 0
     many = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("x y z").alias("text"), F.when(F.col("id") % 3 == 0, "s1").when(F.col("id") % 3 == 1, "s2").alias("source"))

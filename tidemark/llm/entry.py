@@ -108,11 +108,17 @@ l AS (
     / (sum(weight) OVER (ORDER BY place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level FROM r),
 f AS (SELECT level FROM l WHERE level * weight <= 3 * source_size ORDER BY place LIMIT 1),
 t AS (SELECT source, source_size, least((SELECT level FROM f) * weight, (3 * source_size)::DOUBLE) AS target FROM w),
-c AS (
-  SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
-    ('0x' || substr(md5('mix|' || coalesce(doc_id::VARCHAR, 'none:' || coalesce(d.source || ':', '') || size)), 1, 8))::BIGINT / 4294967296.0 AS draw
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target, size * (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END)::BIGINT AS taken FROM c
+z AS (
+  SELECT doc_id, d.source, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
+    ('0x' || substr(md5('mix|' || coalesce(doc_id::VARCHAR, 'none:' || coalesce(d.source || ':', '') || size)), 1, 15))::BIGINT AS h,
+    ('0x' || substr(md5('mix|' || coalesce('=' || d.source, '')), 1, 8))::BIGINT::DOUBLE / 4294967296::DOUBLE AS u
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+g AS (SELECT source, size, rate - floor(rate) AS part, u, count(*) AS n FROM z GROUP BY ALL),
+q AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY source ORDER BY size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM g),
+k AS (SELECT source, size, floor(part * (before + n) + u) - floor(part * before + u) AS due FROM q)
+SELECT doc_id, z.size, source_size, target,
+  z.size * (floor(rate)::BIGINT + CASE WHEN rank() OVER (PARTITION BY z.source, z.size ORDER BY h) <= due THEN 1 ELSE 0 END) AS taken
+FROM z JOIN k ON z.source IS NOT DISTINCT FROM k.source AND z.size = k.size
 """
 
 
@@ -153,9 +159,9 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL["op3_line_dedup"] = """
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS number FROM d),
-u AS (SELECT line, length(line) AS n, min(struct_pack(d := doc_id, k := number)) AS place FROM l WHERE length(line) >= 24 GROUP BY 1, 2),
+u AS (SELECT line, length(line) AS n, min(struct_pack(d := doc_id, k := number)) AS place FROM l WHERE length(line) >= 24 OR regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY 1, 2),
 p AS (
-  SELECT a.line FROM u a JOIN u b ON b.n BETWEEN a.n - 1 AND a.n + 1 AND b.place < a.place
+  SELECT a.line FROM u a JOIN u b ON a.n >= 24 AND b.n >= 24 AND b.n BETWEEN a.n - 1 AND a.n + 1 AND b.place < a.place
     AND (left(a.line, (least(a.n, b.n) // 2)::BIGINT) = left(b.line, (least(a.n, b.n) // 2)::BIGINT)
       OR right(a.line, (least(a.n, b.n) // 2)::BIGINT) = right(b.line, (least(a.n, b.n) // 2)::BIGINT))
   WHERE CASE WHEN a.n = b.n
