@@ -7,7 +7,7 @@ import os
 import duckdb
 import pytest
 
-from tidemark.plans.queries import QUERIES, SQL
+from tidemark.plans.fact_queries import QUERIES, SQL
 
 
 @pytest.fixture(scope="module")

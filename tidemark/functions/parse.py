@@ -90,11 +90,13 @@ def base58_text(data: pd.Series) -> pd.Series:
 def named_uuid(namespace: uuid.UUID):
     """A column function for UUIDs of version 5 in a namespace; nulls stay null."""
 
-    @F.pandas_udf(StringType())
-    def of(names: pd.Series) -> pd.Series:
-        return names.map(lambda n: None if n is None else str(uuid.uuid5(namespace, n)))
+    def of(name: Column | str) -> Column:
+        h = F.sha1(F.concat(F.unhex(F.lit(namespace.hex)), col(name).cast("binary")))
+        # Version 5 takes the place of a digit, and the two highest bits of another are set to 10.
+        variant = F.substring(F.lit("89ab89ab89ab89ab"), F.conv(F.substring(h, 17, 1), 16, 10).cast("int") + 1, F.lit(1))
+        return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("5"), F.substring(h, 14, 3)), F.concat(variant, F.substring(h, 18, 3)), F.substring(h, 21, 12))
 
-    return of
+    return lambda name: F.when(col(name).isNotNull(), of(name))
 
 
 def raw_is_safe(body: Column | str) -> Column:

@@ -65,6 +65,12 @@ def decimal_text(d: Column | str) -> Column:
     return F.when(F.contains(text, F.lit(".")), F.regexp_replace(text, r"\.?0+$", "")).otherwise(text)
 
 
+def same_at_scale(a: Column | str, stored: Column | str, scale: int) -> Column:
+    """Whether a value, rounded half up to the scale that a store keeps, is what it holds; two nulls are the same."""
+    at = lambda c: F.round(col(c).cast("decimal(38,18)"), scale).cast(f"decimal(38,{scale})")
+    return at(a).eqNullSafe(at(stored))
+
+
 def epoch_time(x: Column | str) -> Column:
     """Seconds, or milliseconds from 1e11 on, to a timestamp; null if it is not a finite number."""
     v = col(x).try_cast("double")

@@ -8,6 +8,7 @@ number of probes, where a join on inequalities would compare all pairs of a key.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,18 +24,34 @@ def _timeline(probes: DataFrame, facts: DataFrame, by: Sequence[str], probe_at:
     return left.unionByName(right, allowMissingColumns=True)
 
 
-def _carried(line: DataFrame, by: Sequence[str], order: Sequence[Column], forward: bool, split_seconds: int) -> DataFrame:
-    """Probes with the last fact, by chunks of time: one fact is kept of each chunk, what it hands on is found
+def _carried(line: DataFrame, by: Sequence[str], order: Sequence[Column], forward: bool, split_seconds: int | None, largest: bool = False) -> DataFrame:
+    """Probes with the last fact before them (largest: with the largest).
+
+    With split_seconds by chunks of time: one fact is kept of each chunk, what it hands on is found
     among those few, and rows are only sorted within their chunk."""
+    over = (lambda c, w: F.max(c).over(w)) if largest else (lambda c, w: F.last(c, ignorenulls=True).over(w))
+    probe = F.col("_side") == _PROBE
+    if split_seconds is None:
+        w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return line.withColumn("_last", over("_fact", w)).filter(probe)
     line = line.withColumn("_chunk", F.floor(F.col("_t") / (split_seconds * MICROS)))
-    pick = F.min_by if forward else F.max_by
-    left = line.filter(F.col("_side") == _FACT).groupBy(*by, "_chunk").agg(pick("_fact", F.struct("_t", "_rank")).alias("_own"))
-    chunks = line.select(*by, "_chunk").distinct().join(left, [*by, "_chunk"], "left")
+    pick = F.max("_fact") if largest else (F.min_by if forward else F.max_by)("_fact", F.struct("_t", "_rank"))
+    left = line.filter(F.col("_side") == _FACT).groupBy(*by, "_chunk").agg(pick.alias("_own"))
+    same = lambda a, b: reduce(lambda x, y: x & y, [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in (*by, "_chunk")])
+    chunks = line.select(*by, "_chunk").distinct().alias("c").join(left.alias("l"), same("c", "l"), "left").select(*[F.col(f"c.{c}") for c in (*by, "_chunk")], "l._own")
     along = Window.partitionBy(*by).orderBy(F.col("_chunk").desc() if forward else F.col("_chunk")).rowsBetween(Window.unboundedPreceding, -1)
-    handed = chunks.select(*by, "_chunk", F.last("_own", ignorenulls=True).over(along).alias("_handed"))
+    handed = chunks.select(*by, "_chunk", over("_own", along).alias("_handed")).filter("_handed IS NOT NULL")
     w = Window.partitionBy(*by, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    own = line.withColumn("_last", F.last("_fact", ignorenulls=True).over(w)).filter(F.col("_side") == _PROBE)
-    return own.join(handed, [*by, "_chunk"], "left").withColumn("_last", F.coalesce("_last", "_handed")).drop("_handed", "_chunk")
+    own = line.withColumn("_last", over("_fact", w)).filter(probe)
+    joined = own.alias("o").join(handed.alias("h"), same("o", "h"), "left").select("o.*", "h._handed")
+    return joined.withColumn("_last", (F.greatest if largest else F.coalesce)("_last", "_handed")).drop("_handed", "_chunk")
+
+
+def hot_split(facts: DataFrame, by: Sequence[str], at: str, most_rows: int = 2_000_000) -> int | None:
+    """The split_seconds with which no chunk of the fullest key has much more than most_rows facts; None if none has more as it is."""
+    n = facts.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), ((F.max(micros(at)) - F.min(micros(at))) / MICROS).alias("s"))
+    hot = n.agg(F.max("n").alias("n"), F.max(F.when(F.col("n") > most_rows, F.struct("n", "s"))).alias("x")).first()
+    return None if hot is None or hot["x"] is None else max(1, int(hot["x"]["s"] * most_rows / hot["x"]["n"]))
 
 
 def _out(line: DataFrame, probes: DataFrame, prefix: str, found: Column, payload: Sequence[str], keep: Column) -> DataFrame:
@@ -63,39 +80,33 @@ def asof_join(
     line = _timeline(probes, facts.filter(F.col(fact_time).isNotNull()), by, probe_at, fact_at, F.col(tie) if tie else F.lit(0), [*payload, fact_time] if fact_time not in payload else list(payload))
     first_side = F.col("_side") if not strict else -F.col("_side")
     order = [F.col("_t"), first_side, F.col("_rank")] if not forward else [F.col("_t").desc(), first_side, F.col("_rank").desc()]
-    if split_seconds is None:
-        w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        line = line.withColumn("_last", F.last("_fact", ignorenulls=True).over(w)).filter(F.col("_side") == _PROBE)
-    else:
-        line = _carried(line, by, order, forward, split_seconds)
+    line = _carried(line, by, order, forward, split_seconds)
     apart = F.abs(F.col("_t") - micros(F.col(f"_last.{fact_time}")))
     return _out(line, probes, prefix, F.col("_last"), payload, apart <= tolerance * MICROS if tolerance is not None else F.lit(True))
 
 
-def asof_largest(probes: DataFrame, facts: DataFrame, by: Sequence[str], probe_time: str, times: Sequence[str], order: Sequence[str], payload: Sequence[str], prefix: str = "asof_") -> DataFrame:
+def asof_largest(probes: DataFrame, facts: DataFrame, by: Sequence[str], probe_time: str, times: Sequence[str], order: Sequence[str], payload: Sequence[str], prefix: str = "asof_", split_seconds: int | None = None) -> DataFrame:
     """Of the facts whose every time is at or before the probe's, the one that is largest by `order`.
 
     The winner need not be the one that became visible last, so a running
-    maximum takes the place of the last value."""
+    maximum takes the place of the last value. split_seconds as in asof_join."""
     visible = F.greatest(*[micros(t) for t in times]) if len(times) > 1 else micros(times[0])
     known = facts
     for t in times:
         known = known.filter(F.col(t).isNotNull())
     line = _timeline(probes, known.withColumn("_order", F.struct(*order)), by, micros(probe_time), visible, F.lit(0), ["_order", *payload])
-    w = Window.partitionBy(*by).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    line = line.withColumn("_last", F.max("_fact").over(w)).filter(F.col("_side") == _PROBE)
+    line = _carried(line, by, [F.col("_t"), F.col("_side")], False, split_seconds, largest=True)
     return _out(line, probes, prefix, F.col("_last"), payload, F.lit(True))
 
 
-def lookbacks(probes: DataFrame, facts: DataFrame, by: Sequence[str], probe_key: Sequence[str], probe_time: str, fact_time: str, payload: Sequence[str], horizons: dict[str, tuple[int, int]], tie: str | None = None) -> DataFrame:
+def lookbacks(probes: DataFrame, facts: DataFrame, by: Sequence[str], probe_key: Sequence[str], probe_time: str, fact_time: str, payload: Sequence[str], horizons: dict[str, tuple[int, int]], tie: str | None = None, split_seconds: int | None = None) -> DataFrame:
     """All lookbacks in one pass: horizons maps a name to (seconds back, tolerance). Each
-    probe row gets <payload>_<name> and actual_seconds_<name>, the true distance."""
+    probe row gets <payload>_<name> and actual_seconds_<name>, the true distance. split_seconds as in asof_join."""
     spans = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(h * MICROS).alias("back"), F.lit(t * MICROS).alias("off")) for n, (h, t) in horizons.items()])
     asked = probes.select(*by, *[c for c in probe_key if c not in by], micros(probe_time).alias("_now"), F.explode(spans).alias("_h")).withColumn("_at", F.col("_now") - F.col("_h.back"))
     known = facts.filter(F.col(fact_time).isNotNull()).select(*by, micros(fact_time).alias("_t"), (F.col(tie) if tie else F.lit(0)).alias("_rank"), F.struct(micros(fact_time).alias("_ft"), *payload).alias("_fact"))
     line = known.withColumn("_side", F.lit(_FACT)).unionByName(asked.withColumnRenamed("_at", "_t").withColumn("_side", F.lit(_PROBE)), allowMissingColumns=True)
-    w = Window.partitionBy(*by).orderBy("_t", "_side", "_rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    line = line.withColumn("_last", F.last("_fact", ignorenulls=True).over(w)).filter(F.col("_side") == _PROBE)
+    line = _carried(line, by, [F.col("_t"), F.col("_side"), F.col("_rank")], False, split_seconds)
     near = F.col("_t") - F.col("_last._ft") <= F.col("_h.off")
     aggs = []
     for n in horizons:

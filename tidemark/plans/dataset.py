@@ -36,6 +36,8 @@ SNAPSHOTS = ("holder_snapshots", "trader_distribution_snapshots", "creator_histo
 EVENTS = ("liquidity_event_evidence", "wallet_relationship_edges", "wallet_cluster_snapshots", "funding_relationship_evidence")
 # What is known of a market as a whole, and what identifies a token.
 CONTEXT = {"sol_usd_price": "double", "sol_return_5m": "double", "sol_realized_volatility_1h": "double", "admitted_tokens": "long", "mature_cohort_active_fraction": "double", "aggregate_volume_m5_usd": "double", "aggregate_buys_m5": "long", "aggregate_sells_m5": "long"}
+#: All candidates share the line of the context; it is sorted in chunks of so many seconds.
+CONTEXT_SPLIT = 3600
 IDENTITY = {"token_address": "string", "epoch_id": "string", "epoch_number": "long"}
 
 
@@ -140,12 +142,12 @@ def state_as_of(candidates: DataFrame, families: Mapping[str, DataFrame]) -> Dat
     else:
         out = out.withColumn("coverage_class", F.lit(None).cast("string"))
     payload = ["received_at", "bucket_start", "bucket_end", *CONTEXT]
-    if "context" in families:  # one line for all tokens, of few rows a day: keyed by a constant only if epochs are not told apart
+    if "context" in families:  # one line for all tokens (of an epoch), so it is cut into days
         source = candidates if "epoch_id" in candidates.columns else out
         key = "epoch_id" if "epoch_id" in families["context"].columns and ("epoch_id" in candidates.columns or "tokens" in families) else None
         probes = source.select(*KEY, *([key] if key else [])).distinct().withColumn("_all", F.lit(0))
         facts = with_columns(families["context"], CONTEXT).withColumn("_all", F.lit(0))
-        found = asof_largest(probes, facts, [key or "_all"], "decision_at", ["received_at", "bucket_end"], ["received_at", "bucket_end", "id"], payload, prefix="context_")
+        found = asof_largest(probes, facts, [key or "_all"], "decision_at", ["received_at", "bucket_end"], ["received_at", "bucket_end", "id"], payload, prefix="context_", split_seconds=CONTEXT_SPLIT)
         out = out.join(found.drop("_all", "epoch_id"), KEY)
     else:
         out = out.withColumns({f"context_{c}": F.lit(None) for c in payload})

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -153,25 +155,30 @@ def tier_transitions(decisions: DataFrame) -> DataFrame:
     decisions: token_id, id, t (seconds of the evaluation), watermark, tier, eligible, ttl. Rules: evidence older than
     what was used already is ignored; evidence of the same time never demotes; a token that is not eligible
     any more keeps its tier until its coverage ends. A change sets the coverage to t + ttl, or to nothing in
-    tier 0. Keys are spread over the cluster; the state is carried within one."""
-    import pandas as pd
+    tier 0. Tokens are spread over the cluster and their decisions sorted; a token's state, a few values, is carried along the
+    rows, so a long history needs no more memory than a short one."""
+    rows = decisions.select("token_id", "id", F.col("t").cast("double").alias("t"), F.col("watermark").cast("double").alias("watermark"), "tier", "eligible", F.col("ttl").cast("double").alias("ttl"))
+    kinds = dict(rows.dtypes)
+    sorted_rows = rows.repartition("token_id").sortWithinPartitions("token_id", "t", "id")
+    return sorted_rows.mapInPandas(_walk, f"token_id {kinds['token_id']}, id {kinds['id']}, previous string, tier string, t double, covered_until double")
+
 
-    def fold(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        tier, seen, until, out = "TIER_0", None, None, []
-        for r in rows.sort_values(["t", "id"]).itertuples():
+def _walk(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    token, tier, seen, until = None, "TIER_0", None, None
+    for rows in batches:
+        out = []
+        for r in rows.itertuples():
+            if r.token_id != token:
+                token, tier, seen, until = r.token_id, "TIER_0", None, None
             if seen is not None and (r.watermark < seen or (r.watermark == seen and _RANK[r.tier] < _RANK[tier])):
                 continue
             target = tier if not r.eligible and until is not None and r.t < until else r.tier
             renewed = target == tier and tier != "TIER_0" and r.eligible and until is not None and until <= r.t
             if target != tier or renewed:
                 until = None if target == "TIER_0" else r.t + r.ttl
-                out.append((key[0], r.id, tier, target, r.t, until))
+                out.append((token, r.id, tier, target, r.t, until))
                 tier, seen = target, r.watermark
-        return pd.DataFrame(out, columns=["token_id", "id", "previous", "tier", "t", "covered_until"]).astype({"t": "float64", "covered_until": "float64"})
-
-    rows = decisions.select("token_id", "id", F.col("t").cast("double").alias("t"), F.col("watermark").cast("double").alias("watermark"), "tier", "eligible", F.col("ttl").cast("double").alias("ttl"))
-    kinds = dict(rows.dtypes)
-    return rows.groupBy("token_id").applyInPandas(fold, f"token_id {kinds['token_id']}, id {kinds['id']}, previous string, tier string, t double, covered_until double")
+        yield pd.DataFrame(out, columns=["token_id", "id", "previous", "tier", "t", "covered_until"]).astype({"t": "float64", "covered_until": "float64"})
 
 
 def plan_capacity(counts: dict[str, int], intervals: dict[str, int], weights: dict[str, float], per_minute: float, floor_share: float = 0.05) -> dict:

@@ -609,9 +609,9 @@ def q49_streaming_dedupe(spark, sf_dir):
 
 @query("SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS bucket_start, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1")
 def q50_stream_tumbling(spark, sf_dir):
-    from tidemark.streaming.events import tumbling
+    from tidemark.streaming.events import closed
 
-    return tumbling(spark, sf_dir, "5 minutes").select(F.col("bucket_start").cast("timestamp_ntz").alias("bucket_start"), "n", F.round("total", 4).alias("total"))
+    return closed(spark, sf_dir, "5 minutes", flush=True).select(F.col("bucket_start").cast("timestamp_ntz").alias("bucket_start"), "n", F.round("total", 4).alias("total"))
 
 
 @query("""
@@ -629,12 +629,12 @@ def q51_pending_by_hour(spark, sf_dir):
 
 @query("""
 SELECT event_id, minute, k::INT AS turn FROM (
-  SELECT event_id, date_trunc('day', ts) AS minute, row_number() OVER (PARTITION BY date_trunc('day', ts) ORDER BY ts, event_id, user_id) AS k FROM events WHERE event_type = 'purchase') WHERE k <= 5
+  SELECT event_id, date_trunc('minute', ts) AS minute, row_number() OVER (PARTITION BY date_trunc('minute', ts) ORDER BY ts, event_id, user_id) AS k FROM events) WHERE k <= 2
 """)
 def q52_bounded_wakeups(spark, sf_dir):
-    e = Tables(spark, sf_dir).events.filter("event_type = 'purchase'").withColumn("minute", F.date_trunc("day", "ts").cast("timestamp_ntz"))
+    e = Tables(spark, sf_dir).events.withColumn("minute", F.date_trunc("minute", "ts").cast("timestamp_ntz"))
     turn = F.row_number().over(Window.partitionBy("minute").orderBy("ts", "event_id", "user_id"))
-    return e.select("event_id", "minute", turn.alias("turn")).filter("turn <= 5")
+    return e.select("event_id", "minute", turn.alias("turn")).filter("turn <= 2")
 
 
 @query("""

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalar import MICROS, micros, ratio, seconds_between
+from tidemark.functions.scalar import MICROS, col, micros, ratio, seconds_between
 from tidemark.operators.stats import interpolated, null_rate
 
 OBSERVED = ("price_usd", "liquidity_usd", "market_cap_usd", "volume_m5_usd", "volume_h1_usd", "buys_m5", "sells_m5")
@@ -111,6 +111,18 @@ def growth(first: int, last: int, seconds: float) -> dict[str, float | None]:
     return {f"gib_{d}d": None if day is None else day * d for d in (1, 30, 90, 365)}
 
 
+def growth_columns(first: Column | str, last: Column | str, seconds: Column | str) -> dict[str, Column]:
+    """The same for columns: null where no time passed."""
+    day = F.when(col(seconds) > 0, (col(last) - col(first)) / col(seconds) * 86400 / float(2**30))
+    return {f"gib_{d}d": day * d for d in (1, 30, 90, 365)}
+
+
+def top_growth(samples: DataFrame, by: str, at: str, size: str, n: int = 10) -> DataFrame:
+    """The n keys that grew most between their first and their last sample, then by key."""
+    ends = samples.groupBy(by).agg((F.max_by(size, at) - F.min_by(size, at)).alias("growth"))
+    return ends.filter("growth IS NOT NULL").orderBy(F.col("growth").desc(), by).limit(n)
+
+
 def live_seconds(runs: DataFrame, epoch: str, end: str) -> DataFrame:
     """For each epoch the seconds in which some run was live, by the union of [live start, finish) of its runs.
 

@@ -82,6 +82,23 @@ def wallet_clusters(edges: DataFrame) -> DataFrame:
     return sizes.join(why, "component").select(F.col("component").alias("cluster"), "size", "members_digest", "explanation")
 
 
+def bounded_edges(edges: DataFrame, by: Sequence[str], order: str, most_edges: int, most_wallets: int) -> DataFrame:
+    """The first edges of each key, and of these the ones between its first wallets by name, with whether anything was left out.
+
+    The bounds are the feature: what a key may ask of a provider. Clusters themselves go over all edges."""
+    w = Window.partitionBy(*by).orderBy(order)
+    numbered = edges.withColumn("_k", F.row_number().over(w)).withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*by)))
+    first = numbered.filter(F.col("_k") <= most_edges)
+    wallets = first.select(*by, F.explode(F.array("wallet_a", "wallet_b")).alias("_wallet")).distinct()
+    ranked = wallets.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy("_wallet"))).withColumn("_all", F.count(F.lit(1)).over(Window.partitionBy(*by)))
+    allowed = ranked.filter(F.col("_r") <= most_wallets)
+    out = first
+    for side in ("wallet_a", "wallet_b"):
+        out = out.join(allowed.select(*by, F.col("_wallet").alias(side), F.col("_all").alias(f"_{side}")), [*by, side])
+    partial = (F.col("_n") > most_edges) | (F.col("_wallet_a") > most_wallets)
+    return out.select(*edges.columns, partial.alias("partial"))
+
+
 def common_funder_share(funding: DataFrame, by: Sequence[str] = ("token_id",)) -> DataFrame:
     """Percent of a token's funding facts that come from its most common source."""
     n = funding.groupBy(*by, "source_wallet").agg(F.count(F.lit(1)).alias("n"))
