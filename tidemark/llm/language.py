@@ -56,6 +56,7 @@ def features(column: pa.Array | pa.ChunkedArray) -> Iterator[np.ndarray]:
         if len(symbol) > 1:  # one space for a run of them
             keep = np.ones(len(symbol), dtype=bool)
             keep[1:] = (symbol[1:] != 32) | (symbol[:-1] != 32)
+            keep[offsets[:-1][offsets[:-1] < len(keep)]] = True  # but not across texts
             moved = np.concatenate([[0], np.cumsum(keep)])
             symbol, offsets = symbol[keep], moved[offsets]
         grams, total = [], np.zeros(len(symbol), dtype=np.uint32)
