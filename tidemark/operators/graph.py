@@ -16,13 +16,13 @@ from tidemark.work import durable
 def _contract(edges: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
     """(node, taken) for every end of the edges (x, y), and the edges between what was taken."""
 
-    def ranked(c: str):
-        return F.struct(F.xxhash64(F.col(c), F.lit(seed)).alias("rank"), F.col(c).alias("node"))
-
+    rank = lambda c: F.xxhash64(F.col(c), F.lit(seed))
+    # Longs alone are aggregated, so nothing needs sorting.
     both = edges.union(edges.select("y", "x"))
-    first = both.groupBy("x").agg(F.min(ranked("y")).alias("first")).select("x", F.least("first", ranked("x")).alias("first"))
+    near = both.groupBy("x").agg(F.min_by("y", rank("y")).alias("y"))
+    first = near.select("x", F.when(rank("x") <= rank("y"), F.col("x")).otherwise(F.col("y")).alias("first"))
     beside = both.join(first.withColumnRenamed("x", "y"), "y").select("x", "first").union(first)
-    taken = durable(beside.groupBy(F.col("x").alias("node")).agg(F.min("first").alias("first")).select("node", F.col("first.node").alias("taken")), "taken")
+    taken = durable(beside.groupBy(F.col("x").alias("node")).agg(F.min_by("first", rank("first")).alias("taken")), "taken")
     moved = edges.join(taken.select(F.col("node").alias("x"), F.col("taken").alias("p")), "x").join(taken.select(F.col("node").alias("y"), F.col("taken").alias("q")), "y")
     return taken, durable(moved.filter("p <> q").select(F.least("p", "q").alias("x"), F.greatest("p", "q").alias("y")).distinct(), "edges")
 
@@ -47,7 +47,7 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """node and component (its smallest node), for nodes of any type that has an order.
 
     Nodes are worked on as 64-bit hashes; should two share one, all are hashed anew."""
-    pairs = durable(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a <> b").distinct(), "pairs")
+    pairs = durable(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a <> b"), "pairs")
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
     seed = 0
     while True:
@@ -56,6 +56,7 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
         if named.filter("node <> other").isEmpty():
             break
         seed += 1
-    roots = durable(contract(pairs.select(id_of("a").alias("x"), id_of("b").alias("y"))).withColumnRenamed("node", "id").join(named.select("id", "node"), "id"), "roots")
+    roots = contract(pairs.select(id_of("a").alias("x"), id_of("b").alias("y"))).withColumnRenamed("node", "id")
+    roots = durable(roots.join(named.select("id", "node"), "id"), "roots")
     least = roots.groupBy("root").agg(F.min("node").alias("component"))
     return roots.join(least, "root").select("node", "component")

@@ -48,30 +48,32 @@ def next_state(state: Column, measures: dict[str, Column], rules: tuple[Lifecycl
 def replay_lifecycle(observations: DataFrame, by: list[str], order: list[str], measures: dict[str, str], start: str = "NEW", chunk: Column | None = None) -> DataFrame:
     """State of each key after its whole history, and how often it changed.
 
-    Observations of a key are folded by chunks (of time, so that chunks follow each other; by
-    default one for each day of the first order column). A chunk doesn't know the state it starts in, so it tells, for every
-    state, where that leads and by how many changes; a key's chunks are then chained. No row
+    Each observation says, for every state, where it leads from there; those that lead nowhere are left out. What is left of a key
+    is folded by chunks (of time, so that chunks follow each other; by
+    default one for each day of the first order column), for all states that a chunk may start in at once, and a key's chunks are then chained. No row
     ever holds more than a chunk's observations or a key's chunks."""
-    names = list(measures)
     states = sorted({start, *(r.source for r in LIFECYCLE), *(r.target for r in LIFECYCLE)})
+    values = {n: F.col(c).cast("double") for n, c in measures.items()}
+    place = F.create_map(*[F.lit(x) for pair in zip(states, range(len(states)), strict=True) for x in pair])
+    to = F.array(*[place[next_state(F.lit(s), values)] for s in states])
+    moves = F.exists(F.zip_with("_to", F.sequence(F.lit(0), F.lit(len(states) - 1)), lambda a, b: a != b), lambda x: x)
     cut = chunk if chunk is not None else F.date_trunc("day", order[0])
-    packed = observations.groupBy(*by, cut.alias("_chunk")).agg(F.array_sort(F.collect_list(F.struct(*order, *[F.col(c).cast("double").alias(n) for n, c in measures.items()]))).alias("_h"))
+    rows = observations.select(*by, cut.alias("_chunk"), *[c for c in order if c not in by], to.alias("_to"))
+    packed = rows.groupBy(*by, "_chunk").agg(F.array_sort(F.collect_list(F.when(moves, F.struct(*order, "_to")))).alias("_h"))
 
-    def fold(first: str) -> Column:
-        def step(acc: Column, x: Column) -> Column:
-            new = next_state(acc["state"], {n: x[n] for n in names})
-            return F.struct(new.alias("state"), (acc["changes"] + (new != acc["state"]).cast("long")).alias("changes"))
+    def step(acc: Column, x: Column) -> Column:
+        changed = F.zip_with(acc["n"], acc["s"], lambda n, i: n + (x["_to"][i] != i).cast("long"))
+        return F.struct(F.transform(acc["s"], lambda i: x["_to"][i]).alias("s"), changed.alias("n"))
 
-        return F.aggregate("_h", F.struct(F.lit(first).alias("state"), F.lit(0).cast("long").alias("changes")), step)
-
-    led = packed.select(*by, "_chunk", F.create_map(*[c for s in states for c in (F.lit(s), fold(s))]).alias("_to"))
-    chained = led.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("_chunk", F.map_entries("_to").alias("_to")))).alias("_c"))
+    unmoved = F.struct(F.array(*[F.lit(i) for i in range(len(states))]).alias("s"), F.array(*[F.lit(0).cast("long") for _ in states]).alias("n"))
+    led = packed.select(*by, "_chunk", F.aggregate("_h", unmoved, step).alias("_f"))
+    chained = led.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("_chunk", "_f"))).alias("_c"))
 
     def chain(acc: Column, x: Column) -> Column:
-        to = F.map_from_entries(x["_to"])[acc["state"]]
-        return F.struct(to["state"].alias("state"), (acc["changes"] + to["changes"]).alias("changes"))
+        return F.struct(x["_f"]["s"][acc["s"]].alias("s"), (acc["n"] + x["_f"]["n"][acc["s"]]).alias("n"))
 
-    return chained.select(*by, F.aggregate("_c", F.struct(F.lit(start).alias("state"), F.lit(0).cast("long").alias("changes")), chain).alias("_s")).select(*by, "_s.*")
+    whole = F.aggregate("_c", F.struct(F.lit(states.index(start)).alias("s"), F.lit(0).cast("long").alias("n")), chain)
+    return chained.select(*by, whole.alias("_s")).select(*by, F.array(*[F.lit(s) for s in states])[F.col("_s.s")].alias("state"), F.col("_s.n").alias("changes"))
 
 
 # Coverage classes by age in seconds since admission (class, from age on, interval in seconds).
