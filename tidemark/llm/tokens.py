@@ -94,12 +94,25 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray, space: np.ndarray | None
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
-    """A 64-bit hash of each span's bytes, the same wherever it stands; lower: A-Z as a-z."""
+    """A 64-bit hash of each span's bytes, the same wherever it stands; lower: A-Z as a-z. Starts ascend.
+
+    A long text is gone through in parts of about BLOCK bytes, so it needs no more memory than these."""
+    if len(data) <= 2 * BLOCK or not len(starts):
+        return _span_hashes(data, starts, ends, lower)
+    cuts = np.flatnonzero(np.diff(starts // BLOCK)) + 1
+    parts = []
+    for i, j in zip([0, *cuts], [*cuts, len(starts)], strict=True):
+        a, b = int(starts[i]), int(ends[i:j].max())
+        parts.append(_span_hashes(data[a:b], starts[i:j] - a, ends[i:j] - a, lower))
+    return np.concatenate(parts)
+
+
+def _span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool) -> np.ndarray:
     if not len(starts):
         return np.zeros(0, dtype=np.uint64)
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum(_BYTE[_LOWER[data] if lower else data] * _power("up", len(data)), out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * _power("down", len(data))[starts] + (ends - starts).astype(np.uint64))
+    return mix((sums[ends] - sums[starts]) * _power("down", len(data) + 1)[starts] + (ends - starts).astype(np.uint64))
 
 
 _PLACE = _rng.integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
