@@ -178,8 +178,8 @@ def _judged(docs: DataFrame, text: str, key: str, digest: Column) -> DataFrame:
         full.groupBy("set_key").agg(F.min("doc_id").alias("first_id"), F.min("row").alias("node"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes"
     )
     members = classes.select("node", "n", F.posexplode("bands").alias("band", "bucket"))
-    hubs = members.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("hub"), F.count(F.lit(1)).alias("size")).filter("size > 1").drop("size")
-    met = durable(members.join(hubs, "bucket").select("bucket", "band", "node", "n", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n")), "met")
+    hubs = members.groupBy("bucket").agg(F.min("node").alias("hub"), F.min_by("n", "node").alias("hub_n"), F.count(F.lit(1)).alias("size")).filter("size > 1").drop("size")
+    met = durable(members.join(hubs, "bucket").select("bucket", "band", "node", "n", "hub", "hub_n"), "met")
     # Buckets of the same members say the same: the one of the lowest band stands for all.
     whose = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"who{i}") for i in range(2)]
     alike = met.groupBy("bucket").agg(F.first("band").alias("band"), F.count(F.lit(1)).alias("size"), *whose).groupBy("size", "who0", "who1")
