@@ -15,7 +15,7 @@ from tidemark.functions import parse, scalar
 from tidemark.functions.scalar import micros, seconds_between
 from tidemark.operators import asof
 from tidemark.operators.joins import in_any
-from tidemark.plans import context, dataset, policies, report, security
+from tidemark.plans import cold, context, dataset, policies, report, security
 from tidemark.plans.queries import QUERIES, SQL, Tables, query
 from tidemark.sources import archive, tables
 from tidemark.streaming import events as streams
@@ -616,3 +616,66 @@ def q108_market_cohort(spark, sf_dir):
     state = F.when(F.col("event_type") == "signup", "NEW").when(F.col("event_type") == "purchase", "ACTIVE").otherwise("OTHER")
     found = context.cohort_figures(e.select(F.col("user_id").alias("token_id"), F.col("ts").alias("decided_at"), state.alias("new_state")))
     return found.withColumn("mature_cohort_active_fraction", F.round("mature_cohort_active_fraction", 9))
+
+
+def _cold(spark, sf_dir) -> dict[str, DataFrame]:
+    """An archive of events by family, published, and opened again only because it is sound."""
+    e, root = Tables(spark, sf_dir).events, _folder(spark, "cold")
+    of = lambda k: e.filter(F.col("event_type") == k)
+    token, at, v = F.col("user_id").alias("token_id"), F.col("ts").alias("received_at"), F.col("value")
+    pair = F.concat_ws("/", "user_id", "event_type")
+    frames = {
+        "observations": (e.select(F.col("event_id").alias("id"), pair.alias("pair_id"), at, v.alias("market_cap_usd"), (F.col("event_id") % 9).alias("buys_m5"), (F.col("event_id") % 5).alias("sells_m5")), "received_at"),
+        "pairs": (e.groupBy(pair.alias("id"), token).agg(F.min("ts").alias("first_seen_at")), "first_seen_at"),
+        "tokens": (e.groupBy(F.col("user_id").alias("id")).agg(F.concat(F.lit("address-"), F.first("user_id")).alias("address"), F.min("ts").alias("first_discovered_at")), "first_discovered_at"),
+        "lifecycle": (of("click").select(F.col("event_id").alias("id"), token, F.col("ts").alias("decided_at"), F.when(v > 50, "ACTIVE").otherwise("FADING").alias("new_state")), "decided_at"),
+        "boosts": (of("signup").select(F.col("event_id").alias("id"), token, at, v.alias("amount"), F.lit(1).alias("active_boost_count")), "received_at"),
+        "context": (of("error").select(F.col("event_id").alias("id"), at, v.alias("sol_usd_price")), "received_at"),
+    }
+    archive.publish(spark, root, [archive.export_family(df, root, name, when, ["id"]) for name, (df, when) in frames.items()])
+    return archive.open_verified(spark, root)
+
+
+@query("""
+WITH p AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'), b AS (SELECT user_id, ts, value FROM events WHERE event_type = 'signup'), c AS (SELECT event_id, ts, value FROM events WHERE event_type = 'error')
+SELECT p.user_id AS token_id, p.ts AS as_of, b.value AS amount, b.ts AS boosted_at, c.event_id AS context_id, c.value AS sol_usd_price FROM p ASOF LEFT JOIN b ON b.user_id = p.user_id AND b.ts <= p.ts ASOF LEFT JOIN c ON c.ts <= p.ts
+""")
+def q109_cold_enrichment(spark, sf_dir):
+    """What a verified archive knew of boosts and context at every purchase."""
+    families = _cold(spark, sf_dir)
+    probes = Tables(spark, sf_dir).events.filter("event_type = 'purchase'").select(F.col("user_id").alias("token_id"), F.col("ts").alias("as_of"))
+    found = cold.enrichment_as_of(families, probes)
+    return found.select("token_id", "as_of", F.col("boosts_amount").alias("amount"), F.col("boosts_received_at").alias("boosted_at"), "context_id", F.col("context_sol_usd_price").alias("sol_usd_price"))
+
+
+@query("""
+WITH e AS (SELECT *, event_id % 9 AS b, event_id % 5 AS s FROM events)
+SELECT 'observations' AS measure, count(*)::DOUBLE AS value FROM e UNION ALL SELECT 'observations_in_window', count(*)::DOUBLE FROM e WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20'
+UNION ALL SELECT 'buy_sell_ratio', round(avg(CASE WHEN s > 0 THEN b / s END), 9) FROM e UNION ALL SELECT 'joined_rows', count(*)::DOUBLE FROM e UNION ALL SELECT 'unique_tokens', count(DISTINCT user_id)::DOUBLE FROM e
+UNION ALL SELECT 'lifecycle_rows', count(*)::DOUBLE FROM e WHERE event_type = 'click'
+""")
+def q110_cold_overview(spark, sf_dir):
+    return cold.overview(_cold(spark, sf_dir), "2024-01-10", "2024-01-20").withColumn("value", F.round("value", 9))
+
+
+@query("""
+WITH o AS (SELECT 'address-' || user_id AS address, arg_min(value, {'t': ts, 'e': event_id}) AS first, max(value) AS peak FROM events GROUP BY 1),
+l AS (SELECT 'address-' || user_id AS address, CASE WHEN value > 50 THEN 'ACTIVE' ELSE 'FADING' END AS s, lag(CASE WHEN value > 50 THEN 'ACTIVE' ELSE 'FADING' END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS b FROM events WHERE event_type = 'click')
+SELECT address, first, peak, (SELECT count(*) FROM l WHERE l.address = o.address) AS steps, (SELECT count(*) FROM l WHERE l.address = o.address AND b <> s) AS changes FROM o
+""")
+def q111_cold_histories(spark, sf_dir):
+    families = _cold(spark, sf_dir)
+    steps = cold.chronology(families).groupBy("address").agg(F.count(F.lit(1)).alias("steps"), F.count_if(F.col("previous_state") != F.col("new_state")).alias("changes"))
+    return cold.first_and_peak(families, "market_cap_usd").join(steps, "address", "left").fillna(0, ["steps", "changes"])
+
+
+@query("""
+WITH l AS (SELECT event_type, max(ts) AS t, arg_max(value, {'t': ts, 'e': event_id}) AS v FROM events WHERE ts <= TIMESTAMP '2024-01-15' GROUP BY 1)
+SELECT event_type AS component, CASE WHEN v > 120 THEN 'FAILED' WHEN v < 5 THEN 'STOPPED' WHEN t < TIMESTAMP '2024-01-15' - INTERVAL 10 MINUTE THEN 'STALE' ELSE 'HEALTHY' END AS status FROM l
+""")
+def q112_component_status(spark, sf_dir):
+    v = F.col("value")
+    beats = Tables(spark, sf_dir).events.filter("ts <= timestamp_ntz'2024-01-15 00:00:00'").select(
+        F.col("event_type").alias("component"), F.col("ts").alias("at"), F.when(v > 120, "FAILED").when(v < 5, "STOPPED").otherwise("RUNNING").alias("state")
+    )
+    return report.component_status(beats, "2024-01-15 00:00:00", 600).select("component", "status")
