@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import MICROS, change, micros, tri_state
-from tidemark.operators.asof import asof_join, lookbacks, path_join
+from tidemark.operators.asof import asof_join, lookbacks
+from tidemark.operators.paths import path_summary
 
 HOUR = 3600
 LOOKBACKS = {"6h": (6 * HOUR, 3 * HOUR), "24h": (24 * HOUR, 12 * HOUR), "72h": (72 * HOUR, 36 * HOUR)}
@@ -77,32 +78,21 @@ class Horizon:
         return self.gap if self.gap is not None else min(max(GAP_SHARE * self.seconds, LEAST_GAP), MOST_GAP)
 
 
-def path_labels(entries: DataFrame, observations: DataFrame, key: str, entry_id: str, entry_at: str, entry_value: str, at: str, value: str, horizon: Horizon, ups: dict[str, float], downs: dict[str, float]) -> DataFrame:
-    """Outcomes over (t, t + horizon + tolerance] of each entry, by one join and one aggregation.
+def path_labels(entries: DataFrame, observations: DataFrame, key: str, entry_id: str, entry_at: str, entry_value: str, at: str, value: str, horizon: Horizon, ups: dict[str, float], downs: dict[str, float], dense: bool | None = None) -> DataFrame:
+    """Outcomes over (t, t + horizon + tolerance] of each entry.
 
     path_complete: there is an observation from the horizon's end on, and no gap, the one after the entry
     included, is longer than allowed. best/worst: extreme returns, only of complete paths. crossed_<name>: tri-state.
-    seconds_to_<name>: until the first crossing. Entries without a path keep their row."""
+    seconds_to_<name>: until the first crossing. Entries without a path keep their row. dense as in path_summary."""
     plain = entries.select(key, F.col(entry_id).alias("_entry"), F.col(entry_at).alias("_t0"), F.col(entry_value).cast("double").alias("_v0"))
-    facts = observations.select(key, F.col(at).alias("_t1"), F.col(value).cast("double").alias("_v1"))
-    pairs = path_join(plain, facts, [key], "_t0", "_t1", 0, horizon.seconds + horizon.tolerance)
-    w = Window.partitionBy("_entry").orderBy("_t1")
-    after = (micros("_t1") - micros("_t0")) / MICROS
-    step = (micros("_t1") - micros(F.coalesce(F.lag("_t1").over(w), F.col("_t0")))) / MICROS
-    pairs = pairs.withColumns({"_after": after, "_gap": step})
-    before_end = F.when(F.lag("_after").over(w) < horizon.seconds, F.col("_gap")).otherwise(F.when(F.col("_after") <= horizon.seconds, F.col("_gap")))
-    pairs = pairs.withColumn("_seen_gap", before_end)
-    crossed = {n: F.col("_v1") >= F.col("_v0") * m for n, m in ups.items()} | {n: F.col("_v1") <= F.col("_v0") * m for n, m in downs.items()}
-    path = pairs.groupBy("_entry").agg(
-        F.count(F.lit(1)).alias("n"), F.max("_gap").alias("gap"), F.max("_after").alias("reach"), F.max("_v1").alias("high"), F.min("_v1").alias("low"),
-        *[F.min(F.when(c, F.col("_after"))).alias(f"_s_{n}") for n, c in crossed.items()],
-    )
+    bounds = {n: (F.col("_v0") * m, True) for n, m in ups.items()} | {n: (F.col("_v0") * m, False) for n, m in downs.items()}
+    path = path_summary(plain, observations, [key], "_entry", "_t0", at, value, horizon.seconds + horizon.tolerance, bounds, dense)
     out = plain.join(path, "_entry", "left")
     complete = F.coalesce((F.col("reach") >= horizon.seconds) & (F.col("gap") <= horizon.most_gap), F.lit(False))
     return out.select(
         F.col("_entry").alias(entry_id), F.coalesce("n", F.lit(0)).alias("path_count"), F.col("gap").alias("longest_gap"), complete.alias("path_complete"),
         F.when(complete, change("high", "_v0")).alias("best_return"), F.when(complete, change("low", "_v0")).alias("worst_return"),
-        *[tri_state(F.col(f"_s_{n}").isNotNull(), complete).alias(f"crossed_{n}") for n in crossed], *[F.col(f"_s_{n}").alias(f"seconds_to_{n}") for n in crossed],
+        *[tri_state(F.col(f"s_{n}").isNotNull(), complete).alias(f"crossed_{n}") for n in bounds], *[F.col(f"s_{n}").alias(f"seconds_to_{n}") for n in bounds],
     )
 
 
