@@ -127,7 +127,7 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = detect_pii(documents(spark, sf_dir).select("doc_id", "text")).withColumn("base", F.filter("pii", lambda s: ~s["disguised"]))
     kinds = F.transform("base", lambda s: s["kind"])
     counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in KINDS]
-    return found.select("doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("pii")).alias("spans"))
+    return found.select("doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("pii")).alias("spans"), F.size("pii").cast("long").alias("n_spans"))
 
 
 @query
