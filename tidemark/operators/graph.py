@@ -29,7 +29,10 @@ def _contract(edges: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
 
 def contract(edges: DataFrame) -> DataFrame:
     """node and root, the same for all nodes of a component, for edges (x, y) of long nodes."""
-    edges = durable(edges.filter("x <> y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "edges")
+    return _rounds(durable(edges.filter("x <> y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "edges"))
+
+
+def _rounds(edges: DataFrame) -> DataFrame:
     steps: list[DataFrame] = []
     while not edges.isEmpty():
         taken, edges = _contract(edges, len(steps))
@@ -47,16 +50,18 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """node and component (its smallest node), for nodes of any type that has an order.
 
     Nodes are worked on as 64-bit hashes; should two share one, all are hashed anew."""
-    pairs = durable(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a <> b"), "pairs")
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
+    pairs = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a <> b")
     seed = 0
     while True:
-        id_of = lambda c, seed=seed: F.xxhash64(F.col(c), F.lit(seed))
-        named = durable(nodes.groupBy(id_of("node").alias("id")).agg(F.min("node").alias("node"), F.max("node").alias("other")), "nodes")
+        hashed = durable(pairs.withColumns({"x": F.xxhash64("a", F.lit(seed)), "y": F.xxhash64("b", F.lit(seed))}), "pairs")
+        # Distinct first: texts are then sorted once a node, not once an edge.
+        each = hashed.select(F.col("x").alias("id"), F.col("a").alias("node")).union(hashed.select("y", "b")).distinct()
+        named = durable(each.groupBy("id").agg(F.min("node").alias("node"), F.max("node").alias("other")), "nodes")
         if named.filter("node <> other").isEmpty():
             break
         seed += 1
-    roots = contract(pairs.select(id_of("a").alias("x"), id_of("b").alias("y"))).withColumnRenamed("node", "id")
+        pairs = hashed.select("a", "b")
+    roots = _rounds(hashed.select("x", "y")).withColumnRenamed("node", "id")
     roots = durable(roots.join(named.select("id", "node"), "id"), "roots")
     least = roots.groupBy("root").agg(F.min("node").alias("component"))
     return roots.join(least, "root").select("node", "component")
