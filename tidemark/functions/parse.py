@@ -13,10 +13,14 @@ from .scalar import col
 
 # The shape of a pair record of the market data provider.
 _PAIR = """
-STRUCT<chainId: STRING, pairAddress: STRING, baseToken: STRUCT<address: STRING, symbol: STRING, name: STRING>, quoteToken: STRUCT<address: STRING, symbol: STRING>, priceUsd: STRING, priceNative: STRING,
-  liquidity: STRUCT<usd: STRING, base: STRING, quote: STRING>, fdv: STRING, marketCap: STRING, volume: STRUCT<m5: STRING, h1: STRING, h6: STRING, h24: STRING>, priceChange: STRUCT<m5: STRING, h1: STRING, h6: STRING, h24: STRING>,
-  txns: STRUCT<m5: STRUCT<buys: BIGINT, sells: BIGINT>, h1: STRUCT<buys: BIGINT, sells: BIGINT>, h6: STRUCT<buys: BIGINT, sells: BIGINT>, h24: STRUCT<buys: BIGINT, sells: BIGINT>>,
-  pairCreatedAt: BIGINT, info: STRUCT<websites: ARRAY<STRUCT<label: STRING, url: STRING>>, socials: ARRAY<STRUCT<type: STRING, platform: STRING, url: STRING, handle: STRING>>>>
+STRUCT<chainId: STRING, pairAddress: STRING, baseToken: STRUCT<address: STRING, symbol: STRING, name: STRING>, quoteToken: STRUCT<address: STRING,
+  symbol: STRING>, priceUsd: STRING, priceNative: STRING,
+  liquidity: STRUCT<usd: STRING, base: STRING, quote: STRING>, fdv: STRING, marketCap: STRING, volume: STRUCT<m5: STRING, h1: STRING, h6: STRING,
+    h24: STRING>, priceChange: STRUCT<m5: STRING, h1: STRING, h6: STRING, h24: STRING>,
+  txns: STRUCT<m5: STRUCT<buys: BIGINT, sells: BIGINT>, h1: STRUCT<buys: BIGINT, sells: BIGINT>, h6: STRUCT<buys: BIGINT, sells: BIGINT>,
+    h24: STRUCT<buys: BIGINT, sells: BIGINT>>,
+  pairCreatedAt: BIGINT, info: STRUCT<websites: ARRAY<STRUCT<label: STRING, url: STRING>>, socials: ARRAY<STRUCT<type: STRING, platform: STRING,
+    url: STRING, handle: STRING>>>>
 """
 
 
@@ -25,10 +29,14 @@ def pair_observations(raw: DataFrame, body: str = "body") -> DataFrame:
     p = raw.withColumn("_p", F.from_json(col(body), _PAIR))
     money = lambda path: F.col(f"_p.{path}").try_cast("decimal(38,18)")
     return p.select(
-        *raw.columns, F.col("_p.chainId").alias("chain"), F.col("_p.pairAddress").alias("pair_address"), F.col("_p.baseToken.address").alias("base_address"), F.col("_p.quoteToken.address").alias("quote_address"),
-        money("priceUsd").alias("price_usd"), money("priceNative").alias("price_native"), *[money(f"liquidity.{k}").alias(f"liquidity_{k}") for k in ("usd", "base", "quote")], money("marketCap").alias("market_cap_usd"),
-        money("fdv").alias("fully_diluted_valuation_usd"), *[money(f"volume.{k}").alias(f"volume_{k}_usd") for k in ("m5", "h1", "h6", "h24")], *[money(f"priceChange.{k}").alias(f"price_change_{k}") for k in ("m5", "h1", "h6", "h24")],
-        *[F.col(f"_p.txns.{k}.{s}").alias(f"{s}_{k}") for k in ("m5", "h1", "h6", "h24") for s in ("buys", "sells")], F.timestamp_millis("_p.pairCreatedAt").alias("pair_created_at"),
+        *raw.columns, F.col("_p.chainId").alias("chain"), F.col("_p.pairAddress").alias("pair_address"),
+        F.col("_p.baseToken.address").alias("base_address"), F.col("_p.quoteToken.address").alias("quote_address"),
+        money("priceUsd").alias("price_usd"), money("priceNative").alias("price_native"),
+        *[money(f"liquidity.{k}").alias(f"liquidity_{k}") for k in ("usd", "base", "quote")], money("marketCap").alias("market_cap_usd"),
+        money("fdv").alias("fully_diluted_valuation_usd"), *[money(f"volume.{k}").alias(f"volume_{k}_usd") for k in ("m5", "h1", "h6", "h24")],
+        *[money(f"priceChange.{k}").alias(f"price_change_{k}") for k in ("m5", "h1", "h6", "h24")],
+        *[F.col(f"_p.txns.{k}.{s}").alias(f"{s}_{k}") for k in ("m5", "h1", "h6", "h24") for s in ("buys", "sells")],
+        F.timestamp_millis("_p.pairCreatedAt").alias("pair_created_at"),
     )
 
 
@@ -39,7 +47,8 @@ def links(raw: DataFrame, platforms: tuple[str, ...] = ("twitter", "telegram", "
     kind = lambda x: F.lower(F.coalesce(x["type"], x["platform"]))
     first = {n: F.try_element_at(F.transform(F.filter(socials, _of(n, kind)), lambda x: F.coalesce(x["url"], x["handle"])), F.lit(1)) for n in platforms}
     other = F.transform(F.filter(socials, lambda x: ~F.coalesce(kind(x).isin(*platforms), F.lit(False))), lambda x: F.coalesce(x["url"], x["handle"]))
-    return p.select(*raw.columns, F.try_element_at(F.transform("_i.websites", lambda x: x["url"]), F.lit(1)).alias("website"), *[c.alias(n) for n, c in first.items()], other.alias("other_links"))
+    return p.select(*raw.columns, F.try_element_at(F.transform("_i.websites", lambda x: x["url"]), F.lit(1)).alias("website"),
+        *[c.alias(n) for n, c in first.items()], other.alias("other_links"))
 
 
 def _of(name: str, kind):
@@ -65,7 +74,8 @@ def mint_account(data: Column | str) -> Column:
     return F.when(
         F.length(d) >= 82,
         F.struct(
-            key(1, 5).alias("mint_authority"), _little_endian(d, 37, 8).alias("supply"), _little_endian(d, 45, 1).cast("int").alias("decimals"), (_little_endian(d, 46, 1) == 1).alias("initialized"), key(47, 51).alias("freeze_authority")
+            key(1, 5).alias("mint_authority"), _little_endian(d, 37, 8).alias("supply"), _little_endian(d, 45, 1).cast("int").alias("decimals"),
+            (_little_endian(d, 46, 1) == 1).alias("initialized"), key(47, 51).alias("freeze_authority")
         ),
     )
 
@@ -94,7 +104,8 @@ def named_uuid(namespace: uuid.UUID):
         h = F.sha1(F.concat(F.unhex(F.lit(namespace.hex)), col(name).cast("binary")))
         # Version 5 takes the place of a digit, and the two highest bits of another are set to 10.
         variant = F.substring(F.lit("89ab89ab89ab89ab"), F.conv(F.substring(h, 17, 1), 16, 10).cast("int") + 1, F.lit(1))
-        return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("5"), F.substring(h, 14, 3)), F.concat(variant, F.substring(h, 18, 3)), F.substring(h, 21, 12))
+        return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("5"), F.substring(h, 14, 3)),
+            F.concat(variant, F.substring(h, 18, 3)), F.substring(h, 21, 12))
 
     return lambda name: F.when(col(name).isNotNull(), of(name))
 

@@ -38,7 +38,8 @@ def _carried(line: DataFrame, by: Sequence[str], order: Sequence[Column], forwar
     pick = F.max("_fact") if largest else (F.min_by if forward else F.max_by)("_fact", F.struct("_t", "_rank"))
     left = line.filter(F.col("_side") == _FACT).groupBy(*by, "_chunk").agg(pick.alias("_own"))
     same = lambda a, b: reduce(lambda x, y: x & y, [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in (*by, "_chunk")])
-    chunks = line.select(*by, "_chunk").distinct().alias("c").join(left.alias("l"), same("c", "l"), "left").select(*[F.col(f"c.{c}") for c in (*by, "_chunk")], "l._own")
+    chunks = line.select(*by, "_chunk").distinct().alias("c").join(left.alias("l"), same("c", "l"),
+        "left").select(*[F.col(f"c.{c}") for c in (*by, "_chunk")], "l._own")
     along = Window.partitionBy(*by).orderBy(F.col("_chunk").desc() if forward else F.col("_chunk")).rowsBetween(Window.unboundedPreceding, -1)
     handed = chunks.select(*by, "_chunk", over("_own", along).alias("_handed")).filter("_handed IS NOT NULL")
     w = Window.partitionBy(*by, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -77,7 +78,8 @@ def asof_join(
     """
     shift = F.lit(lookback * MICROS)
     probe_at, fact_at = micros(probe_time) + (shift if forward else -shift), micros(fact_time)
-    line = _timeline(probes, facts.filter(F.col(fact_time).isNotNull()), by, probe_at, fact_at, F.col(tie) if tie else F.lit(0), [*payload, fact_time] if fact_time not in payload else list(payload))
+    line = _timeline(probes, facts.filter(F.col(fact_time).isNotNull()), by, probe_at, fact_at, F.col(tie) if tie else F.lit(0),
+        [*payload, fact_time] if fact_time not in payload else list(payload))
     first_side = F.col("_side") if not strict else -F.col("_side")
     order = [F.col("_t"), first_side, F.col("_rank")] if not forward else [F.col("_t").desc(), first_side, F.col("_rank").desc()]
     line = _carried(line, by, order, forward, split_seconds)
@@ -85,7 +87,8 @@ def asof_join(
     return _out(line, probes, prefix, F.col("_last"), payload, apart <= tolerance * MICROS if tolerance is not None else F.lit(True))
 
 
-def asof_largest(probes: DataFrame, facts: DataFrame, by: Sequence[str], probe_time: str, times: Sequence[str], order: Sequence[str], payload: Sequence[str], prefix: str = "asof_", split_seconds: int | None = None) -> DataFrame:
+def asof_largest(probes: DataFrame, facts: DataFrame, by: Sequence[str], probe_time: str, times: Sequence[str], order: Sequence[str],
+    payload: Sequence[str], prefix: str = "asof_", split_seconds: int | None = None) -> DataFrame:
     """Of the facts whose every time is at or before the probe's, the one that is largest by `order`.
 
     The winner need not be the one that became visible last, so a running
@@ -99,13 +102,17 @@ def asof_largest(probes: DataFrame, facts: DataFrame, by: Sequence[str], probe_t
     return _out(line, probes, prefix, F.col("_last"), payload, F.lit(True))
 
 
-def lookbacks(probes: DataFrame, facts: DataFrame, by: Sequence[str], probe_key: Sequence[str], probe_time: str, fact_time: str, payload: Sequence[str], horizons: dict[str, tuple[int, int]], tie: str | None = None, split_seconds: int | None = None) -> DataFrame:
+def lookbacks(probes: DataFrame, facts: DataFrame, by: Sequence[str], probe_key: Sequence[str], probe_time: str, fact_time: str,
+    payload: Sequence[str], horizons: dict[str, tuple[int, int]], tie: str | None = None, split_seconds: int | None = None) -> DataFrame:
     """All lookbacks in one pass: horizons maps a name to (seconds back, tolerance). Each
     probe row gets <payload>_<name> and actual_seconds_<name>, the true distance. split_seconds as in asof_join."""
     spans = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(h * MICROS).alias("back"), F.lit(t * MICROS).alias("off")) for n, (h, t) in horizons.items()])
-    asked = probes.select(*by, *[c for c in probe_key if c not in by], micros(probe_time).alias("_now"), F.explode(spans).alias("_h")).withColumn("_at", F.col("_now") - F.col("_h.back"))
-    known = facts.filter(F.col(fact_time).isNotNull()).select(*by, micros(fact_time).alias("_t"), (F.col(tie) if tie else F.lit(0)).alias("_rank"), F.struct(micros(fact_time).alias("_ft"), *payload).alias("_fact"))
-    line = known.withColumn("_side", F.lit(_FACT)).unionByName(asked.withColumnRenamed("_at", "_t").withColumn("_side", F.lit(_PROBE)), allowMissingColumns=True)
+    asked = probes.select(*by, *[c for c in probe_key if c not in by], micros(probe_time).alias("_now"),
+        F.explode(spans).alias("_h")).withColumn("_at", F.col("_now") - F.col("_h.back"))
+    known = facts.filter(F.col(fact_time).isNotNull()).select(*by, micros(fact_time).alias("_t"), (F.col(tie) if tie else F.lit(0)).alias("_rank"),
+        F.struct(micros(fact_time).alias("_ft"), *payload).alias("_fact"))
+    line = known.withColumn("_side", F.lit(_FACT)).unionByName(asked.withColumnRenamed("_at", "_t").withColumn("_side", F.lit(_PROBE)),
+        allowMissingColumns=True)
     line = _carried(line, by, [F.col("_t"), F.col("_side"), F.col("_rank")], False, split_seconds)
     near = F.col("_t") - F.col("_last._ft") <= F.col("_h.off")
     aggs = []
@@ -117,7 +124,8 @@ def lookbacks(probes: DataFrame, facts: DataFrame, by: Sequence[str], probe_key:
     return line.groupBy(*keys).agg(*aggs)
 
 
-def path_join(probes: DataFrame, facts: DataFrame, by: Sequence[str], probe_time: str, fact_time: str, after: int, until: int, closed_start: bool = False) -> DataFrame:
+def path_join(probes: DataFrame, facts: DataFrame, by: Sequence[str], probe_time: str, fact_time: str, after: int, until: int,
+    closed_start: bool = False) -> DataFrame:
     """Pairs of a probe and each fact of its key with time in (t + after, t + until] seconds; closed_start takes t + after too.
 
     Both sides are cut into buckets as long as the span, a probe goes to the two

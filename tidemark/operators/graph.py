@@ -23,7 +23,8 @@ def _contract(edges: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
     first = near.select("x", F.when(rank("x") <= rank("y"), F.col("x")).otherwise(F.col("y")).alias("first"))
     beside = both.join(first.withColumnRenamed("x", "y"), "y").select("x", "first").union(first)
     taken = durable(beside.groupBy(F.col("x").alias("node")).agg(F.min_by("first", rank("first")).alias("taken")), "taken")
-    moved = edges.join(taken.select(F.col("node").alias("x"), F.col("taken").alias("p")), "x").join(taken.select(F.col("node").alias("y"), F.col("taken").alias("q")), "y")
+    moved = edges.join(taken.select(F.col("node").alias("x"), F.col("taken").alias("p")),
+        "x").join(taken.select(F.col("node").alias("y"), F.col("taken").alias("q")), "y")
     return taken, durable(moved.filter("p <> q").select(F.least("p", "q").alias("x"), F.greatest("p", "q").alias("y")).distinct(), "edges")
 
 

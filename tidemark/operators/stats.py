@@ -45,5 +45,6 @@ def concentration(df: DataFrame, by: Sequence[str], owner: str, amount: str, top
     ranked = held.withColumns({"_rank": F.row_number().over(w.orderBy(F.col("_held").desc(), owner)), "_all": F.sum("_held").over(w)})
     share = F.try_divide(F.col("_held"), F.col("_all"))
     return ranked.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("owners"), *[F.sum(F.when(F.col("_rank") <= k, share * 100)).alias(f"top{k}_pct") for k in tops], F.sum(share * share).alias("hhi")
+        F.count(F.lit(1)).alias("owners"), *[F.sum(F.when(F.col("_rank") <= k, share * 100)).alias(f"top{k}_pct") for k in tops],
+        F.sum(share * share).alias("hhi")
     )

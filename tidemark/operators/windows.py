@@ -35,7 +35,8 @@ def trailing_run(df: DataFrame, by: Sequence[str], sign: Column, *order: str) ->
     """For each row: how many rows up to it have its sign without a break; 0 for sign 0 or null."""
     w = Window.partitionBy(*by).orderBy(*order)
     signed = df.withColumn("_s", F.coalesce(sign.cast("int"), F.lit(0)))
-    islands = signed.withColumn("_new", (F.col("_s") != F.coalesce(F.lag("_s").over(w), F.lit(9))).cast("int")).withColumn("_island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    islands = signed.withColumn("_new", (F.col("_s") != F.coalesce(F.lag("_s").over(w), F.lit(9))).cast("int")).withColumn("_island",
+        F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     inner = Window.partitionBy(*by, "_island").orderBy(*order)
     return islands.withColumn("run_length", F.when(F.col("_s") == 0, 0).otherwise(F.row_number().over(inner))).drop("_s", "_new", "_island")
 

@@ -17,7 +17,8 @@ from tidemark.sources.tables import time_range
 
 #: The line of the context is common to all tokens; it is sorted in chunks of so many seconds.
 CONTEXT_SPLIT = 3600
-_PAYLOAD = {"boosts": ("amount", "total_amount", "active_boost_count"), "security": ("status", "mint_authority", "freeze_authority", "raw_supply", "token_program")}
+_PAYLOAD = {"boosts": ("amount", "total_amount", "active_boost_count"),
+    "security": ("status", "mint_authority", "freeze_authority", "raw_supply", "token_program")}
 _CONTEXT = ("id", "bucket_start", "bucket_end", "sol_usd_price", "sol_return_5m", "sol_realized_volatility_1h")
 
 
@@ -54,7 +55,8 @@ def enrichment_as_of(families: Mapping[str, DataFrame], probes: DataFrame) -> Da
     if "context" in families:
         have = [c for c in _CONTEXT if c in families["context"].columns]
         line = families["context"].withColumn("_all", F.lit(0))
-        return asof_join(out.withColumn("_all", F.lit(0)), line, ["_all"], "as_of", "received_at", [*have, "received_at"], tie="id", prefix="context_", split_seconds=CONTEXT_SPLIT).drop("_all")
+        return asof_join(out.withColumn("_all", F.lit(0)), line, ["_all"], "as_of", "received_at", [*have, "received_at"], tie="id",
+            prefix="context_", split_seconds=CONTEXT_SPLIT).drop("_all")
     return out.withColumns({f"context_{c}": F.lit(None) for c in (*_CONTEXT, "received_at")})
 
 
@@ -64,7 +66,8 @@ def overview(families: Mapping[str, DataFrame], start: str, end: str) -> DataFra
     inside = (F.col("received_at") >= F.lit(start).cast("timestamp_ntz")) & (F.col("received_at") < F.lit(end).cast("timestamp_ntz"))
     bought = F.avg(F.when(F.col("sells_m5") > 0, ratio("buys_m5", "sells_m5")))
     parts = [
-        obs.agg(F.count(F.lit(1)).cast("double").alias("observations"), F.count_if(inside).cast("double").alias("observations_in_window"), bought.alias("buy_sell_ratio")),
+        obs.agg(F.count(F.lit(1)).cast("double").alias("observations"), F.count_if(inside).cast("double").alias("observations_in_window"),
+        bought.alias("buy_sell_ratio")),
         observed(families).agg(F.count(F.lit(1)).cast("double").alias("joined_rows"), F.count_distinct("token_id").cast("double").alias("unique_tokens")),
         families["lifecycle"].agg(F.count(F.lit(1)).cast("double").alias("lifecycle_rows")),
     ]

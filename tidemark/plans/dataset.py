@@ -21,21 +21,25 @@ KEY = ["token_id", "decision_at"]
 
 # Lookback horizons and tolerances, label horizons and forward tolerances, in seconds.
 LOOKBACK = {"5s": (5, 5), "15s": (15, 10), "30s": (30, 15), "1m": (60, 30), "2m": (120, 60), "5m": (300, 120), "15m": (900, 300)}
-HORIZONS = {"30s": (30, 15), "1m": (60, 30), "5m": (300, 120), "15m": (900, 300), "1h": (3600, 900), "6h": (21600, 3600), "24h": (86400, 10800), "7d": (604800, 43200)}
+HORIZONS = {"30s": (30, 15), "1m": (60, 30), "5m": (300, 120), "15m": (900, 300), "1h": (3600, 900), "6h": (21600, 3600), "24h": (86400, 10800),
+    "7d": (604800, 43200)}
 # Price multiples of the crossing labels, the ordered labels and the times to a crossing.
 UPSIDE = {"plus_25pct": 1.25, "plus_50pct": 1.5, "plus_100pct": 2.0, "plus_200pct": 3.0, "plus_500pct": 6.0, "2x": 2.0, "5x": 5.0, "10x": 10.0, "50x": 50.0}
 DOWNSIDE = {"minus_20pct": 0.8, "minus_30pct": 0.7, "minus_50pct": 0.5, "minus_80pct": 0.2, "minus_95pct": 0.05}
-ORDERED = {"plus_50_before_minus_25": (1.5, 0.75), "plus_100_before_minus_30": (2.0, 0.7), "plus_200_before_minus_40": (3.0, 0.6), "5x_before_minus_50": (5.0, 0.5)}
+ORDERED = {"plus_50_before_minus_25": (1.5, 0.75), "plus_100_before_minus_30": (2.0, 0.7), "plus_200_before_minus_40": (3.0, 0.6),
+    "5x_before_minus_50": (5.0, 0.5)}
 TIMES = {"time_to_plus_50_seconds": 1.5, "time_to_2x_seconds": 2.0, "time_to_5x_seconds": 5.0, "time_to_minus_50_seconds": 0.5, "time_to_minus_80_seconds": 0.2}
 NOTIONALS = (100, 1000, 5000)
-MARKET = ("price_usd", "price_native", "liquidity_usd", "market_cap_usd", "fully_diluted_valuation_usd", "volume_m5_usd", "volume_h1_usd", "volume_h6_usd", "volume_h24_usd")
+MARKET = ("price_usd", "price_native", "liquidity_usd", "market_cap_usd", "fully_diluted_valuation_usd", "volume_m5_usd", "volume_h1_usd",
+    "volume_h6_usd", "volume_h24_usd")
 FLOWS = ("m5", "h1", "h6", "h24")
 COUNTS = tuple(f"{side}_{s}" for s in FLOWS for side in ("buys", "sells"))
 # Families of deep security facts. Of snapshots the latest one matters, events are counted too.
 SNAPSHOTS = ("holder_snapshots", "trader_distribution_snapshots", "creator_history_snapshots", "security_feature_snapshots")
 EVENTS = ("liquidity_event_evidence", "wallet_relationship_edges", "wallet_cluster_snapshots", "funding_relationship_evidence")
 # What is known of a market as a whole, and what identifies a token.
-CONTEXT = {"sol_usd_price": "double", "sol_return_5m": "double", "sol_realized_volatility_1h": "double", "admitted_tokens": "long", "mature_cohort_active_fraction": "double", "aggregate_volume_m5_usd": "double", "aggregate_buys_m5": "long", "aggregate_sells_m5": "long"}
+CONTEXT = {"sol_usd_price": "double", "sol_return_5m": "double", "sol_realized_volatility_1h": "double", "admitted_tokens": "long",
+    "mature_cohort_active_fraction": "double", "aggregate_volume_m5_usd": "double", "aggregate_buys_m5": "long", "aggregate_sells_m5": "long"}
 #: All candidates share the line of the context; it is sorted in chunks of so many seconds.
 CONTEXT_SPLIT = 3600
 IDENTITY = {"token_address": "string", "epoch_id": "string", "epoch_number": "long"}
@@ -51,7 +55,8 @@ def selected_pairs(candidates: DataFrame, observations: DataFrame) -> DataFrame:
     """The pair of each candidate: of the latest known observation of each of its token's pairs, the one with most
     liquidity, known before unknown, later before earlier, then by id; null before any observation."""
     pairs = observations.select("token_id", "pair_id").distinct()
-    latest = asof_join(candidates.join(pairs, "token_id"), observations, ["token_id", "pair_id"], "decision_at", "received_at", ["liquidity_usd", "received_at"], tie="id", prefix="l_")
+    latest = asof_join(candidates.join(pairs, "token_id"), observations, ["token_id", "pair_id"], "decision_at", "received_at",
+        ["liquidity_usd", "received_at"], tie="id", prefix="l_")
     rank = F.struct(F.col("l_liquidity_usd").isNotNull(), F.coalesce("l_liquidity_usd", F.lit(-1.0)), F.col("l_received_at"), F.col("pair_id"))
     best = latest.filter("l_received_at IS NOT NULL").groupBy(*KEY).agg(F.max_by("pair_id", rank).alias("selected_pair_id"))
     return candidates.join(best, KEY, "left")
@@ -79,8 +84,10 @@ def check_epochs(candidates: DataFrame, families: Mapping[str, DataFrame]) -> No
 def check_facts(families: Mapping[str, DataFrame]) -> None:
     """Raises if a derived fact looked ahead of its own decision, or context came before its bucket closed."""
     rules = {
-        "lifecycle": F.col("input_watermark") > F.col("decided_at"), "candidates": F.col("input_watermark") > F.col("candidate_at"), "candidate_tiers": F.col("input_watermark") > F.col("decided_at"),
-        "context": F.col("received_at") < F.col("bucket_end"), "selective_security": ~F.col("acquisition_mode").isin("historically_available", "retrospectively_reconstructed"),
+        "lifecycle": F.col("input_watermark") > F.col("decided_at"), "candidates": F.col("input_watermark") > F.col("candidate_at"),
+        "candidate_tiers": F.col("input_watermark") > F.col("decided_at"),
+        "context": F.col("received_at") < F.col("bucket_end"),
+        "selective_security": ~F.col("acquisition_mode").isin("historically_available", "retrospectively_reconstructed"),
     }
     for name, broken in rules.items():
         if name in families and not families[name].filter(broken).isEmpty():
@@ -93,7 +100,8 @@ def state_as_of(candidates: DataFrame, families: Mapping[str, DataFrame]) -> Dat
     A family that is missing is one without facts. Columns carry their family as prefix."""
     obs = doubles(families["observations"])
     out = selected_pairs(candidates.select(*KEY).distinct(), obs)
-    current = asof_join(out, obs.withColumnRenamed("pair_id", "selected_pair_id"), ["token_id", "selected_pair_id"], "decision_at", "received_at", ["id", "received_at", *MARKET, *COUNTS], tie="id", prefix="obs_")
+    current = asof_join(out, obs.withColumnRenamed("pair_id", "selected_pair_id"), ["token_id", "selected_pair_id"], "decision_at", "received_at",
+        ["id", "received_at", *MARKET, *COUNTS], tie="id", prefix="obs_")
     out, at = current, dict(candidates.dtypes)["decision_at"]
 
     def latest(name: str, at: str, payload: Sequence[str], prefix: str, keep: Column | None = None) -> None:
@@ -111,7 +119,8 @@ def state_as_of(candidates: DataFrame, families: Mapping[str, DataFrame]) -> Dat
         out = out.withColumns({c: F.lit(None).cast(k) for c, k in IDENTITY.items()})
     if "pair_facts" in families:
         found = asof_join(
-            current.select(*KEY, "selected_pair_id").filter("selected_pair_id IS NOT NULL"), families["pair_facts"].withColumnRenamed("pair_id", "selected_pair_id"),
+            current.select(*KEY, "selected_pair_id").filter("selected_pair_id IS NOT NULL"),
+            families["pair_facts"].withColumnRenamed("pair_id", "selected_pair_id"),
             ["token_id", "selected_pair_id"], "decision_at", "received_at", ["received_at", "pair_created_at"], tie="id", prefix="pair_",
         )
         out = out.join(found.drop("selected_pair_id").withColumnRenamed("pair_pair_created_at", "pair_created_at"), KEY, "left")
@@ -126,18 +135,23 @@ def state_as_of(candidates: DataFrame, families: Mapping[str, DataFrame]) -> Dat
     if "boosts" in families:
         w = Window.partitionBy("token_id").orderBy("received_at", "id")
         seen = families["boosts"].withColumns({"amount": F.col("amount").cast("double"), "total_amount": F.col("total_amount").cast("double")})
-        seen = seen.withColumns({"previous_amount": F.lag("amount").over(w), "previous_total_amount": F.lag("total_amount").over(w), "first_received_at": F.min("received_at").over(w)})
-        found = asof_join(candidates.select(*KEY).distinct(), seen, ["token_id"], "decision_at", "received_at", ["received_at", "active_boost_count", "amount", "total_amount", "previous_amount", "previous_total_amount", "first_received_at"], tie="id", prefix="boost_")
+        seen = seen.withColumns({"previous_amount": F.lag("amount").over(w), "previous_total_amount": F.lag("total_amount").over(w),
+            "first_received_at": F.min("received_at").over(w)})
+        found = asof_join(candidates.select(*KEY).distinct(), seen, ["token_id"], "decision_at", "received_at",
+            ["received_at", "active_boost_count", "amount", "total_amount", "previous_amount", "previous_total_amount", "first_received_at"],
+            tie="id", prefix="boost_")
         out = out.join(found, KEY)
     else:
-        out = out.withColumns({f"boost_{c}": F.lit(None) for c in ("received_at", "active_boost_count", "amount", "total_amount", "previous_amount", "previous_total_amount", "first_received_at")})
+        out = out.withColumns({f"boost_{c}": F.lit(None) for c in ("received_at", "active_boost_count", "amount", "total_amount", "previous_amount",
+            "previous_total_amount", "first_received_at")})
     if "lifecycle" in families:
         admitted = families["lifecycle"].filter("new_state = 'NEW' AND input_watermark <= decided_at").groupBy("token_id").agg(F.min("decided_at").alias("_new"))
         out = out.join(admitted, "token_id", "left").withColumn("admission_at", F.when(F.col("_new") <= F.col("decision_at"), F.col("_new"))).drop("_new")
     else:
         out = out.withColumn("admission_at", F.lit(None).cast(dict(candidates.dtypes)["decision_at"]))
     if "coverage" in families:
-        found = asof_largest(candidates.select(*KEY).distinct(), families["coverage"], ["token_id"], "decision_at", ["decided_at", "effective_at"], ["effective_at", "decided_at", "id"], ["coverage_class"], prefix="")
+        found = asof_largest(candidates.select(*KEY).distinct(), families["coverage"], ["token_id"], "decision_at", ["decided_at", "effective_at"],
+            ["effective_at", "decided_at", "id"], ["coverage_class"], prefix="")
         out = out.join(found, KEY)
     else:
         out = out.withColumn("coverage_class", F.lit(None).cast("string"))
@@ -147,7 +161,8 @@ def state_as_of(candidates: DataFrame, families: Mapping[str, DataFrame]) -> Dat
         key = "epoch_id" if "epoch_id" in families["context"].columns and ("epoch_id" in candidates.columns or "tokens" in families) else None
         probes = source.select(*KEY, *([key] if key else [])).distinct().withColumn("_all", F.lit(0))
         facts = with_columns(families["context"], CONTEXT).withColumn("_all", F.lit(0))
-        found = asof_largest(probes, facts, [key or "_all"], "decision_at", ["received_at", "bucket_end"], ["received_at", "bucket_end", "id"], payload, prefix="context_", split_seconds=CONTEXT_SPLIT)
+        found = asof_largest(probes, facts, [key or "_all"], "decision_at", ["received_at", "bucket_end"], ["received_at", "bucket_end", "id"],
+            payload, prefix="context_", split_seconds=CONTEXT_SPLIT)
         out = out.join(found.drop("_all", "epoch_id"), KEY)
     else:
         out = out.withColumns({f"context_{c}": F.lit(None) for c in payload})
@@ -164,7 +179,8 @@ def state_as_of(candidates: DataFrame, families: Mapping[str, DataFrame]) -> Dat
     else:
         out = out.withColumn("deep_received_at", F.lit(None).cast(at))
     known = ["discovery_received_at", "obs_received_at", "lifecycle_decided_at", "candidate_candidate_at", "tier_decided_at"]
-    seen = F.greatest(*[F.col(c).cast(at) for c in (*known, "pair_received_at", "boost_received_at", "metadata_received_at", "security_received_at", "context_received_at", "deep_received_at")])
+    seen = F.greatest(*[F.col(c).cast(at) for c in (*known, "pair_received_at", "boost_received_at", "metadata_received_at", "security_received_at",
+        "context_received_at", "deep_received_at")])
     return out.withColumns({"identity_known": F.coalesce(*[F.col(c).cast(at) for c in known]).isNotNull(), "availability_watermark": seen})
 
 
@@ -181,11 +197,13 @@ def market_features(candidates: DataFrame, families: Mapping[str, DataFrame]) ->
     probes = state.filter("selected_pair_id IS NOT NULL").select("token_id", "selected_pair_id", "decision_at")
     back = lookbacks(probes, obs, ["token_id", "selected_pair_id"], ["decision_at"], "decision_at", "received_at", fields, spans, tie="id")
     s = state.join(back.drop("selected_pair_id"), KEY, "left")
-    path = path_join(probes, obs.select("token_id", "selected_pair_id", "received_at", "id", "price_usd").filter("price_usd > 0"), ["token_id", "selected_pair_id"], "decision_at", "received_at", -300, 0, closed_start=True)
+    path = path_join(probes, obs.select("token_id", "selected_pair_id", "received_at", "id", "price_usd").filter("price_usd > 0"),
+        ["token_id", "selected_pair_id"], "decision_at", "received_at", -300, 0, closed_start=True)
     prices = F.transform(F.array_sort(F.collect_list(F.struct("received_at", "id", "price_usd"))), lambda x: x["price_usd"])
     s = s.join(path.groupBy(*KEY).agg(prices.alias("_prices")), KEY, "left").withColumn("_prices", F.coalesce("_prices", F.array().cast("array<double>")))
     n = F.size("_prices")
-    logs = F.when(n > 1, F.zip_with(F.slice("_prices", 2, n), F.slice(F.col("_prices"), F.lit(1), n - 1), lambda b, a: F.log(b / a))).otherwise(F.array().cast("array<double>"))
+    logs = F.when(n > 1, F.zip_with(F.slice("_prices", 2, n), F.slice(F.col("_prices"), F.lit(1), n - 1), lambda b,
+        a: F.log(b / a))).otherwise(F.array().cast("array<double>"))
     s = s.withColumn("_r", logs)
     total = lambda a: F.aggregate(a, F.lit(0.0), lambda x, y: x + y)
     k, mean = F.size("_r"), F.try_divide(total(F.col("_r")), F.size("_r"))
@@ -203,10 +221,14 @@ def market_features(candidates: DataFrame, families: Mapping[str, DataFrame]) ->
     prior_velocity = F.when(prior_age > 0, change("price_usd_1m", "price_usd_prior") / prior_age)
     out: dict[str, Column] = {
         **{c: F.col(c) for c in IDENTITY}, "identity_known": F.col("identity_known"), "availability_watermark": F.col("availability_watermark"),
-        "admission_at": F.col("admission_at"), "token_age_seconds": _elapsed(F.col("admission_at"), F.col("decision_at")), "lifecycle_state": F.col("lifecycle_new_state"), "coverage_class": F.col("coverage_class"),
-        "selected_pair_id": F.col("selected_pair_id"), "observation_received_at": F.col("obs_received_at"), "observation_age_seconds": _elapsed(F.col("obs_received_at"), F.col("decision_at")),
+        "admission_at": F.col("admission_at"), "token_age_seconds": _elapsed(F.col("admission_at"), F.col("decision_at")),
+        "lifecycle_state": F.col("lifecycle_new_state"), "coverage_class": F.col("coverage_class"),
+        "selected_pair_id": F.col("selected_pair_id"), "observation_received_at": F.col("obs_received_at"),
+        "observation_age_seconds": _elapsed(F.col("obs_received_at"), F.col("decision_at")),
         "fdv_usd": F.col("obs_fully_diluted_valuation_usd"), **{c: F.col(f"obs_{c}") for c in MARKET if c != "fully_diluted_valuation_usd"},
-        "liquidity_market_cap_ratio": ratio("obs_liquidity_usd", "obs_market_cap_usd"), "volume_m5_liquidity_ratio": ratio("obs_volume_m5_usd", "obs_liquidity_usd"), "liquidity_volume_m5_ratio": ratio("obs_liquidity_usd", "obs_volume_m5_usd"),
+        "liquidity_market_cap_ratio": ratio("obs_liquidity_usd", "obs_market_cap_usd"),
+        "volume_m5_liquidity_ratio": ratio("obs_volume_m5_usd", "obs_liquidity_usd"),
+        "liquidity_volume_m5_ratio": ratio("obs_liquidity_usd", "obs_volume_m5_usd"),
     }
     for h in LOOKBACK:
         out[f"return_{h}"] = change("obs_price_usd", f"price_usd_{h}")
@@ -220,23 +242,38 @@ def market_features(candidates: DataFrame, families: Mapping[str, DataFrame]) ->
         b, sl = f"obs_buys_{f}", f"obs_sells_{f}"
         out |= {f"buys_{f}": F.col(b), f"sells_{f}": F.col(sl), f"buy_ratio_{f}": buy_ratio(b, sl), f"buy_sell_imbalance_{f}": imbalance(b, sl)}
     known = lambda c: F.col(c).isNotNull()
-    authority = lambda c: F.when(~known("security_received_at") | (F.col("security_status") != "available"), "unknown").when(known(c), "present").otherwise("none")
+    authority = lambda c: F.when(~known("security_received_at") | (F.col("security_status") != "available"), "unknown").when(known(c),
+        "present").otherwise("none")
     out |= {
-        "buy_sell_imbalance_m5_change_1m": imbalance("obs_buys_m5", "obs_sells_m5") - imbalance("buys_m5_1m", "sells_m5_1m"), "transactions_m5": F.col("obs_buys_m5") + F.col("obs_sells_m5"),
+        "buy_sell_imbalance_m5_change_1m": imbalance("obs_buys_m5", "obs_sells_m5") - imbalance("buys_m5_1m", "sells_m5_1m"),
+        "transactions_m5": F.col("obs_buys_m5") + F.col("obs_sells_m5"),
         "transaction_acceleration_1m": F.col("obs_buys_m5") + F.col("obs_sells_m5") - F.col("buys_m5_1m") - F.col("sells_m5_1m"),
-        "path_observation_count_5m": n, "realized_volatility_5m": F.when(k >= 2, F.coalesce(F.nanvl(spread, F.lit(0.0)), F.lit(0.0))), "drawdown_from_local_peak_5m": F.try_divide(last, F.array_max("_prices")) - 1,
-        "recovery_from_local_low_5m": F.try_divide(last, F.array_min("_prices")) - 1, "consecutive_positive_observations": run(1), "consecutive_negative_observations": run(-1),
-        "path_monotonicity_5m": F.when(F.size(signs) > 0, F.abs(total(signs)) / F.size(signs)), "path_smoothness_5m": F.when(rms > 0, F.aggregate("_r", F.lit(0.0), lambda x, y: x + F.abs(y)) / k / rms),
+        "path_observation_count_5m": n, "realized_volatility_5m": F.when(k >= 2, F.coalesce(F.nanvl(spread, F.lit(0.0)), F.lit(0.0))),
+        "drawdown_from_local_peak_5m": F.try_divide(last, F.array_max("_prices")) - 1,
+        "recovery_from_local_low_5m": F.try_divide(last, F.array_min("_prices")) - 1, "consecutive_positive_observations": run(1),
+        "consecutive_negative_observations": run(-1),
+        "path_monotonicity_5m": F.when(F.size(signs) > 0, F.abs(total(signs)) / F.size(signs)),
+        "path_smoothness_5m": F.when(rms > 0, F.aggregate("_r", F.lit(0.0), lambda x, y: x + F.abs(y)) / k / rms),
         "abrupt_liquidity_decline_1m": change("obs_liquidity_usd", "liquidity_usd_1m") < -0.5,
-        "boost_known": known("boost_received_at"), "boost_active": F.col("boost_active_boost_count") > 0, "boost_active_count": F.col("boost_active_boost_count"), "boost_amount": F.col("boost_amount"), "boost_total_amount": F.col("boost_total_amount"),
-        "boost_freshness_seconds": _elapsed(F.col("boost_received_at"), F.col("decision_at")), "time_since_first_boost_seconds": _elapsed(F.col("boost_first_received_at"), F.col("decision_at")),
-        "boost_amount_change": F.col("boost_amount") - F.col("boost_previous_amount"), "boost_total_amount_change": F.col("boost_total_amount") - F.col("boost_previous_total_amount"),
-        "security_known": known("security_received_at"), "security_status": F.coalesce("security_status", F.lit("unknown")), "security_snapshot_freshness_seconds": _elapsed(F.col("security_received_at"), F.col("decision_at")),
-        "token_program": F.when(known("security_received_at"), F.col("security_token_program")).otherwise("unknown"), "mint_authority_state": authority("security_mint_authority"), "freeze_authority_state": authority("security_freeze_authority"),
-        "context_known": known("context_received_at"), "context_freshness_seconds": _elapsed(F.col("context_received_at"), F.col("decision_at")), "sol_usd_price": F.col("context_sol_usd_price").cast("double"),
-        "tracked_admission_rate_per_minute": F.col("context_admitted_tokens") / F.greatest(_elapsed(F.col("context_bucket_start"), F.col("context_bucket_end")), F.lit(1.0)) * 60, "metadata_known": known("metadata_received_at"),
-        "sol_return_5m": F.col("context_sol_return_5m"), "sol_realized_volatility_1h": F.col("context_sol_realized_volatility_1h"), "recent_active_conversion_fraction": F.col("context_mature_cohort_active_fraction"),
-        "aggregate_tracked_volume_m5_usd": F.col("context_aggregate_volume_m5_usd"), "aggregate_tracked_buy_ratio_m5": buy_ratio("context_aggregate_buys_m5", "context_aggregate_sells_m5"), "pair_created_at_known": known("pair_created_at"),
+        "boost_known": known("boost_received_at"), "boost_active": F.col("boost_active_boost_count") > 0,
+        "boost_active_count": F.col("boost_active_boost_count"), "boost_amount": F.col("boost_amount"), "boost_total_amount": F.col("boost_total_amount"),
+        "boost_freshness_seconds": _elapsed(F.col("boost_received_at"), F.col("decision_at")),
+        "time_since_first_boost_seconds": _elapsed(F.col("boost_first_received_at"), F.col("decision_at")),
+        "boost_amount_change": F.col("boost_amount") - F.col("boost_previous_amount"),
+        "boost_total_amount_change": F.col("boost_total_amount") - F.col("boost_previous_total_amount"),
+        "security_known": known("security_received_at"), "security_status": F.coalesce("security_status", F.lit("unknown")),
+        "security_snapshot_freshness_seconds": _elapsed(F.col("security_received_at"), F.col("decision_at")),
+        "token_program": F.when(known("security_received_at"), F.col("security_token_program")).otherwise("unknown"),
+        "mint_authority_state": authority("security_mint_authority"), "freeze_authority_state": authority("security_freeze_authority"),
+        "context_known": known("context_received_at"), "context_freshness_seconds": _elapsed(F.col("context_received_at"), F.col("decision_at")),
+        "sol_usd_price": F.col("context_sol_usd_price").cast("double"),
+        "tracked_admission_rate_per_minute": F.col("context_admitted_tokens") / F.greatest(_elapsed(F.col("context_bucket_start"),
+        F.col("context_bucket_end")), F.lit(1.0)) * 60, "metadata_known": known("metadata_received_at"),
+        "sol_return_5m": F.col("context_sol_return_5m"), "sol_realized_volatility_1h": F.col("context_sol_realized_volatility_1h"),
+        "recent_active_conversion_fraction": F.col("context_mature_cohort_active_fraction"),
+        "aggregate_tracked_volume_m5_usd": F.col("context_aggregate_volume_m5_usd"),
+        "aggregate_tracked_buy_ratio_m5": buy_ratio("context_aggregate_buys_m5", "context_aggregate_sells_m5"),
+        "pair_created_at_known": known("pair_created_at"),
     }
     return s.select(*KEY, *[c.alias(name) for name, c in out.items()])
 
@@ -247,9 +284,11 @@ def outcome_labels(candidates: DataFrame, families: Mapping[str, DataFrame], hor
     Thresholds are compared in doubles."""
     obs = doubles(families["observations"]).withColumnRenamed("pair_id", "selected_pair_id")
     picked = selected_pairs(candidates.select(*KEY).distinct(), doubles(families["observations"]))
-    entry = asof_join(picked, obs, ["token_id", "selected_pair_id"], "decision_at", "received_at", ["received_at", "price_usd", "liquidity_usd"], tie="id", prefix="e_")
+    entry = asof_join(picked, obs, ["token_id", "selected_pair_id"], "decision_at", "received_at", ["received_at", "price_usd", "liquidity_usd"],
+        tie="id", prefix="e_")
     longest = max(h + t for h, t in horizons.values())
-    facts = obs.select("token_id", "selected_pair_id", F.col("received_at").alias("at"), F.col("id").alias("fact"), F.col("price_usd").alias("p"), F.col("liquidity_usd").alias("l"))
+    facts = obs.select("token_id", "selected_pair_id", F.col("received_at").alias("at"), F.col("id").alias("fact"), F.col("price_usd").alias("p"),
+        F.col("liquidity_usd").alias("l"))
     path = path_join(entry.filter("selected_pair_id IS NOT NULL"), facts, ["token_id", "selected_pair_id"], "decision_at", "at", 0, longest)
     w = Window.partitionBy(*KEY).orderBy("at", "fact")
     path = path.withColumns({
@@ -260,33 +299,44 @@ def outcome_labels(candidates: DataFrame, families: Mapping[str, DataFrame], hor
     each = path.withColumn("x", F.explode(F.filter(spans, lambda x: F.col("s") <= x["limit"])))
     base, order = F.col("e_price_usd"), F.struct("at", "fact")
     within = F.when(F.col("s") >= F.col("x.h"), F.struct("at", "fact", "s", "p", "l"))
-    cross = {m: (F.col("p") >= base * m if m > 1 else F.col("p") <= base * m) & (base > 0) for m in sorted({*UPSIDE.values(), *DOWNSIDE.values(), *(m for up_down in ORDERED.values() for m in up_down), *TIMES.values()})}
+    cross = {m: (F.col("p") >= base * m if m > 1 else F.col("p") <= base * m) & (base > 0) for m in sorted({*UPSIDE.values(), *DOWNSIDE.values(),
+        *(m for up_down in ORDERED.values() for m in up_down), *TIMES.values()})}
     tag = lambda m: f"c{str(m).replace('.', '_')}"
     agg = each.groupBy(*KEY, F.col("x.name").alias("name"), F.col("x.h").alias("h")).agg(
-        F.min(within).alias("end"), F.max("gap").alias("gap"), F.max("p").alias("high"), F.min("p").alias("low"), F.min("l").alias("thin"), F.max("jump").alias("jump"),
-        F.max_by(F.struct("l"), order).alias("last"), F.min_by("s", F.when(F.col("p").isNotNull(), F.struct(-F.col("p"), F.col("at"), F.col("fact")))).alias("peak_s"),
-        *[F.min(F.when(c, F.col("s"))).alias(tag(m)) for m, c in cross.items()], *[F.min(F.when(c & (F.col("p") != 0), F.col("s"))).alias(f"n{tag(m)}") for m, c in cross.items()],
+        F.min(within).alias("end"), F.max("gap").alias("gap"), F.max("p").alias("high"), F.min("p").alias("low"), F.min("l").alias("thin"),
+        F.max("jump").alias("jump"),
+        F.max_by(F.struct("l"), order).alias("last"),
+        F.min_by("s", F.when(F.col("p").isNotNull(), F.struct(-F.col("p"), F.col("at"), F.col("fact")))).alias("peak_s"),
+        *[F.min(F.when(c, F.col("s"))).alias(tag(m)) for m, c in cross.items()],
+        *[F.min(F.when(c & (F.col("p") != 0), F.col("s"))).alias(f"n{tag(m)}") for m, c in cross.items()],
     )
     allowed = F.least(F.greatest(F.lit(60.0), F.col("h") * 0.1), F.lit(1800.0))
     agg = agg.join(entry.select(*KEY, "e_price_usd", "e_liquidity_usd"), KEY).withColumn("complete", F.col("end").isNotNull() & (F.col("gap") <= allowed))
     entry_liquid = F.col("e_liquidity_usd") > 0
     done = F.col("complete")
     per = {
-        "horizon_{}_available": F.col("end").isNotNull(), "horizon_{}_path_complete": done, "horizon_{}_actual_seconds": F.col("end.s"), "theoretical_market_return_{}": change("end.p", "e_price_usd"), "exit_liquidity_usd_{}": F.col("end.l"),
+        "horizon_{}_available": F.col("end").isNotNull(), "horizon_{}_path_complete": done, "horizon_{}_actual_seconds": F.col("end.s"),
+        "theoretical_market_return_{}": change("end.p", "e_price_usd"), "exit_liquidity_usd_{}": F.col("end.l"),
         **{f"exit_notional_{k}_liquidity_ratio_{{}}": F.when(F.col("end.l") > 0, k / F.col("end.l")) for k in NOTIONALS},
-        "maximum_favorable_excursion_{}": F.when(done, change("high", "e_price_usd")), "maximum_adverse_excursion_{}": F.when(done, change("low", "e_price_usd")),
+        "maximum_favorable_excursion_{}": F.when(done, change("high", "e_price_usd")),
+        "maximum_adverse_excursion_{}": F.when(done, change("low", "e_price_usd")),
         **{f"crossed_{n}_{{}}": tri_state(F.col(f"n{tag(m)}").isNotNull(), done) for n, m in (UPSIDE | DOWNSIDE).items()},
-        "minimum_future_liquidity_usd_{}": F.when(done, F.col("thin")), "major_liquidity_collapse_{}": tri_state(entry_liquid & (F.col("thin") <= F.col("e_liquidity_usd") * 0.2), done),
-        "liquidity_survival_{}": tri_state(entry_liquid & (F.col("last.l") >= F.col("e_liquidity_usd") * 0.5), done), "maximum_observed_price_discontinuity_{}": F.when(done, F.col("jump")), "extreme_gap_or_rug_proxy_{}": tri_state(F.col("jump") >= 0.95, done),
+        "minimum_future_liquidity_usd_{}": F.when(done, F.col("thin")),
+        "major_liquidity_collapse_{}": tri_state(entry_liquid & (F.col("thin") <= F.col("e_liquidity_usd") * 0.2), done),
+        "liquidity_survival_{}": tri_state(entry_liquid & (F.col("last.l") >= F.col("e_liquidity_usd") * 0.5), done),
+        "maximum_observed_price_discontinuity_{}": F.when(done, F.col("jump")), "extreme_gap_or_rug_proxy_{}": tri_state(F.col("jump") >= 0.95, done),
     }
     if "lifecycle" in families:
         known = families["lifecycle"].filter("input_watermark <= decided_at")
-        states = asof_join(agg.filter("end IS NOT NULL").select(*KEY, "name", F.col("end.at").alias("end_at")), known, ["token_id"], "end_at", "decided_at", ["new_state"], tie="id", prefix="end_")
+        states = asof_join(agg.filter("end IS NOT NULL").select(*KEY, "name", F.col("end.at").alias("end_at")), known, ["token_id"], "end_at",
+            "decided_at", ["new_state"], tie="id", prefix="end_")
         agg = agg.join(states.drop("end_at"), [*KEY, "name"], "left")
         per["future_lifecycle_state_{}"] = F.col("end_new_state")
-    named = agg.select(*KEY, "name", "h", *[tag(m) for m in cross], "complete", "peak_s", F.struct(*[c.alias(k.format("h")) for k, c in per.items()]).alias("v"))
+    named = agg.select(*KEY, "name", "h", *[tag(m) for m in cross], "complete", "peak_s",
+        F.struct(*[c.alias(k.format("h")) for k, c in per.items()]).alias("v"))
     wide = named.groupBy(*KEY).agg(
-        F.max(F.struct("h", "complete", "peak_s", *[tag(m) for m in cross])).alias("far"), *[F.max(F.when(F.col("name") == n, F.col("v"))).alias(f"_{n}") for n in horizons],
+        F.max(F.struct("h", "complete", "peak_s", *[tag(m) for m in cross])).alias("far"),
+        *[F.max(F.when(F.col("name") == n, F.col("v"))).alias(f"_{n}") for n in horizons],
     )
     out = entry.join(wide, KEY, "left")
     unseen = {"crossed": "UNKNOWN", "major_liquidity_collapse": "UNKNOWN", "liquidity_survival": "UNKNOWN", "extreme_gap": "UNKNOWN", "horizon": False}
@@ -300,9 +350,12 @@ def outcome_labels(candidates: DataFrame, families: Mapping[str, DataFrame], hor
 
     far = lambda m: F.col(f"far.{tag(m)}")
     far_done = F.coalesce(F.col("far.complete"), F.lit(False))
-    ordered = {n: F.when(far(u).isNotNull(), F.when(far(d).isNull() | (far(u) < far(d)), "TRUE").otherwise("FALSE")).when(far(d).isNotNull() | far_done, "FALSE").otherwise("UNKNOWN") for n, (u, d) in ORDERED.items()}
+    ordered = {n: F.when(far(u).isNotNull(),
+        F.when(far(d).isNull() | (far(u) < far(d)), "TRUE").otherwise("FALSE")).when(far(d).isNotNull() | far_done,
+        "FALSE").otherwise("UNKNOWN") for n, (u, d) in ORDERED.items()}
     return out.select(
-        *KEY, F.col("e_price_usd").alias("theoretical_entry_price_usd"), F.col("e_liquidity_usd").alias("entry_liquidity_usd"), F.lit(None).cast("double").alias("execution_adjusted_return"),
+        *KEY, F.col("e_price_usd").alias("theoretical_entry_price_usd"), F.col("e_liquidity_usd").alias("entry_liquidity_usd"),
+        F.lit(None).cast("double").alias("execution_adjusted_return"),
         *[F.when(F.col("e_liquidity_usd") > 0, k / F.col("e_liquidity_usd")).alias(f"entry_notional_{k}_liquidity_ratio") for k in NOTIONALS],
         *[column(t, n) for n in horizons for t in per], *[c.alias(n) for n, c in ordered.items()], *[far(m).alias(n) for n, m in TIMES.items()],
         F.when(far_done, F.col("far.peak_s")).alias("time_to_peak_seconds"), far(0.2).alias("time_to_collapse_seconds"),
@@ -362,7 +415,8 @@ def quality_report(rows: DataFrame) -> DataFrame:
     one = rows.agg(F.count(F.lit(1)).alias("n"), *measures)
     pairs = F.array(*[F.struct(F.lit(m).alias("k"), F.col(f"`{m}`").alias("v")) for m in one.columns if m != "n"])
     long = one.select("n", F.explode(pairs).alias("x"))
-    return long.select(F.split_part("x.k", F.lit(":"), F.lit(2)).alias("name"), F.split_part("x.k", F.lit(":"), F.lit(1)).alias("measure"), F.round(ratio("x.v", "n"), 6).alias("value"))
+    return long.select(F.split_part("x.k", F.lit(":"), F.lit(2)).alias("name"), F.split_part("x.k", F.lit(":"), F.lit(1)).alias("measure"),
+        F.round(ratio("x.v", "n"), 6).alias("value"))
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:

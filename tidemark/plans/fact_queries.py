@@ -43,13 +43,15 @@ def q67_archive_round_trip(spark, sf_dir):
     held = archive.open_verified(spark, copy)
     back = held["events"].unionByName(held["none"])
     return back.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(
-        F.count(F.lit(1)).alias("n"), F.min("event_id").alias("lowest"), F.max("event_id").alias("highest"), F.min("ts").alias("first_at"), F.max("ts").alias("last_at"),
+        F.count(F.lit(1)).alias("n"), F.min("event_id").alias("lowest"), F.max("event_id").alias("highest"), F.min("ts").alias("first_at"),
+        F.max("ts").alias("last_at"),
         F.count_if(F.col("value") > 100).alias("large"), F.count_distinct("user_id").alias("users"), F.round(F.sum("value"), 4).alias("total"),
     )
 
 
 @query("""
-SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, count(*) AS rows, min(o_orderkey) AS lowest, max(o_orderkey) AS highest, min(o_orderdate) AS first_at, max(o_orderdate) AS last_at,
+SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, count(*) AS rows, min(o_orderkey) AS lowest, max(o_orderkey) AS highest,
+  min(o_orderdate) AS first_at, max(o_orderdate) AS last_at,
   count(*) FILTER (WHERE o_orderstatus = 'P') AS priority_nulls FROM orders GROUP BY 1
 """)
 def q68_part_facts(spark, sf_dir):
@@ -58,12 +60,15 @@ def q68_part_facts(spark, sf_dir):
     f = archive.family_facts(o, "o_orderdate", ["o_orderkey"])
     bound = lambda c: F.get_json_object(c, "$.o_orderkey").cast("long").alias(c)
     nulls = F.coalesce(F.try_element_at("nulls", F.lit("o_orderpriority")), F.lit(0)).alias("priority_nulls")
-    return f.select("day", "rows", bound("lowest"), bound("highest"), F.col("first").cast("timestamp_ntz").alias("first_at"), F.col("last").cast("timestamp_ntz").alias("last_at"), nulls)
+    return f.select("day", "rows", bound("lowest"), bound("highest"), F.col("first").cast("timestamp_ntz").alias("first_at"),
+        F.col("last").cast("timestamp_ntz").alias("last_at"), nulls)
 
 
 @query("""
-SELECT event_id, '{"event_id":' || event_id || ',"event_type":"' || event_type || '","user_id":' || CASE WHEN event_type = 'error' THEN 'null' ELSE user_id::VARCHAR END || '}' AS body,
-  sha256('{"event_id":' || event_id || ',"event_type":"' || event_type || '","user_id":' || CASE WHEN event_type = 'error' THEN 'null' ELSE user_id::VARCHAR END || '}') AS digest FROM events
+SELECT event_id, '{"event_id":' || event_id || ',"event_type":"' || event_type || '","user_id":' || CASE WHEN event_type = 'error' THEN 'null'
+  ELSE user_id::VARCHAR END || '}' AS body,
+  sha256('{"event_id":' || event_id || ',"event_type":"' || event_type || '","user_id":' || CASE WHEN event_type = 'error' THEN 'null'
+    ELSE user_id::VARCHAR END || '}') AS digest FROM events
 """)
 def q69_row_json_digest(spark, sf_dir):
     e = Tables(spark, sf_dir).events.withColumn("user_id", F.when(F.col("event_type") != "error", F.col("user_id")))
@@ -73,7 +78,8 @@ def q69_row_json_digest(spark, sf_dir):
 
 @query("""
 WITH h AS (SELECT c_custkey, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || c_name::BLOB) AS h FROM customer)
-SELECT c_custkey, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || substr('89ab', (('0x' || substr(h, 17, 1))::INT % 4) + 1, 1) || substr(h, 18, 3) || '-' || substr(h, 21, 12) AS id FROM h
+SELECT c_custkey, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || substr('89ab', (('0x' || substr(h, 17,
+  1))::INT % 4) + 1, 1) || substr(h, 18, 3) || '-' || substr(h, 21, 12) AS id FROM h
 """)
 def q70_named_uuid(spark, sf_dir):
     return Tables(spark, sf_dir).customer.select("c_custkey", parse.named_uuid(uuid.NAMESPACE_URL)("c_name").alias("id"))
@@ -81,7 +87,8 @@ def q70_named_uuid(spark, sf_dir):
 
 @query("""
 WITH n AS (SELECT o_orderkey, o_orderkey * 7919 AS n FROM orders),
-t AS (SELECT *, array_to_string(list_transform(range(10, -1, -1), lambda i: substr('123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz', ((n // (58::HUGEINT ** i)::HUGEINT) % 58)::INT + 1, 1)), '') AS t FROM n)
+t AS (SELECT *, array_to_string(list_transform(range(10, -1, -1), lambda i: substr('123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz',
+  ((n // (58::HUGEINT ** i)::HUGEINT) % 58)::INT + 1, 1)), '') AS t FROM n)
 SELECT o_orderkey, repeat('1', len(list_filter(range(0, 8), lambda k: (n >> (8 * (7 - k))) = 0))::INT) || ltrim(t, '1') AS text FROM t
 """)
 def q71_base58(spark, sf_dir):
@@ -90,47 +97,65 @@ def q71_base58(spark, sf_dir):
 
 
 @query("""
-SELECT l_orderkey, l_linenumber, 'p' || l_partkey AS pair_address, l_extendedprice::DECIMAL(18, 4)::DOUBLE AS price_usd, CASE WHEN l_discount > 0 THEN l_quantity::DOUBLE END AS liquidity_usd,
-  CASE WHEN l_linenumber = 1 THEN 0.0 WHEN l_linenumber < 4 THEN l_tax END::DOUBLE AS volume_m5_usd, CASE WHEN l_linenumber <> 2 THEN l_linenumber END::BIGINT AS buys_m5, CASE WHEN l_linenumber <> 2 THEN 0 END::BIGINT AS sells_m5,
+SELECT l_orderkey, l_linenumber, 'p' || l_partkey AS pair_address, l_extendedprice::DECIMAL(18, 4)::DOUBLE AS price_usd, CASE
+  WHEN l_discount > 0 THEN l_quantity::DOUBLE END AS liquidity_usd,
+  CASE WHEN l_linenumber = 1 THEN 0.0 WHEN l_linenumber < 4 THEN l_tax END::DOUBLE AS volume_m5_usd, CASE
+    WHEN l_linenumber <> 2 THEN l_linenumber END::BIGINT AS buys_m5, CASE WHEN l_linenumber <> 2 THEN 0 END::BIGINT AS sells_m5,
   l_shipdate AS pair_created_at FROM lineitem
 """)
 def q72_pair_payloads(spark, sf_dir):
     """Line items told as JSON pairs and read back: what is missing stays null, and zero stays zero."""
     x, n = Tables(spark, sf_dir).lineitem, F.col("l_linenumber")
     body = F.struct(
-        F.lit("chain").alias("chainId"), F.concat(F.lit("p"), "l_partkey").alias("pairAddress"), F.col("l_extendedprice").cast("decimal(18,4)").cast("string").alias("priceUsd"),
-        F.when(F.col("l_discount") > 0, F.struct(F.col("l_quantity").alias("usd"))).alias("liquidity"), F.struct(F.when(n == 1, "0").when(n < 4, F.col("l_tax").cast("string")).when(n == 4, "no number").alias("m5")).alias("volume"),
-        F.when(n != 2, F.struct(F.struct(n.alias("buys"), F.lit(0).alias("sells")).alias("m5"))).alias("txns"), (micros("l_shipdate") / 1000).cast("long").alias("pairCreatedAt"),
+        F.lit("chain").alias("chainId"), F.concat(F.lit("p"), "l_partkey").alias("pairAddress"),
+        F.col("l_extendedprice").cast("decimal(18,4)").cast("string").alias("priceUsd"),
+        F.when(F.col("l_discount") > 0, F.struct(F.col("l_quantity").alias("usd"))).alias("liquidity"),
+        F.struct(F.when(n == 1, "0").when(n < 4, F.col("l_tax").cast("string")).when(n == 4, "no number").alias("m5")).alias("volume"),
+        F.when(n != 2, F.struct(F.struct(n.alias("buys"), F.lit(0).alias("sells")).alias("m5"))).alias("txns"),
+        (micros("l_shipdate") / 1000).cast("long").alias("pairCreatedAt"),
     )
     read = parse.pair_observations(x.select("l_orderkey", "l_linenumber", F.to_json(body).alias("body")))
     money = [F.col(c).cast("double").alias(c) for c in ("price_usd", "liquidity_usd", "volume_m5_usd")]
-    return read.select("l_orderkey", "l_linenumber", "pair_address", *money, "buys_m5", "sells_m5", F.col("pair_created_at").cast("timestamp_ntz").alias("pair_created_at"))
+    return read.select("l_orderkey", "l_linenumber", "pair_address", *money, "buys_m5", "sells_m5",
+        F.col("pair_created_at").cast("timestamp_ntz").alias("pair_created_at"))
 
 
 @query("""
-SELECT s_suppkey, CASE WHEN s_nationkey > 3 THEN 'https://a/' || s_suppkey END AS website, CASE WHEN s_suppkey % 2 = 0 THEN 't' || s_suppkey END AS twitter, CASE WHEN s_suppkey % 3 = 0 THEN 'g' || s_suppkey END AS telegram,
+SELECT s_suppkey, CASE WHEN s_nationkey > 3 THEN 'https://a/' || s_suppkey END AS website, CASE
+  WHEN s_suppkey % 2 = 0 THEN 't' || s_suppkey END AS twitter, CASE WHEN s_suppkey % 3 = 0 THEN 'g' || s_suppkey END AS telegram,
   CASE WHEN s_suppkey % 5 = 0 THEN 'o' || s_suppkey ELSE '' END AS others FROM supplier
 """)
 def q73_links(spark, sf_dir):
     k = F.col("s_suppkey")
     site = lambda tag: F.struct(F.lit(None).cast("string").alias("label"), F.concat(F.lit(tag), k).alias("url"))
-    social = lambda kind, platform, url, handle: F.struct(*[(F.concat(F.lit(v), k) if n in ("url", "handle") and v else F.lit(v).cast("string")).alias(n) for n, v in (("type", kind), ("platform", platform), ("url", url), ("handle", handle))])
-    socials = F.array(F.when(k % 2 == 0, social("Twitter", None, "t", None)), F.when(k % 3 == 0, social(None, "telegram", None, "g")), F.when(k % 2 == 0, social("twitter", None, "later", None)), F.when(k % 5 == 0, social("tiktok", None, "o", None)))
-    info = F.struct(F.when(F.col("s_nationkey") > 3, F.array(site("https://a/"), site("https://b/"))).alias("websites"), F.filter(socials, lambda x: x.isNotNull()).alias("socials"))
+
+    def social(kind: str | None, platform: str | None, url: str | None, handle: str | None):
+        text = lambda v, numbered, name: (F.concat(F.lit(v), k) if numbered and v else F.lit(v).cast("string")).alias(name)
+        return F.struct(text(kind, False, "type"), text(platform, False, "platform"), text(url, True, "url"), text(handle, True, "handle"))
+
+    socials = F.array(F.when(k % 2 == 0, social("Twitter", None, "t", None)), F.when(k % 3 == 0, social(None, "telegram", None, "g")),
+        F.when(k % 2 == 0, social("twitter", None, "later", None)), F.when(k % 5 == 0, social("tiktok", None, "o", None)))
+    info = F.struct(F.when(F.col("s_nationkey") > 3, F.array(site("https://a/"), site("https://b/"))).alias("websites"),
+        F.filter(socials, lambda x: x.isNotNull()).alias("socials"))
     read = parse.links(Tables(spark, sf_dir).supplier.select("s_suppkey", F.to_json(F.struct(info.alias("info"))).alias("body")))
     return read.select("s_suppkey", "website", "twitter", "telegram", F.array_join("other_links", ",").alias("others"))
 
 
 @query("""
-SELECT c_custkey, c_name FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'P') OR EXISTS (SELECT 1 FROM events WHERE user_id = c_custkey AND value > 200) OR EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = c_custkey)
+SELECT c_custkey, c_name FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey
+  AND o_orderstatus = 'P') OR EXISTS (SELECT 1 FROM events WHERE user_id = c_custkey AND value > 200) OR EXISTS (SELECT 1 FROM supplier
+  WHERE s_suppkey = c_custkey)
 """)
 def q74_in_any_of_three(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return in_any(t.customer.select("c_custkey", "c_name"), "c_custkey", (t.orders.filter("o_orderstatus = 'P'"), "o_custkey"), (t.events.filter("value > 200"), "user_id"), (t.supplier, "s_suppkey"))
+    return in_any(t.customer.select("c_custkey", "c_name"), "c_custkey", (t.orders.filter("o_orderstatus = 'P'"), "o_custkey"),
+        (t.events.filter("value > 200"), "user_id"), (t.supplier, "s_suppkey"))
 
 
 @query("""
-SELECT p_partkey, p_partkey * 1000003 AS supply, p_size AS decimals, p_size % 2 = 1 AS initialized, CASE WHEN p_partkey % 3 = 0 THEN lpad(lower(hex(p_partkey)), 64, '0') END AS mint_authority, CASE WHEN p_partkey % 5 = 0 THEN lpad(lower(hex(p_partkey)), 64, '0') END AS freeze_authority FROM part
+SELECT p_partkey, p_partkey * 1000003 AS supply, p_size AS decimals, p_size % 2 = 1 AS initialized, CASE
+  WHEN p_partkey % 3 = 0 THEN lpad(lower(hex(p_partkey)), 64, '0') END AS mint_authority, CASE
+  WHEN p_partkey % 5 = 0 THEN lpad(lower(hex(p_partkey)), 64, '0') END AS freeze_authority FROM part
 UNION ALL SELECT -1, NULL, NULL, NULL, NULL, NULL
 """)
 def q75_mint_accounts(spark, sf_dir):
@@ -142,35 +167,42 @@ def q75_mint_accounts(spark, sf_dir):
         return F.unhex(F.concat(*[F.substring(big, 2 * i + 1, 2) for i in reversed(range(size))]))
 
     key = F.unhex(F.lpad(F.hex(k), 64, "0"))
-    data = F.concat(little((k % 3 == 0).cast("int"), 4), key, little(k * 1000003, 8), little(F.col("p_size"), 1), little(F.col("p_size") % 2, 1), little((k % 5 == 0).cast("int"), 4), key)
+    data = F.concat(little((k % 3 == 0).cast("int"), 4), key, little(k * 1000003, 8), little(F.col("p_size"), 1), little(F.col("p_size") % 2, 1),
+        little((k % 5 == 0).cast("int"), 4), key)
     raw = Tables(spark, sf_dir).part.select("p_partkey", data.alias("data")).unionByName(spark.sql("SELECT -1L AS p_partkey, X'00ff' AS data"))
     m = raw.select("p_partkey", parse.mint_account("data").alias("m"))
     return m.select("p_partkey", F.col("m.supply").cast("long").alias("supply"), "m.decimals", "m.initialized", "m.mint_authority", "m.freeze_authority")
 
 
 @query(r"""
-SELECT o_orderkey, substr(o_orderpriority, 1, 5) AS short, lower(trim(o_orderpriority)) AS low, o_orderkey % 5 = 1 AS has_nul, o_orderkey % 5 IN (0, 3) AS is_safe FROM orders
+SELECT o_orderkey, substr(o_orderpriority, 1, 5) AS short, lower(trim(o_orderpriority)) AS low, o_orderkey % 5 = 1 AS has_nul, o_orderkey % 5 IN (0,
+  3) AS is_safe FROM orders
 """)
 def q76_text_guards(spark, sf_dir):
     """Raw JSON texts with NUL characters and unpaired surrogates spelled in keys or values."""
     bodies = ['{"a": "plain"}', '{"k\\u0000": 1}', '{"a": "\\ud83d"}', '{"a": "\\ud83d\\ude00 \\\\u0000"}', '{"a": ["\\ude00\\ud83d"]}']
     body = F.element_at(F.array(*[F.lit(b) for b in bodies]), (F.col("o_orderkey") % 5 + 1).cast("int"))
     o = Tables(spark, sf_dir).orders.withColumn("body", body)
-    return o.select("o_orderkey", scalar.bounded_text("o_orderpriority", 5).alias("short"), F.lower(F.trim("o_orderpriority")).alias("low"), scalar.has_nul("body").alias("has_nul"), parse.raw_is_safe("body").alias("is_safe"))
+    return o.select("o_orderkey", scalar.bounded_text("o_orderpriority", 5).alias("short"), F.lower(F.trim("o_orderpriority")).alias("low"),
+        scalar.has_nul("body").alias("has_nul"), parse.raw_is_safe("body").alias("is_safe"))
 
 
 @query("""
-SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN date_trunc('second', o_orderdate) WHEN 1 THEN o_orderdate END AS at, (epoch_us(o_orderdate) // 300000000 * 300)::BIGINT AS bucket FROM orders
+SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN date_trunc('second', o_orderdate) WHEN 1 THEN o_orderdate END AS at,
+  (epoch_us(o_orderdate) // 300000000 * 300)::BIGINT AS bucket FROM orders
 """)
 def q77_epoch_times(spark, sf_dir):
     """Seconds, milliseconds, something that is no finite number and no number at all."""
     us = micros("o_orderdate")
-    text = F.element_at(F.array((us / 1_000_000).cast("long").cast("string"), (us / 1000).cast("long").cast("string"), F.lit("NaN"), F.lit("soon")), (F.col("o_orderkey") % 4 + 1).cast("int"))
-    return Tables(spark, sf_dir).orders.select("o_orderkey", scalar.epoch_time(text).cast("timestamp_ntz").alias("at"), scalar.fixed_bucket("o_orderdate", 300).alias("bucket"))
+    text = F.element_at(F.array((us / 1_000_000).cast("long").cast("string"), (us / 1000).cast("long").cast("string"), F.lit("NaN"), F.lit("soon")),
+        (F.col("o_orderkey") % 4 + 1).cast("int"))
+    return Tables(spark, sf_dir).orders.select("o_orderkey", scalar.epoch_time(text).cast("timestamp_ntz").alias("at"),
+        scalar.fixed_bucket("o_orderdate", 300).alias("bucket"))
 
 
 @query("""
-WITH x AS (SELECT event_id, value, lag(value) OVER w AS before, (epoch_us(ts) - epoch_us(lag(ts) OVER w)) / 1000000.0 AS s FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+WITH x AS (SELECT event_id, value, lag(value) OVER w AS before, (epoch_us(ts) - epoch_us(lag(ts) OVER w)) / 1000000.0 AS s
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
 SELECT event_id, round(CASE WHEN s > 0 THEN (value - before) / s END, 9) AS slope FROM x
 """)
 def q78_slopes(spark, sf_dir):
@@ -180,18 +212,21 @@ def q78_slopes(spark, sf_dir):
 
 
 @query("""
-WITH c AS (SELECT user_id, count(*) FILTER (WHERE event_type = 'purchase') AS b, count(*) FILTER (WHERE event_type = 'error' AND value > 100) AS s FROM events GROUP BY 1),
+WITH c AS (SELECT user_id, count(*) FILTER (WHERE event_type = 'purchase') AS b, count(*) FILTER (WHERE event_type = 'error'
+  AND value > 100) AS s FROM events GROUP BY 1),
 n AS (SELECT user_id, CASE WHEN b > 3 THEN b END AS b, s FROM c)
 SELECT user_id, round(CASE WHEN b + s <> 0 THEN b / (b + s) END, 9) AS buy_ratio, round(CASE WHEN b + s <> 0 THEN (b - s) / (b + s) END, 9) AS imbalance FROM n
 """)
 def q79_flow_ratios(spark, sf_dir):
-    n = Tables(spark, sf_dir).events.groupBy("user_id").agg(F.count_if(F.col("event_type") == "purchase").alias("b"), F.count_if((F.col("event_type") == "error") & (F.col("value") > 100)).alias("s"))
+    n = Tables(spark, sf_dir).events.groupBy("user_id").agg(F.count_if(F.col("event_type") == "purchase").alias("b"),
+        F.count_if((F.col("event_type") == "error") & (F.col("value") > 100)).alias("s"))
     n = n.withColumn("b", F.when(F.col("b") > 3, F.col("b")))
     return n.select("user_id", F.round(scalar.buy_ratio("b", "s"), 9).alias("buy_ratio"), F.round(scalar.imbalance("b", "s"), 9).alias("imbalance"))
 
 
 @query("""
-SELECT p_partkey, rtrim(rtrim(p_retailprice::DECIMAL(20, 6)::VARCHAR, '0'), '.') AS canonical, round(p_retailprice::DECIMAL(20, 6), 1) = (floor(p_retailprice::DECIMAL(20, 6) * 10 + 0.5) / 10)::DECIMAL(20, 1) AND p_size % 2 = 0 AS same FROM part
+SELECT p_partkey, rtrim(rtrim(p_retailprice::DECIMAL(20, 6)::VARCHAR, '0'), '.') AS canonical, round(p_retailprice::DECIMAL(20, 6),
+  1) = (floor(p_retailprice::DECIMAL(20, 6) * 10 + 0.5) / 10)::DECIMAL(20, 1) AND p_size % 2 = 0 AS same FROM part
 """)
 def q80_stored_scale(spark, sf_dir):
     d = F.col("p_retailprice").cast("decimal(20,6)")
@@ -239,20 +274,24 @@ def q85_conflicting_content(spark, sf_dir):
 
 
 @query("""
-WITH f AS (SELECT l_orderkey, l_suppkey % 5 AS a, min(l_linenumber) AS k FROM lineitem GROUP BY 1, 2) SELECT l_orderkey, string_agg(a::VARCHAR, ',' ORDER BY k, a) AS addresses FROM f GROUP BY 1
+WITH f AS (SELECT l_orderkey, l_suppkey % 5 AS a, min(l_linenumber) AS k FROM lineitem GROUP BY 1, 2) SELECT l_orderkey, string_agg(a::VARCHAR,
+  ',' ORDER BY k, a) AS addresses FROM f GROUP BY 1
 """)
 def q86_ordered_distinct(spark, sf_dir):
-    a = F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", (F.col("l_suppkey") % 5).alias("a")))), lambda x: x["a"].cast("string")))
+    a = F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", (F.col("l_suppkey") % 5).alias("a")))),
+        lambda x: x["a"].cast("string")))
     return Tables(spark, sf_dir).lineitem.groupBy("l_orderkey").agg(F.array_join(a, ",").alias("addresses"))
 
 
 @query("""
 WITH p AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase')
-SELECT p.event_id, round(sum(c.value), 4) AS strength FROM p LEFT JOIN events c ON c.event_type = 'click' AND c.user_id = p.user_id AND c.ts BETWEEN p.ts - INTERVAL 12 HOUR AND p.ts GROUP BY 1
+SELECT p.event_id, round(sum(c.value), 4) AS strength FROM p LEFT JOIN events c ON c.event_type = 'click' AND c.user_id = p.user_id
+  AND c.ts BETWEEN p.ts - INTERVAL 12 HOUR AND p.ts GROUP BY 1
 """)
 def q87_recent_strength(spark, sf_dir):
     e = Tables(spark, sf_dir).events
-    probes, facts = e.filter("event_type = 'purchase'").select("event_id", "user_id", "ts"), e.filter("event_type = 'click'").select("user_id", F.col("ts").alias("seen_at"), "value")
+    probes, facts = e.filter("event_type = 'purchase'").select("event_id", "user_id", "ts"), e.filter("event_type = 'click'").select("user_id",
+        F.col("ts").alias("seen_at"), "value")
     return security.recent(facts, probes, ["user_id"], "ts", "seen_at", 720, F.round(F.sum("value"), 4), "strength").select("event_id", "strength")
 
 
@@ -270,18 +309,21 @@ SELECT event_id, CASE WHEN seen > ts - INTERVAL 1 DAY THEN boost END AS boost FR
 def q89_asof_after_bound(spark, sf_dir):
     """The latest signup in (a day before, the purchase]."""
     e = Tables(spark, sf_dir).events
-    found = asof.asof_join(e.filter("event_type = 'purchase'").select("event_id", "user_id", "ts"), e.filter("event_type = 'signup'"), ["user_id"], "ts", "ts", ["event_id", "ts"], tie="event_id", prefix="b_")
+    found = asof.asof_join(e.filter("event_type = 'purchase'").select("event_id", "user_id", "ts"), e.filter("event_type = 'signup'"), ["user_id"],
+        "ts", "ts", ["event_id", "ts"], tie="event_id", prefix="b_")
     return found.select("event_id", F.when(F.col("b_ts") > F.col("ts") - F.expr("INTERVAL 1 DAY"), F.col("b_event_id")).alias("boost"))
 
 
 @query("""
-WITH c AS (SELECT event_id, ts, value FROM events WHERE event_type = 'error') SELECT p.event_id, c.event_id AS context, c.value AS price FROM events p ASOF LEFT JOIN c ON c.ts <= p.ts WHERE p.event_type <> 'error'
+WITH c AS (SELECT event_id, ts, value FROM events WHERE event_type = 'error') SELECT p.event_id, c.event_id AS context, c.value AS price
+  FROM events p ASOF LEFT JOIN c ON c.ts <= p.ts WHERE p.event_type <> 'error'
 """)
 def q90_context_as_of(spark, sf_dir):
     """One line of context for all rows, cut into hours so that no task holds it all."""
     e = Tables(spark, sf_dir).events
     line = lambda df: df.withColumn("_all", F.lit(0))
-    found = asof.asof_join(line(e.filter("event_type <> 'error'").select("event_id", "ts")), line(e.filter("event_type = 'error'")), ["_all"], "ts", "ts", ["event_id", "value"], tie="event_id", prefix="c_", split_seconds=3600)
+    found = asof.asof_join(line(e.filter("event_type <> 'error'").select("event_id", "ts")), line(e.filter("event_type = 'error'")), ["_all"], "ts",
+        "ts", ["event_id", "value"], tie="event_id", prefix="c_", split_seconds=3600)
     return found.select("event_id", F.col("c_event_id").alias("context"), F.col("c_value").alias("price"))
 
 
@@ -299,7 +341,8 @@ def q92_in_flight(spark, sf_dir):
 
 
 @query("""
-WITH m AS (SELECT l_suppkey, date_trunc('month', l_shipdate) AS m, sum(l_quantity) AS q FROM lineitem GROUP BY 1, 2) SELECT l_suppkey, arg_max(q, m) - arg_min(q, m) AS growth FROM m GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10
+WITH m AS (SELECT l_suppkey, date_trunc('month', l_shipdate) AS m, sum(l_quantity) AS q FROM lineitem GROUP BY 1, 2) SELECT l_suppkey, arg_max(q,
+  m) - arg_min(q, m) AS growth FROM m GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10
 """)
 def q93_top_growth(spark, sf_dir):
     m = Tables(spark, sf_dir).lineitem.groupBy("l_suppkey", F.date_trunc("month", "l_shipdate").alias("m")).agg(F.sum("l_quantity").alias("q"))
@@ -307,33 +350,43 @@ def q93_top_growth(spark, sf_dir):
 
 
 @query("""
-WITH s AS (SELECT o_custkey, min(o_orderdate) AS a, max(o_orderdate) AS b, arg_min(o_totalprice, {'d': o_orderdate, 'k': o_orderkey}) AS first, arg_max(o_totalprice, {'d': o_orderdate, 'k': o_orderkey}) AS last FROM orders GROUP BY 1),
+WITH s AS (SELECT o_custkey, min(o_orderdate) AS a, max(o_orderdate) AS b, arg_min(o_totalprice, {'d': o_orderdate, 'k': o_orderkey}) AS first,
+  arg_max(o_totalprice, {'d': o_orderdate, 'k': o_orderkey}) AS last FROM orders GROUP BY 1),
 d AS (SELECT o_custkey, CASE WHEN b > a THEN (last - first) / ((epoch_us(b) - epoch_us(a)) / 1000000.0) * 86400 / 1073741824.0 END AS day FROM s)
-SELECT o_custkey, round(day * 1e9, 6) AS gib_1d, round(day * 30 * 1e9, 6) AS gib_30d, round(day * 90 * 1e9, 6) AS gib_90d, round(day * 365 * 1e9, 6) AS gib_365d FROM d
+SELECT o_custkey, round(day * 1e9, 6) AS gib_1d, round(day * 30 * 1e9, 6) AS gib_30d, round(day * 90 * 1e9, 6) AS gib_90d, round(day * 365 * 1e9,
+  6) AS gib_365d FROM d
 """)
 def q94_growth_extrapolated(spark, sf_dir):
     at = F.struct("o_orderdate", "o_orderkey")
-    s = Tables(spark, sf_dir).orders.groupBy("o_custkey").agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b"), F.min_by("o_totalprice", at).alias("first"), F.max_by("o_totalprice", at).alias("last"))
+    s = Tables(spark, sf_dir).orders.groupBy("o_custkey").agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b"),
+        F.min_by("o_totalprice", at).alias("first"), F.max_by("o_totalprice", at).alias("last"))
     s = s.withColumn("s", seconds_between("a", "b"))
     return s.select("o_custkey", *[F.round(c * 1e9, 6).alias(n) for n, c in report.growth_columns("first", "last", "s").items()])
 
 
 @query("""
-WITH e AS (SELECT l_orderkey, 'p' || lpad(l_partkey::VARCHAR, 7, '0') AS a, 's' || lpad(l_suppkey::VARCHAR, 7, '0') AS b, l_linenumber, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS k, count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem),
+WITH e AS (SELECT l_orderkey, 'p' || lpad(l_partkey::VARCHAR, 7, '0') AS a, 's' || lpad(l_suppkey::VARCHAR, 7, '0') AS b, l_linenumber,
+  row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS k, count(*) OVER (PARTITION BY l_orderkey) AS n
+  FROM lineitem),
 f AS (SELECT * FROM e WHERE k <= 4), w AS (SELECT l_orderkey, a AS w FROM f UNION SELECT l_orderkey, b FROM f),
 r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY w) AS r, count(*) OVER (PARTITION BY l_orderkey) AS c FROM w)
-SELECT f.l_orderkey, f.a AS wallet_a, f.b AS wallet_b, f.n > 4 OR x.c > 5 AS partial FROM f JOIN r x ON x.l_orderkey = f.l_orderkey AND x.w = f.a AND x.r <= 5 JOIN r y ON y.l_orderkey = f.l_orderkey AND y.w = f.b AND y.r <= 5
+SELECT f.l_orderkey, f.a AS wallet_a, f.b AS wallet_b, f.n > 4 OR x.c > 5 AS partial FROM f JOIN r x ON x.l_orderkey = f.l_orderkey AND x.w = f.a
+  AND x.r <= 5 JOIN r y ON y.l_orderkey = f.l_orderkey AND y.w = f.b AND y.r <= 5
 """)
 def q95_bounded_edges(spark, sf_dir):
     x = Tables(spark, sf_dir).lineitem
     name = lambda tag, c: F.concat(F.lit(tag), F.lpad(F.col(c).cast("string"), 7, "0"))
-    edges = x.select("l_orderkey", F.struct("l_linenumber", "l_partkey", "l_suppkey").alias("place"), name("p", "l_partkey").alias("wallet_a"), name("s", "l_suppkey").alias("wallet_b"))
+    edges = x.select("l_orderkey", F.struct("l_linenumber", "l_partkey", "l_suppkey").alias("place"), name("p", "l_partkey").alias("wallet_a"),
+        name("s", "l_suppkey").alias("wallet_b"))
     return security.bounded_edges(edges, ["l_orderkey"], "place", 4, 5).select("l_orderkey", "wallet_a", "wallet_b", "partial")
 
 
 @query("""
-SELECT event_type AS class, 'NORMAL' AS mode, round(60.0 * count(*) / CASE event_type WHEN 'purchase' THEN 5 WHEN 'click' THEN 15 ELSE 300 END, 6) AS granted FROM events GROUP BY 1
-UNION ALL SELECT event_type, 'CRITICAL', round(0.05 * 60.0 * count(*) / CASE event_type WHEN 'purchase' THEN 5 WHEN 'click' THEN 15 ELSE 300 END * 1.0 / (SELECT sum(0.05 * 60.0 / CASE event_type WHEN 'purchase' THEN 5 WHEN 'click' THEN 15 ELSE 300 END) FROM events), 6) FROM events GROUP BY 1
+SELECT event_type AS class, 'NORMAL' AS mode, round(60.0 * count(*) / CASE event_type WHEN 'purchase' THEN 5 WHEN 'click' THEN 15 ELSE 300 END,
+  6) AS granted FROM events GROUP BY 1
+UNION ALL SELECT event_type, 'CRITICAL', round(0.05 * 60.0 * count(*) / CASE event_type WHEN 'purchase' THEN 5 WHEN 'click' THEN 15
+  ELSE 300 END * 1.0 / (SELECT sum(0.05 * 60.0 / CASE event_type WHEN 'purchase' THEN 5 WHEN 'click' THEN 15 ELSE 300 END) FROM events), 6)
+  FROM events GROUP BY 1
 """)
 def q96_capacity(spark, sf_dir):
     """What the planner grants each class when all wishes fit, and when one observation a minute has to do. Counts of classes are all the driver sees."""
@@ -351,9 +404,11 @@ def q97_stream_closed_buckets(spark, sf_dir):
 
 
 @query("""
-WITH s AS (SELECT *, CASE WHEN value >= 60 THEN 'HIGH' WHEN value < 20 THEN 'LOW' END AS s FROM events), k AS (SELECT user_id, event_id, ts, s FROM s WHERE s IS NOT NULL),
+WITH s AS (SELECT *, CASE WHEN value >= 60 THEN 'HIGH' WHEN value < 20 THEN 'LOW' END AS s FROM events), k AS (SELECT user_id, event_id, ts, s
+  FROM s WHERE s IS NOT NULL),
 l AS (SELECT *, s <> coalesce(lag(s) OVER (PARTITION BY user_id ORDER BY ts, event_id), 'NEW') AS moved FROM k)
-SELECT u.user_id AS key, coalesce(arg_max(l.s, {'t': l.ts, 'e': l.event_id}), 'NEW') AS state, count(*) FILTER (WHERE moved) AS changes FROM (SELECT DISTINCT user_id FROM events) u LEFT JOIN l USING (user_id) GROUP BY 1
+SELECT u.user_id AS key, coalesce(arg_max(l.s, {'t': l.ts, 'e': l.event_id}), 'NEW') AS state, count(*) FILTER (WHERE moved) AS changes
+  FROM (SELECT DISTINCT user_id FROM events) u LEFT JOIN l USING (user_id) GROUP BY 1
 """)
 def q98_stream_keyed_state(spark, sf_dir):
     """State of each user after the whole stream, by the pure step that batch replays use."""
@@ -368,9 +423,12 @@ def q98_stream_keyed_state(spark, sf_dir):
 
 
 @query("""
-WITH e AS (SELECT user_id, epoch_ms(ts) / 1000.0 AS t FROM events WHERE value >= 150), g AS (SELECT *, coalesce(t >= lag(t) OVER (PARTITION BY user_id ORDER BY t) + 86400, true)::INT AS n FROM e),
-s AS (SELECT *, sum(n) OVER (PARTITION BY user_id ORDER BY t ROWS UNBOUNDED PRECEDING) AS k FROM g), x AS (SELECT user_id AS key, k, min(t) AS started, max(t) + 86400 AS ended, count(*) - 1 AS renewals FROM s GROUP BY 1, 2)
-SELECT key, round(started, 3) AS started, round(ended, 3) AS ended, renewals FROM x WHERE ended <= (SELECT epoch_ms(max(ts)) / 1000.0 FROM events WHERE value >= 150)
+WITH e AS (SELECT user_id, epoch_ms(ts) / 1000.0 AS t FROM events WHERE value >= 150), g AS (SELECT *,
+  coalesce(t >= lag(t) OVER (PARTITION BY user_id ORDER BY t) + 86400, true)::INT AS n FROM e),
+s AS (SELECT *, sum(n) OVER (PARTITION BY user_id ORDER BY t ROWS UNBOUNDED PRECEDING) AS k FROM g), x AS (SELECT user_id AS key, k,
+  min(t) AS started, max(t) + 86400 AS ended, count(*) - 1 AS renewals FROM s GROUP BY 1, 2)
+SELECT key, round(started, 3) AS started, round(ended, 3) AS ended, renewals FROM x WHERE ended <= (SELECT epoch_ms(max(ts)) / 1000.0
+  FROM events WHERE value >= 150)
 """)
 def q99_stream_expiring_spans(spark, sf_dir):
     """Spans of coverage that a timer closes a day after the last eligible event; those still open at the end do not come out."""
@@ -383,10 +441,13 @@ def q99_stream_expiring_spans(spark, sf_dir):
 
 #: Events as observations, ten thousand times as fast, so that spans of seconds hold several; their types are the pairs of a token.
 _FAST = """
-WITH o AS (SELECT event_id AS id, user_id AS token_id, event_type AS pair, make_timestamp(epoch_us(ts) // 10000) AS tm, value AS p, CASE WHEN event_type <> 'error' THEN value * 10 END AS l FROM events),
+WITH o AS (SELECT event_id AS id, user_id AS token_id, event_type AS pair, make_timestamp(epoch_us(ts) // 10000) AS tm, value AS p, CASE
+  WHEN event_type <> 'error' THEN value * 10 END AS l FROM events),
 c AS (SELECT DISTINCT token_id, tm AS d FROM o WHERE pair = 'purchase'),
-lat AS (SELECT c.token_id, c.d, o.pair, max({'tm': o.tm, 'id': o.id, 'p': o.p, 'l': o.l}) AS x FROM c JOIN o ON o.token_id = c.token_id AND o.tm <= c.d GROUP BY ALL),
-s AS (SELECT token_id, d, arg_max({'pair': pair, 'tm': x.tm, 'p': x.p, 'l': x.l}, {'a': x.l IS NOT NULL, 'b': coalesce(x.l, -1), 'c': x.tm, 'e': pair}) AS y FROM lat GROUP BY 1, 2)
+lat AS (SELECT c.token_id, c.d, o.pair, max({'tm': o.tm, 'id': o.id, 'p': o.p, 'l': o.l}) AS x FROM c JOIN o ON o.token_id = c.token_id
+  AND o.tm <= c.d GROUP BY ALL),
+s AS (SELECT token_id, d, arg_max({'pair': pair, 'tm': x.tm, 'p': x.p, 'l': x.l}, {'a': x.l IS NOT NULL, 'b': coalesce(x.l, -1), 'c': x.tm,
+  'e': pair}) AS y FROM lat GROUP BY 1, 2)
 """
 
 
@@ -394,33 +455,46 @@ def _fast(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     e = Tables(spark, sf_dir).events
     at = F.timestamp_micros(F.floor(micros("ts") / 10_000)).cast("timestamp_ntz")
     obs = e.select(
-        F.col("event_id").alias("id"), F.col("user_id").alias("token_id"), F.col("event_type").alias("pair_id"), at.alias("received_at"), F.col("value").alias("price_usd"),
+        F.col("event_id").alias("id"), F.col("user_id").alias("token_id"), F.col("event_type").alias("pair_id"), at.alias("received_at"),
+        F.col("value").alias("price_usd"),
         F.when(F.col("event_type") != "error", F.col("value") * 10).alias("liquidity_usd"),
     )
     return obs, obs.filter("pair_id = 'purchase'").select("token_id", F.col("received_at").alias("decision_at"))
 
 
 _LABELS = (
-    "horizon_1m_available", "horizon_1m_path_complete", "horizon_1m_actual_seconds", "theoretical_market_return_1m", "exit_liquidity_usd_1m", "maximum_favorable_excursion_1m", "maximum_adverse_excursion_1m", "crossed_plus_50pct_1m",
-    "crossed_minus_50pct_1m", "minimum_future_liquidity_usd_1m", "major_liquidity_collapse_1m", "liquidity_survival_1m", "maximum_observed_price_discontinuity_1m", "extreme_gap_or_rug_proxy_1m", "plus_50_before_minus_25",
+    "horizon_1m_available", "horizon_1m_path_complete", "horizon_1m_actual_seconds", "theoretical_market_return_1m", "exit_liquidity_usd_1m",
+    "maximum_favorable_excursion_1m", "maximum_adverse_excursion_1m", "crossed_plus_50pct_1m",
+    "crossed_minus_50pct_1m", "minimum_future_liquidity_usd_1m", "major_liquidity_collapse_1m", "liquidity_survival_1m",
+    "maximum_observed_price_discontinuity_1m", "extreme_gap_or_rug_proxy_1m", "plus_50_before_minus_25",
     "time_to_peak_seconds", "time_to_collapse_seconds",
 )
 _OUTCOMES = _FAST + """,
 f AS (SELECT s.token_id, s.d, y.p AS ep, y.l AS el, y.tm AS ea, o.tm, o.id, o.p, o.l, (epoch_us(o.tm) - epoch_us(s.d)) / 1000000.0 AS t
   FROM s JOIN o ON o.token_id = s.token_id AND o.pair = y.pair AND o.tm > s.d AND epoch_us(o.tm) <= epoch_us(s.d) + 90000000),
-g AS (SELECT *, (epoch_us(tm) - epoch_us(coalesce(lag(tm) OVER w, ea))) / 1000000.0 AS gap, CASE WHEN lag(p) OVER w > 0 AND p <> 0 THEN abs(p / lag(p) OVER w - 1) END AS jump FROM f WINDOW w AS (PARTITION BY token_id, d ORDER BY tm, id)),
-a AS (SELECT token_id, d, any_value(ep) AS ep, any_value(el) AS el, min({'tm': tm, 'id': id, 't': t, 'p': p, 'l': l}) FILTER (WHERE t >= 60) AS fin, max(gap) AS gap, max(p) AS high, min(p) AS low, min(l) AS thin, max(jump) AS jump,
-  arg_max({'l': l}, {'tm': tm, 'id': id}) AS last, arg_min(t, {'p': -p, 'tm': tm, 'id': id}) AS peak, min(t) FILTER (WHERE p >= ep * 1.5) AS u50, min(t) FILTER (WHERE p <= ep * 0.5) AS d50, min(t) FILTER (WHERE p <= ep * 0.75) AS d25,
+g AS (SELECT *, (epoch_us(tm) - epoch_us(coalesce(lag(tm) OVER w, ea))) / 1000000.0 AS gap, CASE WHEN lag(p) OVER w > 0
+  AND p <> 0 THEN abs(p / lag(p) OVER w - 1) END AS jump FROM f WINDOW w AS (PARTITION BY token_id, d ORDER BY tm, id)),
+a AS (SELECT token_id, d, any_value(ep) AS ep, any_value(el) AS el, min({'tm': tm, 'id': id, 't': t, 'p': p, 'l': l}) FILTER (WHERE t >= 60) AS fin,
+  max(gap) AS gap, max(p) AS high, min(p) AS low, min(l) AS thin, max(jump) AS jump,
+  arg_max({'l': l}, {'tm': tm, 'id': id}) AS last, arg_min(t, {'p': -p, 'tm': tm, 'id': id}) AS peak, min(t) FILTER (WHERE p >= ep * 1.5) AS u50,
+    min(t) FILTER (WHERE p <= ep * 0.5) AS d50, min(t) FILTER (WHERE p <= ep * 0.75) AS d25,
   min(t) FILTER (WHERE p <= ep * 0.2) AS d80 FROM g GROUP BY 1, 2),
-b AS (SELECT s.token_id, s.d, y.p AS entry, y.l AS entry_l, a.* EXCLUDE (token_id, d), fin IS NOT NULL AND gap <= 60 AS done, fin IS NOT NULL AS seen FROM s LEFT JOIN a USING (token_id, d)),
-labels AS (SELECT token_id, d AS decision_at, entry AS theoretical_entry_price_usd, entry_l AS entry_liquidity_usd, seen AS horizon_1m_available, coalesce(done, false) AS horizon_1m_path_complete, fin.t::DOUBLE AS horizon_1m_actual_seconds,
-  CASE WHEN entry > 0 THEN fin.p / entry - 1 END AS theoretical_market_return_1m, fin.l AS exit_liquidity_usd_1m, CASE WHEN done AND entry > 0 THEN high / entry - 1 END AS maximum_favorable_excursion_1m,
-  CASE WHEN done AND entry > 0 THEN low / entry - 1 END AS maximum_adverse_excursion_1m, CASE WHEN u50 IS NOT NULL THEN 'TRUE' WHEN done THEN 'FALSE' ELSE 'UNKNOWN' END AS crossed_plus_50pct_1m,
-  CASE WHEN d50 IS NOT NULL THEN 'TRUE' WHEN done THEN 'FALSE' ELSE 'UNKNOWN' END AS crossed_minus_50pct_1m, CASE WHEN done THEN thin END AS minimum_future_liquidity_usd_1m,
+b AS (SELECT s.token_id, s.d, y.p AS entry, y.l AS entry_l, a.* EXCLUDE (token_id, d), fin IS NOT NULL AND gap <= 60 AS done,
+  fin IS NOT NULL AS seen FROM s LEFT JOIN a USING (token_id, d)),
+labels AS (SELECT token_id, d AS decision_at, entry AS theoretical_entry_price_usd, entry_l AS entry_liquidity_usd, seen AS horizon_1m_available,
+  coalesce(done, false) AS horizon_1m_path_complete, fin.t::DOUBLE AS horizon_1m_actual_seconds,
+  CASE WHEN entry > 0 THEN fin.p / entry - 1 END AS theoretical_market_return_1m, fin.l AS exit_liquidity_usd_1m, CASE WHEN done
+    AND entry > 0 THEN high / entry - 1 END AS maximum_favorable_excursion_1m,
+  CASE WHEN done AND entry > 0 THEN low / entry - 1 END AS maximum_adverse_excursion_1m, CASE WHEN u50 IS NOT NULL THEN 'TRUE'
+    WHEN done THEN 'FALSE' ELSE 'UNKNOWN' END AS crossed_plus_50pct_1m,
+  CASE WHEN d50 IS NOT NULL THEN 'TRUE' WHEN done THEN 'FALSE' ELSE 'UNKNOWN' END AS crossed_minus_50pct_1m, CASE
+    WHEN done THEN thin END AS minimum_future_liquidity_usd_1m,
   CASE WHEN coalesce(entry_l > 0 AND thin <= entry_l * 0.2, false) THEN 'TRUE' WHEN done THEN 'FALSE' ELSE 'UNKNOWN' END AS major_liquidity_collapse_1m,
-  CASE WHEN coalesce(entry_l > 0 AND last.l >= entry_l * 0.5, false) THEN 'TRUE' WHEN done THEN 'FALSE' ELSE 'UNKNOWN' END AS liquidity_survival_1m, CASE WHEN done THEN jump END AS maximum_observed_price_discontinuity_1m,
+  CASE WHEN coalesce(entry_l > 0 AND last.l >= entry_l * 0.5, false) THEN 'TRUE' WHEN done THEN 'FALSE' ELSE 'UNKNOWN' END AS liquidity_survival_1m,
+    CASE WHEN done THEN jump END AS maximum_observed_price_discontinuity_1m,
   CASE WHEN coalesce(jump >= 0.95, false) THEN 'TRUE' WHEN done THEN 'FALSE' ELSE 'UNKNOWN' END AS extreme_gap_or_rug_proxy_1m,
-  CASE WHEN u50 IS NOT NULL THEN CASE WHEN d25 IS NULL OR u50 < d25 THEN 'TRUE' ELSE 'FALSE' END WHEN d25 IS NOT NULL OR done THEN 'FALSE' ELSE 'UNKNOWN' END AS plus_50_before_minus_25,
+  CASE WHEN u50 IS NOT NULL THEN CASE WHEN d25 IS NULL OR u50 < d25 THEN 'TRUE' ELSE 'FALSE' END WHEN d25 IS NOT NULL OR done THEN 'FALSE'
+    ELSE 'UNKNOWN' END AS plus_50_before_minus_25,
   CASE WHEN done THEN peak END::DOUBLE AS time_to_peak_seconds, d80::DOUBLE AS time_to_collapse_seconds FROM b)
 """
 
@@ -434,62 +508,88 @@ def q100_outcome_labels(spark, sf_dir):
 
 
 @query(_FAST + """,
-h AS (SELECT s.token_id, s.d, s.y.pair AS pair, s.y.p AS price, s.y.tm AS seen_at, h.n, h.off, epoch_us(s.d) - h.n * 1000000 AS tm FROM s, (VALUES (15, 10), (60, 30)) h(n, off)),
-k AS (SELECT h.*, o.p AS before, (h.tm - epoch_us(o.tm)) / 1000000.0 AS age, (epoch_us(h.seen_at) - epoch_us(o.tm)) / 1000000.0 AS actual FROM h ASOF LEFT JOIN (SELECT token_id, pair, epoch_us(tm) AS us, tm, p FROM o) o ON o.token_id = h.token_id AND o.pair = h.pair AND o.us <= h.tm),
-r AS (SELECT token_id, d, max(CASE WHEN n = 15 AND age <= off THEN price / before - 1 END) AS return_15s, max(CASE WHEN n = 60 AND age <= off THEN price / before - 1 END) AS return_1m, max(CASE WHEN n = 60 AND age <= off THEN actual END)::DOUBLE AS return_1m_actual_seconds FROM k GROUP BY 1, 2),
-v AS (SELECT s.token_id, s.d, list(o.p ORDER BY o.tm, o.id) AS v FROM s JOIN o ON o.token_id = s.token_id AND o.pair = s.y.pair AND epoch_us(o.tm) BETWEEN epoch_us(s.d) - 300000000 AND epoch_us(s.d) AND o.p > 0 GROUP BY 1, 2),
+h AS (SELECT s.token_id, s.d, s.y.pair AS pair, s.y.p AS price, s.y.tm AS seen_at, h.n, h.off, epoch_us(s.d) - h.n * 1000000 AS tm FROM s,
+  (VALUES (15, 10), (60, 30)) h(n, off)),
+k AS (SELECT h.*, o.p AS before, (h.tm - epoch_us(o.tm)) / 1000000.0 AS age, (epoch_us(h.seen_at) - epoch_us(o.tm)) / 1000000.0 AS actual
+  FROM h ASOF LEFT JOIN (SELECT token_id, pair, epoch_us(tm) AS us, tm, p FROM o) o ON o.token_id = h.token_id AND o.pair = h.pair AND o.us <= h.tm),
+r AS (SELECT token_id, d, max(CASE WHEN n = 15 AND age <= off THEN price / before - 1 END) AS return_15s, max(CASE WHEN n = 60
+  AND age <= off THEN price / before - 1 END) AS return_1m, max(CASE WHEN n = 60
+  AND age <= off THEN actual END)::DOUBLE AS return_1m_actual_seconds FROM k GROUP BY 1, 2),
+v AS (SELECT s.token_id, s.d, list(o.p ORDER BY o.tm, o.id) AS v FROM s JOIN o ON o.token_id = s.token_id AND o.pair = s.y.pair
+  AND epoch_us(o.tm) BETWEEN epoch_us(s.d) - 300000000 AND epoch_us(s.d) AND o.p > 0 GROUP BY 1, 2),
 g AS (SELECT *, list_transform(range(2, len(v) + 1), lambda i: ln(v[i] / v[i - 1])) AS r FROM v)
-SELECT s.token_id, s.d AS decision_at, s.y.pair AS selected_pair_id, s.y.p AS price_usd, s.y.l AS liquidity_usd, ((epoch_us(s.d) - epoch_us(s.y.tm)) / 1000000.0)::DOUBLE AS observation_age_seconds, round(return_15s, 9) AS return_15s, round(return_1m, 9) AS return_1m,
-  return_1m_actual_seconds, coalesce(len(v), 0)::INT AS path_observation_count_5m, round(CASE WHEN len(r) >= 2 THEN sqrt(greatest(list_sum(list_transform(r, lambda x: x * x)) / len(r) - (list_sum(r) / len(r)) ** 2, 0)) END, 7) AS realized_volatility_5m,
+SELECT s.token_id, s.d AS decision_at, s.y.pair AS selected_pair_id, s.y.p AS price_usd, s.y.l AS liquidity_usd,
+  ((epoch_us(s.d) - epoch_us(s.y.tm)) / 1000000.0)::DOUBLE AS observation_age_seconds, round(return_15s, 9) AS return_15s, round(return_1m,
+  9) AS return_1m,
+  return_1m_actual_seconds, coalesce(len(v), 0)::INT AS path_observation_count_5m, round(CASE
+    WHEN len(r) >= 2 THEN sqrt(greatest(list_sum(list_transform(r, lambda x: x * x)) / len(r) - (list_sum(r) / len(r)) ** 2, 0)) END,
+    7) AS realized_volatility_5m,
   round(v[-1] / list_max(v) - 1, 9) AS drawdown_from_local_peak_5m, round(v[-1] / list_min(v) - 1, 9) AS recovery_from_local_low_5m,
-  round(CASE WHEN len(list_filter(r, lambda x: x <> 0)) > 0 THEN abs(list_sum(list_transform(r, lambda x: sign(x)))) / len(list_filter(r, lambda x: x <> 0)) END, 9) AS path_monotonicity_5m, false AS boost_known
+  round(CASE WHEN len(list_filter(r, lambda x: x <> 0)) > 0 THEN abs(list_sum(list_transform(r, lambda x: sign(x)))) / len(list_filter(r,
+    lambda x: x <> 0)) END, 9) AS path_monotonicity_5m, false AS boost_known
 FROM s LEFT JOIN r USING (token_id, d) LEFT JOIN g USING (token_id, d)
 """)
 def q101_wide_features(spark, sf_dir):
     """The wide feature row of every purchase: of its hundred columns those that these facts can fill."""
     obs, candidates = _fast(spark, sf_dir)
     rows = dataset.market_features(candidates, {"observations": obs})
-    rounded = {c: F.round(c, 9) for c in ("return_15s", "return_1m", "drawdown_from_local_peak_5m", "recovery_from_local_low_5m", "path_monotonicity_5m")} | {"realized_volatility_5m": F.round("realized_volatility_5m", 7)}
+    rounded = {c: F.round(c, 9) for c in ("return_15s", "return_1m", "drawdown_from_local_peak_5m", "recovery_from_local_low_5m",
+        "path_monotonicity_5m")} | {"realized_volatility_5m": F.round("realized_volatility_5m", 7)}
     return rows.withColumns(rounded).select(
-        "token_id", "decision_at", "selected_pair_id", "price_usd", "liquidity_usd", "observation_age_seconds", "return_15s", "return_1m", "return_1m_actual_seconds", "path_observation_count_5m", "realized_volatility_5m",
+        "token_id", "decision_at", "selected_pair_id", "price_usd", "liquidity_usd", "observation_age_seconds", "return_15s", "return_1m",
+        "return_1m_actual_seconds", "path_observation_count_5m", "realized_volatility_5m",
         "drawdown_from_local_peak_5m", "recovery_from_local_low_5m", "path_monotonicity_5m", "boost_known",
     )
 
 
 @query("""
-WITH e AS (SELECT event_id AS id, user_id AS token_id, event_type AS kind, ts AS tm, value AS v, ts - to_microseconds((value * 1000)::BIGINT) AS early FROM events), c AS (SELECT DISTINCT token_id, tm AS d FROM e WHERE kind = 'purchase'),
+WITH e AS (SELECT event_id AS id, user_id AS token_id, event_type AS kind, ts AS tm, value AS v,
+  ts - to_microseconds((value * 1000)::BIGINT) AS early FROM events), c AS (SELECT DISTINCT token_id, tm AS d FROM e WHERE kind = 'purchase'),
 l AS (SELECT id, token_id, tm, CASE WHEN v > 100 THEN 'NEW' WHEN v > 30 THEN 'ACTIVE' ELSE 'FADING' END AS state FROM e WHERE kind = 'click'),
-b AS (SELECT id, token_id, tm, v, lag(v) OVER w AS before, min(tm) OVER (PARTITION BY token_id) AS first_at FROM e WHERE kind = 'signup' WINDOW w AS (PARTITION BY token_id ORDER BY tm, id)),
+b AS (SELECT id, token_id, tm, v, lag(v) OVER w AS before, min(tm) OVER (PARTITION BY token_id) AS first_at FROM e
+  WHERE kind = 'signup' WINDOW w AS (PARTITION BY token_id ORDER BY tm, id)),
 x AS (SELECT id, tm, v FROM e WHERE kind = 'error'),
-k AS (SELECT c.token_id, c.d, max({'effective': q.early, 'decided': q.tm, 'id': q.id, 'class': 'class-' || (q.id % 7)}) AS q FROM c LEFT JOIN (SELECT * FROM e WHERE kind = 'view') q ON q.token_id = c.token_id AND q.tm <= c.d AND q.early <= c.d GROUP BY 1, 2)
-SELECT c.token_id, c.d AS decision_at, l.state AS lifecycle_new_state, l.tm AS lifecycle_decided_at, b.tm AS boost_received_at, b.v AS boost_amount, b.before AS boost_previous_amount, b.first_at AS boost_first_received_at,
-  (SELECT min(n.tm) FROM l n WHERE n.token_id = c.token_id AND n.state = 'NEW' AND n.tm <= c.d) AS admission_at, k.q.class AS coverage_class, x.v AS context_sol_usd_price
-FROM c ASOF LEFT JOIN l ON l.token_id = c.token_id AND l.tm <= c.d ASOF LEFT JOIN b ON b.token_id = c.token_id AND b.tm <= c.d ASOF LEFT JOIN x ON x.tm <= c.d LEFT JOIN k ON k.token_id = c.token_id AND k.d = c.d
+k AS (SELECT c.token_id, c.d, max({'effective': q.early, 'decided': q.tm, 'id': q.id, 'class': 'class-' || (q.id % 7)}) AS q FROM c LEFT
+  JOIN (SELECT * FROM e WHERE kind = 'view') q ON q.token_id = c.token_id AND q.tm <= c.d AND q.early <= c.d GROUP BY 1, 2)
+SELECT c.token_id, c.d AS decision_at, l.state AS lifecycle_new_state, l.tm AS lifecycle_decided_at, b.tm AS boost_received_at, b.v AS boost_amount,
+  b.before AS boost_previous_amount, b.first_at AS boost_first_received_at,
+  (SELECT min(n.tm) FROM l n WHERE n.token_id = c.token_id AND n.state = 'NEW' AND n.tm <= c.d) AS admission_at, k.q.class AS coverage_class,
+    x.v AS context_sol_usd_price
+FROM c ASOF LEFT JOIN l ON l.token_id = c.token_id AND l.tm <= c.d ASOF LEFT JOIN b ON b.token_id = c.token_id AND b.tm <= c.d ASOF LEFT
+  JOIN x ON x.tm <= c.d LEFT JOIN k ON k.token_id = c.token_id AND k.d = c.d
 """)
 def q102_state_as_of(spark, sf_dir):
     """What was known at every purchase of lifecycle, boosts, admission, coverage and market context."""
-    e = Tables(spark, sf_dir).events.select(F.col("event_id").alias("id"), F.col("user_id").alias("token_id"), F.col("event_type").alias("kind"), F.col("ts").alias("at"), F.col("value").alias("v"))
+    e = Tables(spark, sf_dir).events.select(F.col("event_id").alias("id"), F.col("user_id").alias("token_id"), F.col("event_type").alias("kind"),
+        F.col("ts").alias("at"), F.col("value").alias("v"))
     of = lambda k: e.filter(F.col("kind") == k)
     v, at = F.col("v"), F.col("at")
     early = F.timestamp_micros(micros(at) - F.round(v * 1000).cast("long")).cast("timestamp_ntz")
     families = {
         "observations": of("purchase").select("id", "token_id", F.col("kind").alias("pair_id"), at.alias("received_at"), v.alias("price_usd")),
-        "lifecycle": of("click").select("id", "token_id", at.alias("decided_at"), at.alias("input_watermark"), F.when(v > 100, "NEW").when(v > 30, "ACTIVE").otherwise("FADING").alias("new_state")),
-        "boosts": of("signup").select("id", "token_id", at.alias("received_at"), F.lit(1).alias("active_boost_count"), v.alias("amount"), v.alias("total_amount")),
-        "coverage": of("view").select("id", "token_id", at.alias("decided_at"), early.alias("effective_at"), F.concat(F.lit("class-"), F.col("id") % 7).alias("coverage_class")),
+        "lifecycle": of("click").select("id", "token_id", at.alias("decided_at"), at.alias("input_watermark"),
+        F.when(v > 100, "NEW").when(v > 30, "ACTIVE").otherwise("FADING").alias("new_state")),
+        "boosts": of("signup").select("id", "token_id", at.alias("received_at"), F.lit(1).alias("active_boost_count"), v.alias("amount"),
+        v.alias("total_amount")),
+        "coverage": of("view").select("id", "token_id", at.alias("decided_at"), early.alias("effective_at"),
+        F.concat(F.lit("class-"), F.col("id") % 7).alias("coverage_class")),
         "context": of("error").select("id", at.alias("received_at"), at.alias("bucket_start"), at.alias("bucket_end"), v.alias("sol_usd_price")),
     }
     candidates = of("purchase").select("token_id", at.alias("decision_at"))
     return dataset.state_as_of(candidates, families).select(
-        "token_id", "decision_at", "lifecycle_new_state", "lifecycle_decided_at", "boost_received_at", "boost_amount", "boost_previous_amount", "boost_first_received_at", "admission_at", "coverage_class", "context_sol_usd_price"
+        "token_id", "decision_at", "lifecycle_new_state", "lifecycle_decided_at", "boost_received_at", "boost_amount", "boost_previous_amount",
+        "boost_first_received_at", "admission_at", "coverage_class", "context_sol_usd_price"
     )
 
 
 @query(_OUTCOMES + """,
-m AS (SELECT count(*) AS n, count(*) FILTER (WHERE entry_liquidity_usd IS NULL) AS nulls, count(*) FILTER (WHERE crossed_plus_50pct_1m = 'TRUE') AS yes, count(*) FILTER (WHERE crossed_plus_50pct_1m = 'FALSE') AS no,
+m AS (SELECT count(*) AS n, count(*) FILTER (WHERE entry_liquidity_usd IS NULL) AS nulls, count(*)
+  FILTER (WHERE crossed_plus_50pct_1m = 'TRUE') AS yes, count(*) FILTER (WHERE crossed_plus_50pct_1m = 'FALSE') AS no,
   count(*) FILTER (WHERE crossed_plus_50pct_1m = 'UNKNOWN') AS unknown FROM labels)
-SELECT 'entry_liquidity_usd' AS name, 'nulls' AS measure, round(nulls / n, 6) AS value FROM m UNION ALL SELECT 'crossed_plus_50pct_1m', 'TRUE', round(yes / n, 6) FROM m
-UNION ALL SELECT 'crossed_plus_50pct_1m', 'FALSE', round(no / n, 6) FROM m UNION ALL SELECT 'crossed_plus_50pct_1m', 'UNKNOWN', round(unknown / n, 6) FROM m UNION ALL SELECT 'crossed_plus_50pct_1m', 'nulls', 0.0 FROM m
+SELECT 'entry_liquidity_usd' AS name, 'nulls' AS measure, round(nulls / n, 6) AS value FROM m UNION ALL SELECT 'crossed_plus_50pct_1m', 'TRUE',
+  round(yes / n, 6) FROM m
+UNION ALL SELECT 'crossed_plus_50pct_1m', 'FALSE', round(no / n, 6) FROM m UNION ALL SELECT 'crossed_plus_50pct_1m', 'UNKNOWN', round(unknown / n,
+  6) FROM m UNION ALL SELECT 'crossed_plus_50pct_1m', 'nulls', 0.0 FROM m
 """)
 def q103_dataset_published(spark, sf_dir):
     """The label rows are checked, published under the digest of their identity, verified and read back; their quality report is the answer."""
@@ -507,13 +607,19 @@ def q103_dataset_published(spark, sf_dir):
 @query("""
 WITH h AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-14 00:00:00', TIMESTAMP '2024-01-14 23:00:00', INTERVAL 1 HOUR)) AS hour),
 e AS (SELECT *, date_trunc('hour', ts) AS hour FROM events), i AS (SELECT * FROM e WHERE ts >= TIMESTAMP '2024-01-14' AND ts < TIMESTAMP '2024-01-15'),
-q AS (SELECT hour, count(*) AS requests, count(*) FILTER (WHERE event_type = 'error') AS http_429s, quantile_cont(value, 0.5) AS p50, count(*) FILTER (WHERE event_type = 'click') AS no_liquidity, count(*) FILTER (WHERE event_type = 'purchase') AS reaching_dex,
-  count(*) FILTER (WHERE event_type = 'view') AS resurrections, count(DISTINCT CASE WHEN event_type = 'signup' THEN user_id END) AS discovered FROM i GROUP BY 1),
-s AS (SELECT user_id, ts, event_type = 'click' AS p, coalesce(lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) = 'click', false) AS b FROM events),
+q AS (SELECT hour, count(*) AS requests, count(*) FILTER (WHERE event_type = 'error') AS http_429s, quantile_cont(value, 0.5) AS p50, count(*)
+  FILTER (WHERE event_type = 'click') AS no_liquidity, count(*) FILTER (WHERE event_type = 'purchase') AS reaching_dex,
+  count(*) FILTER (WHERE event_type = 'view') AS resurrections, count(DISTINCT CASE WHEN event_type = 'signup' THEN user_id END) AS discovered
+    FROM i GROUP BY 1),
+s AS (SELECT user_id, ts, event_type = 'click' AS p, coalesce(lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) = 'click',
+  false) AS b FROM events),
 w AS (SELECT h.hour, coalesce(sum(p::INT - b::INT), 0) AS pending FROM h LEFT JOIN s ON s.ts < h.hour + INTERVAL 1 HOUR GROUP BY 1),
-c AS (SELECT hour, ts, (epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY ts))) / 1000000.0 AS gap FROM e WHERE ts < TIMESTAMP '2024-01-15'), g AS (SELECT hour, max(gap) AS longest FROM c WHERE ts >= TIMESTAMP '2024-01-14' GROUP BY 1)
-SELECT h.hour, coalesce(requests, 0) AS requests, coalesce(http_429s, 0) AS http_429s, coalesce(requests, 0) AS observations, coalesce(reaching_dex, 0) AS reaching_dex, coalesce(resurrections, 0) AS resurrections, coalesce(discovered, 0) AS discovered,
-  coalesce(http_429s, 0) AS duplicates, pending::BIGINT AS pending, round(no_liquidity / requests, 6) AS null_rate_liquidity_usd, round(p50, 3) AS latency_p50_ms, CASE WHEN requests > 0 THEN 50.0::DOUBLE END AS occupancy_pct, round(longest, 3) AS longest_gap_seconds,
+c AS (SELECT hour, ts, (epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY ts))) / 1000000.0 AS gap FROM e
+  WHERE ts < TIMESTAMP '2024-01-15'), g AS (SELECT hour, max(gap) AS longest FROM c WHERE ts >= TIMESTAMP '2024-01-14' GROUP BY 1)
+SELECT h.hour, coalesce(requests, 0) AS requests, coalesce(http_429s, 0) AS http_429s, coalesce(requests, 0) AS observations, coalesce(reaching_dex,
+  0) AS reaching_dex, coalesce(resurrections, 0) AS resurrections, coalesce(discovered, 0) AS discovered,
+  coalesce(http_429s, 0) AS duplicates, pending::BIGINT AS pending, round(no_liquidity / requests, 6) AS null_rate_liquidity_usd, round(p50,
+    3) AS latency_p50_ms, CASE WHEN requests > 0 THEN 50.0::DOUBLE END AS occupancy_pct, round(longest, 3) AS longest_gap_seconds,
   round(coalesce(http_429s, 0) / nullif(requests + discovered + reaching_dex + resurrections + http_429s, 0), 6) AS duplicate_rate
 FROM h LEFT JOIN q USING (hour) LEFT JOIN w USING (hour) LEFT JOIN g USING (hour)
 """)
@@ -523,27 +629,39 @@ def q104_hourly_report(spark, sf_dir):
     kind, token, at = F.col("event_type"), F.col("user_id").alias("token_id"), F.col("ts")
     state = F.when(kind == "click", "PENDING_DEX").when(kind == "purchase", "NEW").when(kind == "view", "RESURRECTED").otherwise("ACTIVE")
     families = {
-        "requests": e.select(at.alias("requested_at"), F.timestamp_micros(micros("ts") + F.round(F.col("value") * 1000).cast("long")).cast("timestamp_ntz").alias("received_at"), F.when(kind == "error", 429).otherwise(200).alias("status")),
-        "observations": e.select(token, at.alias("received_at"), F.col("value").alias("price_usd"), F.when(kind != "click", F.col("value")).alias("liquidity_usd")),
-        "lifecycle": e.select(F.col("event_id").alias("id"), token, at.alias("decided_at"), state.alias("new_state")), "discoveries": e.filter(kind == "signup").select(token, at.alias("received_at")),
-        "conflicts": e.filter(kind == "error").select(at.alias("occurred_at")), "batches": e.select(F.col("event_id").alias("batch_id"), at.alias("claimed_at"), F.lit(2).alias("batch_size")),
+        "requests": e.select(at.alias("requested_at"),
+        F.timestamp_micros(micros("ts") + F.round(F.col("value") * 1000).cast("long")).cast("timestamp_ntz").alias("received_at"),
+        F.when(kind == "error", 429).otherwise(200).alias("status")),
+        "observations": e.select(token, at.alias("received_at"), F.col("value").alias("price_usd"),
+        F.when(kind != "click", F.col("value")).alias("liquidity_usd")),
+        "lifecycle": e.select(F.col("event_id").alias("id"), token, at.alias("decided_at"), state.alias("new_state")),
+        "discoveries": e.filter(kind == "signup").select(token, at.alias("received_at")),
+        "conflicts": e.filter(kind == "error").select(at.alias("occurred_at")),
+        "batches": e.select(F.col("event_id").alias("batch_id"), at.alias("claimed_at"), F.lit(2).alias("batch_size")),
         "batch_members": e.select(F.col("event_id").alias("batch_id"), token, at.alias("claimed_at")),
     }
     folder = _folder(spark, "report")
     report.write_report(report.hourly_report(spark, families, "2024-01-15 00:00:00"), folder)
     kinds = "hour timestamp_ntz, requests long, http_429s long, observations long, reaching_dex long, resurrections long, discovered long, duplicates long, pending long, null_rate_liquidity_usd double, latency_p50_ms double, occupancy_pct double, longest_gap_seconds double, duplicate_rate double"
-    rounded = {"null_rate_liquidity_usd": F.round("null_rate_liquidity_usd", 6), "latency_p50_ms": F.round("latency_p50_ms", 3), "longest_gap_seconds": F.round("longest_gap_seconds", 3)}
+    rounded = {"null_rate_liquidity_usd": F.round("null_rate_liquidity_usd", 6), "latency_p50_ms": F.round("latency_p50_ms", 3),
+        "longest_gap_seconds": F.round("longest_gap_seconds", 3)}
     return spark.read.schema(kinds).json(f"{folder}/json").withColumns(rounded)
 
 
 @query("""
-WITH RECURSIVE e AS (SELECT event_id AS id, user_id AS token_id, epoch_us(ts) / 1000000.0 AS t, epoch_us(ts) // 10000000000 AS mark, CASE WHEN value > 80 THEN 2 WHEN value > 40 THEN 1 ELSE 0 END AS want, value > 40 AS eligible, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events),
+WITH RECURSIVE e AS (SELECT event_id AS id, user_id AS token_id, epoch_us(ts) / 1000000.0 AS t, epoch_us(ts) // 10000000000 AS mark, CASE
+  WHEN value > 80 THEN 2 WHEN value > 40 THEN 1 ELSE 0 END AS want, value > 40 AS eligible, row_number() OVER (PARTITION BY user_id ORDER BY ts,
+  event_id) AS k FROM events),
 r AS (
-  SELECT token_id, 0::BIGINT AS k, NULL::BIGINT AS id, 0 AS tier, 0 AS previous, NULL::BIGINT AS seen, NULL::DOUBLE AS until, NULL::DOUBLE AS t, false AS moved FROM (SELECT DISTINCT token_id FROM e)
+  SELECT token_id, 0::BIGINT AS k, NULL::BIGINT AS id, 0 AS tier, 0 AS previous, NULL::BIGINT AS seen, NULL::DOUBLE AS until, NULL::DOUBLE AS t,
+    false AS moved FROM (SELECT DISTINCT token_id FROM e)
   UNION ALL
-  SELECT x.token_id, x.k, x.id, CASE WHEN moved THEN target ELSE tier END, tier, CASE WHEN moved THEN mark ELSE seen END, CASE WHEN moved THEN CASE WHEN target > 0 THEN t + 86400 END ELSE until END, t, moved FROM (
-    SELECT e.token_id, e.k, e.id, e.t, e.mark, r.tier, r.seen, r.until, CASE WHEN NOT e.eligible AND r.until IS NOT NULL AND e.t < r.until THEN r.tier ELSE e.want END AS target,
-      NOT coalesce(e.mark < r.seen OR (e.mark = r.seen AND e.want < r.tier), false) AND (target <> r.tier OR (target = r.tier AND r.tier > 0 AND e.eligible AND coalesce(r.until <= e.t, false))) AS moved
+  SELECT x.token_id, x.k, x.id, CASE WHEN moved THEN target ELSE tier END, tier, CASE WHEN moved THEN mark ELSE seen END, CASE WHEN moved THEN
+    CASE WHEN target > 0 THEN t + 86400 END ELSE until END, t, moved FROM (
+    SELECT e.token_id, e.k, e.id, e.t, e.mark, r.tier, r.seen, r.until, CASE WHEN NOT e.eligible AND r.until IS NOT NULL
+      AND e.t < r.until THEN r.tier ELSE e.want END AS target,
+      NOT coalesce(e.mark < r.seen OR (e.mark = r.seen AND e.want < r.tier), false) AND (target <> r.tier OR (target = r.tier AND r.tier > 0
+        AND e.eligible AND coalesce(r.until <= e.t, false))) AS moved
     FROM r JOIN e ON e.token_id = r.token_id AND e.k = r.k + 1) x)
 SELECT token_id, id, 'TIER_' || previous AS previous, 'TIER_' || tier AS tier, round(until, 3) AS covered_until FROM r WHERE moved
 """)
@@ -551,29 +669,39 @@ def q105_tier_transitions(spark, sf_dir):
     """The changes that each user's events, taken as decisions, make to their tier."""
     v = F.col("value")
     d = Tables(spark, sf_dir).events.select(
-        F.col("event_id").alias("id"), F.col("user_id").alias("token_id"), (micros("ts") / 1_000_000).alias("t"), F.floor(micros("ts") / 10_000_000_000).alias("watermark"),
+        F.col("event_id").alias("id"), F.col("user_id").alias("token_id"), (micros("ts") / 1_000_000).alias("t"),
+        F.floor(micros("ts") / 10_000_000_000).alias("watermark"),
         F.when(v > 80, "TIER_2").when(v > 40, "TIER_1").otherwise("TIER_0").alias("tier"), (v > 40).alias("eligible"), F.lit(86400).alias("ttl"),
     )
     return policies.tier_transitions(d).select("token_id", "id", "previous", "tier", F.round("covered_until", 3).alias("covered_until"))
 
 
 @query("""
-WITH x AS (SELECT event_id, 'TIER_' || (event_id % 4) AS cur, CASE WHEN event_type <> 'view' THEN value * 100 END AS liq, value * 20 AS vol, (event_id % 9)::INT AS buys, (event_id % 5)::INT AS sells, event_type = 'signup' AS boosted, event_id % 50 = 0 AS back,
-  CASE WHEN event_type = 'click' THEN 'WATCH' ELSE 'ACTIVE' END AS state, CASE WHEN event_id % 3 > 0 THEN (event_id % 7) * 100 END AS age, CASE WHEN event_id % 11 > 0 THEN (event_id % 11) * 10 END AS top10 FROM events),
-y AS (SELECT *, coalesce(liq >= 3000 AND buys + sells >= 4 AND vol / nullif(liq, 0) >= 0.1, false) AS market, coalesce(liq >= 6000 AND buys + sells >= 7 AND vol / nullif(liq, 0) >= 0.15, false) AS second FROM x),
-z AS (SELECT *, CASE WHEN boosted THEN 'BOOST_ACTIVITY' WHEN back THEN 'COVERAGE_RESURRECTION' WHEN market AND state = 'WATCH' THEN 'WATCH_STATE' WHEN market THEN 'MARKET_ACTIVITY' END AS why FROM y)
-SELECT event_id, CASE WHEN cur IN ('TIER_2', 'TIER_3') AND coalesce(top10 >= 80, false) THEN 'TIER_3' WHEN why IS NOT NULL AND cur IN ('TIER_1', 'TIER_2') AND second AND coalesce(age <= 300, false) THEN 'TIER_2' WHEN why IS NOT NULL THEN 'TIER_1' ELSE 'TIER_0' END AS tier,
-  CASE WHEN cur IN ('TIER_2', 'TIER_3') AND coalesce(top10 >= 80, false) THEN 'SECURITY_CHANGE' WHEN why IS NOT NULL THEN why WHEN cur <> 'TIER_0' THEN 'EVIDENCE_STALE' ELSE 'ACTIVITY_COOLING' END AS reason FROM z
+WITH x AS (SELECT event_id, 'TIER_' || (event_id % 4) AS cur, CASE WHEN event_type <> 'view' THEN value * 100 END AS liq, value * 20 AS vol,
+  (event_id % 9)::INT AS buys, (event_id % 5)::INT AS sells, event_type = 'signup' AS boosted, event_id % 50 = 0 AS back,
+  CASE WHEN event_type = 'click' THEN 'WATCH' ELSE 'ACTIVE' END AS state, CASE WHEN event_id % 3 > 0 THEN (event_id % 7) * 100 END AS age, CASE
+    WHEN event_id % 11 > 0 THEN (event_id % 11) * 10 END AS top10 FROM events),
+y AS (SELECT *, coalesce(liq >= 3000 AND buys + sells >= 4 AND vol / nullif(liq, 0) >= 0.1, false) AS market, coalesce(liq >= 6000
+  AND buys + sells >= 7 AND vol / nullif(liq, 0) >= 0.15, false) AS second FROM x),
+z AS (SELECT *, CASE WHEN boosted THEN 'BOOST_ACTIVITY' WHEN back THEN 'COVERAGE_RESURRECTION' WHEN market AND state = 'WATCH' THEN 'WATCH_STATE'
+  WHEN market THEN 'MARKET_ACTIVITY' END AS why FROM y)
+SELECT event_id, CASE WHEN cur IN ('TIER_2', 'TIER_3') AND coalesce(top10 >= 80, false) THEN 'TIER_3' WHEN why IS NOT NULL AND cur IN ('TIER_1',
+  'TIER_2') AND second AND coalesce(age <= 300, false) THEN 'TIER_2' WHEN why IS NOT NULL THEN 'TIER_1' ELSE 'TIER_0' END AS tier,
+  CASE WHEN cur IN ('TIER_2', 'TIER_3') AND coalesce(top10 >= 80, false) THEN 'SECURITY_CHANGE' WHEN why IS NOT NULL THEN why
+    WHEN cur <> 'TIER_0' THEN 'EVIDENCE_STALE' ELSE 'ACTIVITY_COOLING' END AS reason FROM z
 """)
 def q106_candidate_tiers(spark, sf_dir):
     k, kind, v = F.col("event_id"), F.col("event_type"), F.col("value")
     none = F.lit(None).cast("double")
     evidence = {
-        "liquidity": F.when(kind != "view", v * 100), "volume_m5": v * 20, "buys": (k % 9).cast("int"), "sells": (k % 5).cast("int"), "lifecycle": F.when(kind == "click", "WATCH").otherwise("ACTIVE"), "security_age": F.when(k % 3 > 0, k % 7 * 100),
-        "boosted": kind == "signup", "resurrected": k % 50 == 0, "holder_top10": F.when(k % 11 > 0, k % 11 * 10), "unique_traders": none, "total_trades": none, "common_funder": none, "liquidity_removal": none,
+        "liquidity": F.when(kind != "view", v * 100), "volume_m5": v * 20, "buys": (k % 9).cast("int"), "sells": (k % 5).cast("int"),
+        "lifecycle": F.when(kind == "click", "WATCH").otherwise("ACTIVE"), "security_age": F.when(k % 3 > 0, k % 7 * 100),
+        "boosted": kind == "signup", "resurrected": k % 50 == 0, "holder_top10": F.when(k % 11 > 0, k % 11 * 10), "unique_traders": none,
+        "total_trades": none, "common_funder": none, "liquidity_removal": none,
     }
     policy = {
-        "liquidity": 3000, "transactions": 4, "turnover": 0.1, "second_liquidity": 6000, "second_transactions": 7, "second_turnover": 0.15, "security_freshness": 300, "deep_holder_top10": 80, "deep_trades": 10, "deep_traders": 3,
+        "liquidity": 3000, "transactions": 4, "turnover": 0.1, "second_liquidity": 6000, "second_transactions": 7, "second_turnover": 0.15,
+        "security_freshness": 300, "deep_holder_top10": 80, "deep_trades": 10, "deep_traders": 3,
         "deep_common_funder": 50, "deep_liquidity_removal": 30,
     }
     decided = security.candidate_decision(F.concat(F.lit("TIER_"), k % 4), evidence, policy)
@@ -581,11 +709,15 @@ def q106_candidate_tiers(spark, sf_dir):
 
 
 @query("""
-WITH w AS (SELECT l_suppkey AS t, l_partkey % 40 AS w, l_extendedprice AS v, l_quantity AS q FROM lineitem), h AS (SELECT t, w, sum(q) AS q FROM w GROUP BY 1, 2), hr AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY q DESC, 'w' || lpad(w::VARCHAR, 2, '0')) AS k FROM h),
-p AS (SELECT t, w, count(*) AS n, sum(v) AS v FROM w GROUP BY 1, 2), pr AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY v DESC, 'w' || lpad(w::VARCHAR, 2, '0')) AS k FROM p),
+WITH w AS (SELECT l_suppkey AS t, l_partkey % 40 AS w, l_extendedprice AS v, l_quantity AS q FROM lineitem), h AS (SELECT t, w, sum(q) AS q
+  FROM w GROUP BY 1, 2), hr AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY q DESC, 'w' || lpad(w::VARCHAR, 2, '0')) AS k FROM h),
+p AS (SELECT t, w, count(*) AS n, sum(v) AS v FROM w GROUP BY 1, 2), pr AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY v DESC,
+  'w' || lpad(w::VARCHAR, 2, '0')) AS k FROM p),
 a AS (SELECT t, 100 * sum(q) FILTER (WHERE k <= 10) / 1000000 AS top10, sum(q * q) / 1e12 AS hhi FROM hr GROUP BY 1),
-b AS (SELECT t, sum(n) AS trades, count(*) AS traders, 100 * sum(v) FILTER (WHERE k <= 10) / sum(v) AS share, coalesce(sum(n) FILTER (WHERE n > 1), 0) / sum(n) AS repeats FROM pr GROUP BY 1)
-SELECT s_suppkey AS token_id, round(top10, 6) AS holder_top10_pct, round(hhi, 12) AS holder_hhi, traders AS unique_trader_count, round(trades / traders, 6) AS trades_per_unique_trader, round(share, 6) AS top10_trader_volume_share, round(repeats, 6) AS repeat_trade_ratio,
+b AS (SELECT t, sum(n) AS trades, count(*) AS traders, 100 * sum(v) FILTER (WHERE k <= 10) / sum(v) AS share, coalesce(sum(n) FILTER (WHERE n > 1),
+  0) / sum(n) AS repeats FROM pr GROUP BY 1)
+SELECT s_suppkey AS token_id, round(top10, 6) AS holder_top10_pct, round(hhi, 12) AS holder_hhi, traders AS unique_trader_count,
+  round(trades / traders, 6) AS trades_per_unique_trader, round(share, 6) AS top10_trader_volume_share, round(repeats, 6) AS repeat_trade_ratio,
   sha256('["a' || s_suppkey || '","b' || s_suppkey || '"]') AS input_sha256 FROM supplier LEFT JOIN a ON a.t = s_suppkey LEFT JOIN b ON b.t = s_suppkey
 """)
 def q107_security_features(spark, sf_dir):
@@ -593,22 +725,29 @@ def q107_security_features(spark, sf_dir):
     t = Tables(spark, sf_dir)
     wallet = F.concat(F.lit("w"), F.lpad((F.col("l_partkey") % 40).cast("string"), 2, "0"))
     token = F.col("l_suppkey").alias("token_id")
-    accounts = t.lineitem.select(token, wallet.alias("owner_wallet"), F.lit("x").alias("token_account"), F.col("l_quantity").alias("raw_balance"), F.lit(False).alias("is_known_pool"), F.lit(False).alias("is_creator"))
+    accounts = t.lineitem.select(token, wallet.alias("owner_wallet"), F.lit("x").alias("token_account"), F.col("l_quantity").alias("raw_balance"),
+        F.lit(False).alias("is_known_pool"), F.lit(False).alias("is_creator"))
     supplies = t.supplier.select(F.col("s_suppkey").alias("token_id"), F.lit(1_000_000).alias("supply"), F.lit(True).alias("complete"))
     trades = t.lineitem.select(token, wallet.alias("wallet"), F.lit("BUY").alias("side"), F.col("l_extendedprice").alias("notional_usd"))
     ids = F.array(F.concat(F.lit("b"), "s_suppkey"), F.concat(F.lit("a"), "s_suppkey"))
-    probes = t.supplier.select(F.col("s_suppkey").alias("token_id"), F.lit("2024-01-01").cast("timestamp_ntz").alias("generated_at"), ids.alias("input_fact_ids"))
+    probes = t.supplier.select(F.col("s_suppkey").alias("token_id"), F.lit("2024-01-01").cast("timestamp_ntz").alias("generated_at"),
+        ids.alias("input_fact_ids"))
     rows = security.security_features(probes, security.holder_metrics(accounts, supplies), security.trader_metrics(trades))
     digits = {"holder_top10_pct": 6, "holder_hhi": 12, "trades_per_unique_trader": 6, "top10_trader_volume_share": 6, "repeat_trade_ratio": 6}
-    return rows.withColumns({c: F.round(c, d) for c, d in digits.items()}).select("token_id", "holder_top10_pct", "holder_hhi", "unique_trader_count", "trades_per_unique_trader", "top10_trader_volume_share", "repeat_trade_ratio", "input_sha256")
+    return rows.withColumns({c: F.round(c, d) for c, d in digits.items()}).select("token_id", "holder_top10_pct", "holder_hhi", "unique_trader_count",
+        "trades_per_unique_trader", "top10_trader_volume_share", "repeat_trade_ratio", "input_sha256")
 
 
 @query("""
-WITH s AS (SELECT user_id AS t, ts, CASE event_type WHEN 'signup' THEN 'NEW' WHEN 'purchase' THEN 'ACTIVE' END AS state, time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE AS fin FROM events),
+WITH s AS (SELECT user_id AS t, ts, CASE event_type WHEN 'signup' THEN 'NEW' WHEN 'purchase' THEN 'ACTIVE' END AS state,
+  time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE AS fin FROM events),
 b AS (SELECT fin, count(*) FILTER (WHERE state = 'NEW') AS admitted_tokens, count(*) FILTER (WHERE state = 'ACTIVE') AS active_transitions FROM s GROUP BY 1),
-c AS (SELECT DISTINCT t, unnest(generate_series(time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 65 MINUTE, time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 2 HOUR, INTERVAL 5 MINUTE)) AS fin FROM s WHERE state = 'NEW'),
-a AS (SELECT t, min(ts) AS at FROM s WHERE state = 'ACTIVE' GROUP BY 1), m AS (SELECT fin, count(*) AS n, count(*) FILTER (WHERE a.at < fin) AS k FROM c LEFT JOIN a USING (t) GROUP BY 1)
-SELECT fin AS bucket_end, coalesce(admitted_tokens, 0) AS admitted_tokens, coalesce(active_transitions, 0) AS active_transitions, coalesce(n, 0) AS mature_cohort_tokens, coalesce(k, 0) AS mature_cohort_active_tokens, round(k / n, 9) AS mature_cohort_active_fraction
+c AS (SELECT DISTINCT t, unnest(generate_series(time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 65 MINUTE, time_bucket(INTERVAL 5 MINUTE,
+  ts) + INTERVAL 2 HOUR, INTERVAL 5 MINUTE)) AS fin FROM s WHERE state = 'NEW'),
+a AS (SELECT t, min(ts) AS at FROM s WHERE state = 'ACTIVE' GROUP BY 1), m AS (SELECT fin, count(*) AS n, count(*) FILTER (WHERE a.at < fin) AS k
+  FROM c LEFT JOIN a USING (t) GROUP BY 1)
+SELECT fin AS bucket_end, coalesce(admitted_tokens, 0) AS admitted_tokens, coalesce(active_transitions, 0) AS active_transitions, coalesce(n,
+  0) AS mature_cohort_tokens, coalesce(k, 0) AS mature_cohort_active_tokens, round(k / n, 9) AS mature_cohort_active_fraction
 FROM b FULL JOIN m USING (fin)
 """)
 def q108_market_cohort(spark, sf_dir):
@@ -625,10 +764,13 @@ def _cold(spark, sf_dir) -> dict[str, DataFrame]:
     token, at, v = F.col("user_id").alias("token_id"), F.col("ts").alias("received_at"), F.col("value")
     pair = F.concat_ws("/", "user_id", "event_type")
     frames = {
-        "observations": (e.select(F.col("event_id").alias("id"), pair.alias("pair_id"), at, v.alias("market_cap_usd"), (F.col("event_id") % 9).alias("buys_m5"), (F.col("event_id") % 5).alias("sells_m5")), "received_at"),
+        "observations": (e.select(F.col("event_id").alias("id"), pair.alias("pair_id"), at, v.alias("market_cap_usd"),
+        (F.col("event_id") % 9).alias("buys_m5"), (F.col("event_id") % 5).alias("sells_m5")), "received_at"),
         "pairs": (e.groupBy(pair.alias("id"), token).agg(F.min("ts").alias("first_seen_at")), "first_seen_at"),
-        "tokens": (e.groupBy(F.col("user_id").alias("id")).agg(F.concat(F.lit("address-"), F.first("user_id")).alias("address"), F.min("ts").alias("first_discovered_at")), "first_discovered_at"),
-        "lifecycle": (of("click").select(F.col("event_id").alias("id"), token, F.col("ts").alias("decided_at"), F.when(v > 50, "ACTIVE").otherwise("FADING").alias("new_state")), "decided_at"),
+        "tokens": (e.groupBy(F.col("user_id").alias("id")).agg(F.concat(F.lit("address-"), F.first("user_id")).alias("address"),
+        F.min("ts").alias("first_discovered_at")), "first_discovered_at"),
+        "lifecycle": (of("click").select(F.col("event_id").alias("id"), token, F.col("ts").alias("decided_at"),
+        F.when(v > 50, "ACTIVE").otherwise("FADING").alias("new_state")), "decided_at"),
         "boosts": (of("signup").select(F.col("event_id").alias("id"), token, at, v.alias("amount"), F.lit(1).alias("active_boost_count")), "received_at"),
         "context": (of("error").select(F.col("event_id").alias("id"), at, v.alias("sol_usd_price")), "received_at"),
     }
@@ -637,21 +779,26 @@ def _cold(spark, sf_dir) -> dict[str, DataFrame]:
 
 
 @query("""
-WITH p AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'), b AS (SELECT user_id, ts, value FROM events WHERE event_type = 'signup'), c AS (SELECT event_id, ts, value FROM events WHERE event_type = 'error')
-SELECT p.user_id AS token_id, p.ts AS as_of, b.value AS amount, b.ts AS boosted_at, c.event_id AS context_id, c.value AS sol_usd_price FROM p ASOF LEFT JOIN b ON b.user_id = p.user_id AND b.ts <= p.ts ASOF LEFT JOIN c ON c.ts <= p.ts
+WITH p AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'), b AS (SELECT user_id, ts, value FROM events
+  WHERE event_type = 'signup'), c AS (SELECT event_id, ts, value FROM events WHERE event_type = 'error')
+SELECT p.user_id AS token_id, p.ts AS as_of, b.value AS amount, b.ts AS boosted_at, c.event_id AS context_id, c.value AS sol_usd_price
+  FROM p ASOF LEFT JOIN b ON b.user_id = p.user_id AND b.ts <= p.ts ASOF LEFT JOIN c ON c.ts <= p.ts
 """)
 def q109_cold_enrichment(spark, sf_dir):
     """What a verified archive knew of boosts and context at every purchase."""
     families = _cold(spark, sf_dir)
     probes = Tables(spark, sf_dir).events.filter("event_type = 'purchase'").select(F.col("user_id").alias("token_id"), F.col("ts").alias("as_of"))
     found = cold.enrichment_as_of(families, probes)
-    return found.select("token_id", "as_of", F.col("boosts_amount").alias("amount"), F.col("boosts_received_at").alias("boosted_at"), "context_id", F.col("context_sol_usd_price").alias("sol_usd_price"))
+    return found.select("token_id", "as_of", F.col("boosts_amount").alias("amount"), F.col("boosts_received_at").alias("boosted_at"), "context_id",
+        F.col("context_sol_usd_price").alias("sol_usd_price"))
 
 
 @query("""
 WITH e AS (SELECT *, event_id % 9 AS b, event_id % 5 AS s FROM events)
-SELECT 'observations' AS measure, count(*)::DOUBLE AS value FROM e UNION ALL SELECT 'observations_in_window', count(*)::DOUBLE FROM e WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20'
-UNION ALL SELECT 'buy_sell_ratio', round(avg(CASE WHEN s > 0 THEN b / s END), 9) FROM e UNION ALL SELECT 'joined_rows', count(*)::DOUBLE FROM e UNION ALL SELECT 'unique_tokens', count(DISTINCT user_id)::DOUBLE FROM e
+SELECT 'observations' AS measure, count(*)::DOUBLE AS value FROM e UNION ALL SELECT 'observations_in_window', count(*)::DOUBLE FROM e
+  WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20'
+UNION ALL SELECT 'buy_sell_ratio', round(avg(CASE WHEN s > 0 THEN b / s END), 9) FROM e UNION ALL SELECT 'joined_rows', count(*)::DOUBLE FROM e
+  UNION ALL SELECT 'unique_tokens', count(DISTINCT user_id)::DOUBLE FROM e
 UNION ALL SELECT 'lifecycle_rows', count(*)::DOUBLE FROM e WHERE event_type = 'click'
 """)
 def q110_cold_overview(spark, sf_dir):
@@ -660,18 +807,22 @@ def q110_cold_overview(spark, sf_dir):
 
 @query("""
 WITH o AS (SELECT 'address-' || user_id AS address, arg_min(value, {'t': ts, 'e': event_id}) AS first, max(value) AS peak FROM events GROUP BY 1),
-l AS (SELECT 'address-' || user_id AS address, CASE WHEN value > 50 THEN 'ACTIVE' ELSE 'FADING' END AS s, lag(CASE WHEN value > 50 THEN 'ACTIVE' ELSE 'FADING' END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS b FROM events WHERE event_type = 'click')
-SELECT address, first, peak, (SELECT count(*) FROM l WHERE l.address = o.address) AS steps, (SELECT count(*) FROM l WHERE l.address = o.address AND b <> s) AS changes FROM o
+l AS (SELECT 'address-' || user_id AS address, CASE WHEN value > 50 THEN 'ACTIVE' ELSE 'FADING' END AS s, lag(CASE WHEN value > 50 THEN 'ACTIVE'
+  ELSE 'FADING' END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS b FROM events WHERE event_type = 'click')
+SELECT address, first, peak, (SELECT count(*) FROM l WHERE l.address = o.address) AS steps, (SELECT count(*) FROM l WHERE l.address = o.address
+  AND b <> s) AS changes FROM o
 """)
 def q111_cold_histories(spark, sf_dir):
     families = _cold(spark, sf_dir)
-    steps = cold.chronology(families).groupBy("address").agg(F.count(F.lit(1)).alias("steps"), F.count_if(F.col("previous_state") != F.col("new_state")).alias("changes"))
+    steps = cold.chronology(families).groupBy("address").agg(F.count(F.lit(1)).alias("steps"),
+        F.count_if(F.col("previous_state") != F.col("new_state")).alias("changes"))
     return cold.first_and_peak(families, "market_cap_usd").join(steps, "address", "left").fillna(0, ["steps", "changes"])
 
 
 @query("""
 WITH l AS (SELECT event_type, max(ts) AS t, arg_max(value, {'t': ts, 'e': event_id}) AS v FROM events WHERE ts <= TIMESTAMP '2024-01-15' GROUP BY 1)
-SELECT event_type AS component, CASE WHEN v > 120 THEN 'FAILED' WHEN v < 5 THEN 'STOPPED' WHEN t < TIMESTAMP '2024-01-15' - INTERVAL 10 MINUTE THEN 'STALE' ELSE 'HEALTHY' END AS status FROM l
+SELECT event_type AS component, CASE WHEN v > 120 THEN 'FAILED' WHEN v < 5 THEN 'STOPPED'
+  WHEN t < TIMESTAMP '2024-01-15' - INTERVAL 10 MINUTE THEN 'STALE' ELSE 'HEALTHY' END AS status FROM l
 """)
 def q112_component_status(spark, sf_dir):
     v = F.col("value")

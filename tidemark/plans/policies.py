@@ -45,7 +45,8 @@ def next_state(state: Column, measures: dict[str, Column], rules: tuple[Lifecycl
     return out.otherwise(state)
 
 
-def replay_lifecycle(observations: DataFrame, by: list[str], order: list[str], measures: dict[str, str], start: str = "NEW", chunk: Column | None = None) -> DataFrame:
+def replay_lifecycle(observations: DataFrame, by: list[str], order: list[str], measures: dict[str, str], start: str = "NEW",
+    chunk: Column | None = None) -> DataFrame:
     """State of each key after its whole history, and how often it changed.
 
     Each observation says, for every state, where it leads from there; those that lead nowhere are left out. What is left of a key
@@ -73,11 +74,13 @@ def replay_lifecycle(observations: DataFrame, by: list[str], order: list[str], m
         return F.struct(x["_f"]["s"][acc["s"]].alias("s"), (acc["n"] + x["_f"]["n"][acc["s"]]).alias("n"))
 
     whole = F.aggregate("_c", F.struct(F.lit(states.index(start)).alias("s"), F.lit(0).cast("long").alias("n")), chain)
-    return chained.select(*by, whole.alias("_s")).select(*by, F.array(*[F.lit(s) for s in states])[F.col("_s.s")].alias("state"), F.col("_s.n").alias("changes"))
+    return chained.select(*by, whole.alias("_s")).select(*by, F.array(*[F.lit(s) for s in states])[F.col("_s.s")].alias("state"),
+        F.col("_s.n").alias("changes"))
 
 
 # Coverage classes by age in seconds since admission (class, from age on, interval in seconds).
-COVERAGE = (("INITIAL", 0, 15), ("EARLY", 120, 30), ("MATURE", 600, 300), ("COOLED", 3600, 1800), ("LONG_TAIL_DAY", 21600, 7200), ("LONG_TAIL_WEEK", 86400, 43200), ("RETIRED", 604800, None))
+COVERAGE = (("INITIAL", 0, 15), ("EARLY", 120, 30), ("MATURE", 600, 300), ("COOLED", 3600, 1800), ("LONG_TAIL_DAY", 21600, 7200),
+    ("LONG_TAIL_WEEK", 86400, 43200), ("RETIRED", 604800, None))
 
 
 def coverage_class(age_seconds: Column) -> Column:
@@ -107,7 +110,8 @@ def coverage_for(state: Column, age_seconds: Column, state_age_seconds: Column)
     for name, end in FADING:
         fading = fading.when(state_age_seconds < end, name)
     young = F.when(coverage_class(age_seconds) == COVERAGE[-1][0], "RETIRED_CONTROL").otherwise(coverage_class(age_seconds))
-    out = F.when(age_seconds.isNull() | (age_seconds < 0), F.lit(None).cast("string")).when(state == "FADING", F.when(state_age_seconds.isNotNull(), fading.otherwise("RETIRED_CONTROL")))
+    out = F.when(age_seconds.isNull() | (age_seconds < 0), F.lit(None).cast("string")).when(state == "FADING",
+        F.when(state_age_seconds.isNotNull(), fading.otherwise("RETIRED_CONTROL")))
     for name, coverage in BY_STATE.items():
         out = out.when(state == name, coverage)
     return out.otherwise(young)
@@ -141,11 +145,13 @@ def simulate_tiers(observations: DataFrame, key: str, t: Column, value: str, pol
 
     Only eligible observations move the state: one within `ttl` of the last renews the span, a later one begins
     a new one. So the machine is a matter of gaps between eligible observations."""
-    seen = observations.select(F.col(key).alias("key"), t.cast("double").alias("t"), F.col(value).cast("double").alias("value")).filter(F.col("value") >= policy.least_value)
+    seen = observations.select(F.col(key).alias("key"), t.cast("double").alias("t"),
+        F.col(value).cast("double").alias("value")).filter(F.col("value") >= policy.least_value)
     along = Window.partitionBy("key").orderBy("t")
     new = F.coalesce((F.col("t") >= F.lag("t").over(along) + policy.ttl).cast("int"), F.lit(1))
     spans = seen.withColumn("_new", new).withColumn("_span", F.sum("_new").over(along.rowsBetween(Window.unboundedPreceding, 0)))
-    return spans.groupBy("key", "_span").agg(F.min("t").alias("started"), (F.max("t") + policy.ttl).alias("ended"), (F.count(F.lit(1)) - 1).alias("renewals")).drop("_span")
+    return spans.groupBy("key", "_span").agg(F.min("t").alias("started"), (F.max("t") + policy.ttl).alias("ended"),
+        (F.count(F.lit(1)) - 1).alias("renewals")).drop("_span")
 
 
 _RANK = {"TIER_0": 0, "TIER_1": 1, "TIER_2": 2, "TIER_3": 3}
@@ -159,7 +165,8 @@ def tier_transitions(decisions: DataFrame) -> DataFrame:
     any more keeps its tier until its coverage ends. A change sets the coverage to t + ttl, or to nothing in
     tier 0. Tokens are spread over the cluster and their decisions sorted; a token's state, a few values, is carried along the
     rows, so a long history needs no more memory than a short one."""
-    rows = decisions.select("token_id", "id", F.col("t").cast("double").alias("t"), F.col("watermark").cast("double").alias("watermark"), "tier", "eligible", F.col("ttl").cast("double").alias("ttl"))
+    rows = decisions.select("token_id", "id", F.col("t").cast("double").alias("t"), F.col("watermark").cast("double").alias("watermark"), "tier",
+        "eligible", F.col("ttl").cast("double").alias("ttl"))
     kinds = dict(rows.dtypes)
     sorted_rows = rows.repartition("token_id").sortWithinPartitions("token_id", "t", "id")
     return sorted_rows.mapInPandas(_walk, f"token_id {kinds['token_id']}, id {kinds['id']}, previous string, tier string, t double, covered_until double")

@@ -57,7 +57,8 @@ GROUP BY ALL
 """)
 def q02_asof_two_keys(spark, sf_dir):
     e = Tables(spark, sf_dir).events
-    facts = e.filter("event_type = 'view'").select("user_id", F.col("event_id").alias("fact_id"), F.col("ts").alias("decided"), (F.col("ts") + F.make_dt_interval(mins=F.floor("value").cast("int") * 10)).alias("effective"))
+    facts = e.filter("event_type = 'view'").select("user_id", F.col("event_id").alias("fact_id"), F.col("ts").alias("decided"),
+        (F.col("ts") + F.make_dt_interval(mins=F.floor("value").cast("int") * 10)).alias("effective"))
     probes = e.filter("event_type = 'purchase'").select("event_id", "user_id", "ts")
     return asof.asof_largest(probes, facts, ["user_id"], "ts", ["decided", "effective"], ["effective", "decided", "fact_id"], ["fact_id"]).drop("ts")
 
@@ -88,7 +89,8 @@ FROM p ASOF LEFT JOIN events e ON p.user_id = e.user_id AND p.t <= e.ts
 """)
 def q04_forward_endpoint(spark, sf_dir):
     e = Tables(spark, sf_dir).events
-    return asof.asof_join(e.select("event_id", "user_id", "ts"), e, ["user_id"], "ts", "ts", ["event_id", "value"], tie="event_id", lookback=24 * H, tolerance=12 * H, forward=True, prefix="next_").drop("ts")
+    return asof.asof_join(e.select("event_id", "user_id", "ts"), e, ["user_id"], "ts", "ts", ["event_id", "value"], tie="event_id", lookback=24 * H,
+        tolerance=12 * H, forward=True, prefix="next_").drop("ts")
 
 
 DAY_PATH = research.Horizon(24 * H, 12 * H, gap=18 * H)
@@ -99,9 +101,11 @@ WITH j AS (
 g AS (SELECT *, (us - coalesce(lag(us) OVER (PARTITION BY entry ORDER BY us), 0)) / 1000000.0 AS gap FROM j),
 a AS (
   SELECT entry, count(*) AS n, max(gap)::DOUBLE AS gap, max(after) >= 86400 AND max(gap) <= 64800 AS complete, max(v1) AS high, min(v1) AS low,
-    (min(after) FILTER (WHERE v1 >= v0 * 1.5))::DOUBLE AS up50, (min(after) FILTER (WHERE v1 >= v0 * 2.0))::DOUBLE AS up2x, (min(after) FILTER (WHERE v1 <= v0 * 0.5))::DOUBLE AS down50
+    (min(after) FILTER (WHERE v1 >= v0 * 1.5))::DOUBLE AS up50, (min(after) FILTER (WHERE v1 >= v0 * 2.0))::DOUBLE AS up2x, (min(after)
+      FILTER (WHERE v1 <= v0 * 0.5))::DOUBLE AS down50
   FROM g GROUP BY entry),
-l AS (SELECT p.event_id, p.value, coalesce(a.n, 0) AS n, a.gap, coalesce(a.complete, false) AS complete, a.high, a.low, a.up50, a.up2x, a.down50 FROM events p LEFT JOIN a ON a.entry = p.event_id)
+l AS (SELECT p.event_id, p.value, coalesce(a.n, 0) AS n, a.gap, coalesce(a.complete, false) AS complete, a.high, a.low, a.up50, a.up2x, a.down50
+  FROM events p LEFT JOIN a ON a.entry = p.event_id)
 """
 
 
@@ -116,7 +120,8 @@ SELECT event_id, n AS path_count, gap AS longest_gap, complete AS path_complete,
 """)
 def q05_path_extrema(spark, sf_dir):
     r = _day_labels(spark, sf_dir)
-    return r.select("event_id", "path_count", "longest_gap", "path_complete", F.round("best_return", 6).alias("best_return"), F.round("worst_return", 6).alias("worst_return"))
+    return r.select("event_id", "path_count", "longest_gap", "path_complete", F.round("best_return", 6).alias("best_return"),
+        F.round("worst_return", 6).alias("worst_return"))
 
 
 _TRI = "CASE WHEN {0} IS NOT NULL THEN 'TRUE' WHEN complete THEN 'FALSE' ELSE 'UNKNOWN' END AS crossed_{0}"
@@ -129,26 +134,31 @@ def q06_crossings_tristate(spark, sf_dir):
 
 @query(_PATH + """
 SELECT event_id, up50 AS seconds_to_up50, down50 AS seconds_to_down50,
-  CASE WHEN up50 IS NOT NULL AND (down50 IS NULL OR up50 < down50) THEN 'TRUE' WHEN down50 IS NOT NULL OR complete THEN 'FALSE' ELSE 'UNKNOWN' END AS up50_before_down50 FROM l
+  CASE WHEN up50 IS NOT NULL AND (down50 IS NULL OR up50 < down50) THEN 'TRUE' WHEN down50 IS NOT NULL OR complete THEN 'FALSE'
+    ELSE 'UNKNOWN' END AS up50_before_down50 FROM l
 """)
 def q07_ordered_labels(spark, sf_dir):
     r = _day_labels(spark, sf_dir)
-    return r.select("event_id", "seconds_to_up50", "seconds_to_down50", research.ordered_label("seconds_to_up50", "seconds_to_down50", F.col("path_complete")).alias("up50_before_down50"))
+    return r.select("event_id", "seconds_to_up50", "seconds_to_down50",
+        research.ordered_label("seconds_to_up50", "seconds_to_down50", F.col("path_complete")).alias("up50_before_down50"))
 
 
 @query("""
 WITH j AS (
-  SELECT p.event_id, p.value AS now, e.ts, e.value AS v FROM events p JOIN events e ON e.user_id = p.user_id AND e.ts <= p.ts AND e.ts > p.ts - INTERVAL 48 HOUR),
+  SELECT p.event_id, p.value AS now, e.ts, e.value AS v FROM events p JOIN events e ON e.user_id = p.user_id AND e.ts <= p.ts
+    AND e.ts > p.ts - INTERVAL 48 HOUR),
 r AS (SELECT *, ln(v / lag(v) OVER (PARTITION BY event_id ORDER BY ts)) AS r FROM j),
 a AS (
-  SELECT event_id, count(*) AS n, stddev_pop(r) AS sd, count(r) AS nr, any_value(now) / max(v) - 1 AS dd, any_value(now) / min(v) - 1 AS rec, abs(sum(sign(r))) AS sg,
+  SELECT event_id, count(*) AS n, stddev_pop(r) AS sd, count(r) AS nr, any_value(now) / max(v) - 1 AS dd, any_value(now) / min(v) - 1 AS rec,
+    abs(sum(sign(r))) AS sg,
     count(*) FILTER (WHERE r <> 0) AS nz, avg(abs(r)) AS ab, sqrt(avg(r * r)) AS rms FROM r GROUP BY event_id)
 SELECT event_id, n AS path_count, round(CASE WHEN nr >= 2 THEN sd END, 5) AS realized_volatility, round(dd, 6) AS drawdown, round(rec, 6) AS recovery,
   round(CASE WHEN nz > 0 THEN sg / nz END, 6) AS monotonicity, round(CASE WHEN nr > 0 AND rms > 0 THEN ab / rms END, 5) AS smoothness FROM a
 """)
 def q08_rolling_path_features(spark, sf_dir):
     r = research.rolling_path(Tables(spark, sf_dir).events, "user_id", "ts", "value", 48 * H)
-    return r.select("event_id", "path_count", *[F.round(c, d).alias(c) for c, d in (("realized_volatility", 5), ("drawdown", 6), ("recovery", 6), ("monotonicity", 6), ("smoothness", 5))])
+    return r.select("event_id", "path_count",
+        *[F.round(c, d).alias(c) for c, d in (("realized_volatility", 5), ("drawdown", 6), ("recovery", 6), ("monotonicity", 6), ("smoothness", 5))])
 
 
 @query("""
@@ -157,9 +167,11 @@ t AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, ts
 SELECT user_id, event_type AS selected_pair, event_id, value FROM t WHERE j = 1
 """)
 def q09_pair_selection(spark, sf_dir):
-    known = Tables(spark, sf_dir).events.filter(F.col("ts") <= F.lit("2024-01-20").cast("timestamp_ntz")).select("user_id", "event_type", "ts", "event_id", "value")
+    known = Tables(spark, sf_dir).events.filter(F.col("ts") <= F.lit("2024-01-20").cast("timestamp_ntz")).select("user_id", "event_type", "ts",
+        "event_id", "value")
     per_pair = windows.latest_per(known, ["user_id", "event_type"], "ts", "event_id")
-    return windows.latest_per(per_pair, ["user_id"], "value", "ts", "event_type").select("user_id", F.col("event_type").alias("selected_pair"), "event_id", "value")
+    return windows.latest_per(per_pair, ["user_id"], "value", "ts", "event_type").select("user_id", F.col("event_type").alias("selected_pair"),
+        "event_id", "value")
 
 
 def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,10 +179,14 @@ def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = Tables(spark, sf_dir).events
     probes = e.filter("event_type = 'purchase'").select("user_id", "event_id", "ts", "value")
     base = research.lookback_features(probes.select("user_id", "event_id", "ts"), e, "user_id", "event_id", "ts", "ts", "value")
-    path = research.rolling_path(e, "user_id", "ts", "value", 48 * H).filter("event_type = 'purchase'").select("event_id", "path_count", F.round("drawdown", 6).alias("drawdown"))
-    signup = asof.asof_join(probes.select("user_id", "event_id", "ts"), e.filter("event_type = 'signup'"), ["user_id"], "ts", "ts", ["ts"], tie="event_id", prefix="signup_")
-    signup = signup.select("event_id", F.col("signup_ts").isNotNull().alias("signup_known"), seconds_between("signup_ts", "ts").alias("signup_freshness_seconds"))
-    return base.join(path, "event_id").join(signup, "event_id").select("user_id", "event_id", "return_6h", "return_24h", "return_72h", "path_count", "drawdown", "signup_known", "signup_freshness_seconds")
+    path = research.rolling_path(e, "user_id", "ts", "value", 48 * H).filter("event_type = 'purchase'").select("event_id", "path_count",
+        F.round("drawdown", 6).alias("drawdown"))
+    signup = asof.asof_join(probes.select("user_id", "event_id", "ts"), e.filter("event_type = 'signup'"), ["user_id"], "ts", "ts", ["ts"],
+        tie="event_id", prefix="signup_")
+    signup = signup.select("event_id", F.col("signup_ts").isNotNull().alias("signup_known"),
+        seconds_between("signup_ts", "ts").alias("signup_freshness_seconds"))
+    return base.join(path, "event_id").join(signup, "event_id").select("user_id", "event_id", "return_6h", "return_24h", "return_72h", "path_count",
+        "drawdown", "signup_known", "signup_freshness_seconds")
 
 
 @query(f"""
@@ -196,14 +212,17 @@ SPLITS = (
 
 @query("""
 WITH a AS (SELECT *, min(o_orderdate) OVER (PARTITION BY o_custkey) AS admitted FROM orders),
-w(name, s, e) AS (VALUES ('train', TIMESTAMP '1995-01-01', TIMESTAMP '1998-01-01'), ('validation', TIMESTAMP '1998-02-01', TIMESTAMP '1999-06-01'), ('test', TIMESTAMP '1999-07-01', TIMESTAMP '2001-09-01'))
-SELECT o_orderkey, name AS split FROM a LEFT JOIN w ON admitted >= s AND admitted < e AND o_orderdate >= s AND o_orderdate < e AND o_orderdate + INTERVAL 30 DAY <= e
+w(name, s, e) AS (VALUES ('train', TIMESTAMP '1995-01-01', TIMESTAMP '1998-01-01'), ('validation', TIMESTAMP '1998-02-01', TIMESTAMP '1999-06-01'),
+  ('test', TIMESTAMP '1999-07-01', TIMESTAMP '2001-09-01'))
+SELECT o_orderkey, name AS split FROM a LEFT JOIN w ON admitted >= s AND admitted < e AND o_orderdate >= s AND o_orderdate < e
+  AND o_orderdate + INTERVAL 30 DAY <= e
 """)
 def q11_chronological_split(spark, sf_dir):
     research.check_windows(SPLITS, 30 * 24 * H, 31 * 24 * H)
     o = Tables(spark, sf_dir).orders
     admitted = o.groupBy("o_custkey").agg(F.min("o_orderdate").alias("admitted"))
-    return o.join(admitted, "o_custkey").select("o_orderkey", research.assign_split(F.col("admitted"), F.col("o_orderdate"), SPLITS, 30 * 24 * H).alias("split"))
+    return o.join(admitted, "o_custkey").select("o_orderkey",
+        research.assign_split(F.col("admitted"), F.col("o_orderdate"), SPLITS, 30 * 24 * H).alias("split"))
 
 
 @query("""
@@ -234,7 +253,8 @@ def q14_hourly_counts_spine(spark, sf_dir):
     spine = spark.range(1).select(F.explode(F.expr("sequence(timestamp_ntz'2024-01-10 00:00:00', timestamp_ntz'2024-01-11 23:00:00', interval 1 hour)")).alias("hour"))
     e = Tables(spark, sf_dir).events.filter("ts >= timestamp_ntz'2024-01-10 00:00:00' AND ts < timestamp_ntz'2024-01-12 00:00:00'")
     counts = e.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour")).agg(
-        F.count("event_id").alias("events"), F.countDistinct("user_id").alias("users"), F.count_if(F.col("event_type") == "error").alias("errors"), F.round(F.sum("value"), 4).alias("total")
+        F.count("event_id").alias("events"), F.countDistinct("user_id").alias("users"), F.count_if(F.col("event_type") == "error").alias("errors"),
+        F.round(F.sum("value"), 4).alias("total")
     )
     return F.broadcast(spine).join(counts, "hour", "left").fillna(0, ["events", "users", "errors"])
 
@@ -246,19 +266,23 @@ SELECT user_id, count(*) AS n, count(*) FILTER (WHERE event_type = 'view') AS vi
 def q15_filtered_counts(spark, sf_dir):
     is_ = lambda t: F.col("event_type") == t
     return Tables(spark, sf_dir).events.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(is_("view")).alias("views"), F.countDistinct(F.when(F.col("value") > 250, F.col("event_type"))).alias("rich_types"),
+        F.count(F.lit(1)).alias("n"), F.count_if(is_("view")).alias("views"),
+        F.countDistinct(F.when(F.col("value") > 250, F.col("event_type"))).alias("rich_types"),
         F.min(F.when(is_("error"), F.col("ts"))).alias("first_error"), F.max(F.when(is_("purchase"), F.col("value"))).alias("largest"),
     )
 
 
 @query("""
-SELECT o_orderpriority, round(avg(d), 4) AS mean_days, round(quantile_cont(d, 0.5), 4) AS p50, round(quantile_cont(d, 0.95), 4) AS p95, round(quantile_cont(d, 0.99), 4) AS p99,
+SELECT o_orderpriority, round(avg(d), 4) AS mean_days, round(quantile_cont(d, 0.5), 4) AS p50, round(quantile_cont(d, 0.95), 4) AS p95,
+  round(quantile_cont(d, 0.99), 4) AS p99,
   round(quantile_cont(d, 0.5) FILTER (WHERE l_returnflag = 'R'), 4) AS p50_returned
-FROM (SELECT o_orderpriority, l_returnflag, ((epoch_us(l_shipdate) - epoch_us(o_orderdate)) / 86400000000.0)::DOUBLE AS d FROM lineitem JOIN orders ON l_orderkey = o_orderkey) GROUP BY 1
+FROM (SELECT o_orderpriority, l_returnflag, ((epoch_us(l_shipdate) - epoch_us(o_orderdate)) / 86400000000.0)::DOUBLE AS d FROM lineitem
+  JOIN orders ON l_orderkey = o_orderkey) GROUP BY 1
 """)
 def q16_latency_percentiles(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    d = t.lineitem.select("l_orderkey", "l_shipdate", "l_returnflag").join(t.orders.select("o_orderkey", "o_orderdate", "o_orderpriority"), F.col("l_orderkey") == F.col("o_orderkey"))
+    d = t.lineitem.select("l_orderkey", "l_shipdate", "l_returnflag").join(t.orders.select("o_orderkey", "o_orderdate", "o_orderpriority"),
+        F.col("l_orderkey") == F.col("o_orderkey"))
     d = d.select("o_orderpriority", "l_returnflag", (seconds_between("o_orderdate", "l_shipdate") / 86400).alias("d"))
     return d.groupBy("o_orderpriority").agg(
         F.round(F.avg("d"), 4).alias("mean_days"), *[F.round(stats.interpolated("d", p), 4).alias(a) for a, p in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99))],
@@ -268,10 +292,12 @@ def q16_latency_percentiles(spark, sf_dir):
 
 @query("""
 WITH x AS (SELECT event_type, nullif(event_type, 'error') AS a, CASE WHEN value >= 100 THEN value END AS b FROM events)
-SELECT event_type, round(sum(CASE WHEN a IS NULL THEN 1 ELSE 0 END) / count(*), 6) AS null_rate_a, round(sum(CASE WHEN b IS NULL THEN 1 ELSE 0 END) / count(*), 6) AS null_rate_b FROM x GROUP BY 1
+SELECT event_type, round(sum(CASE WHEN a IS NULL THEN 1 ELSE 0 END) / count(*), 6) AS null_rate_a, round(sum(CASE WHEN b IS NULL THEN 1
+  ELSE 0 END) / count(*), 6) AS null_rate_b FROM x GROUP BY 1
 """)
 def q17_null_rates(spark, sf_dir):
-    x = Tables(spark, sf_dir).events.select("event_type", F.nullif("event_type", F.lit("error")).alias("a"), F.when(F.col("value") >= 100, F.col("value")).alias("b"))
+    x = Tables(spark, sf_dir).events.select("event_type", F.nullif("event_type", F.lit("error")).alias("a"),
+        F.when(F.col("value") >= 100, F.col("value")).alias("b"))
     return x.groupBy("event_type").agg(stats.null_rate("a").alias("null_rate_a"), stats.null_rate("b").alias("null_rate_b"))
 
 
@@ -286,17 +312,20 @@ def _gaps(spark, sf_dir) -> DataFrame:
 @query(f"SELECT date_trunc('day', ts) AS day, count(gap) AS gaps, round(avg(gap), 3) AS mean_gap, round(quantile_cont(gap, 0.95), 3) AS p95_gap FROM ({_GAPS}) GROUP BY 1")
 def q18_lag_cadence(spark, sf_dir):
     day = F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day")
-    return _gaps(spark, sf_dir).groupBy(day).agg(F.count("gap").alias("gaps"), F.round(F.avg("gap"), 3).alias("mean_gap"), F.round(stats.interpolated("gap", 0.95), 3).alias("p95_gap"))
+    return _gaps(spark, sf_dir).groupBy(day).agg(F.count("gap").alias("gaps"), F.round(F.avg("gap"), 3).alias("mean_gap"),
+        F.round(stats.interpolated("gap", 0.95), 3).alias("p95_gap"))
 
 
 @query("""
-WITH r AS (SELECT o_orderstatus, (epoch_us(lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)) - epoch_us(o_orderdate)) / 86400000000.0 AS days FROM orders)
+WITH r AS (SELECT o_orderstatus, (epoch_us(lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate,
+  o_orderkey)) - epoch_us(o_orderdate)) / 86400000000.0 AS days FROM orders)
 SELECT o_orderstatus, count(days) AS spells, round(avg(days), 4) AS mean_days, round(quantile_cont(days, 0.5), 4) AS p50_days FROM r GROUP BY 1
 """)
 def q19_lead_residence(spark, sf_dir):
     w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
     r = Tables(spark, sf_dir).orders.withColumn("days", seconds_between("o_orderdate", F.lead("o_orderdate").over(w)) / 86400)
-    return r.groupBy("o_orderstatus").agg(F.count("days").alias("spells"), F.round(F.avg("days"), 4).alias("mean_days"), F.round(stats.interpolated("days", 0.5), 4).alias("p50_days"))
+    return r.groupBy("o_orderstatus").agg(F.count("days").alias("spells"), F.round(F.avg("days"), 4).alias("mean_days"),
+        F.round(stats.interpolated("days", 0.5), 4).alias("p50_days"))
 
 
 @query(f"SELECT user_id, event_id, gap::DOUBLE AS gap FROM ({_GAPS}) WHERE gap IS NOT NULL ORDER BY gap DESC, event_id LIMIT 10")
@@ -307,7 +336,8 @@ def q20_top_gaps(spark, sf_dir):
 @query("SELECT user_id, arg_min(value, {'t': ts, 'i': event_id}) AS first_value, max(value) AS peak_value, arg_max(event_id, {'v': value, 'i': -event_id}) AS peak_event FROM events GROUP BY 1")
 def q21_first_and_peak(spark, sf_dir):
     return Tables(spark, sf_dir).events.groupBy("user_id").agg(
-        F.min_by("value", F.struct("ts", "event_id")).alias("first_value"), F.max("value").alias("peak_value"), F.max_by("event_id", F.struct(F.col("value"), -F.col("event_id"))).alias("peak_event")
+        F.min_by("value", F.struct("ts", "event_id")).alias("first_value"), F.max("value").alias("peak_value"),
+        F.max_by("event_id", F.struct(F.col("value"), -F.col("event_id"))).alias("peak_event")
     )
 
 
@@ -353,7 +383,8 @@ def q25_not_exists(spark, sf_dir):
 
 
 @query("""
-SELECT n_name, count(DISTINCT c_custkey) AS customers, count(DISTINCT o_orderkey) AS orders, count(DISTINCT CASE WHEN o_orderstatus = 'F' THEN o_orderkey END) AS finished, count(DISTINCT s_suppkey) AS suppliers
+SELECT n_name, count(DISTINCT c_custkey) AS customers, count(DISTINCT o_orderkey) AS orders, count(DISTINCT CASE
+  WHEN o_orderstatus = 'F' THEN o_orderkey END) AS finished, count(DISTINCT s_suppkey) AS suppliers
 FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey LEFT JOIN orders ON o_custkey = c_custkey LEFT JOIN supplier ON s_nationkey = n_nationkey GROUP BY 1
 """)
 def q26_fanout_distinct(spark, sf_dir):
@@ -361,9 +392,11 @@ def q26_fanout_distinct(spark, sf_dir):
     t = Tables(spark, sf_dir)
     c = t.customer.select("c_custkey", "c_nationkey")
     by_customer = t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("orders"), F.count_if(F.col("o_orderstatus") == "F").alias("finished"))
-    customers = c.join(by_customer, c.c_custkey == by_customer.o_custkey, "left").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("customers"), F.sum("orders").alias("orders"), F.sum("finished").alias("finished"))
+    customers = c.join(by_customer, c.c_custkey == by_customer.o_custkey, "left").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("customers"),
+        F.sum("orders").alias("orders"), F.sum("finished").alias("finished"))
     suppliers = t.supplier.groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("suppliers"))
-    joined = t.nation.join(customers, F.col("n_nationkey") == F.col("c_nationkey"), "left").join(suppliers, F.col("n_nationkey") == F.col("s_nationkey"), "left")
+    joined = t.nation.join(customers, F.col("n_nationkey") == F.col("c_nationkey"), "left").join(suppliers,
+        F.col("n_nationkey") == F.col("s_nationkey"), "left")
     return joined.select("n_name", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("customers", "orders", "finished", "suppliers")])
 
 
@@ -375,8 +408,10 @@ def q27_peak_per_minute(spark, sf_dir):
 
 @query("""
 WITH g AS (
-  SELECT user_id, date_trunc('day', ts) AS day, min(ts) FILTER (WHERE event_type = 'error') AS lost, max(ts) FILTER (WHERE event_type <> 'error') AS back FROM events GROUP BY 1, 2),
-c AS (SELECT user_id, greatest(lost, TIMESTAMP '2024-01-05') AS a, least(coalesce(back, TIMESTAMP '2024-01-25'), TIMESTAMP '2024-01-25') AS b FROM g WHERE lost IS NOT NULL)
+  SELECT user_id, date_trunc('day', ts) AS day, min(ts) FILTER (WHERE event_type = 'error') AS lost, max(ts)
+    FILTER (WHERE event_type <> 'error') AS back FROM events GROUP BY 1, 2),
+c AS (SELECT user_id, greatest(lost, TIMESTAMP '2024-01-05') AS a, least(coalesce(back, TIMESTAMP '2024-01-25'), TIMESTAMP '2024-01-25') AS b
+  FROM g WHERE lost IS NOT NULL)
 SELECT user_id, count(*) AS gaps, sum(CASE WHEN b > a THEN (epoch_us(b) - epoch_us(a)) / 1000000.0 ELSE 0 END)::DOUBLE AS gap_seconds FROM c GROUP BY 1
 """)
 def q28_connectivity_gap(spark, sf_dir):
@@ -385,7 +420,8 @@ def q28_connectivity_gap(spark, sf_dir):
     )
     low, high = F.expr("timestamp_ntz'2024-01-05 00:00:00'"), F.expr("timestamp_ntz'2024-01-25 00:00:00'")
     c = g.filter("lost IS NOT NULL").select("user_id", F.greatest("lost", low).alias("a"), F.least(F.coalesce("back", high), high).alias("b"))
-    return c.groupBy("user_id").agg(F.count(F.lit(1)).alias("gaps"), F.sum(F.when(F.col("b") > F.col("a"), seconds_between("a", "b")).otherwise(0.0)).alias("gap_seconds"))
+    return c.groupBy("user_id").agg(F.count(F.lit(1)).alias("gaps"),
+        F.sum(F.when(F.col("b") > F.col("a"), seconds_between("a", "b")).otherwise(0.0)).alias("gap_seconds"))
 
 
 _SPANS = "SELECT user_id, epoch_us(ts) // 1000000 AS s, epoch_us(ts) // 1000000 + (value * 400)::BIGINT AS e FROM events"
@@ -415,19 +451,22 @@ def q30_peak_concurrency(spark, sf_dir):
 
 
 @query("""
-SELECT l_suppkey, arg_min(l_extendedprice, k) AS first_price, arg_max(l_extendedprice, k) AS last_price, round(arg_max(l_extendedprice, k) - arg_min(l_extendedprice, k), 4) AS growth
+SELECT l_suppkey, arg_min(l_extendedprice, k) AS first_price, arg_max(l_extendedprice, k) AS last_price, round(arg_max(l_extendedprice,
+  k) - arg_min(l_extendedprice, k), 4) AS growth
 FROM (SELECT *, {'d': l_shipdate, 'o': l_orderkey, 'l': l_linenumber} AS k FROM lineitem) GROUP BY 1
 """)
 def q31_first_last_growth(spark, sf_dir):
     k = F.struct("l_shipdate", "l_orderkey", "l_linenumber")
-    g = Tables(spark, sf_dir).lineitem.groupBy("l_suppkey").agg(F.min_by("l_extendedprice", k).alias("first_price"), F.max_by("l_extendedprice", k).alias("last_price"))
+    g = Tables(spark, sf_dir).lineitem.groupBy("l_suppkey").agg(F.min_by("l_extendedprice", k).alias("first_price"),
+        F.max_by("l_extendedprice", k).alias("last_price"))
     return g.withColumn("growth", F.round(F.col("last_price") - F.col("first_price"), 4))
 
 
 @query("""
 WITH h AS (SELECT l_partkey, l_suppkey, sum(l_quantity) AS q FROM lineitem GROUP BY 1, 2),
 r AS (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY q DESC, l_suppkey) AS k, q / sum(q) OVER (PARTITION BY l_partkey) AS s FROM h)
-SELECT l_partkey, count(*) AS owners, round(sum(100 * s) FILTER (WHERE k <= 1), 6) AS top1_pct, round(sum(100 * s) FILTER (WHERE k <= 5), 6) AS top5_pct, round(sum(s * s), 6) AS hhi FROM r GROUP BY 1
+SELECT l_partkey, count(*) AS owners, round(sum(100 * s) FILTER (WHERE k <= 1), 6) AS top1_pct, round(sum(100 * s) FILTER (WHERE k <= 5),
+  6) AS top5_pct, round(sum(s * s), 6) AS hhi FROM r GROUP BY 1
 """)
 def q32_holder_concentration(spark, sf_dir):
     c = stats.concentration(Tables(spark, sf_dir).lineitem, ["l_partkey"], "l_suppkey", "l_quantity", (1, 5))
@@ -437,15 +476,19 @@ def q32_holder_concentration(spark, sf_dir):
 @query("""
 WITH w AS (SELECT l_suppkey, o_custkey, count(*) AS n, sum(l_extendedprice) AS v FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1, 2),
 r AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY v) AS k, count(*) OVER (PARTITION BY l_suppkey) AS c FROM w)
-SELECT l_suppkey, max(c) AS traders, round(sum(v), 2) AS volume, round(max(v) FILTER (WHERE k = ceil(0.5 * c)), 4) AS p50, round(max(v) FILTER (WHERE k = ceil(0.9 * c)), 4) AS p90,
+SELECT l_suppkey, max(c) AS traders, round(sum(v), 2) AS volume, round(max(v) FILTER (WHERE k = ceil(0.5 * c)), 4) AS p50, round(max(v)
+  FILTER (WHERE k = ceil(0.9 * c)), 4) AS p90,
   round(count(*) FILTER (WHERE n > 1) / count(*), 6) AS repeat_ratio FROM r GROUP BY 1
 """)
 def q33_trader_metrics(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    w = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("l_suppkey", "o_custkey").agg(F.count(F.lit(1)).alias("n"), F.sum("l_extendedprice").alias("v"))
-    whole = w.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("traders"), F.round(F.sum("v"), 2).alias("volume"), F.round(ratio(F.count_if(F.col("n") > 1), F.count(F.lit(1))), 6).alias("repeat_ratio"))
+    w = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("l_suppkey", "o_custkey").agg(F.count(F.lit(1)).alias("n"),
+        F.sum("l_extendedprice").alias("v"))
+    whole = w.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("traders"), F.round(F.sum("v"), 2).alias("volume"),
+        F.round(ratio(F.count_if(F.col("n") > 1), F.count(F.lit(1))), 6).alias("repeat_ratio"))
     ranks = stats.nearest_rank(w, ["l_suppkey"], "v", {"p50": 0.5, "p90": 0.9})
-    return whole.join(ranks, "l_suppkey").select("l_suppkey", "traders", "volume", F.round("p50", 4).alias("p50"), F.round("p90", 4).alias("p90"), "repeat_ratio")
+    return whole.join(ranks, "l_suppkey").select("l_suppkey", "traders", "volume", F.round("p50", 4).alias("p50"), F.round("p90", 4).alias("p90"),
+        "repeat_ratio")
 
 
 @query("SELECT user_id, list_sort(list(value))[1 + floor((count(*) - 1) * 0.5)::INT] AS p50, list_sort(list(value))[1 + floor((count(*) - 1) * 0.99)::INT] AS p99 FROM events GROUP BY 1")
@@ -454,30 +497,37 @@ def q34_lower_index_percentile(spark, sf_dir):
 
 
 @query("""
-SELECT user_id, event_id, event_type FROM (SELECT *, lag(md5(event_type)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events) WHERE p IS NULL OR p <> md5(event_type)
+SELECT user_id, event_id, event_type FROM (SELECT *, lag(md5(event_type)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events)
+  WHERE p IS NULL OR p <> md5(event_type)
 """)
 def q35_cdc_dedupe(spark, sf_dir):
-    return windows.changed_only(Tables(spark, sf_dir).events, ["user_id"], F.sha2("event_type", 256), "ts", "event_id").select("user_id", "event_id", "event_type")
+    return windows.changed_only(Tables(spark, sf_dir).events, ["user_id"], F.sha2("event_type", 256), "ts", "event_id").select("user_id", "event_id",
+        "event_type")
 
 
 @query("""
-WITH l AS (SELECT *, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events), t(threshold) AS (VALUES (1.0::DOUBLE), (10.0), (100.0), (400.0))
+WITH l AS (SELECT *, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events), t(threshold) AS (VALUES (1.0::DOUBLE), (10.0),
+  (100.0), (400.0))
 SELECT user_id, event_id, threshold, CASE WHEN p < threshold AND threshold <= value THEN 'up' ELSE 'down' END AS direction FROM l, t
 WHERE (p < threshold AND threshold <= value) OR (p >= threshold AND threshold > value)
 """)
 def q36_threshold_crossings(spark, sf_dir):
-    return windows.threshold_crossings(Tables(spark, sf_dir).events, ["user_id"], "value", ["ts", "event_id"], (1, 10, 100, 400)).select("user_id", "event_id", "threshold", "direction")
+    return windows.threshold_crossings(Tables(spark, sf_dir).events, ["user_id"], "value", ["ts", "event_id"], (1, 10, 100, 400)).select("user_id",
+        "event_id", "threshold", "direction")
 
 
 @query("""
-WITH b AS (SELECT epoch_us(ts) // 21600000000 * 21600 AS bucket, *, row_number() OVER (PARTITION BY epoch_us(ts) // 21600000000, user_id ORDER BY ts DESC, event_id DESC) AS k FROM events),
+WITH b AS (SELECT epoch_us(ts) // 21600000000 * 21600 AS bucket, *, row_number() OVER (PARTITION BY epoch_us(ts) // 21600000000, user_id
+  ORDER BY ts DESC, event_id DESC) AS k FROM events),
 m AS (SELECT bucket, count(*) AS tracked, round(sum(value), 4) AS total, median(value) AS mid FROM b WHERE k = 1 GROUP BY 1),
 r AS (SELECT *, mid / lag(mid) OVER (ORDER BY bucket) - 1 AS r FROM m)
-SELECT bucket, tracked, total, round(mid, 6) AS mid, round(r, 6) AS change, round(sqrt(avg(r * r) OVER (ORDER BY bucket RANGE BETWEEN 86400 PRECEDING AND CURRENT ROW)), 6) AS rms FROM r
+SELECT bucket, tracked, total, round(mid, 6) AS mid, round(r, 6) AS change,
+  round(sqrt(avg(r * r) OVER (ORDER BY bucket RANGE BETWEEN 86400 PRECEDING AND CURRENT ROW)), 6) AS rms FROM r
 """)
 def q37_market_context_bucket(spark, sf_dir):
     e = Tables(spark, sf_dir).events.select(fixed_bucket("ts", 6 * H).alias("bucket"), "user_id", "ts", "event_id", "value")
-    m = windows.latest_per(e, ["bucket", "user_id"], "ts", "event_id").groupBy("bucket").agg(F.count(F.lit(1)).alias("tracked"), F.round(F.sum("value"), 4).alias("total"), F.median("value").alias("mid"))
+    m = windows.latest_per(e, ["bucket", "user_id"], "ts", "event_id").groupBy("bucket").agg(F.count(F.lit(1)).alias("tracked"),
+        F.round(F.sum("value"), 4).alias("total"), F.median("value").alias("mid"))
     line = Window.orderBy("bucket")  # one row for each closed bucket, a few a day
     r = m.withColumn("r", change("mid", F.lag("mid").over(line)))
     rms = F.sqrt(F.avg(F.col("r") * F.col("r")).over(line.rangeBetween(-86400, 0)))
@@ -492,15 +542,18 @@ def q38_market_eligibility(spark, sf_dir):
 
 @query("""
 WITH a AS (SELECT event_id, (epoch_us(ts) - epoch_us(min(ts) OVER (PARTITION BY user_id))) / 1000000.0 AS age FROM events)
-SELECT event_id, CASE WHEN age >= 604800 THEN 'RETIRED' WHEN age >= 86400 THEN 'LONG_TAIL_WEEK' WHEN age >= 21600 THEN 'LONG_TAIL_DAY' WHEN age >= 3600 THEN 'COOLED' WHEN age >= 600 THEN 'MATURE'
-  WHEN age >= 120 THEN 'EARLY' ELSE 'INITIAL' END AS coverage_class, CASE WHEN age >= 604800 THEN NULL WHEN age >= 86400 THEN 43200 WHEN age >= 21600 THEN 7200 WHEN age >= 3600 THEN 1800
+SELECT event_id, CASE WHEN age >= 604800 THEN 'RETIRED' WHEN age >= 86400 THEN 'LONG_TAIL_WEEK' WHEN age >= 21600 THEN 'LONG_TAIL_DAY'
+  WHEN age >= 3600 THEN 'COOLED' WHEN age >= 600 THEN 'MATURE'
+  WHEN age >= 120 THEN 'EARLY' ELSE 'INITIAL' END AS coverage_class, CASE WHEN age >= 604800 THEN NULL WHEN age >= 86400 THEN 43200
+    WHEN age >= 21600 THEN 7200 WHEN age >= 3600 THEN 1800
   WHEN age >= 600 THEN 300 WHEN age >= 120 THEN 30 ELSE 15 END AS interval_seconds FROM a
 """)
 def q39_coverage_class(spark, sf_dir):
     e = Tables(spark, sf_dir).events
     age = seconds_between(F.min("ts").over(Window.partitionBy("user_id")), "ts")
     aged = e.select("event_id", age.alias("age"))
-    return aged.select("event_id", policies.coverage_class(F.col("age")).alias("coverage_class"), policies.coverage_interval(F.col("age")).alias("interval_seconds"))
+    return aged.select("event_id", policies.coverage_class(F.col("age")).alias("coverage_class"),
+        policies.coverage_interval(F.col("age")).alias("interval_seconds"))
 
 
 @query("""
@@ -509,8 +562,10 @@ WITH RECURSIVE o AS (
 s AS (
   SELECT user_id, 0 AS k, 'NEW' AS state, 0 AS changes FROM (SELECT DISTINCT user_id FROM events)
   UNION ALL SELECT user_id, k, n, changes + (n <> state)::INT FROM (
-    SELECT s.user_id, o.k, s.state, s.changes, CASE WHEN state = 'NEW' AND m5 >= 100 THEN 'ACTIVE' WHEN state = 'NEW' AND liq >= 1000 THEN 'WATCH' WHEN state = 'ACTIVE' AND m5 <= 25 THEN 'FADING'
-      WHEN state = 'WATCH' AND m5 <= 10 THEN 'FADING' WHEN state = 'FADING' AND h1 <= 10 AND liq <= 100 THEN 'DORMANT' WHEN state = 'DORMANT' AND m5 >= 100 AND liq >= 500 THEN 'RESURRECTED' ELSE state END AS n
+    SELECT s.user_id, o.k, s.state, s.changes, CASE WHEN state = 'NEW' AND m5 >= 100 THEN 'ACTIVE' WHEN state = 'NEW'
+      AND liq >= 1000 THEN 'WATCH' WHEN state = 'ACTIVE' AND m5 <= 25 THEN 'FADING'
+      WHEN state = 'WATCH' AND m5 <= 10 THEN 'FADING' WHEN state = 'FADING' AND h1 <= 10 AND liq <= 100 THEN 'DORMANT' WHEN state = 'DORMANT'
+        AND m5 >= 100 AND liq >= 500 THEN 'RESURRECTED' ELSE state END AS n
     FROM s JOIN o ON o.user_id = s.user_id AND o.k = s.k + 1))
 SELECT user_id, arg_max(state, k) AS state, max(changes)::BIGINT AS changes FROM s GROUP BY 1
 """)
@@ -521,7 +576,8 @@ def q40_lifecycle_replay(spark, sf_dir):
 
 @query("""
 WITH q AS (SELECT user_id, epoch_us(ts) / 1000000.0 AS t FROM events WHERE value >= 100),
-f AS (SELECT *, CASE WHEN t >= lag(t) OVER (PARTITION BY user_id ORDER BY t) + 86400 OR lag(t) OVER (PARTITION BY user_id ORDER BY t) IS NULL THEN 1 ELSE 0 END AS n FROM q),
+f AS (SELECT *, CASE WHEN t >= lag(t) OVER (PARTITION BY user_id ORDER BY t) + 86400 OR lag(t) OVER (PARTITION BY user_id
+  ORDER BY t) IS NULL THEN 1 ELSE 0 END AS n FROM q),
 i AS (SELECT *, sum(n) OVER (PARTITION BY user_id ORDER BY t ROWS UNBOUNDED PRECEDING) AS k FROM f)
 SELECT user_id AS key, min(t)::DOUBLE AS started, (max(t) + 86400)::DOUBLE AS ended, count(*) - 1 AS renewals FROM i GROUP BY user_id, k
 """)
@@ -534,7 +590,8 @@ WITH RECURSIVE e AS (SELECT DISTINCT 'o' || l_orderkey AS o, 's' || l_suppkey AS
 b AS (SELECT o AS x, s AS y FROM e UNION ALL SELECT s, o FROM e),
 r(node, component) USING KEY (node) AS (
   SELECT DISTINCT x, x FROM b
-  UNION (SELECT u.node, min(v.component) FROM recurring.r AS u JOIN b ON b.x = u.node JOIN r AS v ON v.node = b.y WHERE v.component < u.component GROUP BY u.node))
+  UNION (SELECT u.node, min(v.component) FROM recurring.r AS u JOIN b ON b.x = u.node JOIN r AS v ON v.node = b.y
+    WHERE v.component < u.component GROUP BY u.node))
 SELECT node, component FROM r
 """)
 def q42_wallet_clusters(spark, sf_dir):
@@ -593,7 +650,8 @@ def q47_union_distinct(spark, sf_dir):
 
 
 @query("""
-SELECT event_id, round(sum(value) OVER (PARTITION BY user_id ORDER BY epoch_us(ts) RANGE BETWEEN 86399999999 PRECEDING AND CURRENT ROW), 4) AS spent_24h FROM events
+SELECT event_id, round(sum(value) OVER (PARTITION BY user_id ORDER BY epoch_us(ts) RANGE BETWEEN 86399999999 PRECEDING AND CURRENT ROW),
+  4) AS spent_24h FROM events
 """)
 def q48_rolling_budget(spark, sf_dir):
     e = Tables(spark, sf_dir).events.withColumn("_us", micros("ts"))
@@ -604,20 +662,23 @@ def q48_rolling_budget(spark, sf_dir):
 def q49_streaming_dedupe(spark, sf_dir):
     from tidemark.streaming.events import deduplicated_twice
 
-    return deduplicated_twice(spark, sf_dir).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("event_id").alias("ids"), F.round(F.sum("value"), 4).alias("total"))
+    return deduplicated_twice(spark, sf_dir).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("event_id").alias("ids"),
+        F.round(F.sum("value"), 4).alias("total"))
 
 
 @query("SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS bucket_start, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1")
 def q50_stream_tumbling(spark, sf_dir):
     from tidemark.streaming.events import closed
 
-    return closed(spark, sf_dir, "5 minutes", flush=True).select(F.col("bucket_start").cast("timestamp_ntz").alias("bucket_start"), "n", F.round("total", 4).alias("total"))
+    return closed(spark, sf_dir, "5 minutes", flush=True).select(F.col("bucket_start").cast("timestamp_ntz").alias("bucket_start"), "n",
+        F.round("total", 4).alias("total"))
 
 
 @query("""
 WITH h AS (SELECT unnest(generate_series(TIMESTAMP '1996-01-01', TIMESTAMP '1996-01-02 23:00:00', INTERVAL 1 HOUR)) AS hour),
 s AS (SELECT *, lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS till FROM orders)
-SELECT hour, count(o_orderkey) AS pending FROM h LEFT JOIN s ON o_orderstatus = 'O' AND o_orderdate < hour + INTERVAL 1 HOUR AND (till IS NULL OR till >= hour + INTERVAL 1 HOUR) GROUP BY 1
+SELECT hour, count(o_orderkey) AS pending FROM h LEFT JOIN s ON o_orderstatus = 'O' AND o_orderdate < hour + INTERVAL 1 HOUR
+  AND (till IS NULL OR till >= hour + INTERVAL 1 HOUR) GROUP BY 1
 """)
 def q51_pending_by_hour(spark, sf_dir):
     from tidemark.plans.report import pending_by_hour
@@ -629,7 +690,8 @@ def q51_pending_by_hour(spark, sf_dir):
 
 @query("""
 SELECT event_id, minute, k::INT AS turn FROM (
-  SELECT event_id, date_trunc('minute', ts) AS minute, row_number() OVER (PARTITION BY date_trunc('minute', ts) ORDER BY ts, event_id, user_id) AS k FROM events) WHERE k <= 2
+  SELECT event_id, date_trunc('minute', ts) AS minute, row_number() OVER (PARTITION BY date_trunc('minute', ts) ORDER BY ts, event_id,
+    user_id) AS k FROM events) WHERE k <= 2
 """)
 def q52_bounded_wakeups(spark, sf_dir):
     e = Tables(spark, sf_dir).events.withColumn("minute", F.date_trunc("minute", "ts").cast("timestamp_ntz"))
@@ -640,21 +702,25 @@ def q52_bounded_wakeups(spark, sf_dir):
 @query("""
 WITH d AS (SELECT l_suppkey, date_trunc('month', l_shipdate) AS m, count(*) AS n, sum(l_quantity) AS q FROM lineitem GROUP BY 1, 2),
 c AS (SELECT l_suppkey, m, sum(n) OVER w AS rows, sum(q) OVER w AS size FROM d WINDOW w AS (PARTITION BY l_suppkey ORDER BY m ROWS UNBOUNDED PRECEDING)),
-l AS (SELECT *, rows - lag(rows) OVER w AS more, size - lag(size) OVER w AS bytes, (epoch_us(m) - epoch_us(lag(m) OVER w)) / 60000000.0 AS minutes FROM c WINDOW w AS (PARTITION BY l_suppkey ORDER BY m))
+l AS (SELECT *, rows - lag(rows) OVER w AS more, size - lag(size) OVER w AS bytes,
+  (epoch_us(m) - epoch_us(lag(m) OVER w)) / 60000000.0 AS minutes FROM c WINDOW w AS (PARTITION BY l_suppkey ORDER BY m))
 SELECT l_suppkey, m, round(more / minutes, 9) AS rows_per_minute, round(CASE WHEN more > 0 THEN bytes / more END, 6) AS bytes_per_row FROM l
 """)
 def q53_storage_deltas(spark, sf_dir):
     from tidemark.plans.report import storage_deltas
 
-    d = Tables(spark, sf_dir).lineitem.groupBy("l_suppkey", F.date_trunc("month", "l_shipdate").cast("timestamp_ntz").alias("m")).agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("q"))
+    d = Tables(spark, sf_dir).lineitem.groupBy("l_suppkey",
+        F.date_trunc("month", "l_shipdate").cast("timestamp_ntz").alias("m")).agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("q"))
     w = Window.partitionBy("l_suppkey").orderBy("m").rowsBetween(Window.unboundedPreceding, 0)
     c = d.select("l_suppkey", "m", F.sum("n").over(w).alias("rows"), F.sum("q").over(w).alias("size"))
-    return storage_deltas(c, "l_suppkey", "m", "rows", "size").select("l_suppkey", "m", F.round("rows_per_minute", 9).alias("rows_per_minute"), F.round("bytes_per_row", 6).alias("bytes_per_row"))
+    return storage_deltas(c, "l_suppkey", "m", "rows", "size").select("l_suppkey", "m", F.round("rows_per_minute", 9).alias("rows_per_minute"),
+        F.round("bytes_per_row", 6).alias("bytes_per_row"))
 
 
 @query("""
 WITH x AS (SELECT *, CASE WHEN event_type <> 'error' THEN value END AS n FROM events)
-SELECT event_id, round(n - last_value(n IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 6) AS growth FROM x
+SELECT event_id, round(n - last_value(n IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING
+  AND 1 PRECEDING), 6) AS growth FROM x
 """)
 def q54_growth_since_last_known(spark, sf_dir):
     x = Tables(spark, sf_dir).events.withColumn("n", F.when(F.col("event_type") != "error", F.col("value")))
@@ -663,14 +729,16 @@ def q54_growth_since_last_known(spark, sf_dir):
 
 
 @query("""
-WITH head AS (SELECT n_regionkey AS chain FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey WHERE o_orderstatus = 'O' ORDER BY o_orderpriority, o_orderdate, o_orderkey LIMIT 1)
+WITH head AS (SELECT n_regionkey AS chain FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
+  WHERE o_orderstatus = 'O' ORDER BY o_orderpriority, o_orderdate, o_orderkey LIMIT 1)
 SELECT o_orderkey, o_orderpriority FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey JOIN head ON chain = n_regionkey
 WHERE o_orderstatus = 'O' ORDER BY o_orderpriority, o_orderdate, o_orderkey LIMIT 30
 """)
 def q55_priority_claim(spark, sf_dir):
     """The due work of one chain only: that of the head of the queue; at most 30 in order."""
     t = Tables(spark, sf_dir)
-    due = t.orders.filter("o_orderstatus = 'O'").join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    due = t.orders.filter("o_orderstatus = 'O'").join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(F.broadcast(t.nation),
+        F.col("c_nationkey") == F.col("n_nationkey"))
     order = ["o_orderpriority", "o_orderdate", "o_orderkey"]
     head = due.orderBy(*order).limit(1).select("n_regionkey")
     return due.join(F.broadcast(head), "n_regionkey", "left_semi").orderBy(*order).limit(30).select("o_orderkey", "o_orderpriority")
@@ -683,11 +751,13 @@ SELECT c_custkey, last_scan FROM l ORDER BY last_scan ASC NULLS FIRST, c_custkey
 def q56_control_rotation(spark, sf_dir):
     t = Tables(spark, sf_dir)
     scanned = t.orders.groupBy("o_custkey").agg(F.max("o_orderdate").alias("last_scan"))
-    return t.customer.join(scanned, F.col("c_custkey") == F.col("o_custkey"), "left").select("c_custkey", "last_scan").orderBy(F.col("last_scan").asc_nulls_first(), "c_custkey").limit(25)
+    return t.customer.join(scanned, F.col("c_custkey") == F.col("o_custkey"), "left").select("c_custkey",
+        "last_scan").orderBy(F.col("last_scan").asc_nulls_first(), "c_custkey").limit(25)
 
 
 @query("""
-WITH s AS (SELECT user_id, min(ts) AS a, max(ts) AS b FROM events GROUP BY 1), d AS (SELECT *, unnest(generate_series(date_trunc('day', a), date_trunc('day', b), INTERVAL 1 DAY)) AS day FROM s)
+WITH s AS (SELECT user_id, min(ts) AS a, max(ts) AS b FROM events GROUP BY 1), d AS (SELECT *, unnest(generate_series(date_trunc('day', a),
+  date_trunc('day', b), INTERVAL 1 DAY)) AS day FROM s)
 SELECT user_id, greatest(day, a) AS slice_start, least(day + INTERVAL 1 DAY, b) AS slice_end FROM d WHERE greatest(day, a) < least(day + INTERVAL 1 DAY, b)
 """)
 def q57_daily_slices(spark, sf_dir):
@@ -695,7 +765,8 @@ def q57_daily_slices(spark, sf_dir):
     s = Tables(spark, sf_dir).events.groupBy("user_id").agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
     midnight = lambda c: F.date_trunc("day", c).cast("timestamp_ntz")
     d = s.withColumn("day", F.explode(F.sequence(midnight("a"), midnight("b"), F.expr("INTERVAL 1 DAY"))))
-    return d.select("user_id", F.greatest("day", "a").alias("slice_start"), F.least(F.col("day") + F.expr("INTERVAL 1 DAY"), "b").alias("slice_end")).filter("slice_start < slice_end")
+    return d.select("user_id", F.greatest("day", "a").alias("slice_start"),
+        F.least(F.col("day") + F.expr("INTERVAL 1 DAY"), "b").alias("slice_end")).filter("slice_start < slice_end")
 
 
 @query("""
@@ -710,16 +781,20 @@ def q58_common_funder(spark, sf_dir):
 
 
 @query("""
-WITH x AS (SELECT event_id, user_id, ts, value, lag(value) OVER w AS previous, first_value(ts) OVER w AS first_at FROM events WHERE event_type = 'click' WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+WITH x AS (SELECT event_id, user_id, ts, value, lag(value) OVER w AS previous, first_value(ts) OVER w AS first_at FROM events
+  WHERE event_type = 'click' WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
 p AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase')
-SELECT p.event_id, x.value AS latest, x.previous, ((epoch_us(p.ts) - epoch_us(x.first_at)) / 1000000.0)::DOUBLE AS since_first FROM p ASOF LEFT JOIN x ON x.user_id = p.user_id AND x.ts <= p.ts
+SELECT p.event_id, x.value AS latest, x.previous, ((epoch_us(p.ts) - epoch_us(x.first_at)) / 1000000.0)::DOUBLE AS since_first FROM p ASOF LEFT
+  JOIN x ON x.user_id = p.user_id AND x.ts <= p.ts
 """)
 def q59_latest_previous_first(spark, sf_dir):
     e = Tables(spark, sf_dir).events
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     clicks = e.filter("event_type = 'click'").withColumns({"previous": F.lag("value").over(w), "first_at": F.min("ts").over(w)})
-    found = asof.asof_join(e.filter("event_type = 'purchase'").select("event_id", "user_id", "ts"), clicks, ["user_id"], "ts", "ts", ["value", "previous", "first_at"], tie="event_id", prefix="c_")
-    return found.select("event_id", F.col("c_value").alias("latest"), F.col("c_previous").alias("previous"), seconds_between("c_first_at", "ts").alias("since_first"))
+    found = asof.asof_join(e.filter("event_type = 'purchase'").select("event_id", "user_id", "ts"), clicks, ["user_id"], "ts", "ts",
+        ["value", "previous", "first_at"], tie="event_id", prefix="c_")
+    return found.select("event_id", F.col("c_value").alias("latest"), F.col("c_previous").alias("previous"),
+        seconds_between("c_first_at", "ts").alias("since_first"))
 
 
 @query("""
@@ -746,31 +821,40 @@ def q61_revisit_plan(spark, sf_dir):
 
 
 @query("""
-WITH w AS (SELECT l_suppkey AS t, o_custkey AS w, CASE WHEN l_returnflag = 'R' THEN 'SELL' ELSE 'BUY' END AS side, l_extendedprice AS v FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
-a AS (SELECT t, count(*) AS total_trades, count(*) FILTER (WHERE side = 'BUY') AS buy_trades, count(DISTINCT CASE WHEN side = 'BUY' THEN w END) AS unique_buyers, count(DISTINCT w) AS unique_traders,
+WITH w AS (SELECT l_suppkey AS t, o_custkey AS w, CASE WHEN l_returnflag = 'R' THEN 'SELL' ELSE 'BUY' END AS side, l_extendedprice AS v
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
+a AS (SELECT t, count(*) AS total_trades, count(*) FILTER (WHERE side = 'BUY') AS buy_trades, count(DISTINCT CASE
+  WHEN side = 'BUY' THEN w END) AS unique_buyers, count(DISTINCT w) AS unique_traders,
   round(median(v), 4) AS median_trade_usd FROM w GROUP BY 1),
 p AS (SELECT t, w, count(*) AS n, sum(v) AS v, bool_or(side = 'BUY') AS b, bool_or(side = 'SELL') AS s FROM w GROUP BY 1, 2),
 r AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY v DESC, w) AS k FROM p),
-z AS (SELECT t, round(100 * sum(v) FILTER (WHERE k <= 10) / sum(v), 6) AS top_10_trader_volume_share, round(coalesce(sum(n) FILTER (WHERE n > 1), 0) / sum(n), 6) AS repeat_trader_ratio,
+z AS (SELECT t, round(100 * sum(v) FILTER (WHERE k <= 10) / sum(v), 6) AS top_10_trader_volume_share, round(coalesce(sum(n) FILTER (WHERE n > 1),
+  0) / sum(n), 6) AS repeat_trader_ratio,
   round(count(*) FILTER (WHERE b AND s) / count(*), 6) AS buy_sell_wallet_overlap FROM r GROUP BY 1)
-SELECT t AS token_id, total_trades, buy_trades, unique_buyers, unique_traders, median_trade_usd, top_10_trader_volume_share, repeat_trader_ratio, buy_sell_wallet_overlap FROM a JOIN z USING (t)
+SELECT t AS token_id, total_trades, buy_trades, unique_buyers, unique_traders, median_trade_usd, top_10_trader_volume_share, repeat_trader_ratio,
+  buy_sell_wallet_overlap FROM a JOIN z USING (t)
 """)
 def q62_trader_distribution(spark, sf_dir):
     from tidemark.plans.security import trader_metrics
 
     t = Tables(spark, sf_dir)
     trades = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.col("l_suppkey").alias("token_id"), F.col("o_custkey").alias("wallet"), F.when(F.col("l_returnflag") == "R", "SELL").otherwise("BUY").alias("side"), F.col("l_extendedprice").alias("notional_usd")
+        F.col("l_suppkey").alias("token_id"), F.col("o_custkey").alias("wallet"),
+        F.when(F.col("l_returnflag") == "R", "SELL").otherwise("BUY").alias("side"), F.col("l_extendedprice").alias("notional_usd")
     )
-    rounded = {c: F.round(c, d) for c, d in (("median_trade_usd", 4), ("top_10_trader_volume_share", 6), ("repeat_trader_ratio", 6), ("buy_sell_wallet_overlap", 6))}
+    rounded = {c: F.round(c, d) for c, d in (("median_trade_usd", 4), ("top_10_trader_volume_share", 6), ("repeat_trader_ratio", 6),
+        ("buy_sell_wallet_overlap", 6))}
     return trader_metrics(trades).withColumns(rounded).select("token_id", "total_trades", "buy_trades", "unique_buyers", "unique_traders", *rounded)
 
 
 @query("""
-WITH h AS (SELECT l_partkey AS p, l_suppkey AS o, sum(l_quantity) AS q, sum(CASE WHEN l_returnflag <> 'A' THEN l_quantity END) AS out, sum(CASE WHEN l_linestatus = 'F' THEN l_quantity END) AS c FROM lineitem GROUP BY 1, 2),
+WITH h AS (SELECT l_partkey AS p, l_suppkey AS o, sum(l_quantity) AS q, sum(CASE WHEN l_returnflag <> 'A' THEN l_quantity END) AS out, sum(CASE
+  WHEN l_linestatus = 'F' THEN l_quantity END) AS c FROM lineitem GROUP BY 1, 2),
 r AS (SELECT *, row_number() OVER (PARTITION BY p ORDER BY q DESC, 'w' || o) AS k FROM h), s AS (SELECT p_partkey AS p, p_size * 100 AS supply FROM part)
-SELECT s.p AS token_id, round(100 * coalesce(sum(q) FILTER (WHERE k <= 1), 0) / supply, 6) AS top_1_pct, round(100 * coalesce(sum(q) FILTER (WHERE k <= 10), 0) / supply, 6) AS top_10_pct,
-  round(100 * coalesce(max(out), 0) / supply, 6) AS largest_non_pool_holder_pct, round(CASE WHEN sum(c) > 0 THEN 100 * sum(c) / supply END, 6) AS creator_holder_pct,
+SELECT s.p AS token_id, round(100 * coalesce(sum(q) FILTER (WHERE k <= 1), 0) / supply, 6) AS top_1_pct, round(100 * coalesce(sum(q)
+  FILTER (WHERE k <= 10), 0) / supply, 6) AS top_10_pct,
+  round(100 * coalesce(max(out), 0) / supply, 6) AS largest_non_pool_holder_pct, round(CASE WHEN sum(c) > 0 THEN 100 * sum(c) / supply END,
+    6) AS creator_holder_pct,
   round(100 * coalesce(sum(q), 0) / supply, 6) AS covered_supply_pct, round(CASE WHEN s.p % 2 = 0 THEN coalesce(sum(q * q), 0) / supply / supply END, 12) AS hhi
 FROM s LEFT JOIN r ON r.p = s.p GROUP BY s.p, supply
 """)
@@ -779,24 +863,30 @@ def q63_holder_metrics(spark, sf_dir):
 
     t = Tables(spark, sf_dir)
     accounts = t.lineitem.select(
-        F.col("l_partkey").alias("token_id"), F.concat(F.lit("w"), F.col("l_suppkey")).alias("owner_wallet"), F.lit("x").alias("token_account"), F.col("l_quantity").alias("raw_balance"),
+        F.col("l_partkey").alias("token_id"), F.concat(F.lit("w"), F.col("l_suppkey")).alias("owner_wallet"), F.lit("x").alias("token_account"),
+        F.col("l_quantity").alias("raw_balance"),
         (F.col("l_returnflag") == "A").alias("is_known_pool"), (F.col("l_linestatus") == "F").alias("is_creator"),
     )
     supplies = t.part.select(F.col("p_partkey").alias("token_id"), (F.col("p_size") * 100).alias("supply"), (F.col("p_partkey") % 2 == 0).alias("complete"))
     m = holder_metrics(accounts, supplies)
-    return m.select("token_id", *[F.round(c, 6).alias(c) for c in ("top_1_pct", "top_10_pct", "largest_non_pool_holder_pct", "creator_holder_pct", "covered_supply_pct")], F.round("hhi", 12).alias("hhi"))
+    return m.select("token_id", *[F.round(c, 6).alias(c) for c in ("top_1_pct", "top_10_pct", "largest_non_pool_holder_pct", "creator_holder_pct",
+        "covered_supply_pct")], F.round("hhi", 12).alias("hhi"))
 
 
 @query("""
 WITH x AS (SELECT *, CASE WHEN l_discount > 0 THEN l_extendedprice END AS liq FROM lineitem),
-g AS (SELECT l_orderkey, count(DISTINCT l_linenumber) AS pairs, count(*) FILTER (WHERE liq IS NULL) AS unknown, arg_max(l_linenumber, {'l': liq, 'c': -l_linenumber}) FILTER (WHERE liq IS NOT NULL) AS best, any_value(l_linenumber) AS only_one FROM x GROUP BY 1)
-SELECT l_orderkey, CASE WHEN pairs = 1 THEN only_one WHEN unknown > 0 THEN NULL ELSE best END AS selected, CASE WHEN pairs = 1 THEN 'ONLY_PAIR' WHEN unknown > 0 THEN 'UNKNOWN_LIQUIDITY' ELSE 'HIGHEST_LIQUIDITY' END AS reason FROM g
+g AS (SELECT l_orderkey, count(DISTINCT l_linenumber) AS pairs, count(*) FILTER (WHERE liq IS NULL) AS unknown, arg_max(l_linenumber, {'l': liq,
+  'c': -l_linenumber}) FILTER (WHERE liq IS NOT NULL) AS best, any_value(l_linenumber) AS only_one FROM x GROUP BY 1)
+SELECT l_orderkey, CASE WHEN pairs = 1 THEN only_one WHEN unknown > 0 THEN NULL ELSE best END AS selected, CASE WHEN pairs = 1 THEN 'ONLY_PAIR'
+  WHEN unknown > 0 THEN 'UNKNOWN_LIQUIDITY' ELSE 'HIGHEST_LIQUIDITY' END AS reason FROM g
 """)
 def q64_evidence_pair(spark, sf_dir):
     """The pair with most liquidity; with several pairs one unknown liquidity makes the choice unknown; ties go to the smaller id."""
     x = Tables(spark, sf_dir).lineitem.withColumn("liq", F.when(F.col("l_discount") > 0, F.col("l_extendedprice")))
     g = x.groupBy("l_orderkey").agg(
-        F.count_distinct("l_linenumber").alias("pairs"), F.count_if(F.col("liq").isNull()).alias("unknown"), F.max_by("l_linenumber", F.when(F.col("liq").isNotNull(), F.struct(F.col("liq"), -F.col("l_linenumber")))).alias("best"), F.first("l_linenumber").alias("only_one")
+        F.count_distinct("l_linenumber").alias("pairs"), F.count_if(F.col("liq").isNull()).alias("unknown"),
+        F.max_by("l_linenumber", F.when(F.col("liq").isNotNull(), F.struct(F.col("liq"), -F.col("l_linenumber")))).alias("best"),
+        F.first("l_linenumber").alias("only_one")
     )
     one = F.col("pairs") == 1
     return g.select(
@@ -807,16 +897,22 @@ def q64_evidence_pair(spark, sf_dir):
 
 @query("""
 WITH a AS (
-  SELECT event_id, CASE event_type WHEN 'purchase' THEN 'ACTIVE' WHEN 'click' THEN 'FADING' WHEN 'signup' THEN 'WATCH' WHEN 'error' THEN 'DORMANT' ELSE 'NEW' END AS state,
-    (epoch_us(ts) - epoch_us(min(ts) OVER (PARTITION BY user_id))) / 1000000.0 AS age, (epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id))) / 1000000.0 AS in_state FROM events),
+  SELECT event_id, CASE event_type WHEN 'purchase' THEN 'ACTIVE' WHEN 'click' THEN 'FADING' WHEN 'signup' THEN 'WATCH'
+    WHEN 'error' THEN 'DORMANT' ELSE 'NEW' END AS state,
+    (epoch_us(ts) - epoch_us(min(ts) OVER (PARTITION BY user_id))) / 1000000.0 AS age,
+      (epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id))) / 1000000.0 AS in_state FROM events),
 c AS (
   SELECT *, CASE state WHEN 'ACTIVE' THEN 'PROTECTED_ACTIVE' WHEN 'WATCH' THEN 'PROTECTED_WATCH' WHEN 'DORMANT' THEN 'RETIRED_CONTROL'
-    WHEN 'FADING' THEN CASE WHEN in_state IS NULL THEN NULL WHEN in_state < 1800 THEN 'FADING_TAIL' WHEN in_state < 21600 THEN 'FADING_COOL' ELSE 'RETIRED_CONTROL' END
-    ELSE CASE WHEN age >= 604800 THEN 'RETIRED_CONTROL' WHEN age >= 86400 THEN 'LONG_TAIL_WEEK' WHEN age >= 21600 THEN 'LONG_TAIL_DAY' WHEN age >= 3600 THEN 'COOLED' WHEN age >= 600 THEN 'MATURE'
+    WHEN 'FADING' THEN CASE WHEN in_state IS NULL THEN NULL WHEN in_state < 1800 THEN 'FADING_TAIL' WHEN in_state < 21600 THEN 'FADING_COOL'
+      ELSE 'RETIRED_CONTROL' END
+    ELSE CASE WHEN age >= 604800 THEN 'RETIRED_CONTROL' WHEN age >= 86400 THEN 'LONG_TAIL_WEEK' WHEN age >= 21600 THEN 'LONG_TAIL_DAY'
+      WHEN age >= 3600 THEN 'COOLED' WHEN age >= 600 THEN 'MATURE'
       WHEN age >= 120 THEN 'EARLY' ELSE 'INITIAL' END END AS coverage FROM a)
-SELECT event_id, coverage, CASE coverage WHEN 'PROTECTED_ACTIVE' THEN 5 WHEN 'PROTECTED_WATCH' THEN 15 WHEN 'FADING_TAIL' THEN 120 WHEN 'FADING_COOL' THEN 1800 WHEN 'INITIAL' THEN 15 WHEN 'EARLY' THEN 30
+SELECT event_id, coverage, CASE coverage WHEN 'PROTECTED_ACTIVE' THEN 5 WHEN 'PROTECTED_WATCH' THEN 15 WHEN 'FADING_TAIL' THEN 120
+  WHEN 'FADING_COOL' THEN 1800 WHEN 'INITIAL' THEN 15 WHEN 'EARLY' THEN 30
     WHEN 'MATURE' THEN 300 WHEN 'COOLED' THEN 1800 WHEN 'LONG_TAIL_DAY' THEN 7200 WHEN 'LONG_TAIL_WEEK' THEN 43200 END AS interval_seconds,
-  (CASE coverage WHEN 'FADING_TAIL' THEN 1800 - in_state WHEN 'FADING_COOL' THEN 21600 - in_state WHEN 'INITIAL' THEN 120 - age WHEN 'EARLY' THEN 600 - age WHEN 'MATURE' THEN 3600 - age
+  (CASE coverage WHEN 'FADING_TAIL' THEN 1800 - in_state WHEN 'FADING_COOL' THEN 21600 - in_state WHEN 'INITIAL' THEN 120 - age
+    WHEN 'EARLY' THEN 600 - age WHEN 'MATURE' THEN 3600 - age
     WHEN 'COOLED' THEN 21600 - age WHEN 'LONG_TAIL_DAY' THEN 86400 - age WHEN 'LONG_TAIL_WEEK' THEN 604800 - age END)::DOUBLE AS seconds_left FROM c
 """)
 def q65_coverage_by_state(spark, sf_dir):
@@ -825,7 +921,8 @@ def q65_coverage_by_state(spark, sf_dir):
     state = F.create_map(*[F.lit(x) for x in ("purchase", "ACTIVE", "click", "FADING", "signup", "WATCH", "error", "DORMANT")])[F.col("event_type")]
     user = Window.partitionBy("user_id")
     aged = e.select(
-        "event_id", F.coalesce(state, F.lit("NEW")).alias("state"), seconds_between(F.min("ts").over(user), "ts").alias("age"), seconds_between(F.lag("ts").over(user.orderBy("ts", "event_id")), "ts").alias("in_state")
+        "event_id", F.coalesce(state, F.lit("NEW")).alias("state"), seconds_between(F.min("ts").over(user), "ts").alias("age"),
+        seconds_between(F.lag("ts").over(user.orderBy("ts", "event_id")), "ts").alias("in_state")
     )
     classed = aged.withColumn("coverage", policies.coverage_for(F.col("state"), F.col("age"), F.col("in_state")))
     left = policies.seconds_to_transition(F.col("coverage"), F.col("age"), F.col("in_state"))
@@ -833,14 +930,21 @@ def q65_coverage_by_state(spark, sf_dir):
 
 
 @query("""
-WITH r AS (SELECT o_orderdate AS a, l_shipdate AS b, CASE WHEN l_linenumber < 4 THEN 200 WHEN l_linenumber = 4 THEN 429 WHEN l_linenumber = 5 THEN 404 ELSE 500 END AS status, l_returnflag AS outcome, l_linenumber AS attempts
+WITH r AS (SELECT o_orderdate AS a, l_shipdate AS b, CASE WHEN l_linenumber < 4 THEN 200 WHEN l_linenumber = 4 THEN 429
+  WHEN l_linenumber = 5 THEN 404 ELSE 500 END AS status, l_returnflag AS outcome, l_linenumber AS attempts
   FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
-rs AS (SELECT count(*) AS total, count(*) FILTER (WHERE status = 200) AS http_200, count(*) FILTER (WHERE status = 429) AS http_429, count(*) FILTER (WHERE status BETWEEN 400 AND 499 AND status <> 429) AS http_other_4xx,
-  count(*) FILTER (WHERE status >= 500) AS http_5xx, sum(attempts - 1) AS retries, quantile_cont((epoch_us(b) - epoch_us(a)) / 1000.0, 0.5) AS p50_latency_ms, quantile_cont((epoch_us(b) - epoch_us(a)) / 1000.0, 0.95) AS p95_latency_ms,
-  quantile_cont((epoch_us(b) - epoch_us(a)) / 1000.0, 0.99) AS p99_latency_ms, (SELECT max(n) FROM (SELECT count(*) AS n FROM r GROUP BY date_trunc('minute', a))) AS peak_per_minute FROM r),
-l AS (SELECT o_custkey AS t, o_orderdate AS at, o_orderstatus AS s, lag(o_orderstatus) OVER w AS p, (epoch_us(lead(o_orderdate) OVER w) - epoch_us(o_orderdate)) / 1000000.0 AS stay FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)),
+rs AS (SELECT count(*) AS total, count(*) FILTER (WHERE status = 200) AS http_200, count(*) FILTER (WHERE status = 429) AS http_429, count(*)
+  FILTER (WHERE status BETWEEN 400 AND 499 AND status <> 429) AS http_other_4xx,
+  count(*) FILTER (WHERE status >= 500) AS http_5xx, sum(attempts - 1) AS retries, quantile_cont((epoch_us(b) - epoch_us(a)) / 1000.0,
+    0.5) AS p50_latency_ms, quantile_cont((epoch_us(b) - epoch_us(a)) / 1000.0, 0.95) AS p95_latency_ms,
+  quantile_cont((epoch_us(b) - epoch_us(a)) / 1000.0, 0.99) AS p99_latency_ms, (SELECT max(n) FROM (SELECT count(*) AS n FROM r
+    GROUP BY date_trunc('minute', a))) AS peak_per_minute FROM r),
+l AS (SELECT o_custkey AS t, o_orderdate AS at, o_orderstatus AS s, lag(o_orderstatus) OVER w AS p,
+  (epoch_us(lead(o_orderdate) OVER w) - epoch_us(o_orderdate)) / 1000000.0 AS stay FROM orders WINDOW w AS (PARTITION BY o_custkey
+  ORDER BY o_orderdate, o_orderkey)),
 k AS (SELECT user_id, count(*) AS n, count(DISTINCT event_type) AS pairs FROM events GROUP BY 1),
-ks AS (SELECT sum(n) AS rows, count(*) AS tokens, quantile_cont(n, 0.5) AS per_token_p50, quantile_cont(n, 0.95) AS per_token_p95, count(*) FILTER (WHERE pairs > 1) AS multi_pair_tokens FROM k)
+ks AS (SELECT sum(n) AS rows, count(*) AS tokens, quantile_cont(n, 0.5) AS per_token_p50, quantile_cont(n, 0.95) AS per_token_p95, count(*)
+  FILTER (WHERE pairs > 1) AS multi_pair_tokens FROM k)
 SELECT section, name, measure, round(value, 6) AS value FROM (
   SELECT 'requests' AS section, 'all' AS name, measure, value FROM (UNPIVOT (SELECT COLUMNS(*)::DOUBLE FROM rs) ON COLUMNS(*) INTO NAME measure VALUE value)
   UNION ALL SELECT 'request_outcomes', outcome, 'requests', count(*)::DOUBLE FROM r GROUP BY outcome
@@ -857,9 +961,11 @@ def q66_window_summary(spark, sf_dir):
     along = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
     families = {
         "requests": t.lineitem.join(t.orders, F.col("o_orderkey") == F.col("l_orderkey")).select(
-            F.col("o_orderdate").alias("requested_at"), F.col("l_shipdate").alias("received_at"), F.when(n < 4, 200).when(n == 4, 429).when(n == 5, 404).otherwise(500).alias("status"), F.col("l_returnflag").alias("outcome"), n.alias("attempts")
+            F.col("o_orderdate").alias("requested_at"), F.col("l_shipdate").alias("received_at"),
+            F.when(n < 4, 200).when(n == 4, 429).when(n == 5, 404).otherwise(500).alias("status"), F.col("l_returnflag").alias("outcome"), n.alias("attempts")
         ),
-        "lifecycle": t.orders.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("token_id"), F.col("o_orderdate").alias("decided_at"), F.lag("o_orderstatus").over(along).alias("previous_state"), F.col("o_orderstatus").alias("new_state")),
+        "lifecycle": t.orders.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("token_id"), F.col("o_orderdate").alias("decided_at"),
+        F.lag("o_orderstatus").over(along).alias("previous_state"), F.col("o_orderstatus").alias("new_state")),
         "observations": t.events.select(F.col("user_id").alias("token_id"), F.col("event_type").alias("pair_id"), F.col("ts").alias("received_at")),
     }
     return summary(families, "2030-01-01 00:00:00", 24 * 366 * 60).withColumn("value", F.round("value", 6))

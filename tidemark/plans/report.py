@@ -65,18 +65,21 @@ def hourly_report(spark: SparkSession, families: Mapping[str, DataFrame], end_at
     inside = lambda name, at: _window(families[name], at, end_at, hours)
     latency = (F.when(F.col("received_at") >= F.col("requested_at"), seconds_between("requested_at", "received_at"))) * 1000
     requests = inside("requests", "requested_at").withColumn("ms", latency).groupBy("hour").agg(
-        F.count(F.lit(1)).alias("requests"), F.count_if(F.col("status") == 429).alias("http_429s"), F.avg("ms").alias("latency_mean_ms"), interpolated("ms", 0.5).alias("latency_p50_ms"), interpolated("ms", 0.95).alias("latency_p95_ms")
+        F.count(F.lit(1)).alias("requests"), F.count_if(F.col("status") == 429).alias("http_429s"), F.avg("ms").alias("latency_mean_ms"),
+        interpolated("ms", 0.5).alias("latency_p50_ms"), interpolated("ms", 0.95).alias("latency_p95_ms")
     )
     observed = inside("observations", "received_at")
     have = [c for c in OBSERVED if c in observed.columns]
     seen = observed.groupBy("hour").agg(F.count(F.lit(1)).alias("observations"), *[null_rate(c).alias(f"null_rate_{c}") for c in have])
-    states = inside("lifecycle", "decided_at").groupBy("hour").agg(F.count_if(F.col("new_state") == "NEW").alias("reaching_dex"), F.count_if(F.col("new_state") == "RESURRECTED").alias("resurrections"))
+    states = inside("lifecycle", "decided_at").groupBy("hour").agg(F.count_if(F.col("new_state") == "NEW").alias("reaching_dex"),
+        F.count_if(F.col("new_state") == "RESURRECTED").alias("resurrections"))
     found = inside("discoveries", "received_at").groupBy("hour").agg(F.count_distinct("token_id").alias("discovered"))
     repeats = inside("conflicts", "occurred_at").groupBy("hour").agg(F.count(F.lit(1)).alias("duplicates"))
     members = families["batch_members"].groupBy("batch_id").agg(F.count(F.lit(1)).alias("members"))
     batches = inside("batches", "claimed_at").join(members, "batch_id", "left")
     filled = batches.groupBy("hour").agg((ratio(F.sum(F.coalesce("members", F.lit(0))), F.sum("batch_size")) * 100).alias("occupancy_pct"))
-    cadence = gaps_between(families["batch_members"], "token_id", "claimed_at", end_at, hours).groupBy("hour").agg(F.avg("gap").alias("mean_cadence_seconds"), F.max("gap").alias("longest_gap_seconds"))
+    cadence = gaps_between(families["batch_members"], "token_id", "claimed_at", end_at,
+        hours).groupBy("hour").agg(F.avg("gap").alias("mean_cadence_seconds"), F.max("gap").alias("longest_gap_seconds"))
     waiting = pending_by_hour(families["lifecycle"], spine, "token_id", "decided_at", "new_state", "PENDING_DEX")
     rows = reduce(lambda a, b: a.join(b, "hour", "left"), [requests, seen, states, found, repeats, filled, cadence, waiting], spine)
     counts = ["requests", "http_429s", "observations", "reaching_dex", "resurrections", "discovered", "duplicates", "pending"]
@@ -130,9 +133,12 @@ def live_seconds(runs: DataFrame, epoch: str, end: str) -> DataFrame:
     from tidemark.operators.windows import interval_union
 
     known = runs.groupBy(epoch).agg(F.bool_and(F.col("collection_started_at").isNotNull()).alias("ok"))
-    spans = runs.filter("collection_started_at IS NOT NULL").select(epoch, micros("collection_started_at").alias("a"), micros(F.coalesce("finished_at", F.lit(end).cast("timestamp_ntz"))).alias("b"))
-    merged = interval_union(spans, [epoch], "a", "b").groupBy(epoch).agg((F.sum(F.col("island_end") - F.col("island_start")) / MICROS).alias("live_seconds"), F.count(F.lit(1)).alias("intervals"))
-    return known.join(merged, epoch, "left").select(epoch, F.when(F.col("ok"), F.col("live_seconds")).alias("live_seconds"), F.when(F.col("ok"), F.col("intervals")).alias("intervals"))
+    spans = runs.filter("collection_started_at IS NOT NULL").select(epoch, micros("collection_started_at").alias("a"),
+        micros(F.coalesce("finished_at", F.lit(end).cast("timestamp_ntz"))).alias("b"))
+    merged = interval_union(spans, [epoch], "a",
+        "b").groupBy(epoch).agg((F.sum(F.col("island_end") - F.col("island_start")) / MICROS).alias("live_seconds"), F.count(F.lit(1)).alias("intervals"))
+    return known.join(merged, epoch, "left").select(epoch, F.when(F.col("ok"), F.col("live_seconds")).alias("live_seconds"),
+        F.when(F.col("ok"), F.col("intervals")).alias("intervals"))
 
 
 def component_status(heartbeats: DataFrame, now: str, stale_after: int) -> DataFrame:
@@ -141,4 +147,5 @@ def component_status(heartbeats: DataFrame, now: str, stale_after: int) -> DataF
 
     last = latest_per(heartbeats, ["component"], "at", "state")
     age = seconds_between("at", F.lit(now).cast("timestamp_ntz"))
-    return last.select("component", F.when(F.col("state").isin("STOPPED", "FAILED"), F.col("state")).when(age > stale_after, "STALE").otherwise("HEALTHY").alias("status"), age.alias("age_seconds"))
+    return last.select("component", F.when(F.col("state").isin("STOPPED", "FAILED"), F.col("state")).when(age > stale_after,
+        "STALE").otherwise("HEALTHY").alias("status"), age.alias("age_seconds"))

@@ -22,11 +22,13 @@ LOOKBACKS = {"6h": (6 * HOUR, 3 * HOUR), "24h": (24 * HOUR, 12 * HOUR), "72h": (
 GAP_SHARE, LEAST_GAP, MOST_GAP = 0.1, 60, 1800
 
 
-def candidate_times(observations: DataFrame, admissions: DataFrame, key: str, at: str, offsets: Sequence[int], transitions: DataFrame | None = None) -> DataFrame:
+def candidate_times(observations: DataFrame, admissions: DataFrame, key: str, at: str, offsets: Sequence[int],
+    transitions: DataFrame | None = None) -> DataFrame:
     """key, decision_at and the reasons: fixed ages after admission, observations from
     admission on, and given transitions. Each time once; keys never admitted have none."""
     by_age = admissions.select(key, F.explode(F.array(*[F.col("admitted_at") + F.expr(f"INTERVAL {o} SECOND") for o in offsets])).alias("decision_at"), F.lit("fixed_age").alias("reason"))
-    seen = observations.join(admissions, key).filter(F.col(at) >= F.col("admitted_at")).select(key, F.col(at).alias("decision_at"), F.lit("observation").alias("reason"))
+    seen = observations.join(admissions, key).filter(F.col(at) >= F.col("admitted_at")).select(key, F.col(at).alias("decision_at"),
+        F.lit("observation").alias("reason"))
     every = by_age.unionByName(seen)
     if transitions is not None:
         moved = transitions.join(admissions, key).filter(F.col(at) >= F.col("admitted_at"))
@@ -34,13 +36,15 @@ def candidate_times(observations: DataFrame, admissions: DataFrame, key: str, at
     return every.groupBy(key, "decision_at").agg(F.array_join(F.array_sort(F.collect_set("reason")), "+").alias("reasons"))
 
 
-def lookback_features(probes: DataFrame, observations: DataFrame, key: str, probe_id: str, probe_at: str, at: str, value: str, horizons: dict[str, tuple[int, int]] = LOOKBACKS) -> DataFrame:
+def lookback_features(probes: DataFrame, observations: DataFrame, key: str, probe_id: str, probe_at: str, at: str, value: str,
+    horizons: dict[str, tuple[int, int]] = LOOKBACKS) -> DataFrame:
     """Returns over each lookback against the value at the probe itself, and the true distances."""
     found = lookbacks(probes, observations, [key], [probe_id], probe_at, at, [value], horizons)
     now = asof_join(probes, observations, [key], probe_at, at, [value], prefix="current_").select(key, probe_id, f"current_{value}")
     out = now.join(found, [key, probe_id])
     return out.select(
-        key, probe_id, *[F.round(change(f"current_{value}", f"{value}_{h}"), 6).alias(f"return_{h}") for h in horizons], *[F.col(f"actual_seconds_{h}").alias(f"actual_seconds_{h}") for h in horizons]
+        key, probe_id, *[F.round(change(f"current_{value}", f"{value}_{h}"), 6).alias(f"return_{h}") for h in horizons],
+        *[F.col(f"actual_seconds_{h}").alias(f"actual_seconds_{h}") for h in horizons]
     )
 
 
@@ -51,16 +55,20 @@ def rolling_path(observations: DataFrame, key: str, at: str, value: str, span: i
     A return belongs to the path only if both its ends do, so the first one of each path is taken off."""
     order = Window.partitionBy(key).orderBy("_t")
     path = order.rangeBetween(-(span * MICROS - 1), 0)
-    r = observations.withColumn("_t", micros(at)).withColumn("_r", F.when((F.col(value) > 0) & (F.lag(value).over(order) > 0), F.log(F.col(value) / F.lag(value).over(order))))
-    r = r.withColumns({"_sq": F.col("_r") * F.col("_r"), "_ab": F.abs("_r"), "_sg": F.signum("_r"), "_nz": (F.col("_r") != 0).cast("int"), "_one": F.col("_r").isNotNull().cast("int")})
+    r = observations.withColumn("_t", micros(at)).withColumn("_r",
+        F.when((F.col(value) > 0) & (F.lag(value).over(order) > 0), F.log(F.col(value) / F.lag(value).over(order))))
+    r = r.withColumns({"_sq": F.col("_r") * F.col("_r"), "_ab": F.abs("_r"), "_sg": F.signum("_r"), "_nz": (F.col("_r") != 0).cast("int"),
+        "_one": F.col("_r").isNotNull().cast("int")})
     inner = {c: F.coalesce(F.sum(c).over(path), F.lit(0)) - F.coalesce(F.first(c).over(path), F.lit(0)) for c in ("_r", "_sq", "_ab", "_sg", "_nz", "_one")}
-    r = r.withColumns({"n": F.count(F.lit(1)).over(path), "high": F.max(value).over(path), "low": F.min(value).over(path)} | {f"i{c}": e for c, e in inner.items()})
+    r = r.withColumns({"n": F.count(F.lit(1)).over(path), "high": F.max(value).over(path), "low": F.min(value).over(path)} | {f"i{c}": e for c,
+        e in inner.items()})
     n = F.col("i_one")
     variance = F.greatest(F.col("i_sq") / n - (F.col("i_r") / n) * (F.col("i_r") / n), F.lit(0.0))
     rms = F.sqrt(F.greatest(F.col("i_sq"), F.lit(0.0)) / n)
     return r.withColumns(
         {
-            "path_count": F.col("n"), "realized_volatility": F.when(n >= 2, F.sqrt(variance)), "drawdown": change(value, "high"), "recovery": change(value, "low"),
+            "path_count": F.col("n"), "realized_volatility": F.when(n >= 2, F.sqrt(variance)), "drawdown": change(value, "high"),
+            "recovery": change(value, "low"),
             "monotonicity": F.when(F.col("i_nz") > 0, F.abs(F.col("i_sg")) / F.col("i_nz")), "smoothness": F.when((n > 0) & (rms > 0), F.col("i_ab") / n / rms),
         }
     ).drop("_t", "_r", "_sq", "_ab", "_sg", "_nz", "_one", "n", "high", "low", *[f"i{c}" for c in inner])
@@ -78,7 +86,8 @@ class Horizon:
         return self.gap if self.gap is not None else min(max(GAP_SHARE * self.seconds, LEAST_GAP), MOST_GAP)
 
 
-def path_labels(entries: DataFrame, observations: DataFrame, key: str, entry_id: str, entry_at: str, entry_value: str, at: str, value: str, horizon: Horizon, ups: dict[str, float], downs: dict[str, float], dense: bool | None = None) -> DataFrame:
+def path_labels(entries: DataFrame, observations: DataFrame, key: str, entry_id: str, entry_at: str, entry_value: str, at: str, value: str,
+    horizon: Horizon, ups: dict[str, float], downs: dict[str, float], dense: bool | None = None) -> DataFrame:
     """Outcomes over (t, t + horizon + tolerance] of each entry.
 
     path_complete: there is an observation from the horizon's end on, and no gap, the one after the entry
@@ -136,4 +145,5 @@ def assert_no_leak(rows: DataFrame, decided_at: str, *known_at: str) -> DataFram
     late = F.lit(False)
     for k in known_at:
         late = late | F.coalesce(F.col(k) > F.col(decided_at), F.lit(False))
-    return rows.withColumn("_ok", F.when(late, F.raise_error(F.lit("a fact behind its decision was used")).cast("boolean")).otherwise(F.lit(True))).filter("_ok").drop("_ok")
+    return rows.withColumn("_ok", F.when(late,
+        F.raise_error(F.lit("a fact behind its decision was used")).cast("boolean")).otherwise(F.lit(True))).filter("_ok").drop("_ok")

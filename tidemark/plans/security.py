@@ -27,16 +27,19 @@ def holder_metrics(accounts: DataFrame, supplies: DataFrame, by: Sequence[str] =
     have more digits than a decimal holds; they are taken as doubles."""
     owner = F.coalesce("owner_wallet", F.concat(F.lit("unknown-token-account:"), F.col("token_account")))
     balance = F.col("raw_balance").cast("double")
-    held = accounts.groupBy(*by, owner.alias("owner")).agg(F.sum(balance).alias("held"), F.sum(F.when(~F.col("is_known_pool"), balance)).alias("outside"), F.sum(F.when(F.col("is_creator"), balance)).alias("creator"))
+    held = accounts.groupBy(*by, owner.alias("owner")).agg(F.sum(balance).alias("held"),
+        F.sum(F.when(~F.col("is_known_pool"), balance)).alias("outside"), F.sum(F.when(F.col("is_creator"), balance)).alias("creator"))
     ranked = held.withColumn("k", F.row_number().over(Window.partitionBy(*by).orderBy(F.col("held").desc(), "owner")))
     sums = ranked.groupBy(*by).agg(
-        *[F.sum(F.when(F.col("k") <= n, F.col("held"))).alias(f"top{n}") for n in (1, 5, 10, 20)], F.max("outside").alias("outside"), F.sum("creator").alias("creator"), F.sum("held").alias("held"), F.sum(F.col("held") * F.col("held")).alias("squares")
+        *[F.sum(F.when(F.col("k") <= n, F.col("held"))).alias(f"top{n}") for n in (1, 5, 10, 20)], F.max("outside").alias("outside"),
+        F.sum("creator").alias("creator"), F.sum("held").alias("held"), F.sum(F.col("held") * F.col("held")).alias("squares")
     )
     s = supplies.withColumn("supply", F.when(F.col("supply").cast("double") > 0, F.col("supply").cast("double")))
     out = s.join(sums, list(by), "left")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0.0))
     return out.select(
-        *by, *[percent(zero(f"top{n}"), "supply").alias(f"top_{n}_pct") for n in (1, 5, 10, 20)], percent(zero("outside"), "supply").alias("largest_non_pool_holder_pct"),
+        *by, *[percent(zero(f"top{n}"), "supply").alias(f"top_{n}_pct") for n in (1, 5, 10, 20)],
+        percent(zero("outside"), "supply").alias("largest_non_pool_holder_pct"),
         F.when(F.col("creator") > 0, percent("creator", "supply")).alias("creator_holder_pct"), percent(zero("held"), "supply").alias("covered_supply_pct"),
         F.when(F.col("complete"), F.try_divide(zero("squares"), F.col("supply") * F.col("supply"))).alias("hhi"),
     )
@@ -50,23 +53,30 @@ def trader_metrics(trades: DataFrame, by: Sequence[str] = ("token_id",)) -> Data
     known, amount = F.col("wallet").isNotNull(), F.col("notional_usd").cast("double")
     side = lambda s: F.col("side") == s
     counts = trades.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("total_trades"), F.count_if(side("BUY")).alias("buy_trades"), F.count_if(side("SELL")).alias("sell_trades"), F.count_if(known).alias("known"),
-        F.count_if(side("BUY") & ~known).alias("dark_buys"), F.count_if(side("SELL") & ~known).alias("dark_sells"), F.sum(amount).alias("volume_usd"), F.median(amount).alias("median_trade_usd"),
+        F.count(F.lit(1)).alias("total_trades"), F.count_if(side("BUY")).alias("buy_trades"), F.count_if(side("SELL")).alias("sell_trades"),
+        F.count_if(known).alias("known"),
+        F.count_if(side("BUY") & ~known).alias("dark_buys"), F.count_if(side("SELL") & ~known).alias("dark_sells"), F.sum(amount).alias("volume_usd"),
+        F.median(amount).alias("median_trade_usd"),
         F.expr("percentile_disc(0.9) WITHIN GROUP (ORDER BY CAST(notional_usd AS DOUBLE))").alias("p90_trade_usd"),
         F.expr("percentile_disc(0.95) WITHIN GROUP (ORDER BY CAST(notional_usd AS DOUBLE))").alias("p95_trade_usd"), F.max(amount).alias("largest_trade_usd"),
     )
-    wallets = trades.filter(known).groupBy(*by, "wallet").agg(F.count(F.lit(1)).alias("n"), F.sum(amount).alias("v"), F.bool_or(side("BUY")).alias("bought"), F.bool_or(side("SELL")).alias("sold"))
+    wallets = trades.filter(known).groupBy(*by, "wallet").agg(F.count(F.lit(1)).alias("n"), F.sum(amount).alias("v"),
+        F.bool_or(side("BUY")).alias("bought"), F.bool_or(side("SELL")).alias("sold"))
     ranked = wallets.withColumn("k", F.row_number().over(Window.partitionBy(*by).orderBy(F.coalesce("v", F.lit(0.0)).desc(), "wallet")))
     sums = ranked.groupBy(*by).agg(
-        F.count_if("bought").alias("buyers"), F.count_if("sold").alias("sellers"), F.count(F.lit(1)).alias("traders"), F.count_if(F.col("bought") & F.col("sold")).alias("both"), F.sum(F.when(F.col("n") > 1, F.col("n"))).alias("repeated"),
+        F.count_if("bought").alias("buyers"), F.count_if("sold").alias("sellers"), F.count(F.lit(1)).alias("traders"),
+        F.count_if(F.col("bought") & F.col("sold")).alias("both"), F.sum(F.when(F.col("n") > 1, F.col("n"))).alias("repeated"),
         *[F.sum(F.when(F.col("k") <= n, F.col("v"))).alias(f"top{n}") for n in (1, 5, 10)],
     )
     out = counts.join(sums, list(by), "left").fillna(0, ["buyers", "sellers", "traders", "both", "repeated"])
     return out.select(
-        *by, "total_trades", "buy_trades", "sell_trades", F.when(F.col("dark_buys") == 0, F.col("buyers")).alias("unique_buyers"), F.when(F.col("dark_sells") == 0, F.col("sellers")).alias("unique_sellers"),
-        F.when(F.col("known") == F.col("total_trades"), F.col("traders")).alias("unique_traders"), "volume_usd", "median_trade_usd", "p90_trade_usd", "p95_trade_usd", "largest_trade_usd",
+        *by, "total_trades", "buy_trades", "sell_trades", F.when(F.col("dark_buys") == 0, F.col("buyers")).alias("unique_buyers"),
+        F.when(F.col("dark_sells") == 0, F.col("sellers")).alias("unique_sellers"),
+        F.when(F.col("known") == F.col("total_trades"), F.col("traders")).alias("unique_traders"), "volume_usd", "median_trade_usd", "p90_trade_usd",
+        "p95_trade_usd", "largest_trade_usd",
         *[F.when(F.col("volume_usd") > 0, percent(F.coalesce(f"top{n}", F.lit(0.0)), "volume_usd")).alias(f"top_{n}_trader_volume_share") for n in (1, 5, 10)],
-        F.when(F.col("known") > 0, ratio("repeated", "known")).alias("repeat_trader_ratio"), ratio("both", F.col("buyers") + F.col("sellers") - F.col("both")).alias("buy_sell_wallet_overlap"),
+        F.when(F.col("known") > 0, ratio("repeated", "known")).alias("repeat_trader_ratio"),
+        ratio("both", F.col("buyers") + F.col("sellers") - F.col("both")).alias("buy_sell_wallet_overlap"),
     )
 
 
@@ -90,7 +100,8 @@ def bounded_edges(edges: DataFrame, by: Sequence[str], order: str, most_edges: i
     numbered = edges.withColumn("_k", F.row_number().over(w)).withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*by)))
     first = numbered.filter(F.col("_k") <= most_edges)
     wallets = first.select(*by, F.explode(F.array("wallet_a", "wallet_b")).alias("_wallet")).distinct()
-    ranked = wallets.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy("_wallet"))).withColumn("_all", F.count(F.lit(1)).over(Window.partitionBy(*by)))
+    ranked = wallets.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy("_wallet"))).withColumn("_all",
+        F.count(F.lit(1)).over(Window.partitionBy(*by)))
     allowed = ranked.filter(F.col("_r") <= most_wallets)
     out = first
     for side in ("wallet_a", "wallet_b"):
@@ -122,12 +133,15 @@ def recent(facts: DataFrame, probes: DataFrame, by: Sequence[str], at: str, rece
 # Name and version of the security feature set, and features that are taken as they come.
 FEATURE_SET, FEATURE_VERSION = "security_features", "v1"
 GIVEN = {
-    "creator_hold_pct": "double", "creator_prior_collapse_rate": "double", "wallet_cluster_count": "long", "largest_cluster_trade_share": "double", "common_funder_share": "double", "synchronized_trade_score": "double",
-    "liquidity_removal_recent_pct": "double", "liquidity_change_velocity": "double", "creator_transfer_activity": "long", "security_snapshot_age_seconds": "double",
+    "creator_hold_pct": "double", "creator_prior_collapse_rate": "double", "wallet_cluster_count": "long", "largest_cluster_trade_share": "double",
+    "common_funder_share": "double", "synchronized_trade_score": "double",
+    "liquidity_removal_recent_pct": "double", "liquidity_change_velocity": "double", "creator_transfer_activity": "long",
+    "security_snapshot_age_seconds": "double",
 }
 
 
-def security_features(probes: DataFrame, holders: DataFrame, traders: DataFrame, given: Sequence[DataFrame] = (), by: Sequence[str] = ("token_id",), at: str = "generated_at") -> DataFrame:
+def security_features(probes: DataFrame, holders: DataFrame, traders: DataFrame, given: Sequence[DataFrame] = (), by: Sequence[str] = ("token_id",),
+    at: str = "generated_at") -> DataFrame:
     """The security feature row of each probe (by, at, and input_fact_ids, an array of the facts used).
 
     holders and traders are what holder_metrics and trader_metrics return, given are tables of by and
@@ -138,8 +152,10 @@ def security_features(probes: DataFrame, holders: DataFrame, traders: DataFrame,
         out = out.join(table.select(*by, *[c for c in GIVEN if c in table.columns]), list(by), "left")
     have = set(out.columns)
     return out.select(
-        *by, F.lit(FEATURE_SET).alias("feature_set"), F.lit(FEATURE_VERSION).alias("feature_version"), at, F.col("top_10_pct").alias("holder_top10_pct"), F.col("hhi").alias("holder_hhi"),
-        F.col("unique_traders").alias("unique_trader_count"), ratio("total_trades", "unique_traders").alias("trades_per_unique_trader"), F.col("top_10_trader_volume_share").alias("top10_trader_volume_share"),
+        *by, F.lit(FEATURE_SET).alias("feature_set"), F.lit(FEATURE_VERSION).alias("feature_version"), at,
+        F.col("top_10_pct").alias("holder_top10_pct"), F.col("hhi").alias("holder_hhi"),
+        F.col("unique_traders").alias("unique_trader_count"), ratio("total_trades", "unique_traders").alias("trades_per_unique_trader"),
+        F.col("top_10_trader_volume_share").alias("top10_trader_volume_share"),
         F.col("repeat_trader_ratio").alias("repeat_trade_ratio"), *[(F.col(c) if c in have else F.lit(None)).cast(k).alias(c) for c, k in GIVEN.items()],
         F.sha2(F.to_json(F.array_sort("input_fact_ids")), 256).alias("input_sha256"),
     )
@@ -151,7 +167,8 @@ def largest_cluster_share(trades: DataFrame, members: DataFrame, by: Sequence[st
     moved = trades.groupBy(*by, "wallet").agg(F.sum(F.col("notional_usd").cast("double")).alias("v"))
     parts = moved.join(members.select(*by, "wallet", "cluster"), [*by, "wallet"], "left").groupBy(*by, "cluster").agg(F.sum("v").alias("v"))
     clustered = F.col("cluster").isNotNull()
-    return parts.groupBy(*by).agg(F.count_if(clustered).alias("wallet_cluster_count"), percent(F.max(F.when(clustered, F.col("v"))), F.sum("v")).alias("largest_cluster_trade_share"))
+    return parts.groupBy(*by).agg(F.count_if(clustered).alias("wallet_cluster_count"),
+        percent(F.max(F.when(clustered, F.col("v"))), F.sum("v")).alias("largest_cluster_trade_share"))
 
 
 def candidate_decision(current: Column, e: dict[str, Column], policy: dict[str, float]) -> Column:
@@ -168,7 +185,8 @@ def candidate_decision(current: Column, e: dict[str, Column], policy: dict[str,
     deep = sure(e["holder_top10"] >= policy["deep_holder_top10"]) | sure((e["total_trades"] >= policy["deep_trades"]) & (e["unique_traders"] <= policy["deep_traders"]))
     deep = deep | sure(e["common_funder"] >= policy["deep_common_funder"]) | sure(e["liquidity_removal"] >= policy["deep_liquidity_removal"])
     reason = (
-        F.when(sure(e["boosted"]), "BOOST_ACTIVITY").when(sure(e["resurrected"]), "COVERAGE_RESURRECTION").when(market("") & sure(e["lifecycle"] == "WATCH"), "WATCH_STATE").when(market(""), "MARKET_ACTIVITY")
+        F.when(sure(e["boosted"]), "BOOST_ACTIVITY").when(sure(e["resurrected"]),
+        "COVERAGE_RESURRECTION").when(market("") & sure(e["lifecycle"] == "WATCH"), "WATCH_STATE").when(market(""), "MARKET_ACTIVITY")
     )
     second = current.isin("TIER_1", "TIER_2") & market("second_") & sure(e["security_age"] <= policy["security_freshness"])
     tier = lambda t, r: F.struct(F.lit(t).alias("tier"), r.alias("reason"))

@@ -16,7 +16,8 @@ from tidemark.functions.scalar import ratio, seconds_between
 from tidemark.operators.stats import interpolated
 
 PERCENTILES = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
-CAPACITY = ("requested_observations_per_minute", "available_observations_per_minute", "adapted_observations_per_minute", "adapted_requests_per_minute", "degraded_schedule_pct")
+CAPACITY = ("requested_observations_per_minute", "available_observations_per_minute", "adapted_observations_per_minute",
+    "adapted_requests_per_minute", "degraded_schedule_pct")
 
 
 def of_epoch(families: Mapping[str, DataFrame], runs: DataFrame, epoch: str) -> dict[str, DataFrame]:
@@ -42,11 +43,15 @@ def requests(df: DataFrame) -> list[DataFrame]:
     status = F.col("status")
     ms = F.when(F.col("received_at").isNotNull(), seconds_between("requested_at", "received_at") * 1000)
     whole = df.agg(
-        F.count(F.lit(1)).alias("total"), F.count_if(status == 200).alias("http_200"), F.count_if(status == 429).alias("http_429"), F.count_if(status.between(400, 499) & (status != 429)).alias("http_other_4xx"),
-        F.count_if(status >= 500).alias("http_5xx"), F.sum(F.greatest(F.coalesce("attempts", F.lit(1)) - 1, F.lit(0))).alias("retries"), *_percentiles(ms, "latency_ms"),
+        F.count(F.lit(1)).alias("total"), F.count_if(status == 200).alias("http_200"), F.count_if(status == 429).alias("http_429"),
+        F.count_if(status.between(400, 499) & (status != 429)).alias("http_other_4xx"),
+        F.count_if(status >= 500).alias("http_5xx"), F.sum(F.greatest(F.coalesce("attempts", F.lit(1)) - 1, F.lit(0))).alias("retries"),
+        *_percentiles(ms, "latency_ms"),
     )
-    busiest = df.groupBy(F.date_trunc("minute", "requested_at").alias("minute")).agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.max("n"), F.lit(0)).alias("peak_per_minute"))
-    return [_figures("requests", whole), _figures("requests", busiest), _figures("request_outcomes", df.groupBy(F.col("outcome").alias("name")).agg(F.count(F.lit(1)).alias("requests")))]
+    busiest = df.groupBy(F.date_trunc("minute", "requested_at").alias("minute")).agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.max("n"),
+        F.lit(0)).alias("peak_per_minute"))
+    return [_figures("requests", whole), _figures("requests", busiest),
+        _figures("request_outcomes", df.groupBy(F.col("outcome").alias("name")).agg(F.count(F.lit(1)).alias("requests")))]
 
 
 def lifecycle(df: DataFrame) -> list[DataFrame]:
@@ -54,8 +59,10 @@ def lifecycle(df: DataFrame) -> list[DataFrame]:
 
     The time is up to the token's next change in the window; a state it is still in has none yet."""
     changes = df.groupBy(F.concat_ws(">", F.coalesce("previous_state", F.lit("")), "new_state").alias("name")).agg(F.count(F.lit(1)).alias("changes"))
-    stay = df.withColumn("s", seconds_between("decided_at", F.lead("decided_at").over(Window.partitionBy("token_id").orderBy("decided_at", "id")))).filter("s IS NOT NULL")
-    return [_figures("lifecycle_changes", changes), _figures("lifecycle_residence", stay.groupBy(F.col("new_state").alias("name")).agg(interpolated("s", 0.5).alias("median_seconds")))]
+    stay = df.withColumn("s", seconds_between("decided_at",
+        F.lead("decided_at").over(Window.partitionBy("token_id").orderBy("decided_at", "id")))).filter("s IS NOT NULL")
+    return [_figures("lifecycle_changes", changes),
+        _figures("lifecycle_residence", stay.groupBy(F.col("new_state").alias("name")).agg(interpolated("s", 0.5).alias("median_seconds")))]
 
 
 def observations(df: DataFrame) -> list[DataFrame]:
@@ -63,7 +70,8 @@ def observations(df: DataFrame) -> list[DataFrame]:
     pairs = df.groupBy("token_id", "pair_id").agg(F.count(F.lit(1)).alias("n"))
     tokens = pairs.groupBy("token_id").agg(F.sum("n").alias("n"), F.count("pair_id").alias("pairs"))
     return [_figures("observations", tokens.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("tokens"), interpolated("n", 0.5).alias("per_token_p50"), interpolated("n", 0.95).alias("per_token_p95"), F.count_if(F.col("pairs") > 1).alias("multi_pair_tokens")
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("tokens"), interpolated("n", 0.5).alias("per_token_p50"),
+        interpolated("n", 0.95).alias("per_token_p95"), F.count_if(F.col("pairs") > 1).alias("multi_pair_tokens")
     ))]
 
 
@@ -71,13 +79,15 @@ def lateness(df: DataFrame) -> list[DataFrame]:
     """Claims: lifecycle_state, claim_lateness_ms, target_interval_seconds, effective_interval_seconds."""
     late = F.col("effective_interval_seconds") > F.col("target_interval_seconds")
     return [_figures("claims", df.groupBy(F.col("lifecycle_state").alias("name")).agg(
-        F.count(F.lit(1)).alias("claims"), *_percentiles("claim_lateness_ms", "ms"), F.max("claim_lateness_ms").alias("max_ms"), F.avg("target_interval_seconds").alias("target_interval_seconds"),
+        F.count(F.lit(1)).alias("claims"), *_percentiles("claim_lateness_ms", "ms"), F.max("claim_lateness_ms").alias("max_ms"),
+        F.avg("target_interval_seconds").alias("target_interval_seconds"),
         F.avg("effective_interval_seconds").alias("effective_interval_seconds"), (ratio(F.count_if(late), F.count(F.lit(1))) * 100).alias("degraded_pct"),
     ))]
 
 
 def capacity(df: DataFrame) -> list[DataFrame]:
-    return [_figures("capacity", df.groupBy(F.col("capacity_mode").alias("name")).agg(F.count(F.lit(1)).alias("samples"), *[F.avg(c).alias(c) for c in CAPACITY if c in df.columns]))]
+    return [_figures("capacity", df.groupBy(F.col("capacity_mode").alias("name")).agg(F.count(F.lit(1)).alias("samples"),
+        *[F.avg(c).alias(c) for c in CAPACITY if c in df.columns]))]
 
 
 def connectivity(df: DataFrame, start: Column, end: Column) -> list[DataFrame]:
@@ -92,7 +102,8 @@ def storage(samples: DataFrame, relations: DataFrame | None) -> list[DataFrame]:
     """samples: sample_id, sampled_at, database_bytes. relations: sample_id, relation_family, total_bytes; growth by family between the
     window's first and last sample."""
     size = F.col("database_bytes")
-    out = [_figures("storage", samples.agg(F.min(size).alias("first_bytes"), F.max(size).alias("last_bytes"), (F.max(size) - F.min(size)).alias("growth_bytes")))]
+    out = [_figures("storage", samples.agg(F.min(size).alias("first_bytes"), F.max(size).alias("last_bytes"),
+        (F.max(size) - F.min(size)).alias("growth_bytes")))]
     if relations is not None:
         ends = samples.agg(F.min_by("sample_id", "sampled_at").alias("first"), F.max_by("sample_id", "sampled_at").alias("last"))  # one row
         signed = relations.join(F.broadcast(ends), F.col("sample_id").isin(F.col("first"), F.col("last")))
@@ -111,13 +122,16 @@ def summary(families: Mapping[str, DataFrame], end_at: str, hours: int = 24) ->
     connectivity, storage_samples, storage_relations, discoveries, runs. The window is [end - hours, end)."""
     end = F.lit(end_at).cast("timestamp_ntz")
     start = end - F.expr(f"INTERVAL {hours} HOUR")
-    times = {"requests": "requested_at", "lifecycle": "decided_at", "observations": "received_at", "batch_members": "claimed_at", "capacity_decisions": "decided_at", "connectivity": "observed_at", "storage_samples": "sampled_at", "discoveries": "received_at"}
+    times = {"requests": "requested_at", "lifecycle": "decided_at", "observations": "received_at", "batch_members": "claimed_at",
+        "capacity_decisions": "decided_at", "connectivity": "observed_at", "storage_samples": "sampled_at", "discoveries": "received_at"}
     f = {n: df.filter((F.col(times[n]) >= start) & (F.col(times[n]) < end)) if n in times else df for n, df in families.items()}
     sections = {
-        "requests": requests, "lifecycle": lifecycle, "observations": observations, "batch_members": lateness, "capacity_decisions": capacity, "connectivity": lambda df: connectivity(df, start, end),
+        "requests": requests, "lifecycle": lifecycle, "observations": observations, "batch_members": lateness, "capacity_decisions": capacity,
+        "connectivity": lambda df: connectivity(df, start, end),
         "storage_samples": lambda df: storage(df, f.get("storage_relations")), "schedules": lambda df: unclaimed(df, f["batch_members"]),
         "discoveries": lambda df: [_figures("discoveries", df.agg(F.count_distinct("token_id").alias("tokens")))],
-        "runs": lambda df: [_figures("runs", df.filter((F.col("collection_started_at") < end) & (F.coalesce("finished_at", end) >= start)).agg(F.count(F.lit(1)).alias("starts")))],
+        "runs": lambda df: [_figures("runs",
+        df.filter((F.col("collection_started_at") < end) & (F.coalesce("finished_at", end) >= start)).agg(F.count(F.lit(1)).alias("starts")))],
     }
     parts = [p for n, section in sections.items() if n in f for p in section(f[n])]
     return reduce(DataFrame.unionByName, parts)

@@ -54,8 +54,10 @@ def family_facts(df: DataFrame, at: str, key: Sequence[str]) -> DataFrame:
     nulls = [F.struct(F.lit(c).alias("column"), F.count_if(F.col(f"`{c}`").isNull()).alias("n")) for c in df.columns]
     keys = F.struct(*key)
     each = df.groupBy(F.date_format(at, "yyyy-MM-dd").alias("day")).agg(
-        F.count(F.lit(1)).alias("rows"), total(key, 0).alias("digest"), F.array(total(df.columns, 1), total(df.columns, 2)).alias("content"), F.array(*nulls).alias("nulls"),
-        F.to_json(F.min(keys)).alias("lowest"), F.to_json(F.max(keys)).alias("highest"), F.min(at).cast("string").alias("first"), F.max(at).cast("string").alias("last"),
+        F.count(F.lit(1)).alias("rows"), total(key, 0).alias("digest"), F.array(total(df.columns, 1), total(df.columns, 2)).alias("content"),
+        F.array(*nulls).alias("nulls"),
+        F.to_json(F.min(keys)).alias("lowest"), F.to_json(F.max(keys)).alias("highest"), F.min(at).cast("string").alias("first"),
+        F.max(at).cast("string").alias("last"),
     )
     return each.withColumn("nulls", F.map_from_entries(F.filter("nulls", lambda x: x["n"] > 0)))
 

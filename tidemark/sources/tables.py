@@ -52,14 +52,16 @@ def hot_cold(cold: DataFrame, hot: DataFrame, at: str, hot_from: str, key: str |
     With a key, each fact comes once, and evaluating the union raises if any two rows of a key, on whichever
     side of the cutoff, have different content."""
     if key is None:
-        return time_range(cold, at, None, hot_from).withColumn("side", F.lit("cold")).unionByName(time_range(hot, at, hot_from).withColumn("side", F.lit("hot")), allowMissingColumns=True)
+        return time_range(cold, at, None, hot_from).withColumn("side",
+            F.lit("cold")).unionByName(time_range(hot, at, hot_from).withColumn("side", F.lit("hot")), allowMissingColumns=True)
     kind = dict(cold.dtypes)[at]
     early = F.col(at) < F.lit(hot_from).cast(kind)
     both = cold.withColumn("_own", early).unionByName(hot.withColumn("_own", ~early), allowMissingColumns=True)
     columns = [c for c in both.columns if c != "_own"]
     rest = [c for c in columns if c != key]
     owned = both.groupBy(key).agg(F.bool_or("_own").alias("_own")).filter("_own").select(key)
-    return unanimous(both, [key], rest, "hot and cold facts have conflicting content").join(owned, key, "left_semi").select(*columns, F.when(early, "cold").otherwise("hot").alias("side"))
+    return unanimous(both, [key], rest, "hot and cold facts have conflicting content").join(owned, key, "left_semi").select(*columns,
+        F.when(early, "cold").otherwise("hot").alias("side"))
 
 
 def epoch_validity(*parts: DataFrame) -> DataFrame:
@@ -95,8 +97,10 @@ def verified_append(stored: DataFrame, batch: DataFrame, key: Sequence[str]) ->
     rest = [c for c in stored.columns if c not in key]
     digest = lambda df: df.select(*key, *rest, _content(rest).alias("_content"))
     both = digest(stored).withColumn("_held", F.lit(1)).unionByName(digest(batch).withColumn("_held", F.lit(0)))
-    keyed = both.groupBy(*key).agg(F.max("_held").alias("_held"), F.min("_content").alias("_low"), F.max("_content").alias("_high"), F.first(F.struct(*rest)).alias("_row"))
-    same = F.when(F.col("_low") == F.col("_high"), F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("other content under a known key: "), F.to_json(F.struct(*key)))).cast("boolean"))
+    keyed = both.groupBy(*key).agg(F.max("_held").alias("_held"), F.min("_content").alias("_low"), F.max("_content").alias("_high"),
+        F.first(F.struct(*rest)).alias("_row"))
+    same = F.when(F.col("_low") == F.col("_high"),
+        F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("other content under a known key: "), F.to_json(F.struct(*key)))).cast("boolean"))
     return keyed.filter(same).filter("_held = 0").select(*key, "_row.*")
 
 

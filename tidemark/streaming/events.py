@@ -42,7 +42,8 @@ def event_stream(spark: SparkSession, path: str, files_per_batch: int = 1) -> Da
     return source.parquet(path)
 
 
-def append_once(stream: DataFrame, target: str, key: list[str], valid: F.Column, checkpoint: str, now: bool = True, day: F.Column | None = None) -> StreamingQuery:
+def append_once(stream: DataFrame, target: str, key: list[str], valid: F.Column, checkpoint: str, now: bool = True,
+    day: F.Column | None = None) -> StreamingQuery:
     """Append each key once to target/facts; repeats go to target/conflicts, invalid rows to target/rejected.
 
     A batch that is replayed after a failure overwrites what it wrote before, so every fact is there once. day: a column that
@@ -86,7 +87,8 @@ def deduplicated_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
 def closed_buckets(stream: DataFrame, at: str, width: str, delay: str = "0 seconds") -> DataFrame:
     """Counts and totals of tumbling buckets. In append mode a bucket comes out once the watermark passed its end."""
     timed = stream.withColumn("_at", F.col(at).cast("timestamp")).withWatermark("_at", delay)
-    return timed.groupBy(F.window("_at", width).alias("w")).agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total")).select(F.col("w.start").alias("bucket_start"), "n", "total")
+    return timed.groupBy(F.window("_at", width).alias("w")).agg(F.count(F.lit(1)).alias("n"),
+        F.sum("value").alias("total")).select(F.col("w.start").alias("bucket_start"), "n", "total")
 
 
 def ordered_stream(spark: SparkSession, sf_dir: str, files: int = 8, flush: bool = False) -> DataFrame:
@@ -130,9 +132,11 @@ def keyed_state(stream: DataFrame, key: str, at: str, identity: str, value: str,
         state.update((now, changes))
         yield pd.DataFrame({"key": [k[0]], "state": [now], "changes": [changes]})
 
-    rows = stream.select(F.col(key).alias("key"), F.col(at).cast("timestamp").alias("t"), F.col(identity).alias("id"), F.col(value).cast("double").alias("value"))
+    rows = stream.select(F.col(key).alias("key"), F.col(at).cast("timestamp").alias("t"), F.col(identity).alias("id"),
+        F.col(value).cast("double").alias("value"))
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.groupBy("key").applyInPandasWithState(fold, f"key {kind}, state string, changes long", "state string, changes long", "update", GroupStateTimeout.NoTimeout)
+    return rows.groupBy("key").applyInPandasWithState(fold, f"key {kind}, state string, changes long", "state string, changes long", "update",
+        GroupStateTimeout.NoTimeout)
 
 
 def expiring_spans(stream: DataFrame, key: str, at: str, value: str, least: float, ttl_seconds: int, delay: str = "0 seconds") -> DataFrame:
@@ -158,6 +162,8 @@ def expiring_spans(stream: DataFrame, key: str, at: str, value: str, least: floa
             state.setTimeoutTimestamp(max(last + ttl, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame(closed, columns=["key", "started", "ended", "renewals"])
 
-    rows = stream.select(F.col(key).alias("key"), F.col(at).cast("timestamp").alias("t"), F.col(value).cast("double").alias("value")).withWatermark("t", delay).filter(F.col("value") >= least)
+    rows = stream.select(F.col(key).alias("key"), F.col(at).cast("timestamp").alias("t"),
+        F.col(value).cast("double").alias("value")).withWatermark("t", delay).filter(F.col("value") >= least)
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.groupBy("key").applyInPandasWithState(fold, f"key {kind}, started double, ended double, renewals long", "started long, last long, renewals long", "append", GroupStateTimeout.EventTimeTimeout)
+    return rows.groupBy("key").applyInPandasWithState(fold, f"key {kind}, started double, ended double, renewals long",
+        "started long, last long, renewals long", "append", GroupStateTimeout.EventTimeTimeout)
