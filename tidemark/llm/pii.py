@@ -120,7 +120,7 @@ def _letters_as_digits(m: re.Match[str]) -> str:
 def _may_be_disguised(text: str) -> bool:
     """Whether the text may have a token that shows a span; cheap tests for its letters come before patterns.
     A spelled digit does so only beside a numeral or another spelled one."""
-    low = text.lower() if text.isascii() else text.translate(_CASES).lower()
+    low = text.translate(_CASES).lower() if any(c in text for c in "ſıİ") else text.lower()
     return bool(
         " @" in low or "@ " in low
         or (("dot" in low or "plus" in low) and _BARE.search(low))
