@@ -189,8 +189,7 @@ l AS (
     len(regexp_extract_all(raw, '[^\\x20\\x09-\\x0D]+')) AS n FROM (SELECT doc_id, source, unnest(ls) AS raw FROM d)),
 u AS (SELECT doc_id, count(*) - count(DISTINCT raw) AS n_dup_lines FROM l WHERE n > 0 GROUP BY 1),
 f AS (
-  SELECT coalesce('=' || source, '') AS host, line FROM l JOIN (SELECT coalesce('=' || source, '') AS k, count(*) AS docs FROM d GROUP BY 1) ON k = coalesce('=' || source, '') WHERE n > 0
-  GROUP BY 1, 2, docs HAVING count(DISTINCT doc_id) >= 20 AND count(DISTINCT doc_id) > 0.02 * docs),
+  SELECT coalesce('=' || source, '') AS host, line FROM l WHERE n > 0 GROUP BY 1, 2 HAVING count(DISTINCT doc_id) >= 20),
 x AS (SELECT doc_id, sum(n) AS removed FROM l JOIN f ON f.host = coalesce('=' || source, '') AND f.line = l.line WHERE n > 0 GROUP BY 1),
 a AS (
   SELECT d.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,

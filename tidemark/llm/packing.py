@@ -119,7 +119,8 @@ def pack(docs: DataFrame, tokenizer: str, text: str = "text", key: str = "doc_id
     Every document ends with the id `end`, so a null or empty text is that one
     id. Sequences are filled from offset 0 without gaps to at most `capacity`;
     what is left is padding. Rows that repeat a key are packed like any others.
-    An empty table gives no rows. Other columns of docs are not carried.
+    An empty table gives no rows. Other columns of docs are not carried. Texts of
+    any length are taken whole, runs of millions of blanks too.
     """
     spark = docs.sparkSession
     pieces = token_pieces(docs, tokenizer, text, key, capacity, end)

@@ -136,11 +136,12 @@ def _featurise(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train_quality_model(docs: DataFrame, ratings: DataFrame, levels: int, text: str = "text", grade: str = "grade", key: str = "doc_id", per_grade: int = SAMPLE_PER_GRADE) -> OrdinalModel:
     """Fit on about per_grade rated documents of each grade. The ratings (key, grade) are
     sampled first; their texts come by a join with that bounded sample. Ratings without a key or
-    with a grade outside 0 .. levels - 1 are not learned from; a null text is an empty one."""
+    with a grade outside 0 .. levels - 1 are not learned from; a null text is an empty one. Where a key
+    repeats, each of its documents is learned from once for each of its ratings."""
     rated = ratings.select(F.col(key).alias("_key"), F.col(grade).cast("int").alias("grade")).filter(F.col("_key").isNotNull() & F.col("grade").between(0, levels - 1))
     chosen = bounded_sample(rated, "grade", "_key", per_grade)
     rows = docs.select(F.col(key), F.col(text).alias("text")).join(F.broadcast(chosen), F.col(key) == F.col("_key")).select("grade", "text")
-    got = rows.mapInArrow(_featurise, "grade int, places binary, values binary").collect()
+    got = text_batches(rows).mapInArrow(_featurise, "grade int, places binary, values binary").collect()
     got = sorted((r["grade"], bytes(r["places"]), bytes(r["values"])) for r in got)
     return fit_ordinal([(np.frombuffer(p, dtype="<i4"), np.frombuffer(v, dtype="<f4")) for _, p, v in got], [g for g, _, _ in got], levels)
 

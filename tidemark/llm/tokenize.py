@@ -2,8 +2,9 @@
 
 The vocabulary is read from that file. Texts of plain characters, on whose
 classes all regular expression engines agree, are encoded by a faster engine
-with the same vocabulary; any other text, and any that holds the string of an added
-token, goes to the library itself. Tests hold
+with the same vocabulary; any other text, any that holds the string of an added
+token, and any that the faster engine gives up on (a run of some million blanks is more
+than its regular expressions can go back over) goes to the library itself. Tests hold
 the two against each other.
 """
 
@@ -54,9 +55,12 @@ class Encoder:
         return held["encoder", path]
 
     def encode_one(self, text: str) -> bytes:
-        if self.slow.search(text):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
+        if not self.slow.search(text):
+            try:
+                return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
+            except ValueError:
+                pass
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return [self.encode_one(t) for t in texts]
