@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .alignment import align_tokenizers
 from .dedup_exact import exact_dedup
 from .language import identify_language, train_language_model
 from .line_dedup import line_dedup
@@ -198,3 +199,10 @@ a AS (
 SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_words - removed_words >= 0.4 * n_words AS kept FROM a
 """
+
+
+@query
+def op13_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return align_tokenizers(documents(spark, sf_dir), tokenizer_file(), public_tokenizers.path("piece_bpe_32k.model"))

@@ -20,10 +20,11 @@ import numpy as np
 
 #: Fixed value: how this kind of tokenizer cuts a text before merging.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_UNUSUAL = re.compile(r"[^\t\n\r\x20-\x7e\xa1-ɏ]")
+#: Anything but plain Latin characters.
+UNUSUAL = re.compile(r"[^\t\n\r\x20-\x7e\xa1-ɏ]")
 
 
-def _printable_bytes() -> dict[str, int]:
+def printable_bytes() -> dict[str, int]:
     """The characters that stand for bytes in the file: printable Latin-1 for itself, the rest from U+0100 on."""
     own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
     rest = [b for b in range(256) if b not in own]
@@ -41,9 +42,9 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        byte, special = _printable_bytes(), {x["content"] for x in spec["added_tokens"]}
+        byte, special = printable_bytes(), {x["content"] for x in spec["added_tokens"]}
         ranks = {bytes(byte[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
-        self.slow = re.compile("|".join([_UNUSUAL.pattern, *map(re.escape, sorted(special))]))
+        self.slow = re.compile("|".join([UNUSUAL.pattern, *map(re.escape, sorted(special))]))
         self.fast = tiktoken.Encoding("plain", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     @classmethod
