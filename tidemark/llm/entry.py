@@ -18,6 +18,7 @@ from .pii import KINDS, detect_pii, joined
 from .quality_model import grade_quality, toxicity_aware_grade, train_quality_model
 from .quality_rules import quality_rules
 from .sharding import shard_documents
+from .whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -201,6 +202,11 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
 """
 
 
+@query
+def op11_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 @query
 def op13_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
