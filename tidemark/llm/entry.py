@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .alignment import align_tokenizers
 from .dedup_exact import exact_dedup
 from .language import identify_language, train_language_model
+from .language_model import score_texts, train_language_model as train_maxent
 from .line_dedup import line_dedup
 from .mixing import mixing_plan
 from .near_dedup import near_duplicates
@@ -207,6 +208,14 @@ def op11_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+@query
+def op12_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
+    scored = score_texts(docs, train_maxent(docs, F.col("doc_id").isNotNull() & ~held))
+    return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op13_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
