@@ -171,8 +171,9 @@ class Aligner:
     def ids_a(self, text: str) -> list[int]:
         if not UNUSUAL.search(text):
             try:
-                return self.fast.encode_ordinary(text)
-            except ValueError:  # a run of some million blanks
+                # For long texts the way that raises what can be caught where a run of some million blanks is too much.
+                return self.fast.encode_ordinary(text) if len(text) <= KEPT_CHARS else self.fast.encode(text, disallowed_special=())
+            except ValueError:
                 pass
         return self.library.encode(text, add_special_tokens=False).ids
 
