@@ -38,7 +38,7 @@ PERCENT = 75
 BINS, ROWS = 512, 7
 BANDS = BINS // ROWS
 #: Bits of an odd sketch, and by how many standard deviations it must miss for a pair to be passed over.
-SKETCH_BITS, DEVIATIONS = 2048, 6
+SKETCH_BITS, DEVIATIONS = 4096, 6
 _BITS = 9
 _PROBES = np.random.Generator(np.random.PCG64(77)).integers(0, BINS, (4096, BINS), dtype=np.int16)
 _BAND = mix(np.arange(1, BANDS + 1, dtype=np.uint64))
