@@ -8,7 +8,7 @@ is hashed to a row of weights, and a softmax goes over the sums of the rows.
 
 Word counts come from all texts learned from. Weights are learned in rounds: in each, every task
 starts from the same weights, goes once through its part of the round's texts in small gradient steps, and sends the rows that it has changed.
-These are averaged, a row by how often each task has met it, and make the weights of the next round.
+What has changed in them is averaged, a row by how often each task has met it, and makes the weights of the next round.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ ROWS, PLAIN = 1 << 16, 3 * (BINS + 1)
 #: Words in the table that every task gets, and its slots; all other words are joined.
 TABLE, SLOTS = 1 << 18, 1 << 20
 #: Passes over disjoint parts of the texts, tokens in a gradient step, its size, and tasks that train at once at most.
-ROUNDS, STEP_TOKENS, RATE, TASKS = 3, 8192, 0.2, 4096
+ROUNDS, STEP_TOKENS, RATE, TASKS = 2, 8192, 0.2, 4096
 #: Rows of weights that are averaged in one group.
 CHUNK = 512
 #: Distinct words gathered in a task before they are handed on.
@@ -192,7 +192,7 @@ class Learner:
     """Weights of one level in one task, with the squares of its gradients and how often each row has been met."""
 
     def __init__(self, weights: np.ndarray, squares: np.ndarray):
-        self.start, self.weights, self.squares = weights, weights.copy(), squares.copy()
+        self.start, self.before, self.weights, self.squares = weights, squares, weights.copy(), squares.copy()
         self.met = np.zeros(ROWS, dtype=np.float32)
 
     def learn(self, rows: list[np.ndarray], truth: np.ndarray) -> None:
@@ -211,24 +211,25 @@ class Learner:
             self.weights[at] -= (RATE / np.sqrt(self.squares[at]))[:, None] * slope
 
     def changed(self, level: int, part: int) -> Iterator[tuple[int, int, bytes, bytes, bytes, bytes]]:
-        """(chunk, part, rows, their weights, squares and how often they were met) for each chunk with a row that has been met."""
+        """(chunk, part, rows, how their weights and the roots of their squares changed, in half precision, and how often they were met) for each chunk
+        with a row that has been met."""
         rows = np.flatnonzero(self.met)
         for own in np.split(rows, np.flatnonzero(np.diff(rows // CHUNK)) + 1):
             if len(own):
-                yield level * (ROWS // CHUNK) + int(own[0]) // CHUNK, part, own.astype("<i4").tobytes(), self.weights[own].astype("<f4").tobytes(), self.squares[own].astype("<f4").tobytes(), self.met[own].tobytes()
+                yield level * (ROWS // CHUNK) + int(own[0]) // CHUNK, part, own.astype("<i4").tobytes(), (self.weights[own] - self.start[own]).astype("<f2").tobytes(), (np.sqrt(self.squares[own]) - np.sqrt(self.before[own])).astype("<f2").tobytes(), self.met[own].tobytes()
 
 
 CHANGED = "chunk long, part long, rows binary, weights binary, squares binary, met binary"
 
 
 def averaged(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The tasks' rows of one chunk as one row: weights as averages by how often a task has met them, squares likewise, met as sums."""
+    """The tasks' rows of one chunk as one row: changes as averages by how often a task has met the row, met as sums."""
     pdf = pdf.sort_values("part")  # so that sums don't depend on the order of arrival
     total = {k: np.zeros((CHUNK, w)) for k, w in (("weights", SIDE), ("squares", 1), ("met", 1))}
     for r in pdf.itertuples():
         at, met = np.frombuffer(r.rows, dtype="<i4") % CHUNK, np.frombuffer(r.met, dtype="<f4")[:, None]
-        total["weights"][at] += np.frombuffer(r.weights, dtype="<f4").reshape(-1, SIDE) * met
-        total["squares"][at] += np.frombuffer(r.squares, dtype="<f4")[:, None] * met
+        total["weights"][at] += np.frombuffer(r.weights, dtype="<f2").reshape(-1, SIDE) * met.astype(float)
+        total["squares"][at] += np.frombuffer(r.squares, dtype="<f2")[:, None] * met.astype(float)
         total["met"][at] += met
     own = np.flatnonzero(total["met"][:, 0])
     met = total["met"][own]
@@ -271,15 +272,15 @@ def train_language_model(docs: DataFrame, learn: Column, text: str = "text", key
                 for row in level.changed(k, part):
                     yield pa.RecordBatch.from_pydict(dict(zip([x.split()[0] for x in CHANGED.split(", ")], ([v] for v in row), strict=True)))
 
-        tasks = min(TASKS, 2 * spark.sparkContext.defaultParallelism)
+        tasks = min(TASKS, spark.sparkContext.defaultParallelism)
         each = text_batches(texts.filter(F.col("round") == turn).select("text").coalesce(tasks)).mapInArrow(learned, CHANGED)
         got = each.groupBy("chunk").applyInPandas(averaged, CHANGED).select("rows", "weights", "squares").collect()  # 2 * ROWS rows of weights at most
         weights, squares = [w.copy() for w in weights], [s.copy() for s in squares]
         for r in got:
             at = np.frombuffer(r["rows"], dtype="<i4")
             level, at = int(at[0]) // ROWS, at % ROWS
-            weights[level][at] = np.frombuffer(r["weights"], dtype="<f4").reshape(-1, SIDE)
-            squares[level][at] = np.frombuffer(r["squares"], dtype="<f4")
+            weights[level][at] += np.frombuffer(r["weights"], dtype="<f4").reshape(-1, SIDE)
+            squares[level][at] = (np.sqrt(squares[level][at]) + np.frombuffer(r["squares"], dtype="<f4")) ** 2
         state.destroy()
     return LanguageModel(counts, words, (weights[0], weights[1]))
 
