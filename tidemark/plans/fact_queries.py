@@ -17,7 +17,7 @@ from tidemark.operators import asof
 from tidemark.operators.joins import in_any
 from tidemark.plans import cold, context, dataset, policies, report, security
 from tidemark.plans.queries import QUERIES, SQL, Tables, query
-from tidemark.sources import archive, tables
+from tidemark.sources import archive, integrity, merkle, tables, zones
 from tidemark.streaming import events as streams
 from tidemark.work import work_folder
 
@@ -830,3 +830,68 @@ def q112_component_status(spark, sf_dir):
         F.col("event_type").alias("component"), F.col("ts").alias("at"), F.when(v > 120, "FAILED").when(v < 5, "STOPPED").otherwise("RUNNING").alias("state")
     )
     return report.component_status(beats, "2024-01-15 00:00:00", 600).select("component", "status")
+
+
+@query("""
+SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n, round(sum(value), 4) AS total, true AS opened_few_files FROM events
+WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-13' AND user_id IN (SELECT o_custkey FROM orders WHERE o_orderkey % 50 = 1) GROUP BY 1, 2
+""")
+def q113_pruned_range(spark, sf_dir):
+    """A range of days and a set of users, answered from the files of an archive that the zone map leaves."""
+    t, root = Tables(spark, sf_dir), _folder(spark, "zoned")
+    entry = archive.export_family(t.events, root, "events", "ts", ["event_id"], max_rows=5_000)
+    zones.write_zones(spark, root, entry, ["user_id"])
+    archive.publish(spark, root, [entry])
+    (entry,) = archive.read_manifest(spark, root)["entries"]
+    users = t.orders.filter("o_orderkey % 50 = 1").select(F.col("o_custkey").cast("long").alias("user_id"))
+    held = zones.open_range(spark, root, entry, "2024-01-10", "2024-01-13", users)
+    few = len([f for f in held.inputFiles() if "family=events" in f]) <= len(entry["files"]) / 5
+    return held.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"),
+        F.lit(few).alias("opened_few_files"))
+
+
+#: Which family must name a row of which other.
+REFERENCES = [
+    integrity.Reference("observations_missing_pair", "observations", "pair_id", "pairs"), integrity.Reference("pairs_missing_token", "pairs", "token_id", "tokens"),
+    integrity.Reference("lifecycle_missing_token", "lifecycle_events", "token_id", "tokens"), integrity.Reference("pair_facts_missing_pair", "pair_fact_events", "pair_id", "pairs"),
+    integrity.Reference("boosts_missing_token", "boosts", "token_id", "tokens"), integrity.Reference("metadata_missing_token", "token_metadata_events", "token_id", "tokens"),
+    integrity.Reference("security_missing_token", "security", "token_id", "tokens"),
+]
+
+
+@query("""
+WITH o AS (SELECT l_orderkey::VARCHAR AS key, count(*) AS rows FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 7 <> 3) GROUP BY 1)
+SELECT 'lines_missing_order' AS rule, key, rows FROM o
+UNION ALL SELECT 'orders_missing_customer', o_custkey::VARCHAR, count(*) FROM orders WHERE o_orderkey % 7 <> 3 AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 5 <> 2) GROUP BY 2
+UNION ALL SELECT 'customers_missing_nation', c_nationkey::VARCHAR, count(*) FROM customer WHERE c_custkey % 5 <> 2 AND c_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_nationkey <> 4) GROUP BY 2
+""")
+def q114_references(spark, sf_dir):
+    """Rows whose parent is not there, for three rules in one pass."""
+    t = Tables(spark, sf_dir)
+    families = {"lines": t.lineitem, "orders": t.orders.filter("o_orderkey % 7 <> 3"), "customers": t.customer.filter("c_custkey % 5 <> 2"), "nations": t.nation.filter("n_nationkey <> 4")}
+    rules = [integrity.Reference("lines_missing_order", "lines", "l_orderkey", "orders", "o_orderkey"), integrity.Reference("orders_missing_customer", "orders", "o_custkey", "customers", "c_custkey"),
+        integrity.Reference("customers_missing_nation", "customers", "c_nationkey", "nations", "n_nationkey")]
+    return integrity.missing_references(families, rules)
+
+
+@query("""
+SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS in_source, count(*) FILTER (WHERE event_id % 1000 <> 7) AS in_archive, 'events' AS family FROM events GROUP BY 1
+HAVING count(*) <> count(*) FILTER (WHERE event_id % 1000 <> 7)
+""")
+def q115_reconciled_counts(spark, sf_dir):
+    """Days of which an archive lacks rows of its source."""
+    e = Tables(spark, sf_dir).events
+    root = _folder(spark, "short")
+    entry = archive.export_family(e.filter("event_id % 1000 <> 7"), root, "events", "ts", ["event_id"])
+    return integrity.counts_that_differ({"events": e}, {"events": archive.open_family(spark, root, entry)}, {"events": "ts"})
+
+
+@query("""
+WITH r AS (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS place, o_orderkey FROM orders)
+SELECT place // 512 * 512 AS first_row, place // 512 * 512 + 512 AS rows_until FROM r WHERE o_orderkey >= 2000 ORDER BY place LIMIT 1
+""")
+def q116_first_difference(spark, sf_dir):
+    """Where two copies of a table, cut differently, begin to differ, from their Merkle trees."""
+    o = Tables(spark, sf_dir).orders
+    later = o.withColumn("o_totalprice", F.when(F.col("o_orderkey") >= 2000, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    return merkle.first_difference(merkle.content_tree(o, "o_orderkey"), merkle.content_tree(later.repartition(5), "o_orderkey"))
