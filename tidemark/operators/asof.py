@@ -8,12 +8,12 @@ number of probes, where a join on inequalities would compare all pairs of a key.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import MICROS, micros
+from tidemark.operators.cuts import every_chunk, hot_cuts, same, with_chunks
 
 _FACT, _PROBE = 0, 1
 
@@ -27,29 +27,33 @@ def _timeline(probes: DataFrame, facts: DataFrame, by: Sequence[str], probe_at:
 def _carried(line: DataFrame, by: Sequence[str], order: Sequence[Column], forward: bool, split_seconds: int | None, largest: bool = False) -> DataFrame:
     """Probes with the last fact before them (largest: with the largest).
 
-    With split_seconds by chunks of time: one fact is kept of each chunk, what it hands on is found
-    among those few, and rows are only sorted within their chunk."""
+    The time line of a hot key is cut into chunks (with split_seconds that of every key, at equal lengths). Rows are sorted within their chunk
+    only; one fact is kept of each chunk, and what it hands on to later ones is found among those few."""
     over = (lambda c, w: F.max(c).over(w)) if largest else (lambda c, w: F.last(c, ignorenulls=True).over(w))
     probe = F.col("_side") == _PROBE
-    if split_seconds is None:
-        w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return line.withColumn("_last", over("_fact", w)).filter(probe)
-    line = line.withColumn("_chunk", F.floor(F.col("_t") / (split_seconds * MICROS)))
     pick = F.max("_fact") if largest else (F.min_by if forward else F.max_by)("_fact", F.struct("_t", "_rank"))
-    left = line.filter(F.col("_side") == _FACT).groupBy(*by, "_chunk").agg(pick.alias("_own"))
-    same = lambda a, b: reduce(lambda x, y: x & y, [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in (*by, "_chunk")])
-    chunks = line.select(*by, "_chunk").distinct().alias("c").join(left.alias("l"), same("c", "l"),
-        "left").select(*[F.col(f"c.{c}") for c in (*by, "_chunk")], "l._own")
     along = Window.partitionBy(*by).orderBy(F.col("_chunk").desc() if forward else F.col("_chunk")).rowsBetween(Window.unboundedPreceding, -1)
-    handed = chunks.select(*by, "_chunk", over("_own", along).alias("_handed")).filter("_handed IS NOT NULL")
     w = Window.partitionBy(*by, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    own = line.withColumn("_last", over("_fact", w)).filter(probe)
-    joined = own.alias("o").join(handed.alias("h"), same("o", "h"), "left").select("o.*", "h._handed")
+    if split_seconds is None:
+        cuts = hot_cuts(line, by, "_t")
+        cut = with_chunks(line, cuts, by, "_t")
+        left = with_chunks(line.filter(F.col("_side") == _FACT), cuts, by, "_t", only_hot=True).groupBy(*by, "_chunk").agg(pick.alias("_own"))
+        every = every_chunk(cuts, by)
+    else:
+        cut = line.withColumn("_chunk", F.floor(F.col("_t") / (split_seconds * MICROS)))
+        left = cut.filter(F.col("_side") == _FACT).groupBy(*by, "_chunk").agg(pick.alias("_own"))
+        every = cut.select(*by, "_chunk").distinct()
+    chunks = every.alias("c").join(left.alias("l"), same("c", "l", (*by, "_chunk")), "left").select(*[F.col(f"c.{c}") for c in (*by, "_chunk")], "l._own")
+    handed = chunks.select(*by, "_chunk", over("_own", along).alias("_handed")).filter("_handed IS NOT NULL")
+    own = cut.withColumn("_last", over("_fact", w)).filter(probe)
+    # Of hot keys alone: some hundred rows for a million.
+    handed = F.broadcast(handed.alias("h")) if split_seconds is None else handed.alias("h")
+    joined = own.alias("o").join(handed, same("o", "h", (*by, "_chunk")), "left").select("o.*", "h._handed")
     return joined.withColumn("_last", (F.greatest if largest else F.coalesce)("_last", "_handed")).drop("_handed", "_chunk")
 
 
 def hot_split(facts: DataFrame, by: Sequence[str], at: str, most_rows: int = 2_000_000) -> int | None:
-    """The split_seconds with which no chunk of the fullest key has much more than most_rows facts; None if none has more as it is."""
+    """A split_seconds with which no chunk of the fullest key has much more than most_rows facts, for a caller who wants chunks of equal length; None if none has more as it is."""
     n = facts.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), ((F.max(micros(at)) - F.min(micros(at))) / MICROS).alias("s"))
     hot = n.agg(F.max("n").alias("n"), F.max(F.when(F.col("n") > most_rows, F.struct("n", "s"))).alias("x")).first()
     return None if hot is None or hot["x"] is None else max(1, int(hot["x"]["s"] * most_rows / hot["x"]["n"]))
@@ -72,9 +76,8 @@ def asof_join(
     by `tie`; backward takes the largest, forward the smallest. Empty keys and
     probes without facts keep their row.
 
-    split_seconds is for keys that hold a large part of all rows: the time line of a key is
-    cut into chunks of that length, which are sorted apart, and each chunk starts with what the
-    chunks before it left. The result is the same.
+    A key that holds a large part of all rows has its time line cut into chunks, which are sorted apart, and each chunk starts with what the
+    chunks before it left. split_seconds cuts every line, at this length. The result is the same.
     """
     shift = F.lit(lookback * MICROS)
     probe_at, fact_at = micros(probe_time) + (shift if forward else -shift), micros(fact_time)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.cuts import hot_cuts, same, with_chunks
+
 
 def latest_per(df: DataFrame, by: Sequence[str], *order: str) -> DataFrame:
     """One row for each key, the largest by the order columns. A max of structs, so the
@@ -42,23 +44,57 @@ def trailing_run(df: DataFrame, by: Sequence[str], sign: Column, *order: str) ->
 
 
 def interval_union(df: DataFrame, by: Sequence[str], start: str, end: str) -> DataFrame:
-    """Merged intervals of each key: island start and end. Empty and backward intervals are left out."""
-    w = Window.partitionBy(*by).orderBy(start, end)
-    reach = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    flagged = df.filter(F.col(end) > F.col(start)).withColumn("_new", F.coalesce((F.col(start) > reach).cast("int"), F.lit(1)))
-    islands = flagged.withColumn("_island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return islands.groupBy(*by, "_island").agg(F.min(start).alias("island_start"), F.max(end).alias("island_end")).drop("_island")
+    """Merged intervals of each key: island start and end. Empty and backward intervals are left out.
+
+    The line of a hot key is swept in chunks: each starts with how far the chunks before it reach and how many islands these begin."""
+    known = df.filter(F.col(end) > F.col(start)).select(*by, F.col(start).alias("_s"), F.col(end).alias("_e"))
+    cuts = hot_cuts(known, by, "_s")
+    cut = with_chunks(known, cuts, by, "_s")
+    own = Window.partitionBy(*by, "_chunk").orderBy("_s", "_e")
+    along = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    first = lambda table, alias, c: F.broadcast(table.filter("_chunk > 0").select(*by, "_chunk", c).alias(alias))
+    reach = with_chunks(known, cuts, by, "_s", only_hot=True).groupBy(*by, "_chunk").agg(F.max("_e").alias("_m")).withColumn("_reach", F.max("_m").over(along))
+    swept = cut.alias("c").join(first(reach, "r", "_reach"), same("c", "r", [*by, "_chunk"]), "left").select("c.*", "r._reach")
+    before = F.greatest(F.max("_e").over(own.rowsBetween(Window.unboundedPreceding, -1)), F.col("_reach"))
+    flagged = swept.withColumn("_new", F.coalesce((F.col("_s") > before).cast("int"), F.lit(1)))
+    begun = flagged.filter("_chunk > 0 OR _reach IS NOT NULL").groupBy(*by, "_chunk").agg(F.sum("_new").alias("_k"))
+    zero = flagged.filter("_chunk = 0").groupBy(*by, "_chunk").agg(F.sum("_new").alias("_k")).alias("z").join(F.broadcast(cuts.alias("k")), same("z", "k", by), "left_semi")
+    counted = begun.filter("_chunk > 0").unionByName(zero.select(*by, "_chunk", "_k")).withColumn("_islands", F.sum("_k").over(along))
+    placed = flagged.alias("c").join(first(counted, "i", "_islands"), same("c", "i", [*by, "_chunk"]), "left").select("c.*", "i._islands")
+    placed = placed.withColumn("_island", F.coalesce("_islands", F.lit(0)) + F.sum("_new").over(own.rowsBetween(Window.unboundedPreceding, 0)))
+    return placed.groupBy(*by, "_island").agg(F.min("_s").alias("island_start"), F.max("_e").alias("island_end")).drop("_island")
 
 
 def peak_concurrency(df: DataFrame, by: Sequence[str], start: str, end: str) -> DataFrame:
-    """Largest number of [start, end) intervals open at once, for each key; an end frees before a start of the same time."""
+    """Largest number of [start, end) intervals open at once, for each key; an end frees before a start of the same time.
+
+    Steps of one time and direction are summed before the sweep, and that of a hot key goes in chunks, each from what is open where it starts."""
     steps = df.select(*by, F.col(start).alias("_t"), F.lit(1).alias("_d")).unionByName(df.select(*by, F.col(end).alias("_t"), F.lit(-1).alias("_d")))
     steps = steps.groupBy(*by, "_t", "_d").agg(F.sum("_d").alias("_n"))  # many intervals, few times
-    w = Window.partitionBy(*by).orderBy("_t", "_d").rowsBetween(Window.unboundedPreceding, 0)
-    return steps.withColumn("_open", F.sum("_n").over(w)).groupBy(*by).agg(F.max("_open").cast("long").alias("peak"))
+    cuts = hot_cuts(steps, by, "_t")
+    cut = with_chunks(steps, cuts, by, "_t")
+    along = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    left = with_chunks(steps, cuts, by, "_t", only_hot=True).groupBy(*by, "_chunk").agg(F.sum("_n").alias("_sum")).withColumn("_from", F.sum("_sum").over(along))
+    begun = F.broadcast(left.select(*by, "_chunk", "_from").alias("b"))
+    w = Window.partitionBy(*by, "_chunk").orderBy("_t", "_d").rowsBetween(Window.unboundedPreceding, 0)
+    open_ = cut.withColumn("_open", F.sum("_n").over(w)).groupBy(*by, "_chunk").agg(F.max("_open").alias("_open"))
+    joined = open_.alias("c").join(begun, same("c", "b", [*by, "_chunk"]), "left").select("c.*", (F.col("_open") + F.coalesce("_from", F.lit(0))).alias("_most"))
+    return joined.groupBy(*by).agg(F.max("_most").cast("long").alias("peak"))
+
+
+#: Spans that a chunk of a rolling sum is long: the share of rows that go to two chunks is one in so many.
+CHUNK_SPANS = 8
 
 
 def rolling_sum(df: DataFrame, by: Sequence[str], at_micros: str, value: Column, span_micros: int, name: str) -> DataFrame:
-    """Sum over (t - span, t]: the lower end does not count."""
-    w = Window.partitionBy(*by).orderBy(at_micros).rangeBetween(-(span_micros - 1), 0)
-    return df.withColumn(name, F.sum(value).over(w))
+    """Sum over (t - span, t]: the lower end does not count.
+
+    Keys are cut into chunks of CHUNK_SPANS spans; a row that a span of the next chunk reaches back to goes there too, to be summed only. A row
+    without a time sums up those without one."""
+    size = CHUNK_SPANS * span_micros
+    chunk = lambda shift: F.floor((F.col(at_micros) + shift) / size)
+    given = df.withColumn("_value", value)
+    places = F.when(F.col(at_micros).isNull(), F.array(F.lit(None).cast("long"))).otherwise(F.array_distinct(F.array(chunk(0), chunk(span_micros - 1))))
+    each = given.withColumn("_own", chunk(0)).withColumn("_chunk", F.explode(places))
+    w = Window.partitionBy(*by, "_chunk").orderBy(at_micros).rangeBetween(-(span_micros - 1), 0)
+    return each.withColumn(name, F.sum("_value").over(w)).filter(F.col("_chunk").eqNullSafe(F.col("_own"))).drop("_value", "_own", "_chunk")

@@ -284,10 +284,14 @@ def q16_latency_percentiles(spark, sf_dir):
     d = t.lineitem.select("l_orderkey", "l_shipdate", "l_returnflag").join(t.orders.select("o_orderkey", "o_orderdate", "o_orderpriority"),
         F.col("l_orderkey") == F.col("o_orderkey"))
     d = d.select("o_orderpriority", "l_returnflag", (seconds_between("o_orderdate", "l_shipdate") / 86400).alias("d"))
-    return d.groupBy("o_orderpriority").agg(
-        F.round(F.avg("d"), 4).alias("mean_days"), *[F.round(stats.interpolated("d", p), 4).alias(a) for a, p in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99))],
-        F.round(stats.interpolated(F.when(F.col("l_returnflag") == "R", F.col("d")), 0.5), 4).alias("p50_returned"),
-    )
+    counts = stats.value_counts(d, ["o_orderpriority", "l_returnflag"], "d")
+    whole = counts.groupBy("o_orderpriority", "_v").agg(F.sum("_n").alias("_n"))
+    mean = whole.groupBy("o_orderpriority").agg(F.round(F.sum(F.col("_v") * F.col("_n")) / F.sum("_n"), 4).alias("mean_days"))
+    ps = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+    every = stats.quantiles(whole, ["o_orderpriority"], {a: ("interpolated", p) for a, p in ps.items()})
+    returned = stats.quantiles(counts.filter("l_returnflag = 'R'").drop("l_returnflag"), ["o_orderpriority"], {"p50_returned": ("interpolated", 0.5)})
+    joined = mean.join(every, "o_orderpriority").join(returned, "o_orderpriority", "left")
+    return joined.select("o_orderpriority", "mean_days", *[F.round(c, 4).alias(c) for c in (*ps, "p50_returned")])
 
 
 @query("""
@@ -312,8 +316,10 @@ def _gaps(spark, sf_dir) -> DataFrame:
 @query(f"SELECT date_trunc('day', ts) AS day, count(gap) AS gaps, round(avg(gap), 3) AS mean_gap, round(quantile_cont(gap, 0.95), 3) AS p95_gap FROM ({_GAPS}) GROUP BY 1")
 def q18_lag_cadence(spark, sf_dir):
     day = F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day")
-    return _gaps(spark, sf_dir).groupBy(day).agg(F.count("gap").alias("gaps"), F.round(F.avg("gap"), 3).alias("mean_gap"),
-        F.round(stats.interpolated("gap", 0.95), 3).alias("p95_gap"))
+    gaps = _gaps(spark, sf_dir).select(day, "gap")
+    counts = stats.value_counts(gaps, ["day"], "gap")
+    whole = gaps.groupBy("day").agg(F.count("gap").alias("gaps"), F.round(F.avg("gap"), 3).alias("mean_gap"))
+    return whole.join(stats.quantiles(counts, ["day"], {"p95_gap": ("interpolated", 0.95)}), "day", "left").withColumn("p95_gap", F.round("p95_gap", 3))
 
 
 @query("""
