@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import MICROS, micros
-from tidemark.operators.cuts import every_chunk, hot_cuts, same, with_chunks
+from tidemark.operators.cuts import any_hot, every_chunk, hot_cuts, same, with_chunks
 
 _FACT, _PROBE = 0, 1
 
@@ -31,6 +31,9 @@ def _carried(line: DataFrame, by: Sequence[str], order: Sequence[Column], forwar
     only; one fact is kept of each chunk, and what it hands on to later ones is found among those few."""
     over = (lambda c, w: F.max(c).over(w)) if largest else (lambda c, w: F.last(c, ignorenulls=True).over(w))
     probe = F.col("_side") == _PROBE
+    if split_seconds is None and not any_hot(line.select(*by, "_t"), by, "_t"):
+        w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return line.withColumn("_last", over("_fact", w)).filter(probe)
     pick = F.max("_fact") if largest else (F.min_by if forward else F.max_by)("_fact", F.struct("_t", "_rank"))
     along = Window.partitionBy(*by).orderBy(F.col("_chunk").desc() if forward else F.col("_chunk")).rowsBetween(Window.unboundedPreceding, -1)
     w = Window.partitionBy(*by, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)

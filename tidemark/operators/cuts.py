@@ -22,13 +22,36 @@ def same(a: str, b: str, columns: Sequence[str]) -> Column:
     return reduce(lambda x, y: x & y, [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in columns], F.lit(True))
 
 
+#: What has been measured in this process, by plan; a stale answer costs time, never a result.
+_measured: dict[tuple, bool] = {}
+
+
+def _few(df: DataFrame, by: Sequence[str], at: str) -> DataFrame:
+    return df.filter(F.col(at).isNotNull() & (F.pmod(F.xxhash64(at, *by), F.lit(ONE_IN)) == 0)).select(*by, at)
+
+
+def _hot_keys(few: DataFrame, by: Sequence[str]) -> DataFrame:
+    return few.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") * ONE_IN >= HOT_ROWS).select(*by)
+
+
+def any_hot(df: DataFrame, by: Sequence[str], at: str) -> bool:
+    """Whether a key of df has HOT_ROWS rows or more: one count of a sample of keys, kept with the plan, so that only the first query over a table pays for it.
+
+    Where none has, operators sort a key as a whole, which is the cheaper plan."""
+    asked = (df.semanticHash(), *by, at, HOT_ROWS, ONE_IN)
+    if asked not in _measured:
+        if len(_measured) > 10_000:
+            _measured.clear()
+        _measured[asked] = not _hot_keys(_few(df, by, at), by).isEmpty()
+    return _measured[asked]
+
+
 def hot_cuts(df: DataFrame, by: Sequence[str], at: str) -> DataFrame:
     """by and cuts of every hot key: SIDE ascending lists of SIDE values of `at`, each with about as many rows before the next. At most one row for HOT_ROWS rows of df."""
     n = SIDE * SIDE
     shares = F.array(*[F.lit(k / n) for k in range(n)])
-    few = df.filter(F.col(at).isNotNull() & (F.pmod(F.xxhash64(at, *by), F.lit(ONE_IN)) == 0)).select(*by, at)
-    hot = few.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") * ONE_IN >= HOT_ROWS).select(*by)
-    among = few.alias("f").join(F.broadcast(hot.alias("h")), same("f", "h", by), "left_semi")
+    few = _few(df, by, at)
+    among = few.alias("f").join(F.broadcast(_hot_keys(few, by).alias("h")), same("f", "h", by), "left_semi")
     values = among.groupBy(*by).agg(F.percentile_approx(at, shares, 4 * n).alias("values")).filter("values IS NOT NULL")
     return values.select(*by, F.transform(F.sequence(F.lit(0), F.lit(SIDE - 1)), lambda k: F.slice("values", k * SIDE + 1, SIDE)).alias("cuts"))
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.cuts import hot_cuts, same, with_chunks
+from tidemark.operators.cuts import any_hot, hot_cuts, same, with_chunks
 
 
 def interpolated(value: Column | str, p: float) -> Column:
@@ -32,7 +32,16 @@ def quantiles(counts: DataFrame, by: Sequence[str], wanted: dict[str, tuple[str,
     """by and a column for each alias in wanted (kind and p; kinds are "interpolated", "lower" and "nearest"), exact, from value_counts.
 
     Values of a key with very many are cut into chunks; totals tell in which chunks the wanted ranks lie, and only these are
-    sorted, each in a task of its own. No key's values are gathered. A key without values has no row."""
+    sorted, each in a task of its own. No key's values are gathered. A key without values has no row. Where no key has very many, ranks come from one sorted pass."""
+    if not any_hot(counts.select(*by, "_v"), by, "_v"):
+        w = Window.partitionBy(*by)
+        ranked = counts.withColumns({"_to": F.sum("_n").over(w.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)), "_all": F.sum("_n").over(w)})
+        out = []
+        for alias, (kind, p) in wanted.items():
+            low, high, part = _RANKS[kind](F.col("_all"), p)
+            at = lambda r: F.max(F.when((r > F.col("_to") - F.col("_n")) & (r <= F.col("_to")), F.col("_v")))
+            out.append((at(low) + F.max(part) * (at(high) - at(low)) if kind == "interpolated" else at(low)).alias(alias))
+        return ranked.groupBy(*by).agg(*out)
     cuts = hot_cuts(counts, by, "_v")
     cut = with_chunks(counts, cuts, by, "_v")
     along = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.cuts import hot_cuts, same, with_chunks
+from tidemark.operators.cuts import any_hot, hot_cuts, same, with_chunks
 
 
 def latest_per(df: DataFrame, by: Sequence[str], *order: str) -> DataFrame:
@@ -48,6 +48,11 @@ def interval_union(df: DataFrame, by: Sequence[str], start: str, end: str) -> Da
 
     The line of a hot key is swept in chunks: each starts with how far the chunks before it reach and how many islands these begin."""
     known = df.filter(F.col(end) > F.col(start)).select(*by, F.col(start).alias("_s"), F.col(end).alias("_e"))
+    if not any_hot(known.select(*by, "_s"), by, "_s"):
+        w = Window.partitionBy(*by).orderBy("_s", "_e")
+        flagged = known.withColumn("_new", F.coalesce((F.col("_s") > F.max("_e").over(w.rowsBetween(Window.unboundedPreceding, -1))).cast("int"), F.lit(1)))
+        islands = flagged.withColumn("_island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+        return islands.groupBy(*by, "_island").agg(F.min("_s").alias("island_start"), F.max("_e").alias("island_end")).drop("_island")
     cuts = hot_cuts(known, by, "_s")
     cut = with_chunks(known, cuts, by, "_s")
     own = Window.partitionBy(*by, "_chunk").orderBy("_s", "_e")
@@ -71,6 +76,9 @@ def peak_concurrency(df: DataFrame, by: Sequence[str], start: str, end: str) ->
     Steps of one time and direction are summed before the sweep, and that of a hot key goes in chunks, each from what is open where it starts."""
     steps = df.select(*by, F.col(start).alias("_t"), F.lit(1).alias("_d")).unionByName(df.select(*by, F.col(end).alias("_t"), F.lit(-1).alias("_d")))
     steps = steps.groupBy(*by, "_t", "_d").agg(F.sum("_d").alias("_n"))  # many intervals, few times
+    if not any_hot(steps.select(*by, "_t"), by, "_t"):
+        w = Window.partitionBy(*by).orderBy("_t", "_d").rowsBetween(Window.unboundedPreceding, 0)
+        return steps.withColumn("_open", F.sum("_n").over(w)).groupBy(*by).agg(F.max("_open").cast("long").alias("peak"))
     cuts = hot_cuts(steps, by, "_t")
     cut = with_chunks(steps, cuts, by, "_t")
     along = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)

@@ -295,21 +295,28 @@ def outcome_labels(candidates: DataFrame, families: Mapping[str, DataFrame], hor
         "s": _elapsed(F.col("decision_at"), F.col("at")), "gap": _elapsed(F.coalesce(F.lag("at").over(w), F.col("e_received_at")), F.col("at")),
         "jump": F.when((F.lag("p").over(w) > 0) & (F.col("p") != 0), F.abs(F.col("p") / F.lag("p").over(w) - 1)),
     })
-    spans = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(h).alias("h"), F.lit(h + t).alias("limit")) for n, (h, t) in horizons.items()])
-    each = path.withColumn("x", F.explode(F.filter(spans, lambda x: F.col("s") <= x["limit"])))
-    base, order = F.col("e_price_usd"), F.struct("at", "fact")
-    within = F.when(F.col("s") >= F.col("x.h"), F.struct("at", "fact", "s", "p", "l"))
+    # A fact is summed up once, in the ring between two limits that it falls in; what a horizon sees is the sum of its rings, of which there are as many as horizons.
+    limits = sorted({h + t for h, t in horizons.values()})
+    ring = F.size(F.filter(F.array(*map(F.lit, limits)), lambda x: x < F.col("s")))
+    base, fact = F.col("e_price_usd"), F.struct("at", "fact", "s", "p", "l")
     cross = {m: (F.col("p") >= base * m if m > 1 else F.col("p") <= base * m) & (base > 0) for m in sorted({*UPSIDE.values(), *DOWNSIDE.values(),
         *(m for up_down in ORDERED.values() for m in up_down), *TIMES.values()})}
     tag = lambda m: f"c{str(m).replace('.', '_')}"
-    agg = each.groupBy(*KEY, F.col("x.name").alias("name"), F.col("x.h").alias("h")).agg(
-        F.min(within).alias("end"), F.max("gap").alias("gap"), F.max("p").alias("high"), F.min("p").alias("low"), F.min("l").alias("thin"),
-        F.max("jump").alias("jump"),
-        F.max_by(F.struct("l"), order).alias("last"),
-        F.min_by("s", F.when(F.col("p").isNotNull(), F.struct(-F.col("p"), F.col("at"), F.col("fact")))).alias("peak_s"),
+    ends = {n: F.min(F.when((F.col("s") >= h) & (F.col("s") <= h + t), fact)) for n, (h, t) in horizons.items()}
+    rings = path.withColumn("ring", ring).groupBy(*KEY, "ring").agg(
+        F.struct(*[e.alias(n) for n, e in ends.items()]).alias("ends"), F.max("gap").alias("gap"), F.max("p").alias("high"), F.min("p").alias("low"),
+        F.min("l").alias("thin"), F.max("jump").alias("jump"), F.max(F.struct("at", "fact", "l")).alias("last"),
+        F.min(F.when(F.col("p").isNotNull(), F.struct((-F.col("p")).alias("down"), "at", "fact", "s"))).alias("peak"),
         *[F.min(F.when(c, F.col("s"))).alias(tag(m)) for m, c in cross.items()],
         *[F.min(F.when(c & (F.col("p") != 0), F.col("s"))).alias(f"n{tag(m)}") for m, c in cross.items()],
     )
+    seen = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(h).alias("h"), F.lit(limits.index(h + t)).alias("ring"), F.col(f"ends.{n}").alias("end")) for n, (h, t) in horizons.items()])
+    each = rings.withColumn("x", F.explode(F.filter(seen, lambda x: F.col("ring") <= x["ring"])))
+    agg = each.groupBy(*KEY, F.col("x.name").alias("name"), F.col("x.h").alias("h")).agg(
+        F.min("x.end").alias("end"), F.max("gap").alias("gap"), F.max("high").alias("high"), F.min("low").alias("low"), F.min("thin").alias("thin"),
+        F.max("jump").alias("jump"), F.max("last").alias("last"), F.min("peak").getField("s").alias("peak_s"),
+        *[F.min(f"{k}{tag(m)}").alias(f"{k}{tag(m)}") for m in cross for k in ("", "n")],
+    )
     allowed = F.least(F.greatest(F.lit(60.0), F.col("h") * 0.1), F.lit(1800.0))
     agg = agg.join(entry.select(*KEY, "e_price_usd", "e_liquidity_usd"), KEY).withColumn("complete", F.col("end").isNotNull() & (F.col("gap") <= allowed))
     entry_liquid = F.col("e_liquidity_usd") > 0

@@ -895,3 +895,58 @@ def q116_first_difference(spark, sf_dir):
     o = Tables(spark, sf_dir).orders
     later = o.withColumn("o_totalprice", F.when(F.col("o_orderkey") >= 2000, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
     return merkle.first_difference(merkle.content_tree(o, "o_orderkey"), merkle.content_tree(later.repartition(5), "o_orderkey"))
+
+
+def _label_sql() -> str:
+    """Outcome columns of every horizon, over facts joined with their candidates one by one."""
+    base = """
+WITH o AS (SELECT event_id AS id, user_id % 2 AS token_id, CASE WHEN event_type = 'error' THEN 'b' ELSE 'a' END AS pair, event_type AS kind, make_timestamp(epoch_us(ts) // 4) AS tm, value AS p, CASE WHEN event_type <> 'error' THEN value * 10 END AS l FROM events),
+c AS (SELECT DISTINCT token_id, tm AS d FROM o WHERE kind = 'purchase'),
+lat AS (SELECT c.token_id, c.d, o.pair, max({'tm': o.tm, 'id': o.id, 'p': o.p, 'l': o.l}) AS x FROM c JOIN o ON o.token_id = c.token_id AND o.tm <= c.d GROUP BY ALL),
+s AS (SELECT token_id, d, arg_max({'pair': pair, 'tm': x.tm, 'p': x.p, 'l': x.l}, {'a': x.l IS NOT NULL, 'b': coalesce(x.l, -1), 'c': x.tm, 'e': pair}) AS y FROM lat GROUP BY 1, 2),
+e AS (SELECT token_id, d, y.p AS ep, y.l AS el FROM s),
+f AS (SELECT s.token_id, s.d, y.p AS ep, y.l AS el, y.tm AS ea, o.tm, o.id, o.p, o.l, (epoch_us(o.tm) - epoch_us(s.d)) / 1000000.0 AS t
+  FROM s JOIN o ON o.token_id = s.token_id AND o.pair = y.pair AND o.tm > s.d AND epoch_us(o.tm) <= epoch_us(s.d) + 648000000000),
+g AS (SELECT *, (epoch_us(tm) - epoch_us(coalesce(lag(tm) OVER w, ea))) / 1000000.0 AS gap, CASE WHEN lag(p) OVER w > 0 AND p <> 0 THEN abs(p / lag(p) OVER w - 1) END AS jump
+  FROM f WINDOW w AS (PARTITION BY token_id, d ORDER BY tm, id))"""
+    joins, out = "", []
+    for n, (h, tolerance) in dataset.HORIZONS.items():
+        cross = ", ".join(f"bool_or(p {'>=' if m > 1 else '<='} ep * {m} AND ep > 0 AND p <> 0) AS x_{k}" for k, m in (dataset.UPSIDE | dataset.DOWNSIDE).items())
+        base += f""",
+a{n} AS (SELECT token_id, d, min({{'tm': tm, 'id': id, 't': t, 'p': p, 'l': l}}) FILTER (WHERE t >= {h}) AS fin, max(gap) <= {min(max(60, 0.1 * h), 1800)} AS whole, max(p) AS high, min(p) AS low,
+  min(l) AS thin, max(jump) AS jump, arg_max({{'l': l}}, {{'tm': tm, 'id': id}}) AS last, {cross} FROM g WHERE t <= {h + tolerance} GROUP BY 1, 2),
+b{n} AS (SELECT token_id, d, *, ep AS entry, el AS entry_l, coalesce(fin IS NOT NULL AND whole, false) AS done FROM e LEFT JOIN a{n} USING (token_id, d))"""
+        state = lambda c: f"CASE WHEN coalesce({c}, false) THEN 'TRUE' WHEN done THEN 'FALSE' ELSE 'UNKNOWN' END"
+        columns = {
+            "horizon_{}_available": "fin IS NOT NULL", "horizon_{}_path_complete": "done", "horizon_{}_actual_seconds": "fin.t::DOUBLE",
+            "theoretical_market_return_{}": "CASE WHEN entry > 0 THEN fin.p / entry - 1 END", "exit_liquidity_usd_{}": "fin.l",
+            **{f"exit_notional_{k}_liquidity_ratio_{{}}": f"CASE WHEN fin.l > 0 THEN {k} / fin.l END" for k in dataset.NOTIONALS},
+            "maximum_favorable_excursion_{}": "CASE WHEN done AND entry > 0 THEN high / entry - 1 END", "maximum_adverse_excursion_{}": "CASE WHEN done AND entry > 0 THEN low / entry - 1 END",
+            **{f"crossed_{k}_{{}}": state(f"x_{k}") for k in dataset.UPSIDE | dataset.DOWNSIDE},
+            "minimum_future_liquidity_usd_{}": "CASE WHEN done THEN thin END", "major_liquidity_collapse_{}": state("entry_l > 0 AND thin <= entry_l * 0.2"),
+            "liquidity_survival_{}": state("entry_l > 0 AND last.l >= entry_l * 0.5"), "maximum_observed_price_discontinuity_{}": "CASE WHEN done THEN jump END",
+            "extreme_gap_or_rug_proxy_{}": state("jump >= 0.95"),
+        }
+        picked = ", ".join(f"{v} AS \"{k.format(n)}\"" for k, v in columns.items())
+        base += f",\nw{n} AS (SELECT token_id, d, {picked} FROM b{n})"
+        joins += f" JOIN w{n} USING (token_id, d)"
+        out += [f'"{k.format(n)}"' for k in columns]
+    far = lambda m: f"min(t) FILTER (WHERE p {'>=' if m > 1 else '<='} ep * {m} AND ep > 0)"
+    ms = sorted({m for pair in dataset.ORDERED.values() for m in pair} | {*dataset.TIMES.values(), 0.2})
+    base += ",\nz AS (SELECT token_id, d, arg_min(t, {'p': -p, 'tm': tm, 'id': id}) AS peak, " + ", ".join(f'{far(m)} AS "s{m}"' for m in ms) + " FROM g GROUP BY 1, 2)"
+    ordered = [f"CASE WHEN \"s{u}\" IS NOT NULL THEN CASE WHEN \"s{d}\" IS NULL OR \"s{u}\" < \"s{d}\" THEN 'TRUE' ELSE 'FALSE' END WHEN \"s{d}\" IS NOT NULL OR horizon_7d_path_complete THEN 'FALSE' ELSE 'UNKNOWN' END AS \"{n}\"" for n, (u, d) in dataset.ORDERED.items()]
+    times = [f'"s{m}"::DOUBLE AS "{n}"' for n, m in dataset.TIMES.items()]
+    entry = [f"CASE WHEN el > 0 THEN {k} / el END AS entry_notional_{k}_liquidity_ratio" for k in dataset.NOTIONALS]
+    return base + "\nSELECT e.token_id, e.d AS decision_at, ep AS theoretical_entry_price_usd, el AS entry_liquidity_usd, NULL::DOUBLE AS execution_adjusted_return, " + ", ".join(
+        [*entry, *out, *ordered, *times, "CASE WHEN horizon_7d_path_complete THEN peak END::DOUBLE AS time_to_peak_seconds", '"s0.2"::DOUBLE AS time_to_collapse_seconds']) + f" FROM e{joins} LEFT JOIN z USING (token_id, d)"
+
+
+@query(_label_sql())
+def q117_all_horizons(spark, sf_dir):
+    """Every outcome column of all eight horizons, from half a minute to a week, behind every purchase."""
+    e = Tables(spark, sf_dir).events
+    obs = e.select(F.col("event_id").alias("id"), (F.col("user_id") % 2).alias("token_id"), F.when(F.col("event_type") == "error", "b").otherwise("a").alias("pair_id"),
+        F.timestamp_micros(F.floor(micros("ts") / 4)).cast("timestamp_ntz").alias("received_at"), F.col("value").alias("price_usd"),
+        F.when(F.col("event_type") != "error", F.col("value") * 10).alias("liquidity_usd"), "event_type")
+    candidates = obs.filter("event_type = 'purchase'").select("token_id", F.col("received_at").alias("decision_at")).distinct()
+    return dataset.outcome_labels(candidates, {"observations": obs.drop("event_type")})
