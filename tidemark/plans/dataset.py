@@ -15,7 +15,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import MICROS, buy_ratio, change, imbalance, micros, ratio, row_digest, slope, tri_state
+from tidemark.operators import pathtree
 from tidemark.operators.asof import asof_join, asof_largest, lookbacks, path_join
+from tidemark.operators.paths import DENSE, fullest_span
+from tidemark.work import durable
 
 KEY = ["token_id", "decision_at"]
 
@@ -278,10 +281,10 @@ def market_features(candidates: DataFrame, families: Mapping[str, DataFrame]) ->
     return s.select(*KEY, *[c.alias(name) for name, c in out.items()])
 
 
-def outcome_labels(candidates: DataFrame, families: Mapping[str, DataFrame], horizons: Mapping[str, tuple[int, int]] = HORIZONS) -> DataFrame:
+def outcome_labels(candidates: DataFrame, families: Mapping[str, DataFrame], horizons: Mapping[str, tuple[int, int]] = HORIZONS, dense: bool | None = None) -> DataFrame:
     """The outcome row of each candidate, from observations of its selected pair behind the decision.
 
-    Thresholds are compared in doubles."""
+    Thresholds are compared in doubles. dense: whether spans are put together of the nodes of a tree or of single facts; by default it is measured."""
     obs = doubles(families["observations"]).withColumnRenamed("pair_id", "selected_pair_id")
     picked = selected_pairs(candidates.select(*KEY).distinct(), doubles(families["observations"]))
     entry = asof_join(picked, obs, ["token_id", "selected_pair_id"], "decision_at", "received_at", ["received_at", "price_usd", "liquidity_usd"],
@@ -289,33 +292,42 @@ def outcome_labels(candidates: DataFrame, families: Mapping[str, DataFrame], hor
     longest = max(h + t for h, t in horizons.values())
     facts = obs.select("token_id", "selected_pair_id", F.col("received_at").alias("at"), F.col("id").alias("fact"), F.col("price_usd").alias("p"),
         F.col("liquidity_usd").alias("l"))
-    path = path_join(entry.filter("selected_pair_id IS NOT NULL"), facts, ["token_id", "selected_pair_id"], "decision_at", "at", 0, longest)
-    w = Window.partitionBy(*KEY).orderBy("at", "fact")
-    path = path.withColumns({
-        "s": _elapsed(F.col("decision_at"), F.col("at")), "gap": _elapsed(F.coalesce(F.lag("at").over(w), F.col("e_received_at")), F.col("at")),
-        "jump": F.when((F.lag("p").over(w) > 0) & (F.col("p") != 0), F.abs(F.col("p") / F.lag("p").over(w) - 1)),
-    })
-    # A fact is summed up once, in the ring between two limits that it falls in; what a horizon sees is the sum of its rings, of which there are as many as horizons.
+    by, base = ["token_id", "selected_pair_id"], F.col("e_price_usd")
     limits = sorted({h + t for h, t in horizons.values()})
+    asked = entry.filter("selected_pair_id IS NOT NULL")
+    dense = fullest_span(facts, by, "at", longest) > DENSE if dense is None else dense
+    told = facts.filter("at IS NOT NULL").withColumn("at", micros("at"))
+    asked = asked.withColumn("_t0", micros("decision_at"))
+    if dense:
+        # Nodes of a tree that all horizons share; facts only around the times where one begins or ends.
+        nodes = durable(pathtree.build(told, by), "path-nodes")
+        marks = sorted({*limits, *(h for h, _ in horizons.values())})
+        items = pathtree.cover(asked, nodes, told, by, "_t0", F.array(*[F.col("_t0") + m * MICROS for m in marks]))
+    else:
+        # Thin facts: each candidate meets those of its longest span.
+        named = path_join(asked.withColumn("_at0", F.timestamp_micros("_t0")), facts, by, "_at0", "at", 0, longest).drop("_at0").withColumn("at", micros("at"))
+        items = pathtree.as_items(named, [*asked.columns]).withColumns({"level": F.lit(-1), "node": F.lit(None).cast("long")})
+    items = pathtree.with_neighbours(items, KEY, micros("e_received_at")).withColumn("s", (F.col("first.at") - F.col("_t0")) / MICROS)
+    # An item is summed up once, in the ring between two limits that it falls in; what a horizon sees is the sum of its rings, of which there are as many as horizons.
     ring = F.size(F.filter(F.array(*map(F.lit, limits)), lambda x: x < F.col("s")))
-    base, fact = F.col("e_price_usd"), F.struct("at", "fact", "s", "p", "l")
-    cross = {m: (F.col("p") >= base * m if m > 1 else F.col("p") <= base * m) & (base > 0) for m in sorted({*UPSIDE.values(), *DOWNSIDE.values(),
-        *(m for up_down in ORDERED.values() for m in up_down), *TIMES.values()})}
+    fact = F.struct(F.timestamp_micros("first.at").cast("timestamp_ntz").alias("at"), "first.fact", "s", "first.p", "first.l")
+    ms = sorted({*UPSIDE.values(), *DOWNSIDE.values(), *(m for up_down in ORDERED.values() for m in up_down), *TIMES.values()})
     tag = lambda m: f"c{str(m).replace('.', '_')}"
+    cross = {m: (pathtree.crosses(base * m, F.lit(m > 1)) & (base > 0), pathtree.crosses(base * m, F.lit(m > 1), nonzero=True) & (base > 0)) for m in ms}
     ends = {n: F.min(F.when((F.col("s") >= h) & (F.col("s") <= h + t), fact)) for n, (h, t) in horizons.items()}
-    rings = path.withColumn("ring", ring).groupBy(*KEY, "ring").agg(
-        F.struct(*[e.alias(n) for n, e in ends.items()]).alias("ends"), F.max("gap").alias("gap"), F.max("p").alias("high"), F.min("p").alias("low"),
-        F.min("l").alias("thin"), F.max("jump").alias("jump"), F.max(F.struct("at", "fact", "l")).alias("last"),
-        F.min(F.when(F.col("p").isNotNull(), F.struct((-F.col("p")).alias("down"), "at", "fact", "s"))).alias("peak"),
-        *[F.min(F.when(c, F.col("s"))).alias(tag(m)) for m, c in cross.items()],
-        *[F.min(F.when(c & (F.col("p") != 0), F.col("s"))).alias(f"n{tag(m)}") for m, c in cross.items()],
+    where = F.struct("s", "level", "node")
+    rings = items.withColumn("ring", ring).groupBy(*KEY, "ring").agg(
+        F.struct(*[e.alias(n) for n, e in ends.items()]).alias("ends"), (F.max("gap") / MICROS).alias("gap"), F.max("high").alias("high"), F.min("low").alias("low"),
+        F.min("thin").alias("thin"), F.max("jump").alias("jump"), F.max(F.struct("last.at", "last.fact", "last.l")).alias("last"),
+        F.min(F.when(F.col("peak").isNotNull(), F.struct("peak.down", ((F.col("peak.at") - F.col("_t0")) / MICROS).alias("s"), "peak.fact"))).alias("peak"),
+        *[F.min(F.when(c, where)).alias(tag(m)) for m, (c, _) in cross.items()], *[F.max(c).alias(f"n{tag(m)}") for m, (_, c) in cross.items()],
     )
     seen = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(h).alias("h"), F.lit(limits.index(h + t)).alias("ring"), F.col(f"ends.{n}").alias("end")) for n, (h, t) in horizons.items()])
     each = rings.withColumn("x", F.explode(F.filter(seen, lambda x: F.col("ring") <= x["ring"])))
     agg = each.groupBy(*KEY, F.col("x.name").alias("name"), F.col("x.h").alias("h")).agg(
         F.min("x.end").alias("end"), F.max("gap").alias("gap"), F.max("high").alias("high"), F.min("low").alias("low"), F.min("thin").alias("thin"),
         F.max("jump").alias("jump"), F.max("last").alias("last"), F.min("peak").getField("s").alias("peak_s"),
-        *[F.min(f"{k}{tag(m)}").alias(f"{k}{tag(m)}") for m in cross for k in ("", "n")],
+        *[F.min(tag(m)).alias(tag(m)) for m in ms], *[F.max(f"n{tag(m)}").alias(f"n{tag(m)}") for m in ms],
     )
     allowed = F.least(F.greatest(F.lit(60.0), F.col("h") * 0.1), F.lit(1800.0))
     agg = agg.join(entry.select(*KEY, "e_price_usd", "e_liquidity_usd"), KEY).withColumn("complete", F.col("end").isNotNull() & (F.col("gap") <= allowed))
@@ -327,7 +339,7 @@ def outcome_labels(candidates: DataFrame, families: Mapping[str, DataFrame], hor
         **{f"exit_notional_{k}_liquidity_ratio_{{}}": F.when(F.col("end.l") > 0, k / F.col("end.l")) for k in NOTIONALS},
         "maximum_favorable_excursion_{}": F.when(done, change("high", "e_price_usd")),
         "maximum_adverse_excursion_{}": F.when(done, change("low", "e_price_usd")),
-        **{f"crossed_{n}_{{}}": tri_state(F.col(f"n{tag(m)}").isNotNull(), done) for n, m in (UPSIDE | DOWNSIDE).items()},
+        **{f"crossed_{n}_{{}}": tri_state(F.col(f"n{tag(m)}"), done) for n, m in (UPSIDE | DOWNSIDE).items()},
         "minimum_future_liquidity_usd_{}": F.when(done, F.col("thin")),
         "major_liquidity_collapse_{}": tri_state(entry_liquid & (F.col("thin") <= F.col("e_liquidity_usd") * 0.2), done),
         "liquidity_survival_{}": tri_state(entry_liquid & (F.col("last.l") >= F.col("e_liquidity_usd") * 0.5), done),
@@ -339,13 +351,23 @@ def outcome_labels(candidates: DataFrame, families: Mapping[str, DataFrame], hor
             "decided_at", ["new_state"], tie="id", prefix="end_")
         agg = agg.join(states.drop("end_at"), [*KEY, "name"], "left")
         per["future_lifecycle_state_{}"] = F.col("end_new_state")
-    named = agg.select(*KEY, "name", "h", *[tag(m) for m in cross], "complete", "peak_s",
+    named = agg.select(*KEY, "name", "h", *[tag(m) for m in ms], "complete", "peak_s",
         F.struct(*[c.alias(k.format("h")) for k, c in per.items()]).alias("v"))
     wide = named.groupBy(*KEY).agg(
-        F.max(F.struct("h", "complete", "peak_s", *[tag(m) for m in cross])).alias("far"),
+        F.max_by(F.struct("complete", "peak_s", *[tag(m) for m in ms]), "h").alias("far"),
         *[F.max(F.when(F.col("name") == n, F.col("v"))).alias(f"_{n}") for n in horizons],
     )
-    out = entry.join(wide, KEY, "left")
+    # Read twice below, and once more for the descent.
+    out = durable(entry.join(wide, KEY, "left"), "path-outcomes") if dense else entry.join(wide, KEY, "left")
+    far = lambda m: F.col(f"far.{tag(m)}.s")
+    if dense:
+        # A bound that is first crossed in a node: the fact that does so is found below it.
+        each = F.array(*[F.struct(F.lit(m).alias("m"), F.lit(m > 1).alias("above"), (base * m).alias("bound"), F.col(f"far.{tag(m)}.level").alias("level"), F.col(f"far.{tag(m)}.node").alias("node")) for m in ms])
+        deep = out.select(*KEY, "selected_pair_id", F.explode(F.filter(each, lambda x: x["level"] >= 0)).alias("x")).select(*KEY, "selected_pair_id", "x.*")
+        first = pathtree.descend(deep, nodes, told, by).withColumn("s", (F.col("at") - micros("decision_at")) / MICROS)
+        first = first.groupBy(*KEY).agg(*[F.max(F.when(F.col("m") == m, F.col("s"))).alias(f"d{tag(m)}") for m in ms])
+        out = out.join(first, KEY, "left")
+        far = lambda m: F.when(F.col(f"far.{tag(m)}.level") >= 0, F.col(f"d{tag(m)}")).otherwise(F.col(f"far.{tag(m)}.s"))
     unseen = {"crossed": "UNKNOWN", "major_liquidity_collapse": "UNKNOWN", "liquidity_survival": "UNKNOWN", "extreme_gap": "UNKNOWN", "horizon": False}
 
     def column(template: str, n: str) -> Column:
@@ -355,7 +377,6 @@ def outcome_labels(candidates: DataFrame, families: Mapping[str, DataFrame], hor
                 c = F.coalesce(c, F.lit(value))
         return c.alias(template.format(n))
 
-    far = lambda m: F.col(f"far.{tag(m)}")
     far_done = F.coalesce(F.col("far.complete"), F.lit(False))
     ordered = {n: F.when(far(u).isNotNull(),
         F.when(far(d).isNull() | (far(u) < far(d)), "TRUE").otherwise("FALSE")).when(far(d).isNotNull() | far_done,

@@ -943,10 +943,10 @@ b{n} AS (SELECT token_id, d, *, ep AS entry, el AS entry_l, coalesce(fin IS NOT
 
 @query(_label_sql())
 def q117_all_horizons(spark, sf_dir):
-    """Every outcome column of all eight horizons, from half a minute to a week, behind every purchase."""
+    """Every outcome column of all eight horizons, from half a minute to a week, behind every purchase, from the nodes of one tree."""
     e = Tables(spark, sf_dir).events
     obs = e.select(F.col("event_id").alias("id"), (F.col("user_id") % 2).alias("token_id"), F.when(F.col("event_type") == "error", "b").otherwise("a").alias("pair_id"),
         F.timestamp_micros(F.floor(micros("ts") / 4)).cast("timestamp_ntz").alias("received_at"), F.col("value").alias("price_usd"),
         F.when(F.col("event_type") != "error", F.col("value") * 10).alias("liquidity_usd"), "event_type")
     candidates = obs.filter("event_type = 'purchase'").select("token_id", F.col("received_at").alias("decision_at")).distinct()
-    return dataset.outcome_labels(candidates, {"observations": obs.drop("event_type")})
+    return dataset.outcome_labels(candidates, {"observations": obs.drop("event_type")}, dense=True)
