@@ -18,6 +18,7 @@ from tidemark.functions.scalar import MICROS, buy_ratio, change, imbalance, micr
 from tidemark.operators import pathtree
 from tidemark.operators.asof import asof_join, asof_largest, lookbacks, path_join
 from tidemark.operators.paths import DENSE, fullest_span
+from tidemark.operators.stats import quantiles, value_counts
 from tidemark.work import durable
 
 KEY = ["token_id", "decision_at"]
@@ -447,5 +448,17 @@ def quality_report(rows: DataFrame) -> DataFrame:
         F.round(ratio("x.v", "n"), 6).alias("value"))
 
 
+def distributions(rows: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """name, n, minimum, p50, p99 and maximum of numeric columns (by default all), nulls and NaN left out; percentiles by the lower index. Columns without a value have no row.
+
+    All columns are counted by value in one pass and their ranks selected together."""
+    numeric = [f.name for f in rows.schema.fields if f.dataType.typeName() in ("byte", "short", "integer", "long", "float", "double", "decimal")]
+    wide = rows.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in (columns or numeric)])
+    long = wide.unpivot([], wide.columns, "name", "value").filter("value IS NOT NULL AND NOT isnan(value)")
+    counts = value_counts(long, ["name"], "value")
+    ends = counts.groupBy("name").agg(F.sum("_n").alias("n"), F.min("_v").alias("minimum"), F.max("_v").alias("maximum"))
+    return ends.join(quantiles(counts, ["name"], {"p50": ("lower", 0.5), "p99": ("lower", 0.99)}), "name").select("name", "n", "minimum", "p50", "p99", "maximum")
+
+
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -888,12 +888,12 @@ def q115_reconciled_counts(spark, sf_dir):
 
 @query("""
 WITH r AS (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS place, o_orderkey FROM orders)
-SELECT place // 512 * 512 AS first_row, place // 512 * 512 + 512 AS rows_until FROM r WHERE o_orderkey >= 2000 ORDER BY place LIMIT 1
+SELECT place // 512 * 512 AS first_row, place // 512 * 512 + 512 AS rows_until FROM r WHERE o_orderkey >= 700 ORDER BY place LIMIT 1
 """)
 def q116_first_difference(spark, sf_dir):
     """Where two copies of a table, cut differently, begin to differ, from their Merkle trees."""
     o = Tables(spark, sf_dir).orders
-    later = o.withColumn("o_totalprice", F.when(F.col("o_orderkey") >= 2000, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    later = o.withColumn("o_totalprice", F.when(F.col("o_orderkey") >= 700, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
     return merkle.first_difference(merkle.content_tree(o, "o_orderkey"), merkle.content_tree(later.repartition(5), "o_orderkey"))
 
 
@@ -950,3 +950,32 @@ def q117_all_horizons(spark, sf_dir):
         F.when(F.col("event_type") != "error", F.col("value") * 10).alias("liquidity_usd"), "event_type")
     candidates = obs.filter("event_type = 'purchase'").select("token_id", F.col("received_at").alias("decision_at")).distinct()
     return dataset.outcome_labels(candidates, {"observations": obs.drop("event_type")}, dense=True)
+
+
+_MEASURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
+@query("""
+WITH l AS (SELECT 'l_quantity' AS name, l_quantity::DOUBLE AS v FROM lineitem UNION ALL SELECT 'l_extendedprice', l_extendedprice::DOUBLE FROM lineitem
+  UNION ALL SELECT 'l_discount', l_discount::DOUBLE FROM lineitem UNION ALL SELECT 'l_tax', CASE WHEN l_returnflag <> 'A' THEN l_tax::DOUBLE END FROM lineitem),
+r AS (SELECT name, v, row_number() OVER (PARTITION BY name ORDER BY v) AS k, count(*) OVER (PARTITION BY name) AS c FROM l WHERE v IS NOT NULL)
+SELECT name, max(c) AS n, min(v) AS minimum, max(v) FILTER (WHERE k = floor((c - 1) * 0.5) + 1) AS p50, max(v) FILTER (WHERE k = floor((c - 1) * 0.99) + 1) AS p99,
+  max(v) AS maximum FROM r GROUP BY 1
+""")
+def q118_distributions(spark, sf_dir):
+    """What a quality report says of numeric columns, all in one pass."""
+    rows = Tables(spark, sf_dir).lineitem.withColumn("l_tax", F.when(F.col("l_returnflag") != "A", F.col("l_tax")))
+    return dataset.distributions(rows, _MEASURES)
+
+
+_TYPES = "CASE data_type WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'DATE' THEN 'date' ELSE lower(data_type) END"
+
+
+@query(f"""
+WITH n AS (SELECT 'events' AS family, count(*) AS rows, [count(*) - count(event_id), count(*) - count(ts), count(*) - count(user_id), count(*) - count(event_type), count(*) - count(value), count(*) - count(props)] AS nulls FROM events)
+SELECT family, ordinal_position::INT AS position, column_name AS name, {_TYPES} AS type, true AS nullable, rows, nulls[ordinal_position::INT] AS nulls
+FROM information_schema.columns JOIN n ON family = table_name
+""")
+def q119_schema_inventory(spark, sf_dir):
+    """Columns of a family with their types, and how many rows lack each."""
+    return tables.inventory({"events": Tables(spark, sf_dir).events})

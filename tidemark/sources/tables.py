@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -108,3 +109,15 @@ def policy_dimension(stored: DataFrame, documents: DataFrame, body: str = "body"
     """Policies addressed by the SHA-256 of their text: stored ones and those that are new, each once."""
     new = documents.select(F.sha2(F.col(body).cast("binary"), 256).alias("policy_sha256"), F.col(body).alias("body")).dropDuplicates(["policy_sha256"])
     return stored.select("policy_sha256", "body").unionByName(new.join(stored.select("policy_sha256"), "policy_sha256", "left_anti"))
+
+
+def inventory(families: Mapping[str, DataFrame]) -> DataFrame:
+    """family, position, name, type, nullable, rows and nulls of every column of every family; a family's rows are counted in one pass."""
+    out = []
+    for family, df in families.items():
+        fields = df.schema.fields
+        counted = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(f"`{f.name}`").isNull()).alias(f"_{i}") for i, f in enumerate(fields)])
+        each = F.array(*[F.struct(F.lit(i + 1).alias("position"), F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("type"), F.lit(f.nullable).alias("nullable"), F.col(f"_{i}").alias("nulls"))
+            for i, f in enumerate(fields)])
+        out.append(counted.select(F.lit(family).alias("family"), "rows", F.explode(each).alias("x")).select("family", "x.position", "x.name", "x.type", "x.nullable", "rows", "x.nulls"))
+    return reduce(DataFrame.unionByName, out)
