@@ -108,3 +108,22 @@ def test_one_orphan_a_rule_and_counts_and_keys(spark):
     t = lambda *rows: spark.createDataFrame(list(rows), "id long, at string").withColumn("at", F.col("at").cast("timestamp_ntz"))
     differ = integrity.counts_that_differ({"a": t((1, "2024-01-01"), (2, "2024-01-02")), "b": t((1, "2024-01-01"))}, {"a": t((1, "2024-01-01"), (2, "2024-01-02"), (3, "2024-01-02"))}, {"a": "at", "b": "at"})
     assert sorted(map(tuple, differ.collect())) == [("a", "2024-01-02", 1, 2), ("b", "2024-01-01", 1, 0)]
+
+
+def test_stray_and_missing_files(spark, sf_dir, tmp_path):
+    import os
+    import shutil
+
+    events, root = spark.read.parquet(f"{sf_dir}/events.parquet"), f"file://{tmp_path}/a"
+    entry = archive.export_family(events, root, "events", "ts", ["event_id"])
+    archive.publish(spark, root, [entry])
+    one = sorted(entry["files"])[0]
+    held = f"{tmp_path}/a/family=events/{one}"
+    shutil.copy(held, f"{os.path.dirname(held)}/part-stray.parquet")
+    assert archive.open_family(spark, root, entry).count() == events.count()
+    assert any("part-stray" in f for f in archive.verify(spark, root))
+    os.remove(f"{os.path.dirname(held)}/part-stray.parquet")
+    assert archive.verify(spark, root) == []
+    os.remove(held)
+    faults = archive.verify(spark, root)
+    assert any(one in f for f in faults) and any("not as the manifest says" in f for f in faults)
