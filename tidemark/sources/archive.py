@@ -126,7 +126,7 @@ def verify(spark: SparkSession, root: str, manifest: dict | None = None) -> list
         for name in sorted({*stored, *e["files"]}):
             if stored.get(name) != e["files"].get(name):
                 faults.append(f"{e['family']} {name}: {stored.get(name)} bytes instead of {e['files'].get(name)}")
-        df = open_family(spark, root, e | {"files": {n: b for n, b in e["files"].items() if n in stored}})
+        df = open_family(spark, root, e | {"files": stored})  # all that is there, so that a stray file shows in its day too
         found = {r["day"]: r.asDict() for r in family_facts(df, e["at"], e["key"]).collect()}
         said = {d["day"]: d for d in e["days"]}
         for day in sorted({*found, *said}):
