@@ -47,11 +47,8 @@ def _rounds(edges: DataFrame) -> DataFrame:
     return roots
 
 
-def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
-    """node and component (its smallest node), for nodes of any type that has an order.
-
-    Nodes are worked on as 64-bit hashes; should two share one, all are hashed anew."""
-    pairs = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a <> b")
+def as_longs(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """pairs (a, b and others) with x and y, their ends as 64-bit hashes; and id and node of all ends. Should two nodes share a hash, all are hashed anew."""
     seed = 0
     while True:
         hashed = durable(pairs.withColumns({"x": F.xxhash64("a", F.lit(seed)), "y": F.xxhash64("b", F.lit(seed))}), "pairs")
@@ -59,10 +56,17 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
         each = hashed.select(F.col("x").alias("id"), F.col("a").alias("node")).union(hashed.select("y", "b")).distinct()
         named = durable(each.groupBy("id").agg(F.min("node").alias("node"), F.max("node").alias("other")), "nodes")
         if named.filter("node <> other").isEmpty():
-            break
+            return hashed, named.select("id", "node")
         seed += 1
-        pairs = hashed.select("a", "b")
+        pairs = hashed.drop("x", "y")
+
+
+def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
+    """node and component (its smallest node), for nodes of any type that has an order.
+
+    Nodes are worked on as 64-bit hashes."""
+    hashed, named = as_longs(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a <> b"))
     roots = _rounds(hashed.select("x", "y")).withColumnRenamed("node", "id")
-    roots = durable(roots.join(named.select("id", "node"), "id"), "roots")
+    roots = durable(roots.join(named, "id"), "roots")
     least = roots.groupBy("root").agg(F.min("node").alias("component"))
     return roots.join(least, "root").select("node", "component")

@@ -13,7 +13,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tidemark.functions import parse, scalar
 from tidemark.functions.scalar import micros, seconds_between
-from tidemark.operators import asof
+from tidemark.operators import asof, merges
 from tidemark.operators.joins import in_any
 from tidemark.plans import cold, context, dataset, policies, report, security
 from tidemark.plans.queries import QUERIES, SQL, Tables, query
@@ -979,3 +979,27 @@ FROM information_schema.columns JOIN n ON family = table_name
 def q119_schema_inventory(spark, sf_dir):
     """Columns of a family with their types, and how many rows lack each."""
     return tables.inventory({"events": Tables(spark, sf_dir).events})
+
+
+_AS_OF = ("1995-02-01", "1995-04-01", "1995-07-01", "1996-01-01", "1998-01-01")
+
+
+@query(f"""
+WITH RECURSIVE t AS (SELECT unnest([{", ".join(f"TIMESTAMP '{d}'" for d in _AS_OF)}]) AS as_of),
+e AS (SELECT DISTINCT as_of, 'p' || l_partkey AS p, 'o' || l_orderkey AS o FROM lineitem JOIN t ON l_shipdate <= as_of),
+b AS (SELECT as_of, p AS x, o AS y FROM e UNION ALL SELECT as_of, o, p FROM e),
+r(as_of, node, component) USING KEY (as_of, node) AS (
+  SELECT DISTINCT as_of, x, x FROM b
+  UNION (SELECT u.as_of, u.node, min(v.component) FROM recurring.r AS u JOIN b ON b.as_of = u.as_of AND b.x = u.node JOIN r AS v ON v.as_of = b.as_of AND v.node = b.y
+    WHERE v.component < u.component GROUP BY u.as_of, u.node)),
+s AS (SELECT as_of, component, count(*) AS n FROM r GROUP BY 1, 2)
+SELECT x.part, x.as_of, coalesce(r.component, x.part) AS cluster, coalesce(s.n, 1) AS cluster_size FROM (SELECT 'p' || p_partkey AS part, as_of FROM part CROSS JOIN t) x
+LEFT JOIN r ON r.as_of = x.as_of AND r.node = x.part LEFT JOIN s ON s.as_of = r.as_of AND s.component = r.component
+""")
+def q120_clusters_as_of(spark, sf_dir):
+    """Clusters of parts that one order was shipped with, as of five times, from one history of merges."""
+    t = Tables(spark, sf_dir)
+    edges = t.lineitem.select(F.concat(F.lit("p"), F.col("l_partkey")).alias("a"), F.concat(F.lit("o"), F.col("l_orderkey")).alias("b"), "l_shipdate")
+    times = F.array(*[F.lit(d).cast("timestamp_ntz") for d in _AS_OF])
+    probes = t.part.select(F.concat(F.lit("p"), F.col("p_partkey")).alias("part"), F.explode(times).alias("as_of"))
+    return merges.clusters_as_of(probes, "part", "as_of", merges.merge_history(edges, "a", "b", "l_shipdate"))
