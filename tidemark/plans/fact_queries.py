@@ -19,6 +19,7 @@ from tidemark.plans import cold, context, dataset, policies, report, security
 from tidemark.plans.queries import QUERIES, SQL, Tables, query
 from tidemark.sources import archive, integrity, merkle, tables, zones
 from tidemark.streaming import events as streams
+from tidemark.streaming import timers
 from tidemark.work import work_folder
 
 __all__ = ["QUERIES", "SQL"]
@@ -1003,3 +1004,21 @@ def q120_clusters_as_of(spark, sf_dir):
     times = F.array(*[F.lit(d).cast("timestamp_ntz") for d in _AS_OF])
     probes = t.part.select(F.concat(F.lit("p"), F.col("p_partkey")).alias("part"), F.explode(times).alias("as_of"))
     return merges.clusters_as_of(probes, "part", "as_of", merges.merge_history(edges, "a", "b", "l_shipdate"))
+
+
+@query(f"""
+WITH e AS (SELECT user_id AS key, epoch_us(ts) // 1000 AS t, event_type = 'signup' AS admits FROM events),
+a AS (SELECT key, t, lead(t) OVER (PARTITION BY key ORDER BY t) AS next FROM (SELECT DISTINCT key, t FROM e WHERE admits)),
+c AS (SELECT unnest([{", ".join(f"{{'coverage': '{n}', 'a': {s}000, 'b': {e}000}}" for (n, s, _), (_, e, _) in zip(policies.COVERAGE, policies.COVERAGE[1:], strict=False))}], recursive := true)),
+s AS (SELECT key, coverage, t + a AS began, least(t + b, next) AS ended FROM a CROSS JOIN c WHERE t + a < coalesce(next, t + b)),
+o AS (SELECT s.key, s.coverage, s.began, s.ended, count(e.t) AS n FROM s LEFT JOIN e ON e.key = s.key AND e.t >= s.began AND e.t < s.ended GROUP BY ALL)
+SELECT key, coverage, round(began / 1000.0, 3) AS began, round(ended / 1000.0, 3) AS ended, n AS observations FROM o
+WHERE ended <= (SELECT epoch_us(max(ts) + INTERVAL 1 DAY) // 1000 FROM events)
+""")
+def q121_stream_coverage(spark, sf_dir):
+    """Coverage classes of users, that signing up starts again, each when a timer or a new start ends it."""
+    rows = streams.ordered_stream(spark, sf_dir, flush=True)
+    covered = timers.coverage_stream(rows, "user_id", "ts", F.col("event_type") == "signup")
+    folder = streams.stream_folder(spark, "coverage")
+    out = streams.run_to_end(covered, f"{folder}/out", f"{folder}/checkpoint", "append")
+    return out.select("key", "coverage", F.round("began", 3).alias("began"), F.round("ended", 3).alias("ended"), "observations")

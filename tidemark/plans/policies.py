@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.cuts import any_hot, hot_cuts, same, with_chunks
+from tidemark.work import durable
+
 
 @dataclass(frozen=True)
 class LifecycleRule:
@@ -154,7 +155,36 @@ def simulate_tiers(observations: DataFrame, key: str, t: Column, value: str, pol
         (F.count(F.lit(1)) - 1).alias("renewals")).drop("_span")
 
 
-_RANK = {"TIER_0": 0, "TIER_1": 1, "TIER_2": 2, "TIER_3": 3}
+TIERS = ("TIER_0", "TIER_1", "TIER_2", "TIER_3")
+
+#: Decisions that one row holds while they are folded.
+PIECE = 256
+
+_STATE = "struct<tier: int, seen: double, until: double>"
+
+
+def _moved(state: Column, r: Column) -> tuple[Column, Column]:
+    """The tier after a decision, and whether the decision makes a change: to another tier, or of coverage that has ended."""
+    tier, seen, until = state["tier"], state["seen"], state["until"]
+    old = F.coalesce((r["watermark"] < seen) | ((r["watermark"] == seen) & (r["want"] < tier)), F.lit(False))
+    target = F.when(~r["eligible"] & F.coalesce(r["t"] < until, F.lit(False)), tier).otherwise(r["want"])
+    renewed = (target == tier) & (tier > 0) & r["eligible"] & F.coalesce(until <= r["t"], F.lit(False))
+    return target, ~old & ((target != tier) | renewed)
+
+
+def _fold(given: Column, rows: Column, id_type: str) -> Column:
+    """state, after the decisions of one piece, and moves, the changes they make to the state given."""
+    kind = f"array<struct<id: {id_type}, previous: int, tier: int, t: double, covered_until: double>>"
+
+    def step(acc: Column, r: Column) -> Column:
+        target, moved = _moved(acc["state"], r)
+        until = F.when(target > 0, r["t"] + r["ttl"])
+        after = F.struct(target.alias("tier"), r["watermark"].alias("seen"), until.alias("until")).cast(_STATE)
+        move = F.struct(r["id"].alias("id"), acc["state"]["tier"].alias("previous"), target.alias("tier"), r["t"].alias("t"), until.alias("covered_until"))
+        longer = F.concat(acc["moves"], F.array(move).cast(kind))
+        return F.struct(F.when(moved, after).otherwise(acc["state"]).alias("state"), F.when(moved, longer).otherwise(acc["moves"]).alias("moves"))
+
+    return F.aggregate(rows, F.struct(given.alias("state"), F.array().cast(kind).alias("moves")), step)
 
 
 def tier_transitions(decisions: DataFrame) -> DataFrame:
@@ -163,31 +193,37 @@ def tier_transitions(decisions: DataFrame) -> DataFrame:
     decisions: token_id, id, t (seconds of the evaluation), watermark, tier, eligible, ttl. Rules: evidence older than
     what was used already is ignored; evidence of the same time never demotes; a token that is not eligible
     any more keeps its tier until its coverage ends. A change sets the coverage to t + ttl, or to nothing in
-    tier 0. Tokens are spread over the cluster and their decisions sorted; a token's state, a few values, is carried along the
-    rows, so a long history needs no more memory than a short one."""
-    rows = decisions.select("token_id", "id", F.col("t").cast("double").alias("t"), F.col("watermark").cast("double").alias("watermark"), "tier",
-        "eligible", F.col("ttl").cast("double").alias("ttl"))
-    kinds = dict(rows.dtypes)
-    sorted_rows = rows.repartition("token_id").sortWithinPartitions("token_id", "t", "id")
-    return sorted_rows.mapInPandas(_walk, f"token_id {kinds['token_id']}, id {kinds['id']}, previous string, tier string, t double, covered_until double")
-
-
-def _walk(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    token, tier, seen, until = None, "TIER_0", None, None
-    for rows in batches:
-        out = []
-        for r in rows.itertuples():
-            if r.token_id != token:
-                token, tier, seen, until = r.token_id, "TIER_0", None, None
-            if seen is not None and (r.watermark < seen or (r.watermark == seen and _RANK[r.tier] < _RANK[tier])):
-                continue
-            target = tier if not r.eligible and until is not None and r.t < until else r.tier
-            renewed = target == tier and tier != "TIER_0" and r.eligible and until is not None and until <= r.t
-            if target != tier or renewed:
-                until = None if target == "TIER_0" else r.t + r.ttl
-                out.append((token, r.id, tier, target, r.t, until))
-                tier, seen = target, r.watermark
-        yield pd.DataFrame(out, columns=["token_id", "id", "previous", "tier", "t", "covered_until"]).astype({"t": "float64", "covered_until": "float64"})
+    tier 0. Decisions without a time, a watermark or a known tier are left out; a null eligible is false. Tokens start in tier 0.
+
+    A token's decisions, sorted by (t, id), are cut into pieces, which are folded apart, each from a guess of what it starts with: nothing. What a change leaves depends on its
+    decision alone, so pieces end alike from nearly any start. A piece that makes a change hands its end to the next, one that makes none hands on what it was
+    given; pieces that were given something else than they guessed are folded again, until none is. That is exact however many rounds it takes, and
+    in each the first wrong piece of every token is set right. The line of a hot token is cut first, so no task sorts all of it."""
+    rows = decisions.select("token_id", "id", F.col("t").cast("double").alias("t"), F.col("watermark").cast("double").alias("watermark"),
+        (F.array_position(F.array(*map(F.lit, TIERS)), F.col("tier")) - 1).cast("int").alias("want"), F.coalesce("eligible", F.lit(False)).alias("eligible"),
+        F.col("ttl").cast("double").alias("ttl")).filter("t IS NOT NULL AND watermark IS NOT NULL AND want >= 0")
+    by, place = ["token_id"], ["token_id", "_chunk", "_part"]
+    cut = with_chunks(rows, hot_cuts(rows, by, "t"), by, "t") if any_hot(rows.select("token_id", "t"), by, "t") else rows.withColumn("_chunk", F.lit(0))
+    numbered = cut.withColumn("_part", F.floor((F.row_number().over(Window.partitionBy("token_id", "_chunk").orderBy("t", "id")) - 1) / PIECE))
+    packed = numbered.groupBy(*place).agg(F.array_sort(F.collect_list(F.struct("t", "id", "watermark", "want", "eligible", "ttl"))).alias("_rows"))
+    pieces = durable(packed, "decisions")
+    start = F.struct(F.lit(0).alias("tier"), F.lit(None).alias("seen"), F.lit(None).alias("until")).cast(_STATE)
+    id_type = dict(rows.dtypes)["id"]
+    folded = durable(pieces.withColumn("_given", start).withColumn("_f", _fold(F.col("_given"), F.col("_rows"), id_type)).drop("_rows"), "folded")
+    before = Window.partitionBy("token_id").orderBy("_chunk", "_part").rowsBetween(Window.unboundedPreceding, -1)
+    while True:
+        handed = F.coalesce(F.last(F.when(F.size("_f.moves") > 0, F.col("_f.state")), ignorenulls=True).over(before), start)
+        ends = durable(folded.select(*place, "_given", handed.alias("_handed")), "handed")
+        wrong = ends.filter(~F.col("_handed").eqNullSafe(F.col("_given"))).select(*place, "_handed")
+        if wrong.isEmpty():
+            break
+        again = pieces.alias("p").join(wrong.alias("w"), same("p", "w", place)).select("p.*", F.col("w._handed").alias("_given"))
+        again = again.withColumn("_f", _fold(F.col("_given"), F.col("_rows"), id_type)).drop("_rows")
+        right = folded.alias("f").join(wrong.alias("w"), same("f", "w", place), "left_anti")
+        folded = durable(right.unionByName(again), "folded")
+    name = F.array(*map(F.lit, TIERS))
+    return folded.select("token_id", F.explode("_f.moves").alias("m")).select("token_id", "m.id", name[F.col("m.previous")].alias("previous"),
+        name[F.col("m.tier")].alias("tier"), "m.t", "m.covered_until")
 
 
 def plan_capacity(counts: dict[str, int], intervals: dict[str, int], weights: dict[str, float], per_minute: float, floor_share: float = 0.05) -> dict:
