@@ -3,7 +3,7 @@
 The plain patterns run on the text as it is. Then two transducers rewrite it:
 look-alike characters become the ASCII ones they imitate, and letters that stand for digits
 within a run of digits become these, one for one; and at/dot disguises, spelled digits, "plus" and invisible characters become the
-character they stand for, with a list of where each rewritten piece came from.
+character they stand for (in the words of English, German, French and Spanish, and the codes of pages and links), with a list of where each rewritten piece came from.
 The same patterns run on the result, and what they find is mapped back to the
 characters of the source that it was made of.
 """
@@ -30,7 +30,16 @@ LOOK_ALIKES = dict(zip("аеорсухіјѕԁһӏԛԝАВЕКМНОРСТУХІ
 # Characters that stand for a full stop, an at sign, a hyphen or a space.
 SIGNS = dict(zip("。․‧∙﹒﹫‐‑‒–—−﹣      　", "....." + "@" + "-------" + "       ", strict=True))
 INVISIBLE = "­​‌‍⁠﻿"
-SPELLED = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
+# Digits spelled in English, German, French and Spanish, from 0 on.
+SPELLED = {"oh": "0"} | {
+    w: str(d)
+    for words in ("zero one two three four five six seven eight nine", "null eins zwei drei vier fünf sechs sieben acht neun",
+        "zéro un deux trois quatre cinq six sept huit neuf", "cero uno dos tres cuatro cinco seis siete ocho nueve")
+    for d, w in enumerate(words.split())
+}
+# What the at sign and the full stop are called in those languages, beside at and dot, and how pages write them.
+AT_WORDS, DOT_WORDS = "arroba|arobase|arobas|klammeraffe", "punkt|point|punto"
+AT_CODES, DOT_CODES = "&[#]64;|&[#]x40;|&commat;|%40", "&[#]46;|&[#]x2e;|&period;|%2e"
 
 
 def _single_forms() -> dict[int, str]:
@@ -53,19 +62,39 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
-_WORDS = "|".join(SPELLED)
+_ARTICLE = "un"  # a digit only before another one
+_OTHERS = "|".join(w for w in SPELLED if w != _ARTICLE)
+_WORDS = rf"{_OTHERS}|{_ARTICLE}(?=[ ,-]+(?:{_OTHERS})\b)"
 _SPACES = r"(?:(?<![ ])[ ]*|)"  # a whole run of spaces or none, so that a long run is gone through once
+_ANY_DOT = f"(?:dot|{DOT_WORDS})"
 _TOKEN = re.compile(
-    rf"""(?P<at> {_SPACES} [\[({{<] [ ]* (?:at|@) [ ]* [\])}}>] [ ]* | (?<=[a-z0-9]) (?:[ ]+@[ ]*|[ ]*@[ ]+) (?=[a-z0-9])
-            | (?<=[a-z0-9]) [ ]+ at [ ]+ (?= [a-z0-9-]+ (?: [ ]+dot[ ]+ | [ ]*[\[({{<][ ]*dot ) ) )
-      | (?P<dot> {_SPACES} [\[({{<] [ ]* (?:dot|\.) [ ]* [\])}}>] [ ]* | (?<=[a-z0-9]) [ ]+ dot [ ]+ (?=[a-z0-9]) )
+    rf"""(?P<at> {_SPACES} [\[({{<] [ ]* (?:at|@|{AT_WORDS}) [ ]* [\])}}>] [ ]* | (?<=[a-z0-9]) (?:[ ]+@[ ]*|[ ]*@[ ]+) (?=[a-z0-9])
+            | (?<=[a-z0-9]) [ ]+ at [ ]+ (?= [a-z0-9-]+ (?: [ ]+(?:dot|punkt)[ ]+ | [ ]*[\[({{<][ ]*{_ANY_DOT} ) )
+            | (?<=[a-z0-9]) [ ]+ (?:{AT_WORDS}) [ ]+ (?= [a-z0-9-]+ (?: [ ]+{_ANY_DOT}[ ]+ | [ ]*[\[({{<][ ]*{_ANY_DOT} | \.[a-z0-9] ) )
+            | (?<=[a-z0-9]) (?:{AT_CODES}) (?=[a-z0-9]) )
+      | (?P<name> (?<=[a-z0-9]) [ ]+ at [ ]+ (?= [a-z0-9-]+ \. [a-z0-9] ) )
+      | (?P<dot> {_SPACES} [\[({{<] [ ]* (?:dot|\.) [ ]* [\])}}>] [ ]* | (?<=[a-z0-9]) [ ]+ dot [ ]+ (?=[a-z0-9]) | (?<=[a-z0-9]) (?:{DOT_CODES}) (?=[a-z0-9]) )
+      | (?P<word> {_SPACES} [\[({{<] [ ]* (?:{DOT_WORDS}) [ ]* [\])}}>] [ ]* | (?<=[a-z0-9]) [ ]+ (?:{DOT_WORDS}) [ ]+ (?=[a-z0-9]) )
       | (?P<plus> \b plus [ -]* (?= [0-9] | (?:{_WORDS}) \b ) )
       | (?P<digit> \b (?:{_WORDS}) \b (?: [ ,-]+ (?= (?:{_WORDS}) \b ) )? )
       | (?P<none> [{INVISIBLE}]+ )""",
     re.X | re.I,
 )
-_BRACKETED = re.compile(r"[\[({<] *(?:at|dot|@|\.) *[\])}>]")
+_BRACKETED = re.compile(rf"[\[({{<] *(?:at|dot|@|\.|{AT_WORDS}|{DOT_WORDS}) *[\])}}>]")
 _BARE = re.compile(r"\bdot\b|\bplus")
+_CODED = re.compile(f"{AT_CODES}|{DOT_CODES}")
+#: "at" before a written domain is an at sign only after a name with a full stop or underscore in it: "look at example.com" is prose.
+_NAMED = re.compile(r"[a-z0-9][._][a-z0-9]+ +at +[a-z0-9-]+\.[a-z0-9]")
+_NAME = re.compile(r"(?<![A-Za-z0-9])[A-Za-z][A-Za-z0-9]*[._][A-Za-z0-9._]*$")
+#: Words for the full stop that are common in prose count between names of one address only: behind an at sign and a name, or before a name, or a few, and an at sign.
+_BEHIND_AT = re.compile(r"@[A-Za-z0-9-]+$")
+_BEFORE_AT = re.compile(
+    rf"[a-z0-9_-]{{1,64}}(?: {{1,4}}(?:{DOT_WORDS}) {{1,4}}[a-z0-9_-]{{1,64}}){{0,3}}(?: {{0,4}}[\[({{<] {{0,4}}(?:at|@|{AT_WORDS}) {{0,4}}[\])}}>]| {{0,4}}@| {{1,4}}(?:at|{AT_WORDS}) {{1,4}}[a-z0-9-]{{1,64}}(?: {{1,4}}{_ANY_DOT} | {{0,4}}[\[({{<]|\.))",
+    re.I,
+)
+_LABEL = re.compile("[A-Za-z0-9-]+")
+#: How far back a name is looked for: the longest that an address or a label of a domain can have.
+_BACK = 66
 _BESIDE = re.compile(rf"\b(?:{_WORDS})[ ().,-]+(?:[0-9]|(?:{_WORDS})\b)|[0-9][ ().,-]+(?:{_WORDS})\b")  # what may stand between the digits of a span
 _CASES = str.maketrans("ſıİ", "sii")  # other than A-Z, what re.I takes for letters of the tokens
 _UNSEEN = re.compile(f"[{INVISIBLE}]")
@@ -125,6 +154,10 @@ def _may_be_disguised(text: str) -> bool:
         " @" in low or "@ " in low
         or (("dot" in low or "plus" in low) and _BARE.search(low))
         or (any(c in low for c in "[({<") and _BRACKETED.search(low))
+        or (any(c in low for c in "&%") and _CODED.search(low))
+        or "arroba" in low or "arobas" in low or "klammeraffe" in low
+        or (("punkt" in low or "point" in low or "punto" in low) and ("@" in low or " at " in low))
+        or (" at " in low and _NAMED.search(low))
         or (any(w in low for w in SPELLED) and _BESIDE.search(low))
         or (not text.isascii() and _UNSEEN.search(text))
     )
@@ -139,7 +172,7 @@ def rewrite(text: str) -> tuple[str, list[int], list[tuple[int, int]]] | None:
         plain = _MIXED.sub(_letters_as_digits, plain)
     if plain == text and not _may_be_disguised(text):
         return None
-    parts, begins, sources, at, size = [], [], [], 0, 0
+    parts, begins, sources, at, size, in_domain = [], [], [], 0, 0, False
 
     def add(piece: str, source: int, copied: int) -> None:
         nonlocal size
@@ -150,9 +183,16 @@ def rewrite(text: str) -> tuple[str, list[int], list[tuple[int, int]]] | None:
             size += len(piece)
 
     for m in _TOKEN.finditer(plain):
-        add(plain[at : m.start()], at, 1)
         kind = m.lastgroup
-        stands = "" if kind == "none" else {"at": "@", "dot": ".", "plus": "+"}.get(kind) or SPELLED[re.match("[a-z]+", m.group(), re.I).group().translate(_CASES).lower()]
+        if kind == "name" and not _NAME.search(plain[max(m.start() - _BACK, 0) : m.start()]):
+            continue
+        if kind == "word" and not _BEFORE_AT.match(plain, m.end()):
+            between = plain[max(at, m.start() - _BACK) : m.start()]  # since the last token undone, which may be the at sign or another full stop of the domain
+            if not (_BEHIND_AT.search(between) or (in_domain and m.start() - at <= _BACK and _LABEL.fullmatch(between))):
+                continue
+        in_domain = kind in ("at", "name") or (kind in ("dot", "word") and in_domain) or (kind == "word" and bool(_BEHIND_AT.search(plain[max(at, m.start() - _BACK) : m.start()])))
+        add(plain[at : m.start()], at, 1)
+        stands = "" if kind == "none" else {"at": "@", "name": "@", "dot": ".", "word": ".", "plus": "+"}.get(kind) or SPELLED[re.match(r"[^\W\d_]+", m.group()).group().translate(_CASES).lower()]
         add(stands, m.start(), 0)
         at = m.end()
     add(plain[at:], at, 1)
