@@ -1022,3 +1022,33 @@ def q121_stream_coverage(spark, sf_dir):
     folder = streams.stream_folder(spark, "coverage")
     out = streams.run_to_end(covered, f"{folder}/out", f"{folder}/checkpoint", "append")
     return out.select("key", "coverage", F.round("began", 3).alias("began"), F.round("ended", 3).alias("ended"), "observations")
+
+
+@query("""
+WITH n AS (SELECT TIMESTAMP '2024-01-15' AS now),
+f AS (SELECT 'requests' AS family, ts AS at_, event_type AS state, NULL AS coverage_class, value > 120 AS failed, NULL::TIMESTAMP AS due, value AS figure FROM events
+  UNION ALL SELECT 'schedules', o_orderdate, o_orderstatus, CASE WHEN o_orderkey % 7 > 0 THEN o_orderpriority END, NULL, o_orderdate + to_days((o_orderkey % 4000)::INT),
+    NULL FROM orders
+  UNION ALL SELECT 'batches', l_shipdate, NULL, NULL, NULL, NULL, l_quantity / 50.0 FROM lineitem),
+g AS (SELECT family, state, coverage_class, CASE WHEN grouping(state) + grouping(coverage_class) = 2 THEN 'all' WHEN grouping(coverage_class) = 1 THEN 'state'
+    ELSE 'coverage_class' END AS level, count(*) AS rows, count(*) FILTER (WHERE at_ > now - INTERVAL 1 MINUTE) AS last_minute,
+  count(*) FILTER (WHERE at_ > now - INTERVAL 1 HOUR) AS last_hour, count(*) FILTER (WHERE at_ > now - INTERVAL 1 HOUR AND failed) AS failed_last_hour,
+  count(*) FILTER (WHERE due < now) AS overdue, max(CASE WHEN due < now THEN epoch_us(now) - epoch_us(due) END) / 1000000.0 AS most_overdue_seconds,
+  round(avg(figure), 6) AS mean_figure, max(figure) AS largest_figure, round(quantile_cont(figure, 0.95), 6) AS p95,
+  (epoch_us(any_value(now)) - epoch_us(max(at_))) / 1000000.0 AS idle_seconds FROM f CROSS JOIN n WHERE at_ <= now
+  GROUP BY GROUPING SETS ((family), (family, state), (family, coverage_class)))
+SELECT family, state, coverage_class, level, rows, last_minute, last_hour, failed_last_hour, overdue, most_overdue_seconds, mean_figure, largest_figure,
+  CASE WHEN level = 'all' THEN p95 END AS p95_figure, idle_seconds, round(last_hour / 60.0, 6) AS rows_per_minute FROM g
+WHERE level = 'all' OR (level = 'state' AND family <> 'batches') OR (level = 'coverage_class' AND family = 'schedules')
+""")
+def q122_collector_figures(spark, sf_dir):
+    """Counts, failures, lateness and idle times of three families, by state and coverage class, in one pass."""
+    t = Tables(spark, sf_dir)
+    families = {
+        "requests": t.events.select(F.col("ts").alias("at"), F.col("event_type").alias("state"), (F.col("value") > 120).alias("failed"), F.col("value").alias("figure")),
+        "schedules": t.orders.select(F.col("o_orderdate").alias("at"), F.col("o_orderstatus").alias("state"),
+            F.when(F.col("o_orderkey") % 7 > 0, F.col("o_orderpriority")).alias("coverage_class"),
+            (F.col("o_orderdate") + F.make_dt_interval((F.col("o_orderkey") % 4000).cast("int"))).alias("due_at")),
+        "batches": t.lineitem.select(F.col("l_shipdate").alias("at"), (F.col("l_quantity") / 50.0).alias("figure")),
+    }
+    return report.collector_figures(families, "2024-01-15 00:00:00").withColumns({c: F.round(c, 6) for c in ("mean_figure", "p95_figure", "rows_per_minute")})

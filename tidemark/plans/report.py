@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import MICROS, col, micros, ratio, seconds_between
-from tidemark.operators.stats import interpolated, null_rate
+from tidemark.operators.stats import interpolated, null_rate, quantiles, value_counts
 
 OBSERVED = ("price_usd", "liquidity_usd", "market_cap_usd", "volume_m5_usd", "volume_h1_usd", "buys_m5", "sells_m5")
 
@@ -149,3 +149,41 @@ def component_status(heartbeats: DataFrame, now: str, stale_after: int) -> DataF
     age = seconds_between("at", F.lit(now).cast("timestamp_ntz"))
     return last.select("component", F.when(F.col("state").isin("STOPPED", "FAILED"), F.col("state")).when(age > stale_after,
         "STALE").otherwise("HEALTHY").alias("status"), age.alias("age_seconds"))
+
+
+#: What a family of stored facts says of itself, by its column: when, in which state and coverage class, whether it failed, until when it is due, and its figure (a lateness, a latency, a share).
+STATUS_COLUMNS = {"at": "timestamp", "state": "string", "coverage_class": "string", "failed": "boolean", "due_at": "timestamp", "figure": "double"}
+
+
+def status_facts(families: dict[str, DataFrame]) -> DataFrame:
+    """All families under each other with the columns of STATUS_COLUMNS, null where a family has none, and its name."""
+    out = None
+    for name, df in families.items():
+        one = df.select(F.lit(name).alias("family"), *[(F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c) for c, t in STATUS_COLUMNS.items()])
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def collector_figures(families: dict[str, DataFrame], now: str) -> DataFrame:
+    """The figures of a collector as of now, a row for each family (level all), each of its states and each of its coverage classes.
+
+    All grouped figures come from one pass over all families with grouping sets, summed up in each task before anything is shuffled; only the 95th
+    percentile of a family is found apart, by counts of its values. Facts later than now or without a time are left out; a
+    state or class that is null has a row of its own if the family has it anywhere. Columns: rows, last_minute, last_hour, failed_last_hour, overdue (due before now), most_overdue_seconds, mean_figure, largest_figure,
+    p95_figure (level all), idle_seconds since the newest fact, rows_per_minute over the last hour."""
+    t = F.lit(now).cast("timestamp")
+    facts = status_facts(families).filter(F.col("at") <= t)
+    late = F.when(F.col("due_at") < t, seconds_between("due_at", t))
+    recent = lambda seconds: F.col("at") > t - F.expr(f"INTERVAL {seconds} SECOND")
+    sets = [[F.col("family")], [F.col("family"), F.col("state")], [F.col("family"), F.col("coverage_class")]]
+    grouped = facts.groupingSets(sets, "family", "state", "coverage_class").agg(
+        F.grouping("state").alias("_no_state"), F.grouping("coverage_class").alias("_no_class"), F.count(F.lit(1)).alias("rows"),
+        F.count_if(recent(60)).alias("last_minute"), F.count_if(recent(3600)).alias("last_hour"), F.count_if(recent(3600) & F.col("failed")).alias("failed_last_hour"),
+        F.count(late).alias("overdue"), F.max(late).alias("most_overdue_seconds"), F.avg("figure").alias("mean_figure"), F.max("figure").alias("largest_figure"),
+        seconds_between(F.max("at"), t).alias("idle_seconds"), (F.count_if(recent(3600)) / 60.0).alias("rows_per_minute"))
+    level = F.when(F.col("_no_state") + F.col("_no_class") == 2, "all").when(F.col("_no_class") == 1, "state").otherwise("coverage_class")
+    p95 = quantiles(value_counts(facts, ["family"], "figure"), ["family"], {"p95_figure": ("interpolated", 0.95)}).withColumn("level", F.lit("all"))
+    has = {"state": [n for n, df in families.items() if "state" in df.columns], "coverage_class": [n for n, df in families.items() if "coverage_class" in df.columns]}
+    told = grouped.withColumn("level", level).filter((F.col("level") == "all") | ((F.col("level") == "state") & F.col("family").isin(has["state"]))
+        | ((F.col("level") == "coverage_class") & F.col("family").isin(has["coverage_class"])))
+    return told.drop("_no_state", "_no_class").join(F.broadcast(p95), ["family", "level"], "left")  # a row a family
