@@ -10,8 +10,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Rows of a key from which its line is cut, one row in how many is looked at for it, and the most chunks of a key (SIDE * SIDE).
 HOT_ROWS, ONE_IN, SIDE = 1_000_000, 64, 16
@@ -72,3 +73,23 @@ def with_chunks(df: DataFrame, cuts: DataFrame, by: Sequence[str], at: str, only
 def every_chunk(cuts: DataFrame, by: Sequence[str]) -> DataFrame:
     """by and _chunk of all chunks that hot keys can have."""
     return cuts.select(*by, F.explode(F.sequence(F.lit(0), F.lit(SIDE * SIDE))).alias("_chunk"))
+
+
+def can_cut(df: DataFrame, at: str) -> bool:
+    """Whether cuts can be placed by this column: numbers, dates and times."""
+    return isinstance(df.schema[at].dataType, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
+def with_previous(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:
+    """df with the value, null or not, of the row before in its key; null for first rows.
+
+    The line of a hot key is cut by the first of the order columns, and the last row of each chunk is handed to the next."""
+    before = F.lag(F.struct(F.col(value).alias("v")))
+    if not can_cut(df, order[0]) or not any_hot(df.select(*by, order[0]), by, order[0]):
+        return df.withColumn(name, before.over(Window.partitionBy(*by).orderBy(*order))["v"])
+    cuts = hot_cuts(df, by, order[0])
+    last = with_chunks(df, cuts, by, order[0], only_hot=True).groupBy(*by, "_chunk").agg(F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("_own"))
+    handed = last.select(*by, "_chunk", F.lag("_own").over(Window.partitionBy(*by).orderBy("_chunk")).alias("_handed"))  # chunks without rows are not there
+    own = with_chunks(df, cuts, by, order[0]).withColumn("_before", before.over(Window.partitionBy(*by, "_chunk").orderBy(*order)))
+    joined = own.alias("o").join(F.broadcast(handed.alias("h")), same("o", "h", [*by, "_chunk"]), "left").select("o.*", "h._handed")
+    return joined.withColumn(name, F.coalesce("_before", "_handed")["v"]).drop("_before", "_handed", "_chunk")

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.cuts import any_hot, hot_cuts, same, with_chunks
+from tidemark.operators.cuts import any_hot, can_cut, hot_cuts, same, with_chunks, with_previous
 
 
 def latest_per(df: DataFrame, by: Sequence[str], *order: str) -> DataFrame:
@@ -19,14 +20,12 @@ def latest_per(df: DataFrame, by: Sequence[str], *order: str) -> DataFrame:
 
 def changed_only(df: DataFrame, scope: Sequence[str], content: Column, *order: str) -> DataFrame:
     """Rows whose content differs from that of the row before in their scope; first rows stay."""
-    w = Window.partitionBy(*scope).orderBy(*order)
-    return df.withColumn("_c", content).withColumn("_p", F.lag("_c").over(w)).filter(F.col("_p").isNull() | (F.col("_p") != F.col("_c"))).drop("_c", "_p")
+    return with_previous(df.withColumn("_c", content), scope, order, "_c", "_p").filter(F.col("_p").isNull() | (F.col("_p") != F.col("_c"))).drop("_c", "_p")
 
 
 def threshold_crossings(df: DataFrame, by: Sequence[str], value: str, order: Sequence[str], thresholds: Sequence[float]) -> DataFrame:
     """A row for each threshold passed between consecutive values: up if prev < T <= now, down if prev >= T > now."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    steps = df.withColumn("_prev", F.lag(value).over(w)).filter(F.col("_prev").isNotNull())
+    steps = with_previous(df, by, order, value, "_prev").filter(F.col("_prev").isNotNull())
     each = steps.withColumn("threshold", F.explode(F.array(*[F.lit(float(t)) for t in thresholds])))
     up = (F.col("_prev") < F.col("threshold")) & (F.col("threshold") <= F.col(value))
     down = (F.col("_prev") >= F.col("threshold")) & (F.col("threshold") > F.col(value))
@@ -34,13 +33,31 @@ def threshold_crossings(df: DataFrame, by: Sequence[str], value: str, order: Seq
 
 
 def trailing_run(df: DataFrame, by: Sequence[str], sign: Column, *order: str) -> DataFrame:
-    """For each row: how many rows up to it have its sign without a break; 0 for sign 0 or null."""
-    w = Window.partitionBy(*by).orderBy(*order)
+    """For each row: how many rows up to it have its sign without a break; 0 for sign 0 or null.
+
+    The line of a hot key is cut: runs are counted within chunks, and one that reaches to the start of its chunk adds what the chunks before it end with."""
     signed = df.withColumn("_s", F.coalesce(sign.cast("int"), F.lit(0)))
-    islands = signed.withColumn("_new", (F.col("_s") != F.coalesce(F.lag("_s").over(w), F.lit(9))).cast("int")).withColumn("_island",
-        F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    inner = Window.partitionBy(*by, "_island").orderBy(*order)
-    return islands.withColumn("run_length", F.when(F.col("_s") == 0, 0).otherwise(F.row_number().over(inner))).drop("_s", "_new", "_island")
+    hot = can_cut(df, order[0]) and any_hot(signed.select(*by, order[0]), by, order[0])
+    cuts = hot_cuts(signed, by, order[0]) if hot else None
+    cut = with_chunks(signed, cuts, by, order[0]) if hot else signed.withColumn("_chunk", F.lit(0))
+    keys = [*by, "_chunk"]
+    w = Window.partitionBy(*keys).orderBy(*order)
+    changed = cut.withColumn("_new", (F.col("_s") != F.lag("_s").over(w)).cast("int"))
+    islands = changed.withColumn("_island", F.coalesce(F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0)))
+    counted = islands.withColumn("_run", F.row_number().over(Window.partitionBy(*keys, "_island").orderBy(*order)))
+    if hot:
+        top = F.max(F.struct("_island", "_run", "_s"))
+        ends = counted.join(F.broadcast(cuts.select(*[F.col(b).alias(f"_k{i}") for i, b in enumerate(by)])), reduce(lambda x, y: x & y,
+            [F.col(b).eqNullSafe(F.col(f"_k{i}")) for i, b in enumerate(by)]), "left_semi").groupBy(*keys).agg(top.alias("_e"))  # a row for each chunk of hot keys
+        along = Window.partitionBy(*by).orderBy("_chunk")
+        broken = (F.col("_e._island") > 0) | F.coalesce(F.lag("_e._s").over(along) != F.col("_e._s"), F.lit(True))
+        group = ends.withColumn("_broken", broken.cast("int")).withColumn("_group", F.sum("_broken").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+        tails = group.withColumn("_tail", F.sum("_e._run").over(Window.partitionBy(*by, "_group").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, 0)))
+        handed = tails.select(*keys, F.lag(F.struct("_e._s", "_tail")).over(along).alias("_h"))
+        counted = counted.alias("c").join(F.broadcast(handed.alias("h")), same("c", "h", keys), "left").select("c.*", "h._h")
+        more = F.when((F.col("_island") == 0) & (F.col("_h._s") == F.col("_s")), F.col("_h._tail")).otherwise(0)
+        counted = counted.withColumn("_run", (F.col("_run") + more).cast("int")).drop("_h")
+    return counted.withColumn("run_length", F.when(F.col("_s") == 0, 0).otherwise(F.col("_run"))).drop("_s", "_new", "_island", "_run", "_chunk")
 
 
 def interval_union(df: DataFrame, by: Sequence[str], start: str, end: str) -> DataFrame:
