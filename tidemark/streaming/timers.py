@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemark.plans.policies import COVERAGE
 
@@ -16,69 +16,49 @@ _STARTS = [start * 1000 for _, start, _ in COVERAGE]
 _LAST = len(COVERAGE) - 1
 
 
-class _Coverage(StatefulProcessor):
-    """Of a key: when it was admitted and the class not yet given out, and the observations of each class. One timer is armed, at that class's end."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.open = handle.getValueState("open", "admitted long, stage int")
-        self.seen = handle.getMapState("seen", "stage int", "n long")
-
-    def close(self) -> None:
-        pass
-
-    def _left(self, key: object, stage: int, admitted: int, ended: int) -> tuple:
-        n = self.seen.getValue((stage,))[0] if self.seen.containsKey((stage,)) else 0
-        return key, COVERAGE[stage][0], (admitted + _STARTS[stage]) / 1000, ended / 1000, n
-
-    def _until(self, key: object, now: int) -> list[tuple]:
-        """Classes whose end is at or before now; a key that is retired leaves no state."""
-        if not self.open.exists():
-            return []
-        admitted, stage = self.open.get()
-        out, first = [], stage
-        while stage < _LAST and admitted + _STARTS[stage + 1] <= now:
-            out.append(self._left(key, stage, admitted, admitted + _STARTS[stage + 1]))
-            if self.seen.containsKey((stage,)):
-                self.seen.removeKey((stage,))
-            stage += 1
-        if stage != first:
-            self.handle.deleteTimer(admitted + _STARTS[first + 1])
-            if stage == _LAST:
-                self._forget()
-            else:
-                self.open.update((admitted, stage))
-                self.handle.registerTimer(admitted + _STARTS[stage + 1])
-        return out
-
-    def _forget(self) -> None:
-        self.open.clear()
-        self.seen.clear()
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        out = []
+class _Coverage:
+    """Of a key: when it was admitted, the class not yet given out and the observations in it. Its state is read and written once a batch."""
+
+    def __init__(self, key: object, state: tuple | None) -> None:
+        self.key, self.state, self.out = key, state, []
+
+    def _leave(self, ended: int) -> None:
+        admitted, stage, n = self.state
+        self.out.append((self.key, COVERAGE[stage][0], (admitted + _STARTS[stage]) / 1000, ended / 1000, n))
+
+    def until(self, now: int) -> None:
+        """Gives out the classes whose end is at or before now; after the last one no state is left."""
+        while self.state and self.state[0] + _STARTS[self.state[1] + 1] <= now:
+            admitted, stage, _ = self.state
+            self._leave(admitted + _STARTS[stage + 1])
+            self.state = (admitted, stage + 1, 0) if stage + 1 < _LAST else None
+
+    def row(self, ms: int, admits: bool) -> None:
+        self.until(ms)
+        if admits and not (self.state and self.state[0] == ms):
+            if self.state:
+                self._leave(ms)
+            self.state = (ms, 0, 0)
+        if self.state:
+            self.state = (*self.state[:2], self.state[2] + 1)
+
+
+def _fold(key: tuple, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    c = _Coverage(key[0], tuple(state.get) if state.exists else None)
+    if state.hasTimedOut:
+        c.until(state.getCurrentWatermarkMs())  # which may have passed further boundaries
+    else:
         # The rows of a key in one batch, by time, those that admit first: as pairs of a number and a flag.
-        line = sorted((int(ms), not admits) for part in rows for ms, admits in zip(part["ms"], part["admits"], strict=True))
-        for ms, follows in line:
-            out += self._until(key[0], ms)
-            if not follows and not (self.open.exists() and self.open.get()[0] == ms):
-                if self.open.exists():
-                    admitted, stage = self.open.get()
-                    out.append(self._left(key[0], stage, admitted, ms))
-                    self.handle.deleteTimer(admitted + _STARTS[stage + 1])
-                    self._forget()
-                self.open.update((ms, 0))
-                self.handle.registerTimer(ms + _STARTS[1])
-            if self.open.exists():
-                stage = self.open.get()[1]
-                n = self.seen.getValue((stage,))[0] if self.seen.containsKey((stage,)) else 0
-                self.seen.updateValue((stage,), (n + 1,))
-        yield pd.DataFrame(out, columns=_OUT)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        # The watermark may have passed further boundaries; a timer armed for one now would wait for the next batch.
-        now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
-        yield pd.DataFrame(self._until(key[0], now), columns=_OUT)
+        for ms, follows in sorted((ms, not admits) for part in batches for ms, admits in zip(part["ms"].tolist(), part["admits"].tolist(), strict=True)):
+            c.row(ms, not follows)
+    if c.state:
+        state.update(c.state)
+        # A timer fires once the watermark is behind it, and a class ends once the watermark is at its boundary.
+        state.setTimeoutTimestamp(max(c.state[0] + _STARTS[c.state[1] + 1] - 1, state.getCurrentWatermarkMs()))
+    elif state.exists:
+        state.remove()
+    if c.out:
+        yield pd.DataFrame(c.out, columns=_OUT)
 
 
 def coverage_stream(stream: DataFrame, key: str, at: str, admits: Column, delay: str = "0 seconds") -> DataFrame:
@@ -91,4 +71,5 @@ def coverage_stream(stream: DataFrame, key: str, at: str, admits: Column, delay:
     # One condition on both, so that it stays behind the watermark, which rows without a key move too.
     rows = rows.filter(F.when(F.col("key").isNotNull(), F.col("t")).isNotNull()).withColumn("ms", F.unix_millis("t"))
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.groupBy("key").transformWithStateInPandas(_Coverage(), f"key {kind}, coverage string, began double, ended double, observations long", "Append", "EventTime")
+    return rows.groupBy("key").applyInPandasWithState(_fold, f"key {kind}, coverage string, began double, ended double, observations long",
+        "admitted long, stage int, n long", "append", GroupStateTimeout.EventTimeTimeout)
