@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from tidemark.functions.scalar import MICROS, micros
 from tidemark.work import work_folder
 
 
@@ -141,29 +142,11 @@ def keyed_state(stream: DataFrame, key: str, at: str, identity: str, value: str,
 
 def expiring_spans(stream: DataFrame, key: str, at: str, value: str, least: float, ttl_seconds: int, delay: str = "0 seconds") -> DataFrame:
     """Spans of coverage as a stream: an eligible event (value >= least) opens or renews its key's span,
-    and an event-time timer closes it ttl seconds after the last one. A span comes out once, when the watermark has
-    passed its end; the same spans as the batch simulation of tiers gives for what is closed."""
-    ttl = ttl_seconds * 1000
-
-    def fold(k: tuple, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        started, last, renewals = state.get if state.exists else (None, None, 0)
-        closed = []
-        if state.hasTimedOut:
-            closed.append((k[0], started / 1000, (last + ttl) / 1000, renewals))
-            state.remove()
-        else:
-            rows = pd.concat(list(batches), ignore_index=True)
-            for ms in sorted(int(t.timestamp() * 1000) for t in rows["t"]):
-                if started is not None and ms >= last + ttl:
-                    closed.append((k[0], started / 1000, (last + ttl) / 1000, renewals))
-                    started = None
-                started, last, renewals = (ms, ms, 0) if started is None else (started, max(last, ms), renewals + 1)
-            state.update((started, last, renewals))
-            state.setTimeoutTimestamp(max(last + ttl, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(closed, columns=["key", "started", "ended", "renewals"])
-
-    rows = stream.select(F.col(key).alias("key"), F.col(at).cast("timestamp").alias("t"),
+    which closes ttl seconds after the last one. A span comes out once, when the watermark has
+    passed its end; the same spans as the batch simulation of tiers gives for what is closed. Times are rounded to milliseconds."""
+    # Sessions of Spark itself: no Python per key. A session takes in what starts before or at its end, and a span only what comes before it;
+    # times are whole milliseconds, so that a gap shorter by a microsecond tells the two apart.
+    rows = stream.select(F.col(key).alias("key"), F.timestamp_millis(F.floor((micros(at) + 500) / 1000)).alias("t"),
         F.col(value).cast("double").alias("value")).withWatermark("t", delay).filter(F.col("value") >= least)
-    kind = rows.schema["key"].dataType.simpleString()
-    return rows.groupBy("key").applyInPandasWithState(fold, f"key {kind}, started double, ended double, renewals long",
-        "started long, last long, renewals long", "append", GroupStateTimeout.EventTimeTimeout)
+    spans = rows.groupBy("key", F.session_window("t", f"{ttl_seconds * MICROS - 1} microseconds").alias("w")).agg((F.count(F.lit(1)) - 1).alias("renewals"))
+    return spans.select("key", (F.unix_millis("w.start") / 1000).alias("started"), ((F.unix_micros("w.end") + 1) / MICROS).alias("ended"), "renewals")
