@@ -31,6 +31,23 @@ def change(now: Column | str, base: Column | str) -> Column:
     return F.when(col(base) > 0, ratio(now, base) - 1)
 
 
+def division(a: Column | str, b: Column | str) -> Column:
+    """a / b as doubles divide: infinite over 0, and 0 / 0 is NaN."""
+    x, y = col(a).cast("double"), col(b).cast("double")
+    over_zero = F.when((x == 0) | F.isnan(x), F.lit(float("nan"))).otherwise(F.signum(x) * F.lit(float("inf")))
+    return F.when((y == 0) & x.isNotNull(), over_zero).otherwise(F.try_divide(x, y))
+
+
+def plain_change(now: Column | str, base: Column | str) -> Column:
+    """now / base - 1 whatever the base, as doubles divide."""
+    return division(now, base) - 1
+
+
+def rounded(x: Column | str, digits: int) -> Column:
+    """x to so many digits, halves away from 0, as rounding the product by a power of ten does; F.round goes by the shortest decimal of x instead."""
+    return F.round(col(x) * F.lit(10.0**digits), 0) / F.lit(10.0**digits)
+
+
 def slope(now: Column | str, base: Column | str, seconds: Column | str) -> Column:
     return F.when(col(seconds) > 0, (col(now).cast("double") - col(base).cast("double")) / col(seconds))
 

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalar import MICROS, change, fixed_bucket, micros, ratio, seconds_between, stratum, tri_state
+from tidemark.functions.scalar import MICROS, change, fixed_bucket, micros, ratio, rounded, seconds_between, stratum, tri_state
 from tidemark.operators import asof, graph, stats, windows
 from tidemark.plans import policies, research
 
@@ -120,8 +120,8 @@ SELECT event_id, n AS path_count, gap AS longest_gap, complete AS path_complete,
 """)
 def q05_path_extrema(spark, sf_dir):
     r = _day_labels(spark, sf_dir)
-    return r.select("event_id", "path_count", "longest_gap", "path_complete", F.round("best_return", 6).alias("best_return"),
-        F.round("worst_return", 6).alias("worst_return"))
+    return r.select("event_id", "path_count", "longest_gap", "path_complete", rounded("best_return", 6).alias("best_return"),
+        rounded("worst_return", 6).alias("worst_return"))
 
 
 _TRI = "CASE WHEN {0} IS NOT NULL THEN 'TRUE' WHEN complete THEN 'FALSE' ELSE 'UNKNOWN' END AS crossed_{0}"
@@ -158,7 +158,7 @@ SELECT event_id, n AS path_count, round(CASE WHEN nr >= 2 THEN sd END, 5) AS rea
 def q08_rolling_path_features(spark, sf_dir):
     r = research.rolling_path(Tables(spark, sf_dir).events, "user_id", "ts", "value", 48 * H)
     return r.select("event_id", "path_count",
-        *[F.round(c, d).alias(c) for c, d in (("realized_volatility", 5), ("drawdown", 6), ("recovery", 6), ("monotonicity", 6), ("smoothness", 5))])
+        *[rounded(c, d).alias(c) for c, d in (("realized_volatility", 5), ("drawdown", 6), ("recovery", 6), ("monotonicity", 6), ("smoothness", 5))])
 
 
 @query("""

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalar import MICROS, change, micros, tri_state
+from tidemark.functions.scalar import MICROS, change, micros, plain_change, tri_state
 from tidemark.operators.asof import asof_join, lookbacks
 from tidemark.operators.paths import path_summary
 
@@ -52,26 +52,30 @@ def rolling_path(observations: DataFrame, key: str, at: str, value: str, span: i
     """For each observation over its path (t - span, t], in one window pass: count, volatility
     of log returns (population), drawdown, recovery, monotonicity and smoothness.
 
-    A return belongs to the path only if both its ends do, so the first one of each path is taken off."""
+    A return belongs to the path only if both its ends do, so the first one of each path is taken off. Values of 0 are divided by as doubles are: a return
+    from or to 0 is infinite, one between two of them NaN, and neither volatility nor smoothness is a number then. Negative values have no return."""
     order = Window.partitionBy(key).orderBy("_t")
     path = order.rangeBetween(-(span * MICROS - 1), 0)
-    r = observations.withColumn("_t", micros(at)).withColumn("_r",
-        F.when((F.col(value) > 0) & (F.lag(value).over(order) > 0), F.log(F.col(value) / F.lag(value).over(order))))
-    r = r.withColumns({"_sq": F.col("_r") * F.col("_r"), "_ab": F.abs("_r"), "_sg": F.signum("_r"), "_nz": (F.col("_r") != 0).cast("int"),
-        "_one": F.col("_r").isNotNull().cast("int")})
-    inner = {c: F.coalesce(F.sum(c).over(path), F.lit(0)) - F.coalesce(F.first(c).over(path), F.lit(0)) for c in ("_r", "_sq", "_ab", "_sg", "_nz", "_one")}
+    r = observations.withColumn("_t", micros(at)).withColumn("_before", F.lag(value).over(order))
+    r = r.withColumn("_r", F.when((F.col(value) > 0) & (F.col("_before") > 0), F.log(F.col(value) / F.col("_before"))))
+    # Returns from or to 0 are counted beside the sums, which could not take an infinite one off again.
+    r = r.withColumn("_odd", ((F.least(value, "_before") == 0) & F.col(value).isNotNull() & F.col("_before").isNotNull()).cast("int"))
+    odd = F.col("_odd") == 1
+    r = r.withColumns({"_sq": F.col("_r") * F.col("_r"), "_ab": F.abs("_r"), "_sg": F.when(odd, F.signum(F.col(value) - F.col("_before"))).otherwise(F.signum("_r")),
+        "_nz": F.when(odd, 1).otherwise((F.col("_r") != 0).cast("int")), "_one": (F.col("_r").isNotNull() | F.coalesce(odd, F.lit(False))).cast("int")})
+    inner = {c: F.coalesce(F.sum(c).over(path), F.lit(0)) - F.coalesce(F.first(c).over(path), F.lit(0)) for c in ("_r", "_sq", "_ab", "_sg", "_nz", "_one", "_odd")}
     r = r.withColumns({"n": F.count(F.lit(1)).over(path), "high": F.max(value).over(path), "low": F.min(value).over(path)} | {f"i{c}": e for c,
         e in inner.items()})
     n = F.col("i_one")
     variance = F.greatest(F.col("i_sq") / n - (F.col("i_r") / n) * (F.col("i_r") / n), F.lit(0.0))
-    rms = F.sqrt(F.greatest(F.col("i_sq"), F.lit(0.0)) / n)
+    rms, nan = F.sqrt(F.greatest(F.col("i_sq"), F.lit(0.0)) / n), F.lit(float("nan"))
     return r.withColumns(
         {
-            "path_count": F.col("n"), "realized_volatility": F.when(n >= 2, F.sqrt(variance)), "drawdown": change(value, "high"),
-            "recovery": change(value, "low"),
-            "monotonicity": F.when(F.col("i_nz") > 0, F.abs(F.col("i_sg")) / F.col("i_nz")), "smoothness": F.when((n > 0) & (rms > 0), F.col("i_ab") / n / rms),
+            "path_count": F.col("n"), "realized_volatility": F.when(n >= 2, F.when(F.col("i_odd") > 0, nan).otherwise(F.sqrt(variance))),
+            "drawdown": plain_change(value, "high"), "recovery": plain_change(value, "low"),
+            "monotonicity": F.when(F.col("i_nz") > 0, F.abs(F.col("i_sg")) / F.col("i_nz")), "smoothness": F.when((n > 0) & (F.col("i_odd") > 0), nan).when((n > 0) & (rms > 0), F.col("i_ab") / n / rms),
         }
-    ).drop("_t", "_r", "_sq", "_ab", "_sg", "_nz", "_one", "n", "high", "low", *[f"i{c}" for c in inner])
+    ).drop("_t", "_r", "_before", "_odd", "_sq", "_ab", "_sg", "_nz", "_one", "n", "high", "low", *[f"i{c}" for c in inner])
 
 
 @dataclass(frozen=True)
@@ -91,7 +95,7 @@ def path_labels(entries: DataFrame, observations: DataFrame, key: str, entry_id:
     """Outcomes over (t, t + horizon + tolerance] of each entry.
 
     path_complete: there is an observation from the horizon's end on, and no gap, the one after the entry
-    included, is longer than allowed. best/worst: extreme returns, only of complete paths. crossed_<name>: tri-state.
+    included, is longer than allowed. best/worst: extreme returns, only of complete paths, over an entry of 0 infinite or NaN. crossed_<name>: tri-state.
     seconds_to_<name>: until the first crossing. Entries without a path keep their row. dense as in path_summary."""
     plain = entries.select(key, F.col(entry_id).alias("_entry"), F.col(entry_at).alias("_t0"), F.col(entry_value).cast("double").alias("_v0"))
     bounds = {n: (F.col("_v0") * m, True) for n, m in ups.items()} | {n: (F.col("_v0") * m, False) for n, m in downs.items()}
@@ -100,7 +104,7 @@ def path_labels(entries: DataFrame, observations: DataFrame, key: str, entry_id:
     complete = F.coalesce((F.col("reach") >= horizon.seconds) & (F.col("gap") <= horizon.most_gap), F.lit(False))
     return out.select(
         F.col("_entry").alias(entry_id), F.coalesce("n", F.lit(0)).alias("path_count"), F.col("gap").alias("longest_gap"), complete.alias("path_complete"),
-        F.when(complete, change("high", "_v0")).alias("best_return"), F.when(complete, change("low", "_v0")).alias("worst_return"),
+        F.when(complete, plain_change("high", "_v0")).alias("best_return"), F.when(complete, plain_change("low", "_v0")).alias("worst_return"),
         *[tri_state(F.col(f"s_{n}").isNotNull(), complete).alias(f"crossed_{n}") for n in bounds], *[F.col(f"s_{n}").alias(f"seconds_to_{n}") for n in bounds],
     )
 
