@@ -8,7 +8,7 @@ come from one join of candidates with what follows. Nothing is read per token.
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -192,8 +192,8 @@ def _elapsed(start: Column, end: Column) -> Column:
     return (micros(end) - micros(start)) / MICROS
 
 
-def market_features(candidates: DataFrame, families: Mapping[str, DataFrame]) -> DataFrame:
-    """The feature row of each candidate."""
+def market_features(candidates: DataFrame, families: Mapping[str, DataFrame], returns: Callable[[str, str], Column] = change) -> DataFrame:
+    """The feature row of each candidate. returns: what return_<span> is of a price and the one before; by default null over a price that is not positive."""
     state = state_as_of(candidates, families)
     obs = doubles(families["observations"]).withColumnRenamed("pair_id", "selected_pair_id")
     spans = LOOKBACK | {"prior": (120, 30)}
@@ -235,7 +235,7 @@ def market_features(candidates: DataFrame, families: Mapping[str, DataFrame]) ->
         "liquidity_volume_m5_ratio": ratio("obs_liquidity_usd", "obs_volume_m5_usd"),
     }
     for h in LOOKBACK:
-        out[f"return_{h}"] = change("obs_price_usd", f"price_usd_{h}")
+        out[f"return_{h}"] = returns("obs_price_usd", f"price_usd_{h}")
         out[f"return_{h}_actual_seconds"] = _elapsed(F.col(f"received_at_{h}"), F.col("obs_received_at"))
         out[f"liquidity_change_{h}"] = change("obs_liquidity_usd", f"liquidity_usd_{h}")
     out |= {"return_velocity_1m_per_second": velocity, "return_acceleration_1m": velocity - prior_velocity}
@@ -282,10 +282,12 @@ def market_features(candidates: DataFrame, families: Mapping[str, DataFrame]) ->
     return s.select(*KEY, *[c.alias(name) for name, c in out.items()])
 
 
-def outcome_labels(candidates: DataFrame, families: Mapping[str, DataFrame], horizons: Mapping[str, tuple[int, int]] = HORIZONS, dense: bool | None = None) -> DataFrame:
+def outcome_labels(candidates: DataFrame, families: Mapping[str, DataFrame], horizons: Mapping[str, tuple[int, int]] = HORIZONS, dense: bool | None = None,
+    zeros: bool = False) -> DataFrame:
     """The outcome row of each candidate, from observations of its selected pair behind the decision.
 
-    Thresholds are compared in doubles. dense: whether spans are put together of the nodes of a tree or of single facts; by default it is measured."""
+    Thresholds are compared in doubles. dense: whether spans are put together of the nodes of a tree or of single facts; by default it is measured.
+    zeros: prices of 0 cross bounds like others, those of an entry of 0 too; by default an entry of 0 has no crossings, and crossed_<name> looks at no price of 0."""
     obs = doubles(families["observations"]).withColumnRenamed("pair_id", "selected_pair_id")
     picked = selected_pairs(candidates.select(*KEY).distinct(), doubles(families["observations"]))
     entry = asof_join(picked, obs, ["token_id", "selected_pair_id"], "decision_at", "received_at", ["received_at", "price_usd", "liquidity_usd"],
@@ -314,7 +316,8 @@ def outcome_labels(candidates: DataFrame, families: Mapping[str, DataFrame], hor
     fact = F.struct(F.timestamp_micros("first.at").cast("timestamp_ntz").alias("at"), "first.fact", "s", "first.p", "first.l")
     ms = sorted({*UPSIDE.values(), *DOWNSIDE.values(), *(m for up_down in ORDERED.values() for m in up_down), *TIMES.values()})
     tag = lambda m: f"c{str(m).replace('.', '_')}"
-    cross = {m: (pathtree.crosses(base * m, F.lit(m > 1)) & (base > 0), pathtree.crosses(base * m, F.lit(m > 1), nonzero=True) & (base > 0)) for m in ms}
+    allowed_base = base.isNotNull() if zeros else base > 0
+    cross = {m: (pathtree.crosses(base * m, F.lit(m > 1)) & allowed_base, pathtree.crosses(base * m, F.lit(m > 1), nonzero=not zeros) & allowed_base) for m in ms}
     ends = {n: F.min(F.when((F.col("s") >= h) & (F.col("s") <= h + t), fact)) for n, (h, t) in horizons.items()}
     where = F.struct("s", "level", "node")
     rings = items.withColumn("ring", ring).groupBy(*KEY, "ring").agg(
