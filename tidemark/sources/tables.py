@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.work import spread
+
 
 def tolerant(df: DataFrame, schema: StructType) -> DataFrame:
     """Exactly the columns of the schema, in its order and types; a column that is not there is null."""
@@ -75,8 +77,9 @@ def epoch_validity(*parts: DataFrame) -> DataFrame:
 
 def append_new(stored: DataFrame, batch: DataFrame, key: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(rows to add, repeats): of a batch the rows whose key is not stored, one for each key, and the rows that lost."""
-    fresh = batch.join(stored.select(*key).distinct(), list(key), "left_anti").dropDuplicates(list(key))
-    return fresh, batch.join(stored.select(*key).distinct(), list(key), "left_semi")
+    held, batch = spread(stored.select(*key), *key), spread(batch, *key)
+    fresh = batch.join(held, list(key), "left_anti").dropDuplicates(list(key))
+    return fresh, batch.join(held, list(key), "left_semi")
 
 
 def get_or_create(stored: DataFrame, seen: DataFrame, key: Sequence[str], at: str, payload: Sequence[str], parent: Sequence[str] = ()) -> DataFrame:

@@ -36,6 +36,23 @@ def durable(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of a table's files that one task takes, of tables whose steps sort or hash all rows of a task at once.
+TASK_BYTES = 4 << 20
+
+
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """df dealt out by the columns to tasks whose number grows with the files that it is read from, so that a task's rows do not.
+
+    Adaptive plans would join small blocks, by their compressed size, until few tasks are left."""
+    spark, files = df.sparkSession, df.inputFiles()
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    size = 0
+    for f in files:
+        path = jvm.org.apache.hadoop.fs.Path(f)
+        size += path.getFileSystem(conf).getFileStatus(path).getLen()
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // TASK_BYTES)), *by)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[list[DataFrame]]:
     """Deletes what durable() writes inside, but for the tables put into the list: for a caller who has
