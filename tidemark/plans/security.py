@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import ratio
 from tidemark.operators.graph import connected_components
+from tidemark.work import spread
 
 
 def percent(a: Column | str, b: Column | str) -> Column:
@@ -97,7 +98,7 @@ def bounded_edges(edges: DataFrame, by: Sequence[str], order: str, most_edges: i
 
     The bounds are the feature: what a key may ask of a provider. Clusters themselves go over all edges."""
     w = Window.partitionBy(*by).orderBy(order)
-    numbered = edges.withColumn("_k", F.row_number().over(w)).withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*by)))
+    numbered = spread(edges, *by).withColumn("_k", F.row_number().over(w)).withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*by)))
     first = numbered.filter(F.col("_k") <= most_edges)
     wallets = first.select(*by, F.explode(F.array("wallet_a", "wallet_b")).alias("_wallet")).distinct()
     ranked = wallets.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy("_wallet"))).withColumn("_all",
