@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
+from math import gcd
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -301,40 +302,57 @@ def outcome_labels(candidates: DataFrame, families: Mapping[str, DataFrame], hor
     dense = fullest_span(facts, by, "at", longest) > DENSE if dense is None else dense
     told = facts.filter("at IS NOT NULL").withColumn("at", micros("at"))
     asked = asked.withColumn("_t0", micros("decision_at"))
-    if dense:
-        # Nodes of a tree that all horizons share; facts only around the times where one begins or ends.
-        nodes = durable(pathtree.build(told, by), "path-nodes")
-        marks = sorted({*limits, *(h for h, _ in horizons.values())})
-        items = pathtree.cover(asked, nodes, told, by, "_t0", F.array(*[F.col("_t0") + m * MICROS for m in marks]))
-    else:
-        # Thin facts: each candidate meets those of its longest span.
-        named = path_join(asked.withColumn("_at0", F.timestamp_micros("_t0")), facts, by, "_at0", "at", 0, longest).drop("_at0").withColumn("at", micros("at"))
-        items = pathtree.as_items(named, [*asked.columns]).withColumns({"level": F.lit(-1), "node": F.lit(None).cast("long")})
-    items = pathtree.with_neighbours(items, KEY, micros("e_received_at")).withColumn("s", (F.col("first.at") - F.col("_t0")) / MICROS)
-    # An item is summed up once, in the ring between two limits that it falls in; what a horizon sees is the sum of its rings, of which there are as many as horizons.
-    ring = F.size(F.filter(F.array(*map(F.lit, limits)), lambda x: x < F.col("s")))
-    fact = F.struct(F.timestamp_micros("first.at").cast("timestamp_ntz").alias("at"), "first.fact", "s", "first.p", "first.l")
     ms = sorted({*UPSIDE.values(), *DOWNSIDE.values(), *(m for up_down in ORDERED.values() for m in up_down), *TIMES.values()})
     tag = lambda m: f"c{str(m).replace('.', '_')}"
     allowed_base = base.isNotNull() if zeros else base > 0
     cross = {m: (pathtree.crosses(base * m, F.lit(m > 1)) & allowed_base, pathtree.crosses(base * m, F.lit(m > 1), nonzero=not zeros) & allowed_base) for m in ms}
-    ends = {n: F.min(F.when((F.col("s") >= h) & (F.col("s") <= h + t), fact)) for n, (h, t) in horizons.items()}
-    where = F.struct("s", "level", "node")
-    rings = items.withColumn("ring", ring).groupBy(*KEY, "ring").agg(
-        F.struct(*[e.alias(n) for n, e in ends.items()]).alias("ends"), (F.max("gap") / MICROS).alias("gap"), F.max("high").alias("high"), F.min("low").alias("low"),
-        F.min("thin").alias("thin"), F.max("jump").alias("jump"), F.max(F.struct("last.at", "last.fact", "last.l")).alias("last"),
-        F.min(F.when(F.col("peak").isNotNull(), F.struct("peak.down", ((F.col("peak.at") - F.col("_t0")) / MICROS).alias("s"), "peak.fact"))).alias("peak"),
-        *[F.min(F.when(c, where)).alias(tag(m)) for m, (c, _) in cross.items()], *[F.max(c).alias(f"n{tag(m)}") for m, (_, c) in cross.items()],
-    )
-    seen = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(h).alias("h"), F.lit(limits.index(h + t)).alias("ring"), F.col(f"ends.{n}").alias("end")) for n, (h, t) in horizons.items()])
-    each = rings.withColumn("x", F.explode(F.filter(seen, lambda x: F.col("ring") <= x["ring"])))
-    agg = each.groupBy(*KEY, F.col("x.name").alias("name"), F.col("x.h").alias("h")).agg(
-        F.min("x.end").alias("end"), F.max("gap").alias("gap"), F.max("high").alias("high"), F.min("low").alias("low"), F.min("thin").alias("thin"),
-        F.max("jump").alias("jump"), F.max("last").alias("last"), F.min("peak").getField("s").alias("peak_s"),
-        *[F.min(tag(m)).alias(tag(m)) for m in ms], *[F.max(f"n{tag(m)}").alias(f"n{tag(m)}") for m in ms],
-    )
+    if dense:
+        # Each span from what the blocks at its ends and those between have.
+        bounds = [(n, h * MICROS, (h + t) * MICROS) for n, (h, t) in horizons.items()]
+        width = gcd(*(x for _, h, end in bounds for x in (h, end)))
+        nodes = durable(pathtree.build(told, by, width), "path-nodes")
+        last = max(range(len(bounds)), key=lambda k: bounds[k][1])
+        spans = [(1, end // width - 1) for _, _, end in bounds] + [(h // width + 1, end // width - 1) for _, h, end in bounds]
+        blocks = asked.select(*by, F.floor(F.col("_t0") / width).alias("block"))
+        between = durable(pathtree.between(blocks, nodes, by, spans, last), "path-between")
+        narrow = asked.select(*by, "_t0", "decision_at", micros("e_received_at").alias("since"), "e_price_usd", "e_liquidity_usd")
+        cut = pathtree.pieces(narrow, told, by, "_t0", [end for _, _, end in bounds], [h for _, h, _ in bounds], width).join(between.drop("cover"), [*by, "block"], "left")
+        piece, sums = (lambda i: F.col("pieces")[i]["x"]), (lambda i: F.try_element_at("sums", F.lit(i)))
+        each = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(horizons[n][0]).alias("h"), F.lit(h).alias("begin"), F.lit(end).alias("until"), piece(0).alias("s"), sums(k).alias("b"), piece(1 + k).alias("p"),
+            F.coalesce(piece(1 + len(bounds) + k)["first"], sums(len(bounds) + k)["first"], piece(1 + k)["first"]).alias("end")) for k, (n, h, end) in enumerate(bounds)])
+        agg = cut.select("token_id", "_t0", "e.*", F.explode(each).alias("x")).select("token_id", "decision_at", "_t0", "since", "e_price_usd", "e_liquidity_usd", "x.*")
+        x = pathtree.joined(F.col("s"), F.col("b"), F.col("p"), F.col("since"))
+        after = F.col("end.at") - F.col("_t0")
+        end = F.struct(F.timestamp_micros("end.at").cast("timestamp_ntz").alias("at"), F.col("end.fact").alias("fact"), (after / MICROS).alias("s"), F.col("end.p").alias("p"), F.col("end.l").alias("l"))
+        agg = agg.select(*KEY, "name", "h", "e_price_usd", "e_liquidity_usd", F.when((after >= F.col("begin")) & (after <= F.col("until")), end).alias("end"), (x["gap"] / MICROS).alias("gap"),
+            ((x["peak"]["at"] - F.col("_t0")) / MICROS).alias("peak_s"), *[x[c].alias(c) for c in ("high", "low", "low_nonzero", "thin", "jump", "last")])
+        agg = agg.withColumns({f"n{tag(m)}": c for m, (_, c) in cross.items()})
+    else:
+        # Thin facts: each candidate meets those of its longest span.
+        named = path_join(asked.withColumn("_at0", F.timestamp_micros("_t0")), facts, by, "_at0", "at", 0, longest).drop("_at0").withColumn("at", micros("at"))
+        items = pathtree.as_items(named, [*asked.columns])
+        items = pathtree.with_neighbours(items, KEY, micros("e_received_at")).withColumn("s", (F.col("first.at") - F.col("_t0")) / MICROS)
+        # An item is summed up once, in the ring between two limits that it falls in; what a horizon sees is the sum of its rings, of which there are as many as horizons.
+        ring = F.size(F.filter(F.array(*map(F.lit, limits)), lambda x: x < F.col("s")))
+        fact = F.struct(F.timestamp_micros("first.at").cast("timestamp_ntz").alias("at"), "first.fact", "s", "first.p", "first.l")
+        ends = {n: F.min(F.when((F.col("s") >= h) & (F.col("s") <= h + t), fact)) for n, (h, t) in horizons.items()}
+        where = F.struct("s")
+        rings = items.withColumn("ring", ring).groupBy(*KEY, "ring").agg(
+            F.struct(*[e.alias(n) for n, e in ends.items()]).alias("ends"), (F.max("gap") / MICROS).alias("gap"), F.max("high").alias("high"), F.min("low").alias("low"),
+            F.min("thin").alias("thin"), F.max("jump").alias("jump"), F.max(F.struct("last.at", "last.fact", "last.l")).alias("last"),
+            F.min(F.when(F.col("peak").isNotNull(), F.struct("peak.down", ((F.col("peak.at") - F.col("_t0")) / MICROS).alias("s"), "peak.fact"))).alias("peak"),
+            *[F.min(F.when(c, where)).alias(tag(m)) for m, (c, _) in cross.items()], *[F.max(c).alias(f"n{tag(m)}") for m, (_, c) in cross.items()],
+        )
+        seen = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(h).alias("h"), F.lit(limits.index(h + t)).alias("ring"), F.col(f"ends.{n}").alias("end")) for n, (h, t) in horizons.items()])
+        each = rings.withColumn("x", F.explode(F.filter(seen, lambda x: F.col("ring") <= x["ring"])))
+        agg = each.groupBy(*KEY, F.col("x.name").alias("name"), F.col("x.h").alias("h")).agg(
+            F.min("x.end").alias("end"), F.max("gap").alias("gap"), F.max("high").alias("high"), F.min("low").alias("low"), F.min("thin").alias("thin"),
+            F.max("jump").alias("jump"), F.max("last").alias("last"), F.min("peak").getField("s").alias("peak_s"),
+            *[F.min(tag(m)).alias(tag(m)) for m in ms], *[F.max(f"n{tag(m)}").alias(f"n{tag(m)}") for m in ms],
+        )
+        agg = agg.join(entry.select(*KEY, "e_price_usd", "e_liquidity_usd"), KEY)
     allowed = F.least(F.greatest(F.lit(60.0), F.col("h") * 0.1), F.lit(1800.0))
-    agg = agg.join(entry.select(*KEY, "e_price_usd", "e_liquidity_usd"), KEY).withColumn("complete", F.col("end").isNotNull() & (F.col("gap") <= allowed))
+    agg = agg.withColumn("complete", F.col("end").isNotNull() & (F.col("gap") <= allowed))
     entry_liquid = F.col("e_liquidity_usd") > 0
     done = F.col("complete")
     per = {
@@ -355,23 +373,22 @@ def outcome_labels(candidates: DataFrame, families: Mapping[str, DataFrame], hor
             "decided_at", ["new_state"], tie="id", prefix="end_")
         agg = agg.join(states.drop("end_at"), [*KEY, "name"], "left")
         per["future_lifecycle_state_{}"] = F.col("end_new_state")
-    named = agg.select(*KEY, "name", "h", *[tag(m) for m in ms], "complete", "peak_s",
+    firsts = [] if dense else [tag(m) for m in ms]
+    named = agg.select(*KEY, "name", "h", *firsts, "complete", "peak_s",
         F.struct(*[c.alias(k.format("h")) for k, c in per.items()]).alias("v"))
     wide = named.groupBy(*KEY).agg(
-        F.max_by(F.struct("complete", "peak_s", *[tag(m) for m in ms]), "h").alias("far"),
+        F.max_by(F.struct("complete", "peak_s", *firsts), "h").alias("far"),
         *[F.max(F.when(F.col("name") == n, F.col("v"))).alias(f"_{n}") for n in horizons],
     )
-    # Read twice below, and once more for the descent.
-    out = durable(entry.join(wide, KEY, "left"), "path-outcomes") if dense else entry.join(wide, KEY, "left")
+    out = entry.join(wide, KEY, "left")
     far = lambda m: F.col(f"far.{tag(m)}.s")
     if dense:
-        # A bound that is first crossed in a node: the fact that does so is found below it.
-        each = F.array(*[F.struct(F.lit(m).alias("m"), F.lit(m > 1).alias("above"), (base * m).alias("bound"), F.col(f"far.{tag(m)}.level").alias("level"), F.col(f"far.{tag(m)}.node").alias("node")) for m in ms])
-        deep = out.select(*KEY, "selected_pair_id", F.explode(F.filter(each, lambda x: x["level"] >= 0)).alias("x")).select(*KEY, "selected_pair_id", "x.*")
-        first = pathtree.descend(deep, nodes, told, by).withColumn("s", (F.col("at") - micros("decision_at")) / MICROS)
-        first = first.groupBy(*KEY).agg(*[F.max(F.when(F.col("m") == m, F.col("s"))).alias(f"d{tag(m)}") for m in ms])
+        times = sorted({*(m for up_down in ORDERED.values() for m in up_down), *TIMES.values(), 0.2})
+        first = pathtree.first_crossings(asked, between, nodes, told, by, "_t0", F.when(allowed_base, base), bounds[last][2], times, width)
+        first = first.select("token_id", F.timestamp_micros("_t0").cast(dict(candidates.dtypes)["decision_at"]).alias("decision_at"),
+            *[((F.col(f"x{k}") - F.col("_t0")) / MICROS).alias(f"x{tag(m)}") for k, m in enumerate(times)])
         out = out.join(first, KEY, "left")
-        far = lambda m: F.when(F.col(f"far.{tag(m)}.level") >= 0, F.col(f"d{tag(m)}")).otherwise(F.col(f"far.{tag(m)}.s"))
+        far = lambda m: F.col(f"x{tag(m)}")
     unseen = {"crossed": "UNKNOWN", "major_liquidity_collapse": "UNKNOWN", "liquidity_survival": "UNKNOWN", "extreme_gap": "UNKNOWN", "horizon": False}
 
     def column(template: str, n: str) -> Column:
