@@ -7,11 +7,71 @@ constant factor, so rounds are logarithmic in the number of nodes, and all but t
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.work import durable
 
+#: Edges that a task looks at together.
+EDGES_AT_ONCE = 1 << 21
+
+
+def _forest(x: np.ndarray, y: np.ndarray, n: int) -> np.ndarray:
+    """Places of edges (x, y) between nodes 0 to n - 1 that make up the forest of earliest edges, in rounds in which each tree takes its earliest edge to another one."""
+    kept, at = [np.zeros(0, np.int64)], np.arange(len(x))
+    while True:
+        other = x != y
+        x, y, at = x[other], y[other], at[other]
+        if not len(x):
+            return np.sort(np.concatenate(kept))
+        best = np.full(n, -1)
+        both, place = np.stack([x, y], 1).ravel()[::-1], np.repeat(np.arange(len(x)), 2)[::-1]
+        best[both] = place  # the last one written is the earliest edge
+        nodes = np.flatnonzero(best >= 0)
+        edge, up = best[nodes], np.arange(n)
+        kept.append(np.unique(at[edge]))
+        up[nodes] = x[edge] + y[edge] - nodes
+        mutual = nodes[(up[up[nodes]] == nodes) & (nodes < up[nodes])]
+        up[mutual] = mutual
+        while True:
+            far = up[up]
+            if (far == up).all():
+                break
+            up = far
+        x, y = up[x], up[y]
+
+
+def _thinned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of every EDGES_AT_ONCE edges (a, b and perhaps t) those of the forest of earliest ones."""
+
+    def thin(held: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+        edges = pa.Table.from_batches(held)
+        if "t" in edges.column_names:
+            edges = edges.sort_by("t")
+        ends = pa.chunked_array([*edges["a"].chunks, *edges["b"].chunks]).combine_chunks().dictionary_encode()
+        codes = ends.indices.to_numpy()
+        return edges.take(pa.array(_forest(codes[: len(edges)], codes[len(edges) :], len(ends.dictionary)))).to_batches()
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(map(len, held)) >= EDGES_AT_ONCE:
+            yield from thin(held)
+            held = []
+    if held:
+        yield from thin(held)
+
+
+def thinned(edges: DataFrame) -> DataFrame:
+    """Fewer of the edges (a, b and perhaps t, none null) with the same components, those of the edges up to any t too.
+
+    Each task takes as many at once as it may hold and leaves out what closes a circle of earlier ones: without a shuffle, fewer edges are left than nodes were read together."""
+    return edges.mapInArrow(_thinned, edges.schema)
+
 
 def _contract(edges: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
     """(node, taken) for every end of the edges (x, y), and the edges between what was taken."""

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalar import micros
 from tidemark.operators.asof import asof_join
 from tidemark.operators.cuts import any_hot, hot_cuts, same, with_chunks
-from tidemark.operators.graph import as_longs
+from tidemark.operators.graph import as_longs, thinned
 from tidemark.work import durable
 
 
@@ -50,7 +50,7 @@ def merge_history(edges: DataFrame, a: str, b: str, at: str) -> DataFrame:
     A label is a node of a round and the round, as a node may go by its number for several. A node's label is its id in round 0 before the first step; from step k on it is that step's label, if all steps up to k have a t (microseconds) at or before the
     time asked for. At one time, nodes have the same label if and only if known edges connect them. An edge of a node to itself counts for nothing."""
     known = edges.select(F.col(a).alias("a"), F.col(b).alias("b"), micros(at).alias("t")).filter("a IS NOT NULL AND b IS NOT NULL AND t IS NOT NULL")
-    hashed, named = as_longs(known.filter("a <> b"))
+    hashed, named = as_longs(thinned(known.filter("a <> b")))
     ends = hashed.groupBy(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).agg(F.min("t").alias("t"))
     left = durable(ends.select("x", "y", "t", F.col("x").alias("u"), F.col("y").alias("v")), "edges")
     rounds: list[DataFrame] = []
