@@ -125,7 +125,7 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """node and component (its smallest node), for nodes of any type that has an order.
 
     Nodes are worked on as 64-bit hashes."""
-    hashed, named = as_longs(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a <> b"))
+    hashed, named = as_longs(thinned(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a <> b")))
     roots = _rounds(hashed.select("x", "y")).withColumnRenamed("node", "id")
     roots = durable(roots.join(named, "id"), "roots")
     least = roots.groupBy("root").agg(F.min("node").alias("component"))
